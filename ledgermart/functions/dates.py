@@ -21,7 +21,7 @@ def month_start(c, fmt: str | None = None, strict: bool = True) -> Column:
     """
     c = col(c)
     if fmt:
-        parsed = F.to_date(c, fmt) if strict else F.try_to_date(c, F.lit(fmt))
+        parsed = F.to_date(c, fmt) if strict else F.try_to_date(c, fmt)
         return F.trunc(parsed, "month")
     return F.trunc(F.to_date(c), "month")
 
@@ -86,4 +86,4 @@ def generated_date(c) -> Column:
     c = col(c)
     dmy = F.nullif(F.regexp_extract(c, r"\b(\d{2}/\d{2}/\d{4})\b", 1), F.lit(""))
     iso = F.nullif(F.regexp_extract(c, r"\b(\d{4}-\d{2}-\d{2})\b", 1), F.lit(""))
-    return F.coalesce(F.try_to_date(dmy, F.lit("dd/MM/yyyy")), F.try_to_date(iso, F.lit("yyyy-MM-dd")))
+    return F.coalesce(F.try_to_date(dmy, "dd/MM/yyyy"), F.try_to_date(iso, "yyyy-MM-dd"))

@@ -45,7 +45,7 @@ def read_series(spark: SparkSession, path: str, series_code: str | None = None,
     text = strip_all(F.col("valor"))
     norm = F.replace(text, F.lit(","), F.lit("."))
     finite = norm.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
-    obs_date = F.try_to_date(strip_all(F.col("data")), F.lit("dd/MM/yyyy"))
+    obs_date = F.try_to_date(strip_all(F.col("data")), "dd/MM/yyyy")
     err = (F.when(F.col("_corrupt_record").isNotNull() | F.col("data").isNull() | F.col("valor").isNull(),
                   F.lit("invalid shape"))
            .when(obs_date.isNull(), F.lit("invalid date"))
