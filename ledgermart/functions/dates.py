@@ -62,12 +62,10 @@ def month_diff(earlier, later) -> Column:
 def valid_period(c) -> Column:
     """``YYYYMM``: six digits, year >= 1988, month 1-12."""
     c = col(c)
-    year = F.substring(c, 1, 4).cast("int")
-    month = F.substring(c, 5, 2).cast("int")
-    return (
-        F.coalesce(c.rlike(r"^\d{6}$"), F.lit(False))
-        & (year >= MIN_PERIOD_YEAR)
-        & month.between(1, 12)
+    year = F.substring(c, 1, 4).try_cast("int")
+    month = F.substring(c, 5, 2).try_cast("int")
+    return F.coalesce(
+        c.rlike(r"^\d{6}$") & (year >= MIN_PERIOD_YEAR) & month.between(1, 12), F.lit(False)
     )
 
 

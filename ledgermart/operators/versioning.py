@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermart.functions._util import names
+from ledgermart.session import cut_lineage
 
 
 def _sort_cols(order) -> list[Column]:
@@ -67,13 +68,18 @@ def distributed_row_number(
     contiguous slices on several tasks; the per-(group, slice) row counts
     (at most groups + slices rows) give each slice its offset.  With
     ``count_col`` the group size is attached as well.
+
+    The sliced frame is read twice (numbering, counts), and range bounds come
+    from sampling, so it is materialised once with a reliable checkpoint in
+    the shared checkpoint folder: both reads then see the same slices, and a
+    lost executor is recovered from the checkpoint, not by re-sampling.
     """
     part = names(partition)
     order_cols = _sort_cols(order)
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(p) for p in part], *order_cols).withColumn(
+    ranged = cut_lineage(df.repartitionByRange(n, *[F.col(p) for p in part], *order_cols).withColumn(
         "_slice", F.spark_partition_id()
-    )
+    ))
     local = ranged.withColumn(
         "_local", F.row_number().over(Window.partitionBy(*part, "_slice").orderBy(*order_cols))
     )
