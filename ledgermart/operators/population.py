@@ -65,10 +65,11 @@ def top_members(
     head = df.orderBy(*order).limit(n + 1)
     w = Window.orderBy(*order)
     ranked = head.withColumn(rank_col, F.row_number().over(w).cast("int"))
-    nth = ranked.filter(F.col(rank_col) == n).select(F.max(amount))
-    after = ranked.filter(F.col(rank_col) == n + 1).select(F.max(amount))
-    out = ranked.filter(F.col(rank_col) <= n)
-    return out.withColumn(gap_col, nth.scalar() - after.scalar())
+    # the frame holds at most n + 1 rows: a whole-frame window is bounded
+    everything = Window.partitionBy().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    gap = (F.max(F.when(F.col(rank_col) == n, F.col(amount))).over(everything)
+           - F.max(F.when(F.col(rank_col) == n + 1, F.col(amount))).over(everything))
+    return ranked.withColumn(gap_col, gap).filter(F.col(rank_col) <= n)
 
 
 def distinct_members_by(rows: DataFrame, keys, member: str, pivot: str, values: list[str]) -> DataFrame:
@@ -122,8 +123,11 @@ def profile_population(
     if reference_total:
         ref = F.col(reference_total) - F.coalesce(F.col(reference_offset), F.lit(0)) if reference_offset else F.col(reference_total)
         state = state.withColumn("reference_difference", F.col("total_amount") - ref)
-    freeze = F.lit(freeze_period) if freeze_period is not None else state.select(F.max(period)).scalar()
-    candidates = state.filter((F.col(period) == freeze) & F.col(presence_account).isNotNull())
+    if freeze_period is not None:
+        at_freeze = state.filter(F.col(period) == F.lit(freeze_period))
+    else:  # latest period: an equi-join with the one-row aggregate
+        at_freeze = state.join(state.agg(F.max(period).alias(period)), period, "inner")
+    candidates = at_freeze.filter(F.col(presence_account).isNotNull())
     members = top_members(candidates.select(member, "total_amount", *([c for c in ("member_name", "taxonomy") if c in state.columns])),
                           member, "total_amount", n)
     monthly = state.join(members.select(member, "freeze_rank"), member, "inner")

@@ -3,8 +3,8 @@
 Every ``check_*`` returns the *failing* rows (empty = pass), the way a
 singular SQL test does.  ``build_controls`` turns several checks into one
 control table ``(control_name, passed, expected, actual, detail)`` with a
-final fail-closed roll-up row.  Each control is one aggregate over its check
-(a scalar subquery), never a collect to the driver.
+final fail-closed roll-up row.  Each control is one aggregate over its check,
+never a collect to the driver.
 """
 
 from __future__ import annotations
@@ -152,17 +152,19 @@ def failing_rows(name: str, check: DataFrame, detail: str = "") -> Control:
 
 
 def build_controls(spark: SparkSession, controls: list[Control], rollup_name: str = "all_controls_pass") -> DataFrame:
-    """Control table (Q14–Q20), the last row = AND of all earlier ones."""
+    """Control table (Q14–Q20), the last row = AND of all earlier ones.
+
+    Each control is a one-row aggregate over its own frame; the rows are
+    unioned and the roll-up aggregates the union.
+    """
     rows = []
     for i, c in enumerate(controls):
-        actual = c.frame.select(c.actual.cast("string").alias("_a")).scalar()
-        passed = F.coalesce(_OPS[c.op](c.frame.select(c.actual).scalar(), F.lit(c.expected)), F.lit(False))
-        rows.append(spark.range(1).select(
+        rows.append(c.frame.agg(
             F.lit(i + 1).alias("control_order"),
             F.lit(c.name).alias("control_name"),
-            passed.alias("passed"),
+            F.coalesce(_OPS[c.op](c.actual, F.lit(c.expected)), F.lit(False)).alias("passed"),
             F.lit(f"{c.op} {c.expected}").alias("expected"),
-            actual.alias("actual"),
+            c.actual.cast("string").alias("actual"),
             F.lit(c.detail).alias("detail"),
         ))
     table = rows[0]
