@@ -127,14 +127,17 @@ def profile_series(
         F.count(F.lit(1)).alias("internal_missing_month_count"),
         F.array_join(F.array_sort(F.collect_list(period_text("_missing"))), "|").alias("internal_missing_months"),
     )
-    prof = o.groupBy(key).agg(
-        F.count(F.lit(1)).alias("row_count"),
+    # two levels, one distinct count at most per aggregate (no row expansion):
+    # (key, date) multiplicities, then per key
+    per_day = o.groupBy(key, "_d", "_m").agg(F.count(F.lit(1)).alias("_n"))
+    prof = per_day.groupBy(key).agg(
+        F.sum("_n").alias("row_count"),
         F.min("_d").alias("first_observation_date"),
         F.max("_d").alias("last_observation_date"),
         F.min("_m").alias("_first_m"),
         F.max("_m").alias("_last_m"),
-        (F.count(F.lit(1)) - F.count_distinct("_d")).alias("duplicate_observation_date_count"),
-        (F.count(F.lit(1)) - F.count_distinct("_m")).alias("duplicate_report_month_count"),
+        (F.sum("_n") - F.count(F.lit(1))).alias("duplicate_observation_date_count"),
+        (F.sum("_n") - F.count_distinct("_m")).alias("duplicate_report_month_count"),
     ).join(gaps, key, "left")
     if registry is not None:
         lag_col = F.col(max_lag) if isinstance(max_lag, str) else F.lit(max_lag)

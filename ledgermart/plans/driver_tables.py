@@ -36,7 +36,8 @@ from ledgermart.functions import (
     valid_period,
 )
 from ledgermart.functions.text import first_text
-from ledgermart.operators import MeasureModel, calendar
+from ledgermart.functions.dates import month_label
+from ledgermart.operators import MeasureModel, account_amount, calendar, macro_value
 from ledgermart.operators.aggregates import line_balance, null_scan, pivot_sums
 from ledgermart.operators.calendar import continuity_breaks, coverage, missing_months, profile_series, derive_series
 from ledgermart.operators.joins import bounded_broadcast, reconcile, selected_rows, set_diff, with_membership
@@ -357,20 +358,38 @@ def population_coverage(spark, d):
 
 
 def period_profile(spark, d):
+    """Per-month profile of orders (S4, A15, A16) in two aggregation levels.
+
+    Six distinct counts in one aggregate would make Spark expand every input
+    row seven-fold.  Instead: (month, customer) partials carry the row counts
+    and per-status flags, so distinct customers become plain counts; the
+    (month, status, priority) combinations (a bounded domain) give the
+    distinct priorities and the status set.
+    """
     o = table(spark, d, "orders").select(_month("o_orderdate").alias("report_month"), "o_custkey",
                                         "o_orderstatus", "o_orderpriority", money("o_totalprice").alias("amount"))
     st = F.col("o_orderstatus")
-    return o.groupBy("report_month").agg(
-        F.count(F.lit(1)).alias("order_count"),
-        F.count_if(blank_to_null("o_orderpriority").isNull()).alias("blank_priority_rows"),
-        F.count_distinct("o_custkey").alias("customers"),
+    per_cust = o.groupBy("report_month", "o_custkey").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(blank_to_null("o_orderpriority").isNull()).alias("_blank"),
+        F.sum("amount").alias("_amount"),
+        *[F.bool_or(st == s).alias(f"_has_{s.lower()}") for s in ACCEPTED_STATUSES],
+    )
+    by_cust = per_cust.groupBy("report_month").agg(
+        F.sum("_n").alias("order_count"),
+        F.sum("_blank").alias("blank_priority_rows"),
+        F.count(F.lit(1)).alias("customers"),
+        *[F.count_if(f"_has_{s.lower()}").alias(f"customers_{s.lower()}") for s in ACCEPTED_STATUSES],
+        F.sum("_amount").alias("summed_amount"),
+    )
+    codes = o.groupBy("report_month", "o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("_n"))
+    by_code = codes.groupBy("report_month").agg(
         F.count_distinct("o_orderpriority").alias("priorities"),
         F.array_join(F.array_sort(F.collect_set("o_orderstatus")), "|").alias("statuses"),
-        F.count_distinct(F.when(st == "F", F.col("o_custkey"))).alias("customers_f"),
-        F.count_distinct(F.when(st == "O", F.col("o_custkey"))).alias("customers_o"),
-        F.count_distinct(F.when(st == "P", F.col("o_custkey"))).alias("customers_p"),
-        F.sum("amount").alias("summed_amount"),
     )
+    return by_cust.join(by_code, "report_month").select(
+        "report_month", "order_count", "blank_priority_rows", "customers", "priorities", "statuses",
+        "customers_f", "customers_o", "customers_p", "summed_amount")
 
 
 def series_profile(spark, d):
@@ -540,11 +559,17 @@ def control_table(spark, d):
 
 
 def distinct_tuple(spark, d):
+    """``count(distinct (a, b))`` (A5) next to a one-column distinct count.
+
+    Grouping by the pair first makes the pair count a plain count and leaves
+    one distinct aggregate (no row expansion).
+    """
     o = table(spark, d, "orders")
-    return o.agg(
-        F.count_distinct(F.struct("o_custkey", "o_orderstatus")).alias("distinct_customer_status"),
+    pairs = o.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("_n"))
+    return pairs.agg(
+        F.count(F.lit(1)).alias("distinct_customer_status"),
         F.count_distinct("o_custkey").alias("distinct_customers"),
-        F.count(F.lit(1)).alias("order_rows"),
+        F.sum("_n").alias("order_rows"),
     )
 
 
@@ -589,6 +614,50 @@ def segment_yoy(spark, d):
     return derive_series(monthly, "c_mktsegment", "report_month", "amount", "yoy_pct")
 
 
+def assets_by_member(spark, d):
+    """R2: total assets by member (closing balance), largest first."""
+    n = bounded_broadcast(table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"),
+                          known_rows=25)
+    return measures(spark, d).query(["total_assets"], by=["c_nationkey"]).join(n, "c_nationkey").orderBy(
+        F.col("total_assets").desc_nulls_last(), "n_name").select("c_nationkey", "n_name", "total_assets")
+
+
+def credit_share_by_month(spark, d):
+    """Credit share by month × member."""
+    return measures(spark, d).query(["credit_share"], by=["report_month", "c_nationkey"]).withColumn(
+        "month_label", month_label("report_month"))
+
+
+def member_slicer(spark, d):
+    """The distinct members present in the line fact."""
+    n = bounded_broadcast(table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"),
+                          known_rows=25)
+    return line_fact(spark, d).select("c_nationkey").distinct().join(n, "c_nationkey").select("n_name").distinct()
+
+
+def value_by_month(spark, d):
+    """A stream's value by month label × series (event type)."""
+    e = table(spark, d, "events").select(month_start("ts").alias("report_month"), F.col("event_type").alias("series_code"),
+                                        money("value").alias("value"))
+    ctx = e.withColumn("month_label", month_label("report_month"))
+    return macro_value(ctx, "value", by=["report_month", "month_label", "series_code"])
+
+
+def mapping_table(spark, d):
+    """Mapping rows whose account occurs and whose line exists."""
+    m = mapping_df(spark)
+    accounts = table(spark, d, "part").select("p_type").distinct()
+    return m.join(accounts, "p_type", "left_semi").select(
+        surrogate_key("p_type", "reporting_line_key", "mapping_version").alias("account_reporting_line_key"),
+        F.col("reporting_line_key").alias("reporting_line_code"), "p_type", "component_name",
+        "presentation_multiplier", "mapping_version")
+
+
+def account_balance_amount(spark, d):
+    """Account balance amount (plain sum) by member × account."""
+    return account_amount(member_account_month(spark, d), "amount", by=["c_nationkey", "p_type"])
+
+
 RECIPES = {
     "staging_orders": staging_orders,
     "month_calendar": month_calendar,
@@ -636,4 +705,10 @@ RECIPES = {
     "idempotent_upsert": idempotent_upsert,
     "probe_status": probe_status,
     "segment_yoy": segment_yoy,
+    "assets_by_member": assets_by_member,
+    "credit_share_by_month": credit_share_by_month,
+    "member_slicer": member_slicer,
+    "value_by_month": value_by_month,
+    "mapping_table": mapping_table,
+    "account_balance_amount": account_balance_amount,
 }

@@ -32,6 +32,11 @@ def _q(s: str) -> str:
 MAPPING_CTE = "mapping(reporting_line_key, p_type, presentation_multiplier, mapping_version) AS (VALUES " + ", ".join(
     f"({_q(k)}, {_q(acct)}, {mult}, {_q(MAPPING_VERSION)})" for k, _, _, acct, _, mult in MAPPING_ROWS) + ")"
 
+MAPPING_FULL_CTE = ("mapping(reporting_line_key, p_type, component_name, presentation_multiplier, mapping_version) "
+                    "AS (VALUES " + ", ".join(
+                        f"({_q(k)}, {_q(acct)}, {_q(comp)}, {mult}, {_q(MAPPING_VERSION)})"
+                        for k, _, _, acct, comp, mult in MAPPING_ROWS) + ")")
+
 MONTH = "CAST(date_trunc('month', {c}) AS DATE)"
 
 ROWS_CTE = f"""rows AS (
@@ -88,9 +93,6 @@ VERSIONED = """versioned AS (
              AND o_orderstatus = 'F') AS is_selected
   FROM orders)"""
 
-_FREEZE_END = {"2001-07-01": "2001-08-01"}
-
-
 def _freeze_ctes() -> str:
     start = FREEZE_MONTH
     y, m, _ = (int(x) for x in start.split("-"))
@@ -527,4 +529,33 @@ SELECT a.c_mktsegment, a.report_month,
        (CAST(a.amount AS DOUBLE) / CAST(p.amount AS DOUBLE) - 1) * 100 AS derived_value
 FROM m a LEFT JOIN m p ON a.c_mktsegment = p.c_mktsegment
                       AND p.report_month = CAST(a.report_month - INTERVAL 12 MONTH AS DATE)""",
+    "assets_by_member": f"""
+{LINE_BASE},
+{MEMBER_LAST}
+SELECT vals.c_nationkey, n.n_name, vals.total_assets
+FROM vals JOIN nation n ON vals.c_nationkey = n.n_nationkey""",
+    "credit_share_by_month": f"""
+{LINE_BASE},
+mv AS (SELECT lf.report_month, lf.c_nationkey, {_lines()} FROM lf GROUP BY lf.report_month, lf.c_nationkey)
+SELECT report_month, c_nationkey, {_div('credit_portfolio', 'total_assets')} AS credit_share,
+       strftime(report_month, '%b %Y') AS month_label
+FROM mv""",
+    "member_slicer": f"""
+{LINE_BASE}
+SELECT DISTINCT n.n_name FROM lf JOIN nation n ON lf.c_nationkey = n.n_nationkey""",
+    "value_by_month": """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS report_month, strftime(ts, '%b %Y') AS month_label,
+       event_type AS series_code, SUM(CAST(value AS DECIMAL(38,2))) AS macro_value
+FROM events GROUP BY 1, 2, 3""",
+    "mapping_table": f"""
+WITH {MAPPING_FULL_CTE}
+SELECT md5(m.p_type || '|' || m.reporting_line_key || '|' || m.mapping_version) AS account_reporting_line_key,
+       m.reporting_line_key AS reporting_line_code, m.p_type, m.component_name, m.presentation_multiplier,
+       m.mapping_version
+FROM mapping m WHERE m.p_type IN (SELECT p_type FROM part)""",
+    "account_balance_amount": """
+SELECT c.c_nationkey, p.p_type, SUM(CAST(l.l_extendedprice AS DECIMAL(38,2))) AS account_balance_amount
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY c.c_nationkey, p.p_type""",
 }
