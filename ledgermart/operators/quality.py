@@ -114,14 +114,16 @@ def check_schema(df: DataFrame, expected: T.StructType | list[tuple[str, str]])
     return issues
 
 
-def duplicate_detail(df: DataFrame, key: str, sep: str = ", ") -> DataFrame:
-    """Q21: one text row listing duplicated key values (``value×count``)."""
+def duplicate_detail(df: DataFrame, key: str) -> DataFrame:
+    """Q21: one row per duplicated key value with ``value×count`` detail text.
+
+    Kept one row per value (not one string of all values) so a badly broken
+    table never funnels its duplicates through a single task.
+    """
     dups = check_unique(df, key)
-    item = F.concat(F.col(key).cast("string"), F.lit("×"), F.col("row_count").cast("string"))
-    return dups.agg(
-        F.count(F.lit(1)).alias("duplicate_values"),
-        F.array_join(F.array_sort(F.collect_list(item)), sep).alias("detail"),
-    )
+    return dups.select(
+        F.col(key), "row_count",
+        F.concat(F.col(key).cast("string"), F.lit("×"), F.col("row_count").cast("string")).alias("detail"))
 
 
 @dataclass
