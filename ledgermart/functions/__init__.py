@@ -28,6 +28,7 @@ from ledgermart.functions.numbers import (
 )
 from ledgermart.functions.text import (
     blank_to_null,
+    code_prefix,
     first_text,
     flag,
     is_synthetic,
@@ -39,8 +40,13 @@ from ledgermart.functions.text import (
 )
 from ledgermart.functions.types import contract_type, type_name
 
+
+def stage(df, mapping):
+    """Typed 1:1 projection (P1): ``{output name: Column}``, no filter."""
+    return df.select(*[c.alias(name) for name, c in mapping.items()])
+
 __all__ = [
-    "MACRO", "MONEY", "add_months_", "blank_to_null", "contract_type", "decimal_text",
+    "MACRO", "MONEY", "add_months_", "blank_to_null", "code_prefix", "stage", "contract_type", "decimal_text",
     "differs", "first_text", "flag", "generated_date", "growth", "is_synthetic", "join_set",
     "lenient_bool", "locale_decimal_text", "message_list", "money", "month_diff",
     "month_from_parts", "month_key", "month_label", "month_start", "parse_locale_decimal",

@@ -75,3 +75,8 @@ def message_list(*conditions: tuple[Column, str], sep: str = "; ") -> Column:
     """Join the messages whose condition holds; null when none holds."""
     parts = [F.when(cond, F.lit(msg)) for cond, msg in conditions]
     return F.nullif(F.concat_ws(sep, *parts), F.lit(""))
+
+
+def code_prefix(c, n: int) -> Column:
+    """First ``n`` characters of a hierarchical code (class = 1, group = 2)."""
+    return F.substring(col(c), 1, n)

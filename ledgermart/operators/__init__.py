@@ -33,6 +33,7 @@ from ledgermart.operators.measures import (
     account_amount,
     at_last_month,
     macro_value,
+    measure_query,
     prior_period,
     share_of_selection,
     trust_card,

@@ -217,6 +217,13 @@ def _combine(frames: list[DataFrame], by: list[str]) -> DataFrame:
     return out
 
 
+def measure_query(fact: DataFrame, measures: Sequence[str], by=(), where: Column | None = None, months=None,
+                  anchor: str = "fact", **columns) -> DataFrame:
+    """Functional form of :meth:`MeasureModel.query`; ``columns`` name the
+    fact's month / member / line / amount columns and the date dimension."""
+    return MeasureModel(fact, **columns).query(measures, by=by, where=where, months=months, anchor=anchor)
+
+
 # -- simple measures (M12–M16) ---------------------------------------------
 def account_amount(fact: DataFrame, amount: str = "balance_amount", by=(), where: Column | None = None) -> DataFrame:
     """Sum of account balances."""

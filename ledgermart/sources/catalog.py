@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgermart.functions.dates import period_from_url
 from ledgermart.functions.text import blank_to_null, first_text
 from ledgermart.operators.versioning import version_ordinal
+from ledgermart.sources.series import guard
 
 # The site that relative catalog URLs resolve against and the
 # title / date field variants of the catalog API.
@@ -69,11 +70,8 @@ def active_files(catalog: DataFrame, period: str = "period", active: str = "is_a
     bad = catalog.filter(F.col(period).isNotNull()).groupBy(period).agg(
         F.count_if(F.col(active)).alias("_n")).filter(F.col("_n") != 1)
     bad_count = bad.select(F.count(F.lit(1))).scalar()
-    sel = catalog.filter(F.col(active))
-    return sel.withColumn(
-        "_guard",
-        F.when(bad_count > 0, F.raise_error(F.lit("catalog period without exactly one active URL"))))\
-        .drop("_guard")
+    # filter-based guard: a dropped guard column would be pruned away unevaluated
+    return guard(catalog.filter(F.col(active)), bad_count > 0, "catalog period without exactly one active URL")
 
 
 def classify_probes(log: DataFrame, status: str = "status_code", content_range: str = "content_range",

@@ -74,3 +74,18 @@ def test_type_names():
     assert L.type_name(T.DecimalType(38, 2)) == "numeric"
     assert L.contract_type("numeric(38,10)") == T.DecimalType(38, 10)
     assert L.contract_type("varchar(6)") == T.StringType()
+
+
+def test_stage_and_prefix(spark):
+    df = spark.createDataFrame([("1600000007", "202501")], "conta string, p string")
+    out = L.stage(df, {"account_code": F.col("conta"), "report_month": L.month_start("p", "yyyyMM"),
+                       "account_class": L.code_prefix("conta", 1), "account_group": L.code_prefix("conta", 2)}).first()
+    assert tuple(out) == ("1600000007", dt.date(2025, 1, 1), "1", "16")
+
+
+def test_measure_query_function(spark):
+    from ledgermart.operators import measure_query
+    fact = spark.createDataFrame([(dt.date(2025, 1, 1), "a", "total_assets", Decimal("5.00"))],
+                                 "m date, b string, l string, v decimal(38,2)")
+    r = measure_query(fact, ["total_assets"], month="m", member="b", line="l", amount="v").first()
+    assert r.total_assets == Decimal("5.00")
