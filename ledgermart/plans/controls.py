@@ -195,6 +195,69 @@ def mart_controls(spark: SparkSession, marts: dict[str, DataFrame], expected_map
     return build_controls(spark, controls, "reporting_marts_certified")
 
 
+# -- Q17 source decision ----------------------------------------------------------
+def source_decision_controls(
+    spark: SparkSession,
+    catalog: DataFrame,
+    manifest: DataFrame,
+    file_profiles: DataFrame,
+    observations: DataFrame,
+    series_profiles: DataFrame,
+    readiness_table: DataFrame,
+    population_table: DataFrame,
+    members: DataFrame,
+    monthly: DataFrame,
+    series_codes,
+    start: str,
+    end: str,
+    n: int,
+) -> DataFrame:
+    """Final fail-closed decision over the retained evidence (Q17).
+
+    Key-set equality against the expected (series × month) and
+    (member × month) grids is checked without building the grid: per key,
+    the distinct months inside the window must equal the window length and
+    nothing may fall outside it; the key sets themselves are compared with
+    set differences.
+    """
+    periods = month_range(spark, start, end).select(F.date_format("month_start", "yyyyMM").alias("period"))
+    n_periods = periods.select(F.count(F.lit(1))).scalar()
+    lo, hi = start[:7].replace("-", ""), end[:7].replace("-", "")
+    in_window = F.col("period").between(lo, hi)
+    active = catalog.filter(F.col("is_active") & in_window)
+    dup_active = active.groupBy("period").count().filter("count > 1").select("period")
+    codes = spark.createDataFrame([(c,) for c in series_codes], "series_code string")
+    obs = observations.select("series_code", F.col("report_month").alias("period"))
+    series_gaps = obs.groupBy("series_code").agg(
+        F.count_distinct(F.when(in_window, F.col("period"))).alias("_in"), F.count_if(~in_window).alias("_out"),
+        F.count(F.lit(1)).alias("_rows"),
+    ).filter((F.col("_in") != n_periods) | (F.col("_out") > 0) | (F.col("_rows") != F.col("_in")))
+    bad_profiles = series_profiles.filter(
+        (F.col("status") != "complete") | (F.col("requested_start_month") != lo) | (F.col("requested_end_month") != hi)
+        | (F.col("internal_missing_month_count") != 0) | (F.col("duplicate_report_month_count") != 0))
+    member_gaps = monthly.groupBy("institution_cnpj").agg(
+        F.count_distinct(F.when(in_window, F.col("period"))).alias("_in")).filter(F.col("_in") != n_periods)
+    controls = [
+        failing_rows("catalog_active_period_coverage",
+                     set_diff(periods, active.select("period").distinct()).select("period").unionByName(dup_active)),
+        failing_rows("cosif_runtime_and_profile_ready",
+                     set_diff(periods, manifest.filter(F.col("status") == "complete").select("period").distinct())
+                     .select("period").unionByName(file_profiles.filter(
+                         (F.col("malformed_row_count") > 0) | ~F.col("period_matches")).select("period"))),
+        failing_rows("macro_runtime_and_profile_ready",
+                     set_diff(codes, obs.select("series_code").distinct()).select("series_code")
+                     .unionByName(series_gaps.select("series_code")).unionByName(bad_profiles.select("series_code"))),
+        Control("acquisition_readiness_retained", readiness_table, F.bool_and("passed"), True),
+        Control("population_controls_retained", population_table, F.bool_and("passed"), True),
+        Control("population_contract_frozen", members,
+                (F.count(F.lit(1)) == n) & (F.count_distinct("institution_cnpj") == n)
+                & (F.min("freeze_rank") == 1) & (F.max("freeze_rank") == n)
+                & (F.count_distinct("freeze_rank") == n), True),
+        failing_rows("population_monthly_coverage", member_gaps),
+    ]
+    return build_controls(spark, controls, "source_profile_decision")
+
+
 def identity_control(rows: DataFrame, codes: dict[str, str], tolerance: float = 0.01) -> Control:
     """Accounting identity class1 + class2 = total − class3 as a control (Q7)."""
     bad = check_identity(rows, ["report_month", "institution_cnpj"], "account_code", "balance_amount",
@@ -203,6 +266,6 @@ def identity_control(rows: DataFrame, codes: dict[str, str], tolerance: float =
 
 
 __all__ = [
-    "population_controls", "readiness_controls", "fixture_landing_controls", "warehouse_controls",
+    "population_controls", "readiness_controls", "source_decision_controls", "fixture_landing_controls", "warehouse_controls",
     "mart_controls", "identity_control",
 ]

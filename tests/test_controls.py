@@ -97,3 +97,26 @@ def test_readiness_controls(spark):
     assert _failed(t) == []
     t = readiness_controls(spark, man, prof, sp, ["433", "4189"], "2025-01-01", "2025-03-01")
     assert "manifest_period_coverage" in _failed(t)
+
+
+def test_source_decision_controls(spark):
+    from ledgermart.plans.controls import source_decision_controls
+    periods = ["202501", "202502"]
+    catalog = spark.createDataFrame([(p, True) for p in periods] + [("202502", False)], "period string, is_active boolean")
+    manifest = spark.createDataFrame([(p, "complete") for p in periods], "period string, status string")
+    files = spark.createDataFrame([(p, 0, True) for p in periods], "period string, malformed_row_count int, period_matches boolean")
+    obs = spark.createDataFrame([(c, p) for c in ("433", "4189") for p in periods], "series_code string, report_month string")
+    sp = spark.createDataFrame([(c, "complete", "202501", "202502", 0, 0) for c in ("433", "4189")],
+                               "series_code string, status string, requested_start_month string, requested_end_month string, "
+                               "internal_missing_month_count long, duplicate_report_month_count long")
+    passed = spark.createDataFrame([(True,), (True,)], "passed boolean")
+    members = spark.createDataFrame([("a", 1), ("b", 2)], "institution_cnpj string, freeze_rank int")
+    monthly = spark.createDataFrame([(m, p) for m in ("a", "b") for p in periods], "institution_cnpj string, period string")
+    args = dict(catalog=catalog, manifest=manifest, file_profiles=files, observations=obs, series_profiles=sp,
+                readiness_table=passed, population_table=passed, members=members, monthly=monthly,
+                series_codes=["433", "4189"], start="2025-01-01", end="2025-02-01", n=2)
+    assert _failed(source_decision_controls(spark, **args)) == []
+    args["monthly"] = monthly.filter("not (institution_cnpj = 'b' and period = '202502')")
+    args["observations"] = obs.filter("not (series_code = '433' and report_month = '202501')")
+    assert _failed(source_decision_controls(spark, **args)) == [
+        "macro_runtime_and_profile_ready", "population_monthly_coverage", "source_profile_decision"]

@@ -221,3 +221,17 @@ def test_streaming_landing_replay_is_idempotent(spark, tmp_path):
     q = start_landing_stream(spark, str(land), target, records, str(tmp_path / "ck2"))
     q.awaitTermination(120)
     assert spark.read.parquet(target).count() == 3
+
+
+def test_write_table_swaps_snapshot_and_run_log_by_status(spark, tmp_path):
+    from ledgermart.sources.landing import mart, write_table
+    target = str(tmp_path / "mart")
+    write_table(spark.createDataFrame([(1,)], "a int"), target)
+    write_table(spark.createDataFrame([(2,), (3,)], "a int"), target)
+    assert sorted(r.a for r in mart(spark, target).collect()) == [2, 3]
+    assert not [p for p in os.listdir(tmp_path) if p.startswith("mart.__")]  # no leftovers
+    log = tmp_path / "run.json"
+    log.write_text(json.dumps({"results": [{"unique_id": "model.p.a", "status": "success"},
+                                           {"unique_id": "test.p.b", "status": "success"}]}))
+    got = [(r.status, r["count"]) for r in summarise_runs(spark, str(log), by_kind=False).collect()]
+    assert got == [("success", 2)]
