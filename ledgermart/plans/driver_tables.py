@@ -46,6 +46,7 @@ from ledgermart.operators.quality import Control, build_controls, check_accepted
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
 from ledgermart.sources.catalog import classify_probes
 from ledgermart.sources.landing import upsert_frames
+from ledgermart.sources.tables import read_table
 
 # Reporting-line mapping of part types (line, name, order,
 # account, component, multiplier), its version, the freeze month, the
@@ -76,8 +77,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+def table(spark: SparkSession, d: str, name: str, spread_by=None) -> DataFrame:
+    return read_table(spark, f"{d}/{name}.parquet", spread_by)
 
 
 def mapping_df(spark: SparkSession) -> DataFrame:
@@ -110,7 +111,8 @@ def customer_account_month(spark: SparkSession, d: str) -> DataFrame:
     aggregation) before the customer join, so the later joins and the
     mapping fan-out work on aggregated rows only.
     """
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
+    li = table(spark, d, "lineitem", ["l_orderkey"]).select(
+        "l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
     o = table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", _month("o_orderdate").alias("report_month"),
         (F.col("o_orderstatus") == "F").alias("is_final"))
@@ -471,7 +473,8 @@ def trust_table(spark, d):
 
 def _expected_lines(spark, d):
     """Line sums straight from line items (no pre-aggregation): the reference route."""
-    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
+    li = table(spark, d, "lineitem", ["l_orderkey"]).select(
+        "l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", _month("o_orderdate").alias("report_month"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, d, "part").select("p_partkey", "p_type")
