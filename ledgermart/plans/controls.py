@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermart.functions._util import values_frame
 from ledgermart.operators.aggregates import distinct_tuples
 from ledgermart.operators.calendar import month_range
 from ledgermart.operators.joins import reconcile, set_diff
@@ -85,7 +86,7 @@ def readiness_controls(spark: SparkSession, manifest: DataFrame, profiles: DataF
     """
     expected = month_range(spark, start, end).select(F.date_format("month_start", "yyyyMM").alias("period"))
     complete = manifest.filter(F.col("status") == "complete")
-    codes = spark.createDataFrame([(c,) for c in series_codes], "series_code string")
+    codes = values_frame(spark, [(c,) for c in series_codes], "series_code string")
     sp = series_profiles
     start_p, end_p = start[:7].replace("-", ""), end[:7].replace("-", "")
     controls = [
@@ -226,7 +227,7 @@ def source_decision_controls(
     in_window = F.col("period").between(lo, hi)
     active = catalog.filter(F.col("is_active") & in_window)
     dup_active = active.groupBy("period").count().filter("count > 1").select("period")
-    codes = spark.createDataFrame([(c,) for c in series_codes], "series_code string")
+    codes = values_frame(spark, [(c,) for c in series_codes], "series_code string")
     obs = observations.select("series_code", F.col("report_month").alias("period"))
     series_gaps = obs.groupBy("series_code").agg(
         F.count_distinct(F.when(in_window, F.col("period"))).alias("_in"), F.count_if(~in_window).alias("_out"),

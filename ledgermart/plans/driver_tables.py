@@ -35,6 +35,7 @@ from ledgermart.functions import (
     surrogate_key,
     valid_period,
 )
+from ledgermart.functions._util import values_frame
 from ledgermart.functions.text import first_text
 from ledgermart.functions.dates import month_label
 from ledgermart.operators import MeasureModel, account_amount, calendar, macro_value
@@ -83,8 +84,8 @@ def table(spark: SparkSession, d: str, name: str, spread_by=None) -> DataFrame:
 
 def mapping_df(spark: SparkSession) -> DataFrame:
     rows = [(*r, MAPPING_VERSION, "certified") for r in MAPPING_ROWS]
-    return spark.createDataFrame(
-        rows,
+    return values_frame(
+        spark, rows,
         "reporting_line_key string, reporting_line_name string, display_order int, p_type string, "
         "component_name string, presentation_multiplier int, mapping_version string, status string",
     )
@@ -508,7 +509,7 @@ def symmetric_diff(spark, d):
 
 
 def code_set_diff(spark, d):
-    expected = spark.createDataFrame([(s,) for s in EXPECTED_SEGMENTS], "c_mktsegment string")
+    expected = values_frame(spark, [(s,) for s in EXPECTED_SEGMENTS], "c_mktsegment string")
     actual = table(spark, d, "customer").select("c_mktsegment").distinct()
     return set_diff(expected, actual)
 

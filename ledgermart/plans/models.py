@@ -31,6 +31,7 @@ from ledgermart.functions import (
     month_start,
     surrogate_key,
 )
+from ledgermart.functions._util import values_frame
 from ledgermart.operators.aggregates import line_balance
 from ledgermart.operators.calendar import calendar
 from ledgermart.operators.joins import selected_rows, with_membership
@@ -243,8 +244,8 @@ def build_dim_reporting_line(mapping: DataFrame) -> DataFrame:
 
 def build_dim_document(spark: SparkSession) -> DataFrame:
     """D11 (X4)."""
-    return spark.createDataFrame(
-        DOCUMENTS, "document_code string, document_name string, analytical_allowed boolean, source_frequency string")
+    return values_frame(
+        spark, DOCUMENTS, "document_code string, document_name string, analytical_allowed boolean, source_frequency string")
 
 
 def build_dim_macro_series(series: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermart.functions._util import values_frame
 from ledgermart.functions.dates import period_text
 from ledgermart.functions.numbers import MACRO
 from ledgermart.functions.text import blank_to_null, strip_all
@@ -69,7 +70,7 @@ def read_series(spark: SparkSession, path: str, series_code: str | None = None,
 def registry_violations(registry: DataFrame, codes=SERIES_CODES) -> DataFrame:
     """Rule violations of a series registry (S8), one row per problem."""
     spark = registry.sparkSession
-    expected = spark.createDataFrame([(c,) for c in codes], "series_code string")
+    expected = values_frame(spark, [(c,) for c in codes], "series_code string")
     code_set = set_diff(expected, registry.select(strip_all("series_code").alias("series_code"))).select(
         "series_code", F.concat(F.lit("code "), F.col("issue")).alias("problem"))
     dup = registry.groupBy("series_code").count().filter("count > 1").select(
