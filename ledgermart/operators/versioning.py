@@ -7,9 +7,10 @@ runs a window over a whole raw group in one task.
   which Catalyst plans as a *partial* ``WindowGroupLimit`` before the shuffle:
   a hot key arrives at the reducer as at most one row per map partition.
   Flags are joined back on the row identity, which is evenly spread.
-* ordinals (``version_ordinal``) use a range-partitioned layout in which a hot
-  group is split into slices; each slice numbers its rows and adds the count of
-  the earlier slices of the same group (a small per-(group, slice) table).
+* ordinals (``version_ordinal``) check the largest group first; a hot group is
+  numbered in a range-partitioned layout that splits it into slices, each
+  slice adding the count of the earlier slices of the same group (a small
+  per-(group, slice) table).  Without a hot group a plain window is used.
 """
 
 from __future__ import annotations
@@ -53,6 +54,9 @@ def select_version(
     return out.withColumn(flag_col, selected).drop("_winner")
 
 
+MAX_GROUP_ROWS = 2_000_000
+
+
 def distributed_row_number(
     df: DataFrame,
     partition,
@@ -60,6 +64,7 @@ def distributed_row_number(
     out_col: str = "row_number",
     count_col: str | None = None,
     slices: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``row_number() over (partition by … order by …)`` that splits hot groups.
 
@@ -73,9 +78,20 @@ def distributed_row_number(
     from sampling, so it is materialised once with a reliable checkpoint in
     the shared checkpoint folder: both reads then see the same slices, and a
     lost executor is recovered from the checkpoint, not by re-sampling.
+
+    Slicing is only needed when a group is hot: one partial aggregate finds
+    the largest group, and when it holds at most ``max_group_rows`` rows (what
+    one task handles comfortably) a plain window is used instead.
+    ``max_group_rows=None`` always slices.
     """
     part = names(partition)
     order_cols = _sort_cols(order)
+    if part and max_group_rows is not None:
+        largest = df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_group_rows:
+            w = Window.partitionBy(*part)
+            out = df.withColumn(out_col, F.row_number().over(w.orderBy(*order_cols)).cast("int"))
+            return out.withColumn(count_col, F.count(F.lit(1)).over(w)) if count_col else out
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(df.repartitionByRange(n, *[F.col(p) for p in part], *order_cols).withColumn(
         "_slice", F.spark_partition_id()
@@ -103,7 +119,8 @@ def version_ordinal(
     version_col: str = "period_version",
     active_col: str = "is_active",
     slices: int | None = None,
+    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Version number per partition and ``is_active`` = last version."""
-    out = distributed_row_number(df, partition, order, version_col, "_versions", slices)
+    out = distributed_row_number(df, partition, order, version_col, "_versions", slices, max_group_rows)
     return out.withColumn(active_col, F.col(version_col) == F.col("_versions")).drop("_versions")

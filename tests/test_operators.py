@@ -39,12 +39,14 @@ def skewed(spark):
 
 
 def test_distributed_row_number_matches_window(skewed):
-    got = distributed_row_number(skewed, ["key"], [F.col("v").desc(), F.col("id")], "rn", "n", slices=8)
     pdf = skewed.toPandas().sort_values(["key", "v", "id"], ascending=[True, False, True])
     pdf["rn"] = pdf.groupby("key").cumcount() + 1
     pdf["n"] = pdf.groupby("key")["id"].transform("count")
     exp = {(r.id, r.rn, r.n) for r in pdf.itertuples()}
-    assert {(r.id, r.rn, r.n) for r in got.collect()} == exp
+    for bound in (None, 100, 10_000):  # sliced (forced), sliced (hot group above the bound), plain window
+        got = distributed_row_number(skewed, ["key"], [F.col("v").desc(), F.col("id")], "rn", "n", slices=8,
+                                     max_group_rows=bound)
+        assert {(r.id, r.rn, r.n) for r in got.collect()} == exp
 
 
 def test_global_rank_without_partition(skewed):
@@ -54,7 +56,8 @@ def test_global_rank_without_partition(skewed):
 
 
 def test_version_ordinal_and_selection(skewed):
-    v = {r.id: (r.period_version, r.is_active) for r in version_ordinal(skewed, "key", [F.col("id")]).collect()}
+    v = {r.id: (r.period_version, r.is_active)
+         for r in version_ordinal(skewed, "key", [F.col("id")], max_group_rows=None).collect()}
     hot = sorted(i for i in range(0, 3000, 3))
     assert v[hot[0]] == (1, False) and v[hot[-1]] == (1000, True)
     sel = select_version(skewed, "key", [(F.col("status") == "F").desc(), F.col("v").desc(), F.col("id").desc()],
