@@ -235,3 +235,17 @@ def test_write_table_swaps_snapshot_and_run_log_by_status(spark, tmp_path):
                                            {"unique_id": "test.p.b", "status": "success"}]}))
     got = [(r.status, r["count"]) for r in summarise_runs(spark, str(log), by_kind=False).collect()]
     assert got == [("success", 2)]
+
+
+def test_landing_checks_profile_row_count(spark, tmp_path):
+    d = tmp_path / "drift"
+    d.mkdir()
+    sha = make_zip(str(d / "202501BANCOS.zip"), "202501", ROWS)
+    raw = read_archives(spark, str(d))
+    records = spark.createDataFrame([(sha, "202501", "u", "2025-03-20 10:00:00")],
+                                    "source_checksum string, period string, source_url string, retrieved_at_utc string")
+    prof = profile_files(raw)
+    assert landing_rows(raw, records, prof).count() == 3
+    drifted = prof.withColumn("row_count", F.col("row_count") + 1)
+    with pytest.raises(Exception, match="row count differs"):
+        landing_rows(raw, records, drifted).collect()
