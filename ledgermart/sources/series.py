@@ -64,6 +64,14 @@ def read_series(spark: SparkSession, path: str, series_code: str | None = None,
     if strict:
         out = guard(out, F.col("error").isNotNull(),
                     F.concat(F.lit("series "), F.col("series_code"), F.lit(": "), F.col("error")))
+        # a file without any observation (``[]``) is an error too: list the
+        # files (paths only, contents unread) and anti-join the ones seen
+        def norm(c):
+            return F.regexp_replace(c, r"^file:/+", "/")
+        listed = spark.read.format("binaryFile").load(path).select(norm(F.col("path")).alias("_file"))
+        seen = out.select(norm(F.col("source_url")).alias("_file")).distinct()
+        empty = listed.join(seen, "_file", "left_anti").select(F.count(F.lit(1))).scalar()
+        out = guard(out, empty > 0, "series file without observations")
     return out
 
 

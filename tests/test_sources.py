@@ -119,6 +119,12 @@ def test_series_json(spark, tmp_path):
         read_series(spark, str(bad)).collect()
     lenient = read_series(spark, str(bad), strict=False).first()
     assert lenient.value is None and lenient.error
+    empty = tmp_path / "empty"
+    empty.mkdir()
+    (empty / "433.json").write_text(json.dumps([{"data": "31/01/2025", "valor": "0,16"}]))
+    (empty / "4189.json").write_text("[]")
+    with pytest.raises(Exception, match="without observations"):
+        read_series(spark, str(empty)).collect()
 
 
 def test_series_profile_flags_gap_and_duplicate(spark):
