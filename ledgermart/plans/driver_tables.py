@@ -42,7 +42,7 @@ from ledgermart.operators import MeasureModel, account_amount, calendar, macro_v
 from ledgermart.operators.aggregates import line_balance, null_scan, pivot_sums
 from ledgermart.operators.calendar import continuity_breaks, coverage, missing_months, profile_series, derive_series
 from ledgermart.operators.joins import bounded_broadcast, reconcile, selected_rows, set_diff, with_membership
-from ledgermart.operators.population import top_members
+from ledgermart.operators.population import profile_population, top_members
 from ledgermart.operators.quality import Control, build_controls, check_accepted_values, check_row_count, check_unique, failing_rows
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
 from ledgermart.sources.catalog import classify_probes
@@ -662,6 +662,30 @@ def account_balance_amount(spark, d):
     return account_amount(member_account_month(spark, d), "amount", by=["c_nationkey", "p_type"])
 
 
+# Asset components of the population total (alias → part type)
+# and the component whose presence makes a member eligible.
+POPULATION_COMPONENTS = {"standard": "STANDARD", "small": "SMALL", "medium": "MEDIUM", "large": "LARGE",
+                         "promo": "PROMO"}
+PRESENCE_COMPONENT = "standard"
+
+
+def _population(spark, d):
+    rows = member_account_month(spark, d)
+    return profile_population(rows, "report_month", "c_nationkey", "p_type", "amount", POPULATION_COMPONENTS,
+                              PRESENCE_COMPONENT, freeze_period=dt.date.fromisoformat(FREEZE_MONTH),
+                              n=POPULATION_SIZE)
+
+
+def population_profile(spark, d):
+    """Per-month profile of the (month, member) state."""
+    return _population(spark, d).period_profile
+
+
+def population_members(spark, d):
+    """Members frozen on their component totals at the freeze month."""
+    return _population(spark, d).members.select("freeze_rank", "c_nationkey", "total_amount", "cutoff_gap")
+
+
 RECIPES = {
     "staging_orders": staging_orders,
     "month_calendar": month_calendar,
@@ -715,4 +739,6 @@ RECIPES = {
     "value_by_month": value_by_month,
     "mapping_table": mapping_table,
     "account_balance_amount": account_balance_amount,
+    "population_profile": population_profile,
+    "population_members": population_members,
 }

@@ -14,6 +14,8 @@ from ledgermart.plans.driver_tables import (
     MAPPING_ROWS,
     MAPPING_VERSION,
     POPULATION_SIZE,
+    POPULATION_COMPONENTS,
+    PRESENCE_COMPONENT,
     PROBE_STATUS,
     SERIES_END,
     SERIES_MAX_LAG,
@@ -136,6 +138,11 @@ def _probe_code() -> str:
     return f"CASE event_type {whens} END"
 
 
+POPULATION_STATE = "state AS (\n  SELECT report_month, c_nationkey,\n         " + ",\n         ".join(
+    f"SUM(amount) FILTER (WHERE p_type = {_q(t)}) AS {a}" for a, t in POPULATION_COMPONENTS.items()) + ",\n         " + " + ".join(
+    f"COALESCE(SUM(amount) FILTER (WHERE p_type = {_q(t)}), 0)" for t in POPULATION_COMPONENTS.values()) + \
+    " AS total_amount\n  FROM rows GROUP BY report_month, c_nationkey)"
+
 EXPECTED_LINES = f"""exp AS (
   SELECT r.report_month, r.c_nationkey, m.reporting_line_key AS reporting_line_code, m.mapping_version,
          SUM(r.amount * m.presentation_multiplier) AS amount
@@ -558,4 +565,21 @@ SELECT c.c_nationkey, p.p_type, SUM(CAST(l.l_extendedprice AS DECIMAL(38,2))) AS
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY c.c_nationkey, p.p_type""",
+    "population_profile": f"""
+WITH {ROWS_CTE},
+{POPULATION_STATE}
+SELECT report_month, COUNT(*) AS members,
+       {", ".join(f"COUNT({a}) AS {a}_present" for a in POPULATION_COMPONENTS)},
+       SUM(total_amount) AS summed_total_amount
+FROM state GROUP BY report_month""",
+    "population_members": f"""
+WITH {ROWS_CTE},
+{POPULATION_STATE},
+cand AS (SELECT c_nationkey, total_amount FROM state
+         WHERE report_month = DATE '{FREEZE_MONTH}' AND {PRESENCE_COMPONENT} IS NOT NULL),
+fr AS (SELECT *, CAST(row_number() OVER (ORDER BY total_amount DESC, c_nationkey) AS INTEGER) AS freeze_rank FROM cand)
+SELECT freeze_rank, c_nationkey, total_amount,
+       (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE})
+       - (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE + 1}) AS cutoff_gap
+FROM fr WHERE freeze_rank <= {POPULATION_SIZE}""",
 }
