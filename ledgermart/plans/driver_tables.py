@@ -31,7 +31,6 @@ from ledgermart.functions import (
     month_start,
     parse_locale_decimal,
     period_text,
-    safe_divide,
     surrogate_key,
     valid_period,
 )

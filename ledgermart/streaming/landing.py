@@ -52,7 +52,7 @@ def start_landing_stream(
     """
     ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "ledgermart", "landing-stream")
     stream = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.zip").load(landing_dir))
+              .option("pathGlobFilter", "*.[zZ][iI][pP]").load(landing_dir))
     writer = stream.writeStream.foreachBatch(lambda df, _epoch: landing_batch(df, records, target)).option(
         "checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

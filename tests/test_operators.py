@@ -4,7 +4,6 @@ import datetime as dt
 import random
 from decimal import Decimal
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 

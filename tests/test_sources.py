@@ -2,7 +2,6 @@
 
 import datetime as dt
 import hashlib
-import io
 import json
 import os
 import zipfile
