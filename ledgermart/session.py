@@ -27,17 +27,39 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (about 100 TB of input): many initial shuffle
+# partitions that AQE coalesces towards 256 MiB, larger scan splits, and
+# skew-join splitting for partitions well above the median.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(64 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "ledgermart",
     shuffle_partitions: int | None = None,
     conf: dict[str, str] | None = None,
+    cluster: bool = False,
 ) -> SparkSession:
-    """Build (or reuse) a session with the settings the operators assume."""
+    """Build (or reuse) a session with the settings the operators assume.
+
+    ``cluster=True`` adds ``CLUSTER_CONF``; ``spark.checkpoint.dir`` must then
+    name a shared folder (it is never invented on a cluster).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if cluster:
+        settings.update(CLUSTER_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
