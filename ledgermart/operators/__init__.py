@@ -23,6 +23,7 @@ from ledgermart.operators.joins import (
     bounded_broadcast,
     reconcile,
     selected_rows,
+    set_compare,
     set_diff,
     star_join,
     with_membership,

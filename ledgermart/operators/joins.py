@@ -57,21 +57,30 @@ def with_scalar(df: DataFrame, one_row: DataFrame, columns=None) -> DataFrame:
     return df.withColumns({c: one_row.select(c).scalar() for c in cols})
 
 
-def set_diff(expected: DataFrame, actual: DataFrame, issue_col: str = "issue",
-             missing: str = "missing", unexpected: str = "unexpected") -> DataFrame:
-    """``(expected except actual) ∪ (actual except expected)`` labelled.
+def set_compare(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Distinct rows of either side with ``in_expected`` / ``in_actual`` flags.
 
-    One aggregation instead of two anti-joins: both sides are tagged,
-    unioned and grouped on all columns (map-side partial aggregation
-    de-duplicates; nulls group together, as in ``EXCEPT``); a row seen on one
-    side only is a difference.  One shuffle, whatever the skew of any column.
+    Both sides are tagged, unioned and grouped on all columns: map-side
+    partial aggregation de-duplicates, nulls group together (as in
+    ``EXCEPT``), and the whole comparison is one shuffle.
     """
     cols = expected.columns
     tagged = expected.select(*cols, F.lit(True).alias("_e"), F.lit(False).alias("_a")).unionByName(
         actual.select(*cols, F.lit(False).alias("_e"), F.lit(True).alias("_a")))
-    seen = tagged.groupBy(*cols).agg(F.bool_or("_e").alias("_in_e"), F.bool_or("_a").alias("_in_a"))
-    return seen.filter(F.col("_in_e") != F.col("_in_a")).select(
-        *cols, F.when(F.col("_in_e"), F.lit(missing)).otherwise(F.lit(unexpected)).alias(issue_col))
+    return tagged.groupBy(*cols).agg(F.bool_or("_e").alias("in_expected"), F.bool_or("_a").alias("in_actual"))
+
+
+def set_diff(expected: DataFrame, actual: DataFrame, issue_col: str = "issue",
+             missing: str = "missing", unexpected: str = "unexpected") -> DataFrame:
+    """``(expected except actual) ∪ (actual except expected)`` labelled.
+
+    One aggregation (:func:`set_compare`) instead of two anti-joins; a row
+    seen on one side only is a difference.
+    """
+    seen = set_compare(expected, actual)
+    return seen.filter(F.col("in_expected") != F.col("in_actual")).select(
+        *expected.columns,
+        F.when(F.col("in_expected"), F.lit(missing)).otherwise(F.lit(unexpected)).alias(issue_col))
 
 
 def reconcile(expected: DataFrame, actual: DataFrame, keys, amount: str,

@@ -40,7 +40,14 @@ from ledgermart.functions.dates import month_label
 from ledgermart.operators import MeasureModel, account_amount, calendar, macro_value
 from ledgermart.operators.aggregates import line_balance, null_scan, pivot_sums
 from ledgermart.operators.calendar import continuity_breaks, coverage, missing_months, profile_series, derive_series
-from ledgermart.operators.joins import bounded_broadcast, reconcile, selected_rows, set_diff, with_membership
+from ledgermart.operators.joins import (
+    bounded_broadcast,
+    reconcile,
+    selected_rows,
+    set_compare,
+    set_diff,
+    with_membership,
+)
 from ledgermart.operators.population import profile_population, top_members
 from ledgermart.operators.quality import Control, build_controls, check_accepted_values, check_row_count, check_unique, failing_rows
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
@@ -496,15 +503,19 @@ def reconcile_full(spark, d):
 
 
 def symmetric_diff(spark, d):
+    """X3 / Q10 summary: both difference directions and both row counts from
+    one tagged aggregation (line keys are unique on each side)."""
     exp = _expected_lines(spark, d)
     act = line_fact(spark, d).select("report_month", "c_nationkey", "reporting_line_code", "mapping_version",
                                      F.col("presentation_balance_amount").alias("amount"))
-    diff = set_diff(exp, act, missing="expected_only", unexpected="actual_only")
-    return diff.agg(
-        F.count_if(F.col("issue") == "expected_only").alias("expected_only"),
-        F.count_if(F.col("issue") == "actual_only").alias("actual_only"),
-    ).withColumns({"expected_rows": exp.select(F.count(F.lit(1))).scalar(),
-                   "actual_rows": act.select(F.count(F.lit(1))).scalar()})
+    seen = set_compare(exp, act)
+    e, a = F.col("in_expected"), F.col("in_actual")
+    return seen.agg(
+        F.count_if(e & ~a).alias("expected_only"),
+        F.count_if(a & ~e).alias("actual_only"),
+        F.count_if(e).alias("expected_rows"),
+        F.count_if(a).alias("actual_rows"),
+    )
 
 
 def code_set_diff(spark, d):
