@@ -65,10 +65,14 @@ def line_balance(
     )
 
 
-def pivot_sums(df: DataFrame, keys, code: str, amount: str, codes: dict[str, object]) -> DataFrame:
-    """Conditional-sum pivot in one pass (A7): ``sum(amount) filter (where code = v)``."""
+def pivot_sums(df: DataFrame, keys, code: str, amount: str, codes: dict[str, object], extra=()) -> DataFrame:
+    """Conditional-sum pivot in one pass (A7): ``sum(amount) filter (where code = v)``.
+
+    ``extra`` aggregates (counts, totals) ride along in the same aggregate.
+    """
     return df.groupBy(*names(keys)).agg(
-        *[F.sum(F.when(F.col(code) == F.lit(v), F.col(amount))).alias(name) for name, v in codes.items()]
+        *[F.sum(F.when(F.col(code) == F.lit(v), F.col(amount))).alias(name) for name, v in codes.items()],
+        *extra,
     )
 
 

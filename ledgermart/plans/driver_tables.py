@@ -270,11 +270,11 @@ def event_json(spark, d):
 
 
 def locale_decimal(spark, d):
+    """Render amounts as ``1.234,56`` and parse them back, in one projection."""
     o = table(spark, d, "orders")
     text = locale_decimal_text("o_totalprice")
-    return o.select("o_orderkey", text.alias("amount_text")).select(
-        "o_orderkey", "amount_text", parse_locale_decimal("amount_text").alias("amount")
-    ).join(o.select("o_orderkey", money("o_totalprice").alias("_orig")), "o_orderkey").select(
+    return o.select("o_orderkey", text.alias("amount_text"), money("o_totalprice").alias("_orig")).select(
+        "o_orderkey", "amount_text", parse_locale_decimal("amount_text").alias("amount"), "_orig").select(
         "o_orderkey", "amount_text", "amount", (F.col("amount") == F.col("_orig")).alias("roundtrip_ok"))
 
 
@@ -331,17 +331,15 @@ def line_balance_q(spark, d):
 
 
 def class_pivot(spark, d):
+    """Conditional sums and counts per ship month in one aggregate."""
     li = table(spark, d, "lineitem").select(_month("l_shipdate").alias("report_month"), "l_returnflag",
                                            "l_linestatus", money("l_extendedprice").alias("amount"))
-    sums = pivot_sums(li, "report_month", "l_returnflag", "amount",
-                      {"accepted_amount": "A", "none_amount": "N", "returned_amount": "R"})
-    counts = li.groupBy("report_month").agg(
+    flags = {"accepted_amount": "A", "none_amount": "N", "returned_amount": "R"}
+    j = pivot_sums(li, "report_month", "l_returnflag", "amount", flags, extra=[
         F.count_if(F.col("l_linestatus") == "O").alias("open_lines"),
         F.count(F.lit(1)).alias("line_count"),
-        F.sum("amount").alias("total_amount"))
-    j = sums.join(counts, "report_month")
-    parts = F.coalesce(F.col("accepted_amount"), F.lit(0)) + F.coalesce(F.col("none_amount"), F.lit(0)) + F.coalesce(
-        F.col("returned_amount"), F.lit(0))
+        F.sum("amount").alias("total_amount")])
+    parts = sum((F.coalesce(F.col(k), F.lit(0)) for k in flags), F.lit(0))
     return j.withColumn("identity_ok", F.abs(parts - F.col("total_amount")) <= F.lit(0.01))
 
 
@@ -525,12 +523,14 @@ def code_set_diff(spark, d):
 
 
 def dup_grain(spark, d):
+    """Q4: grain check in one grouped pass (rows, duplicated keys, their rows)."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
-    dups = check_unique(li, ["l_orderkey", "l_linenumber"])
-    return li.agg(F.count(F.lit(1)).alias("row_count")).withColumns({
-        "duplicate_keys": dups.select(F.count(F.lit(1))).scalar(),
-        "duplicate_rows": dups.select(F.coalesce(F.sum("row_count"), F.lit(0))).scalar(),
-    })
+    per_key = li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(
+        F.sum("_n").alias("row_count"),
+        F.count_if(F.col("_n") > 1).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).cast("bigint").alias("duplicate_rows"),
+    )
 
 
 def null_scan_q(spark, d):
@@ -545,10 +545,12 @@ def accepted_values(spark, d):
 
 
 def row_count_match(spark, d):
+    """Q5: declared (max line number) vs actual rows per order, one grouped pass."""
     li = table(spark, d, "lineitem")
-    bad = check_row_count(li, "l_orderkey", "l_linenumber")
-    return li.agg(F.count_distinct("l_orderkey").alias("orders_checked")).withColumn(
-        "mismatched_orders", bad.select(F.count(F.lit(1))).scalar())
+    per_order = li.groupBy("l_orderkey").agg(F.max("l_linenumber").alias("_declared"),
+                                             F.count(F.lit(1)).alias("_actual"))
+    return per_order.agg(F.count(F.lit(1)).alias("orders_checked"),
+                         F.count_if(F.col("_declared") != F.col("_actual")).alias("mismatched_orders"))
 
 
 def control_table(spark, d):
