@@ -123,13 +123,14 @@ def profile_series(
     start_m = F.trunc(_lit_date(start), "month")
     end_m = F.trunc(_lit_date(end), "month")
     o = obs.select(F.col(key), F.to_date(date_col).alias("_d")).withColumn("_m", F.trunc("_d", "month"))
-    gaps = missing_months(o, key, "_m", "_missing").groupBy(key).agg(
+    # two levels, one distinct count at most per aggregate (no row expansion):
+    # (key, date) multiplicities, then per key; the gaps read the same
+    # per-day aggregate, so the observations are scanned and shuffled once
+    per_day = o.groupBy(key, "_d", "_m").agg(F.count(F.lit(1)).alias("_n"))
+    gaps = missing_months(per_day.select(key, "_m"), key, "_m", "_missing").groupBy(key).agg(
         F.count(F.lit(1)).alias("internal_missing_month_count"),
         F.array_join(F.array_sort(F.collect_list(period_text("_missing"))), "|").alias("internal_missing_months"),
     )
-    # two levels, one distinct count at most per aggregate (no row expansion):
-    # (key, date) multiplicities, then per key
-    per_day = o.groupBy(key, "_d", "_m").agg(F.count(F.lit(1)).alias("_n"))
     prof = per_day.groupBy(key).agg(
         F.sum("_n").alias("row_count"),
         F.min("_d").alias("first_observation_date"),
