@@ -111,6 +111,18 @@ def _in_month(c: str, month: str):
 # ---------------------------------------------------------------------------
 # Shared relations
 # ---------------------------------------------------------------------------
+# Marts reused by many report queries are built once per session and kept
+# (memory, spilling to disk); a lost executor recomputes its blocks from lineage.
+_MARTS: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def session_mart(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _MARTS:
+        _MARTS[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
+    return _MARTS[key]
+
+
 def customer_account_month(spark: SparkSession, d: str) -> DataFrame:
     """Balance at (month, customer, account) grain.
 
@@ -130,24 +142,21 @@ def customer_account_month(spark: SparkSession, d: str) -> DataFrame:
 
 
 def member_account_month(spark: SparkSession, d: str) -> DataFrame:
+    """Balance at (month, member, account) grain – the account-level mart.
+
+    Bounded by months × members × accounts whatever the raw size; the line
+    fact, the population profile and the account amounts all read it.
+    """
+    return session_mart(spark, d, "member_account_month", lambda: build_member_account_month(spark, d))
+
+
+def build_member_account_month(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     cam = customer_account_month(spark, d)
     return cam.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
         "report_month", "c_nationkey", "p_type", "amount", "line_count", "is_final")
 
 
-# Marts reused by many report queries are built once per session and kept
-# (memory, spilling to disk); a lost executor recomputes its blocks from lineage.
-_MARTS: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def session_mart(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _MARTS:
-        _MARTS[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
-    return _MARTS[key]
-
-
 def line_fact(spark: SparkSession, d: str) -> DataFrame:
     """Mapped line balances per (month, nation, line) – the D17 analogue (a mart)."""
     return session_mart(spark, d, "line_fact", lambda: build_line_fact(spark, d))
