@@ -184,10 +184,15 @@ def build_line_fact(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def date_dim(spark: SparkSession, d: str) -> DataFrame:
+    """The calendar dimension as a session mart (one row per observed month)."""
+    return session_mart(spark, d, "month_calendar", lambda: month_calendar(spark, d))
+
+
 def measures(spark: SparkSession, d: str) -> MeasureModel:
     return MeasureModel(line_fact(spark, d), month="report_month", member="c_nationkey",
                         line="reporting_line_code", amount="presentation_balance_amount",
-                        date_dim=month_calendar(spark, d), date_month="month_start")
+                        date_dim=date_dim(spark, d), date_month="month_start")
 
 
 def _orders_versioned(spark: SparkSession, d: str) -> DataFrame:
@@ -484,7 +489,7 @@ def growth_card(spark, d):
 
 def trust_table(spark, d):
     files = _orders_versioned(spark, d).filter("is_selected").select(period_text("o_orderdate").alias("source_period"))
-    cal = month_calendar(spark, d)
+    cal = date_dim(spark, d)
     return files.agg(F.max("source_period").alias("latest_source_period"),
                      F.count(F.lit(1)).alias("selected_source_files")).withColumn(
         "months_covered", cal.select(F.count_distinct("month_key")).scalar())
