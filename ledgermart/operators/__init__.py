@@ -13,6 +13,7 @@ from ledgermart.operators.calendar import (
     calendar,
     continuity_breaks,
     coverage,
+    derive_from_registry,
     derive_series,
     missing_months,
     month_range,

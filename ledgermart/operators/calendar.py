@@ -205,3 +205,33 @@ def derive_series(obs: DataFrame, key: str, month: str, value: str, derivation:
         ok = (F.col("_n") == 12) & (F.col("_first") == F.add_months(month, -11))
         return r.select(key, month, F.when(ok, (F.exp("_lnsum") - 1) * 100).alias("derived_value"))
     raise ValueError(f"unknown derivation {derivation!r}")
+
+
+# The registry's declared derivation texts and the derivation
+# each one names.
+DERIVATION_TEXTS = {
+    "Latest level": "latest",
+    "Rolling 12-month geometric compounding": "rolling_12m",
+    "Year-over-year percentage change only": "yoy_pct",
+    "Year-over-year percentage change": "yoy_pct",
+    "Percentage-point change": "pp_change",
+}
+
+
+def derive_from_registry(obs: DataFrame, registry: DataFrame, key: str = "series_code", month: str = "report_month",
+                         value: str = "value", declared: str = "derived_metric") -> DataFrame:
+    """C8 driven by the registry: each series gets the derivation it declares.
+
+    The series are split by derivation with a semi-join on the registry (the
+    registry is a handful of rows), each group is derived, and the groups are
+    unioned; series with an unknown declaration get no derived rows.
+    """
+    reg = registry.select(key, F.col(declared).alias("_declared"))
+    out = None
+    for kind in sorted(set(DERIVATION_TEXTS.values())):
+        texts = [t for t, k in DERIVATION_TEXTS.items() if k == kind]
+        members = reg.filter(F.col("_declared").isin(*texts)).select(key)
+        part = derive_series(obs.join(members, key, "left_semi"), key, month, value, kind).withColumn(
+            "derivation", F.lit(kind))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.functions.dates import period_from_url
+from ledgermart.functions.dates import BANK_URL_PERIOD, period_from_url
 from ledgermart.functions.text import blank_to_null, first_text
 from ledgermart.operators.versioning import version_ordinal
 from ledgermart.sources.series import guard
@@ -24,7 +24,8 @@ def _resolve(url):
             .when(url.isNotNull(), F.concat(F.lit(BASE_URL + "/"), url)))
 
 
-def read_catalog(spark: SparkSession, path: str, discovered_at_utc: str | None = None) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, discovered_at_utc: str | None = None,
+                 pattern: str = BANK_URL_PERIOD) -> DataFrame:
     """One row per ``conteudo`` item; items that are not bank files keep an ``error``.
 
     Each file is read whole (``wholetext``) and parsed with ``from_json``;
@@ -40,7 +41,7 @@ def read_catalog(spark: SparkSession, path: str, discovered_at_utc: str | None =
         return F.when(obj, F.get_json_object("item", f"$.{name}"))
 
     url = _resolve(blank_to_null(field("Url"), python_strip=True))
-    period = period_from_url(url)
+    period = period_from_url(url, pattern)
     out = items.select(
         "catalog_file", "item_index",
         period.alias("period"),

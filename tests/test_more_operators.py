@@ -1,6 +1,7 @@
 """Pairing, guards, sinks and the generic window helpers."""
 
 import datetime as dt
+import math
 from decimal import Decimal
 
 import pytest
@@ -112,3 +113,21 @@ def test_series_profile_freshness(spark):
     p = profile_series(obs, "series_code", "d", "2024-01-01", "2025-03-31", max_lag=1).first()
     assert p.lag_months_to_requested_end == 3 and p.status == "invalid"
     assert "freshness" in p.error
+
+
+def test_derive_from_registry(spark):
+    from ledgermart.operators.calendar import derive_from_registry
+    obs = spark.createDataFrame([(c, dt.date(2024, m, 1), float(m)) for c in ("433", "4189", "21082", "9") for m in range(1, 13)]
+                                + [(c, dt.date(2025, 1, 1), 13.0) for c in ("433", "4189", "21082", "9")],
+                                "series_code string, report_month date, value double")
+    reg = spark.createDataFrame([("433", "Rolling 12-month geometric compounding"), ("4189", "Latest level"),
+                                 ("21082", "Percentage-point change"), ("9", "something else")],
+                                "series_code string, derived_metric string")
+    got = {(r.series_code, r.report_month): (r.derivation, r.derived_value)
+           for r in derive_from_registry(obs, reg).collect()}
+    assert got[("4189", dt.date(2025, 1, 1))] == ("latest", 13.0)
+    assert got[("21082", dt.date(2025, 1, 1))] == ("pp_change", 1.0)
+    assert got[("433", dt.date(2024, 11, 1))] == ("rolling_12m", None)
+    assert got[("433", dt.date(2024, 12, 1))][1] == pytest.approx(
+        (math.prod(1 + m / 100 for m in range(1, 13)) - 1) * 100)
+    assert not any(k[0] == "9" for k in got)
