@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermart.functions._util import names
-from ledgermart.functions.text import join_set
 
 
 def member_period_state(
@@ -146,8 +145,3 @@ def profile_population(
         ]
     period_profile = state.groupBy(period).agg(*prof_aggs)
     return Population(period_profile=period_profile, members=members, monthly=monthly, state=state)
-
-
-def member_set_text(df: DataFrame, member: str) -> Column:
-    """Sorted ``|``-joined member list for a bounded population."""
-    return join_set(member)
