@@ -42,25 +42,31 @@ def population_controls(
     period: str,
     member: str,
     account: str,
-    account_name: str,
-    document: str,
-    freeze_period: str,
+    account_name: str | None,
+    document: str | None,
+    freeze_period,
     n: int,
     components: list[str],
     tolerance: float = 1.00,
 ) -> DataFrame:
-    """Population freeze controls; ``rows`` are the rows the profile used."""
+    """Population freeze controls; ``rows`` are the rows the profile used.
+
+    Controls whose inputs a table does not have (document, account names,
+    member names, a reference total) are left out.
+    """
     state, monthly = pop.state, pop.monthly
     periods = state.select(F.count_distinct(period)).scalar()
     coverage_gaps = monthly.groupBy(member).agg(F.count_distinct(period).alias("_p")).filter(F.col("_p") != periods)
     names = [c for c in ("member_name",) if c in monthly.columns]
     dup_rows = state.filter(F.greatest(*[F.col(f"{c}_rows") for c in components]) > 1)
     missing = monthly.filter(F.greatest(*[F.col(c).isNull() for c in components]))
-    controls = [
-        Control("freeze_period_is_latest", state, F.max(period), freeze_period),
-        Control("document_scope_is_single", rows, F.count_distinct(document), 1),
-        failing_rows("asset_account_contract", rows.groupBy(account).agg(
-            F.count_distinct(account_name).alias("_n")).filter("_n > 1")),
+    controls = [Control("freeze_period_is_latest", state, F.max(period), freeze_period)]
+    if document:
+        controls.append(Control("document_scope_is_single", rows, F.count_distinct(document), 1))
+    if account_name:
+        controls.append(failing_rows("asset_account_contract", rows.groupBy(account).agg(
+            F.count_distinct(account_name).alias("_n")).filter("_n > 1")))
+    controls += [
         failing_rows("relevant_account_rows_are_unique", dup_rows),
         Control("population_size", pop.members, F.count(F.lit(1)), n),
         Control("cutoff_is_unambiguous", pop.members, F.min("cutoff_gap"), 0, ">"),

@@ -51,6 +51,7 @@ from ledgermart.operators.joins import (
 from ledgermart.operators.population import profile_population, top_members
 from ledgermart.operators.quality import Control, build_controls, check_accepted_values, check_row_count, check_unique, failing_rows
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
+from ledgermart.plans.controls import population_controls
 from ledgermart.sources.catalog import classify_probes
 from ledgermart.sources.landing import upsert_frames
 from ledgermart.sources.tables import read_table
@@ -717,6 +718,14 @@ def population_members(spark, d):
     return _population(spark, d).members.select("freeze_rank", "c_nationkey", "total_amount", "cutoff_gap")
 
 
+def population_control_set(spark, d):
+    """Q15 / Q20: the population control set on the frozen nation population."""
+    rows = member_account_month(spark, d)
+    pop = _population(spark, d)
+    return population_controls(spark, rows, pop, "report_month", "c_nationkey", "p_type", None, None,
+                               dt.date.fromisoformat(FREEZE_MONTH), POPULATION_SIZE, list(POPULATION_COMPONENTS))
+
+
 RECIPES = {
     "staging_orders": staging_orders,
     "month_calendar": month_calendar,
@@ -772,4 +781,5 @@ RECIPES = {
     "account_balance_amount": account_balance_amount,
     "population_profile": population_profile,
     "population_members": population_members,
+    "population_control_set": population_control_set,
 }

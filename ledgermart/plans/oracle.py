@@ -582,4 +582,50 @@ SELECT freeze_rank, c_nationkey, total_amount,
        (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE})
        - (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE + 1}) AS cutoff_gap
 FROM fr WHERE freeze_rank <= {POPULATION_SIZE}""",
+    "population_control_set": f"""
+WITH cam AS (
+  SELECT {MONTH.format(c='o.o_orderdate')} AS report_month, o.o_custkey, p.p_type,
+         SUM(CAST(l.l_extendedprice AS DECIMAL(38,2))) AS amount
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
+  GROUP BY 1, 2, 3),
+rows AS (SELECT cam.report_month, c.c_nationkey, cam.p_type, cam.amount
+         FROM cam JOIN customer c ON cam.o_custkey = c.c_custkey),
+state AS (
+  SELECT report_month, c_nationkey,
+         {", ".join(f"SUM(amount) FILTER (WHERE p_type = {_q(t)}) AS {a}, COUNT(*) FILTER (WHERE p_type = {_q(t)}) AS {a}_rows" for a, t in POPULATION_COMPONENTS.items())},
+         {" + ".join(f"COALESCE(SUM(amount) FILTER (WHERE p_type = {_q(t)}), 0)" for t in POPULATION_COMPONENTS.values())} AS total_amount
+  FROM rows GROUP BY report_month, c_nationkey),
+cand AS (SELECT c_nationkey, total_amount FROM state
+         WHERE report_month = DATE '{FREEZE_MONTH}' AND {PRESENCE_COMPONENT} IS NOT NULL),
+fr AS (SELECT *, row_number() OVER (ORDER BY total_amount DESC, c_nationkey) AS freeze_rank FROM cand),
+members AS (
+  SELECT c_nationkey, (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE})
+         - (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE + 1}) AS cutoff_gap
+  FROM fr WHERE freeze_rank <= {POPULATION_SIZE}),
+monthly AS (SELECT state.* FROM state JOIN members ON state.c_nationkey = members.c_nationkey),
+c AS (
+  SELECT 1 AS control_order, 'freeze_period_is_latest' AS control_name,
+         COALESCE((SELECT MAX(report_month) FROM state) = DATE '{FREEZE_MONTH}', FALSE) AS passed,
+         '== {FREEZE_MONTH}' AS expected, CAST((SELECT MAX(report_month) FROM state) AS VARCHAR) AS actual
+  UNION ALL
+  SELECT 2, 'relevant_account_rows_are_unique', v = 0, '== 0', CAST(v AS VARCHAR)
+  FROM (SELECT COUNT(*) AS v FROM state WHERE greatest({", ".join(f"{a}_rows" for a in POPULATION_COMPONENTS)}) > 1)
+  UNION ALL
+  SELECT 3, 'population_size', v = {POPULATION_SIZE}, '== {POPULATION_SIZE}', CAST(v AS VARCHAR)
+  FROM (SELECT COUNT(*) AS v FROM members)
+  UNION ALL
+  SELECT 4, 'cutoff_is_unambiguous', COALESCE(v > 0, FALSE), '> 0', CAST(v AS VARCHAR)
+  FROM (SELECT MIN(cutoff_gap) AS v FROM members)
+  UNION ALL
+  SELECT 5, 'stable_population_period_coverage', v = 0, '== 0', CAST(v AS VARCHAR)
+  FROM (SELECT COUNT(*) AS v FROM (SELECT c_nationkey FROM monthly GROUP BY c_nationkey
+                                   HAVING COUNT(DISTINCT report_month) <> (SELECT COUNT(DISTINCT report_month) FROM state)))
+  UNION ALL
+  SELECT 6, 'population_components_are_explicit', v = 0, '== 0', CAST(v AS VARCHAR)
+  FROM (SELECT COUNT(*) AS v FROM monthly WHERE {" OR ".join(f"{a} IS NULL" for a in POPULATION_COMPONENTS)}))
+SELECT control_order, control_name, passed, expected, actual, '' AS detail FROM c
+UNION ALL
+SELECT 7, 'population_ready', COALESCE(bool_and(passed), FALSE), 'all prior controls pass',
+       CAST(COUNT(*) FILTER (WHERE passed) AS VARCHAR) || '/' || CAST(COUNT(*) AS VARCHAR), 'fail-closed roll-up'
+FROM c""",
 }

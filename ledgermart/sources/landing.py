@@ -53,7 +53,11 @@ def upsert_frames(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
 
 
 def _publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) -> str:
-    """Write to a fresh sibling folder, then swap it in by rename."""
+    """Write to a fresh sibling folder, then swap it in by rename.
+
+    Atomic on HDFS-like file systems; on object stores, where a rename is a
+    copy, publish through a table format or a pointer file instead.
+    """
     spark = df.sparkSession
     tmp = f"{path.rstrip('/')}.__{uuid.uuid4().hex}"
     w = df.write.mode("overwrite").format(fmt)
