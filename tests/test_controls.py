@@ -120,3 +120,14 @@ def test_source_decision_controls(spark):
     args["observations"] = obs.filter("not (series_code = '433' and report_month = '202501')")
     assert _failed(source_decision_controls(spark, **args)) == [
         "macro_runtime_and_profile_ready", "population_monthly_coverage", "source_profile_decision"]
+
+
+def test_warehouse_top_member_reconciliation(spark, marts):
+    from decimal import Decimal
+    top = spark.createDataFrame([("00000001", dt.date(2025, 2, 1), Decimal("1050.00")),
+                                 ("00000002", dt.date(2025, 2, 1), Decimal("785.00"))],
+                                "institution_cnpj string, report_month date, amount decimal(38,2)")
+    t = warehouse_controls(spark, marts, {}, 2, 5, top_members=top)
+    assert "top_total_assets_reconciliation" not in _failed(t)
+    off = top.withColumn("amount", top.amount + 2)
+    assert "top_total_assets_reconciliation" in _failed(warehouse_controls(spark, marts, {}, 2, 5, top_members=off))

@@ -160,3 +160,10 @@ def test_null_scan_and_schema_contract(spark):
     assert {(r.column_name, r.null_count) for r in null_scan(df).collect()} == {("a", 1), ("b", 1)}
     assert check_schema(df, [("a", "integer"), ("b", "text")]) == []
     assert check_schema(df, [("b", "text"), ("a", "integer")])[0]["position"] == 1
+
+
+def test_sorted_set(spark):
+    from ledgermart.operators import sorted_set
+    df = spark.createDataFrame([("a", "z"), ("a", "b"), ("a", "z"), ("b", None)], "k string, v string")
+    got = {r.k: r.s for r in df.groupBy("k").agg(sorted_set("v").alias("s")).collect()}
+    assert got == {"a": ["b", "z"], "b": []}
