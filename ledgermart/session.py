@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # dims above this many bytes are never broadcast by the planner
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # plan strings of deep lineages are truncated instead of filling the driver
+    "spark.sql.maxPlanStringLength": str(1024 * 1024),
     # checkpoint files of lineage cuts are removed once unreferenced
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }

@@ -10,7 +10,8 @@ from ledgermart.session import get_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", app_name="ledgermart-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app_name="ledgermart-tests", shuffle_partitions=4,
+                    conf={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 

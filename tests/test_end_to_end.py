@@ -13,6 +13,7 @@ from ledgermart.plans.controls import mart_controls
 from ledgermart.plans.models import build_marts
 from ledgermart.sources.archives import landing_rows, profile_files, read_archives
 from ledgermart.sources.evidence import pair_manifest_profile
+from ledgermart.sources.landing import land_partitions
 from tests import fixtures as fx
 
 HEADER = "#DATA_BASE;DOCUMENTO;CNPJ;AGENCIA;NOME_INSTITUICAO;COD_CONGL;NOME_CONGL;TAXONOMIA;CONTA;NOME_CONTA;SALDO"
@@ -48,7 +49,9 @@ def test_archives_to_certified_marts(spark, tmp_path):
     paired = pair_manifest_profile(man, prof)
     assert paired.count() == 2
     records = man.select(F.col("sha256").alias("source_checksum"), "period", "source_url", "retrieved_at_utc")
-    rows = landing_rows(raw, records, prof)
+    landed = str(tmp_path / "raw_balance_rows")
+    land_partitions(landing_rows(raw, records, prof), landed, "source_checksum")  # land, then build from the table
+    rows = spark.read.parquet(landed)
     assert rows.count() == 24
 
     file_manifest = paired.select(
