@@ -131,3 +131,20 @@ def test_derive_from_registry(spark):
     assert got[("433", dt.date(2024, 12, 1))][1] == pytest.approx(
         (math.prod(1 + m / 100 for m in range(1, 13)) - 1) * 100)
     assert not any(k[0] == "9" for k in got)
+
+
+def test_star_join_scalar_and_simple_checks(spark):
+    from ledgermart.operators import star_join, with_scalar
+    from ledgermart.operators.quality import check_exact_set, check_not_null
+    fact = spark.createDataFrame([(1, "a", 10), (2, "b", 20), (3, "z", 30)], "id int, k string, v int")
+    dim = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, name string")
+    dim2 = spark.createDataFrame([(1, True)], "id int, flag boolean")
+    joined = star_join(fact, [(dim, "k", "inner"), (dim2, "id", "left")])
+    assert sorted((r.id, r.name, r.flag) for r in joined.collect()) == [(1, "A", True), (2, "B", None)]
+    total = fact.agg(F.sum("v").alias("total_v"), F.max("id").alias("max_id"))
+    got = with_scalar(fact, total).orderBy("id").collect()
+    assert [(r.total_v, r.max_id) for r in got] == [(60, 3)] * 3
+    assert check_not_null(joined, ["flag"]).count() == 1
+    exp = spark.createDataFrame([("a",), ("c",)], "k string")
+    issues = {(r.k, r.issue) for r in check_exact_set(exp, fact.select("k")).collect()}
+    assert issues == {("c", "missing"), ("b", "unexpected"), ("z", "unexpected")}
