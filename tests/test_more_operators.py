@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import os
 from decimal import Decimal
 
 import pytest
@@ -148,3 +149,19 @@ def test_star_join_scalar_and_simple_checks(spark):
     exp = spark.createDataFrame([("a",), ("c",)], "k string")
     issues = {(r.k, r.issue) for r in check_exact_set(exp, fact.select("k")).collect()}
     assert issues == {("c", "missing"), ("b", "unexpected"), ("z", "unexpected")}
+
+
+def test_read_table_spreads_only_small_scans_and_checkpoint_dir(spark):
+    from ledgermart.session import checkpoint_dir, cut_lineage
+    from ledgermart.sources.tables import read_table
+    path = "/root/testdata/sf0.001/orders.parquet"
+    if not os.path.exists(path):
+        pytest.skip("driver tables not present")
+    plain = read_table(spark, path)
+    spread = read_table(spark, path, ["o_custkey"])
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert plain.count() == spread.count()
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    folder = checkpoint_dir(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir")
+    assert cut_lineage(spark.range(5)).count() == 5
