@@ -44,7 +44,7 @@ def hit_bits(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def filter_of(hashes: DataFrame, segments: int) -> DataFrame:
-    """One row per segment hit: segment, twice (1,024 words of bits that were hit at least twice)."""
+    """One row per segment hit: segment, and 1,024 words each of bits hit at all (once) and at least twice (twice)."""
 
     def sent(parts):
         segment, one, two = hit_bits(np.concatenate(parts), segments)
@@ -72,8 +72,8 @@ def filter_of(hashes: DataFrame, segments: int) -> DataFrame:
         current, once, twice = None, None, None
 
         def bitmap():
-            words = np.packbits(twice, bitorder="little").view("<i8")
-            return pd.DataFrame({"segment": [current], "twice": [words]})
+            words = [np.packbits(x, bitorder="little").view("<i8") for x in (once, twice)]
+            return pd.DataFrame({"segment": [current], "once": [words[0]], "twice": [words[1]]})
 
         for f in frames:
             for segment, hit, again in zip(f["segment"], f["once"], f["twice"]):
@@ -92,16 +92,20 @@ def filter_of(hashes: DataFrame, segments: int) -> DataFrame:
         hashes.mapInPandas(gather, "segment bigint, once binary, twice binary")
         .repartition("segment")
         .sortWithinPartitions("segment")
-        .mapInPandas(fold, "segment bigint, twice array<bigint>")
+        .mapInPandas(fold, "segment bigint, once array<bigint>, twice array<bigint>")
     )
 
 
-def maybe_repeated(keys: DataFrame, filtered: DataFrame, segments: int) -> DataFrame:
-    """``keys`` with the column ``maybe``: both bits of its hash were hit at least twice."""
+def looked_up(keys: DataFrame, filtered: DataFrame, segments: int, bits: str = "twice") -> DataFrame:
+    """``keys`` with the column ``maybe``: both bits of its ``hash`` are set in the filter's ``bits``.
+
+    The filter has at most ``MAX_SEGMENTS`` rows of 8 KiB, which bounds the broadcast.
+    """
     looked = keys.withColumn("segment", F.expr(f"pmod(shiftrightunsigned(hash, 32), {segments}L)"))
-    bit = lambda b: f"(shiftright(twice[cast({b} div 64 as int)], cast({b} % 64 as int)) & 1) = 1"
+    bit = lambda b: f"(shiftright(words[cast({b} div 64 as int)], cast({b} % 64 as int)) & 1) = 1"
     one, two = "(hash & 65535)", "(shiftrightunsigned(hash, 16) & 65535)"
-    return looked.join(F.broadcast(filtered), "segment", "left").withColumn("maybe", F.expr(f"coalesce({bit(one)} and {bit(two)}, false)")).drop("segment", "twice")
+    small = F.broadcast(filtered.select("segment", F.col(bits).alias("words")))
+    return looked.join(small, "segment", "left").withColumn("maybe", F.expr(f"coalesce({bit(one)} and {bit(two)}, false)")).drop("segment", "words")
 
 
 def dedup(docs: DataFrame, max_segments: int = MAX_SEGMENTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -113,8 +117,8 @@ def dedup(docs: DataFrame, max_segments: int = MAX_SEGMENTS, id_col: str = "doc_
         "text-keys",
     )
     segments = segments_for(keys.count(), max_segments)
-    twice = scratch_table(filter_of(keys.select("hash"), segments), "bloom")
-    looked = maybe_repeated(keys, twice, segments)
+    hits = scratch_table(filter_of(keys.select("hash"), segments), "bloom")
+    looked = looked_up(keys, hits, segments)
 
     alone = looked.where(~F.col("maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "sha")
     again = looked.where("maybe").select("doc_id", "row", "sha")

@@ -61,7 +61,7 @@ class GenerationCache(dict):
     old one, and keys found there move back, so frequent keys stay and memory is bounded.
     """
 
-    def __init__(self, make: Callable, limit: int = 150_000):
+    def __init__(self, make: Callable, limit: int = 300_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 

@@ -46,7 +46,7 @@ class WordCoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memo = GenerationCache(self.encode_run, 200_000)
+        self.memo = GenerationCache(self.encode_run, 400_000)
         probe = ["ab cd", "1 a", "a ' s", "a b", "! ?\n!", "a ́b"]
         if any(self.encode(p) != b"".join(map(self.encode_run, p.split())) for p in probe) or any(
             self.encode_run(p) != b"".join(map(self.encode_run, p.split(" "))) for p in probe

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import bloom, byte_bpe, feistel, order_minhash, packing, piece_count
+from ledgermart.llm import bloom, byte_bpe, factor_machine, feistel, line_dedup, order_minhash, packing, piece_count, set_join
 from ledgermart.llm.common import documents
 
 
@@ -19,10 +19,26 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.edited_fingerprints(documents(spark, sf_dir))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_dropped", "n_near", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom.dedup(documents(spark, sf_dir))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    machine = factor_machine.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = factor_machine.score(docs.select("doc_id", "text"), machine)
+    return scored.select("doc_id", (factor_machine.fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.join(documents(spark, sf_dir), percent=90, width=3)
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -40,9 +56,40 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.shard(documents(spark, sf_dir)).drop("position")
 
 
-QUERIES = {q.__name__: q for q in (op1_order_minhash, op3_exact_dedup, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_order_minhash, op2_line_dedup, op3_exact_dedup, op4_quality, op5_ngram_join, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding)}
 
 SQL = {
+    "op2_line_dedup": """
+        WITH l AS (
+            SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
+            FROM documents WHERE text <> ''
+        ),
+        d AS (
+            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM l WHERE length(trim(line, ' ')) >= 10 GROUP BY line
+        ),
+        v AS (
+            SELECT line, n, first, i, hash(left(line, i::INT) || substr(line, i::INT + 2)) AS h
+            FROM (SELECT *, unnest(range(n)) AS i FROM d WHERE n >= 20)
+        ),
+        earliest AS (SELECT h, i, n, min(first) AS first FROM v GROUP BY h, i, n),
+        near AS (
+            SELECT v.line FROM v JOIN earliest e USING (h, i, n) WHERE e.first < v.first
+            UNION SELECT v.line FROM v JOIN d ON hash(d.line) = v.h AND d.n >= 20 AND d.n = v.n - 1 WHERE d.first < v.first
+            UNION SELECT d.line FROM v JOIN d ON hash(d.line) = v.h AND d.n >= 20 AND d.n = v.n - 1 WHERE v.first < d.first
+        ),
+        judged AS (
+            SELECT l.*, (d.first IS NOT NULL AND ((l.doc_id, l.pos) <> d.first OR near.line IS NOT NULL)) AS gone, near.line IS NOT NULL AS near
+            FROM l LEFT JOIN d USING (line) LEFT JOIN near USING (line)
+        ),
+        kept AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, count(*) FILTER (near) AS n_near,
+                   coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS text
+            FROM judged GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped, coalesce(n_near, 0) AS n_near,
+               sha256(coalesce(kept.text, '')) AS text_sha256
+        FROM documents LEFT JOIN kept USING (doc_id)
+    """,
     "op3_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents),
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
