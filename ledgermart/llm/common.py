@@ -34,13 +34,12 @@ def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
 
 
-def row_key(id_col: str = "doc_id", text_col: str = "text"):
-    """128 bits naming a row by its id and text, defined for null ids too.
-
-    Rows that agree in both are copies of one document and get the same decisions.
-    """
-    ident = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    return F.md5(F.concat(ident, F.lit("\0"), text_of(text_col)))
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with underscores added until it isn't among ``columns`` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import bloom, byte_bpe, factor_machine, feistel, line_dedup, order_minhash, packing, piece_count, set_join
+from ledgermart.llm import bloom, byte_bpe, factor_machine, feistel, line_dedup, order_minhash, packing, piece_count, sanitise, set_join
 from ledgermart.llm.common import documents
 
 
@@ -39,6 +39,12 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.join(documents(spark, sf_dir), percent=90, width=3)
 
 
+def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise.spans(documents(spark, sf_dir).select("doc_id", "text"))
+    counts = [sanitise.count_of(kind).alias(f"n_{kind}") for kind in sanitise.KINDS[:4]]
+    return found.select(F.col("row.doc_id").alias("doc_id"), *counts, F.sha2(sanitise.listed(F.col("base")), 256).alias("base_sha256"), sanitise.listed(sanitise.all_spans()).alias("spans"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
 
@@ -56,7 +62,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.shard(documents(spark, sf_dir)).drop("position")
 
 
-QUERIES = {q.__name__: q for q in (op1_order_minhash, op2_line_dedup, op3_exact_dedup, op4_quality, op5_ngram_join, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding)}
+QUERIES = {q.__name__: q for q in (op1_order_minhash, op2_line_dedup, op3_exact_dedup, op4_quality, op5_ngram_join, op6_sanitise, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding)}
 
 SQL = {
     "op2_line_dedup": """

@@ -40,7 +40,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermart.llm import bloom
-from ledgermart.llm.common import ids_and_texts, scratch_table, small_batches
+from ledgermart.llm.bitmaps import bitmap_of, bits_for, marked
+from ledgermart.llm.common import ids_and_texts, scratch_table, small_batches, text_of
 from ledgermart.llm.components import components
 from ledgermart.llm.shingles import MIX, mixed, shingle_sets
 
@@ -337,8 +338,8 @@ def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(verify, "a bigint, b bigint")
 
 
-def join(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, name (hash of id and text), n_shingles, root (the component's node), component_id."""
     spark = docs.sparkSession
     small_batches(spark)
     kind = docs.schema[id_col].dataType
@@ -376,7 +377,33 @@ def join(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "doc_
     label = label.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = scratch_table(label, "labels")
     least = label.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = label.join(least, "root").select("node", "component_id")
+    label = label.join(least, "root").select("node", "root", "component_id")
     out = all_sets.withColumn("doc_id", F.col("doc_id").cast(kind)).join(label, "node", "left")
     alone = F.col("n_shingles") == 0
-    return out.select("doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "name", "n_shingles", "root", F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def join(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    return classes(docs, percent, width, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, all columns: of each component the one with the smallest id.
+
+    Null ids come last, equal ids are told apart by a hash of the text, and of rows that agree in
+    both one stays. Texts without words all stay. Only rows that may go, or that repeat, shuffle.
+    """
+    found = scratch_table(classes(docs, percent, width, id_col, text_col).where("n_shingles > 0"), "classes")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "name")
+    stays = found.groupBy("root").agg(F.min(order).alias("stays")).select("root", F.col("stays.name").alias("stays"))
+    names = found.groupBy("name", "root").agg(F.count("*").alias("times"))
+    concerned = names.join(stays, "root").withColumn("stay", F.col("name") == F.col("stays")).where("not stay or times > 1").select("name", "stay")
+    concerned = scratch_table(concerned, "concerned")
+    bits = bits_for(concerned.count())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(F.col(id_col), F.xxhash64(text_of(text_col))).alias("name"))
+    rows = marked(rows, F.col("name"), bitmap_of(concerned.select(F.col("name").alias("hash")), bits), bits, "maybe")
+    looked = rows.where("maybe").join(concerned, "name", "left")
+    once = looked.where("stay").dropDuplicates(["name"])
+    kept = rows.where("not maybe").select("row").unionByName(looked.where("stay is null").select("row")).unionByName(once.select("row"))
+    return kept.select("row.*")
