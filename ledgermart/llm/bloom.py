@@ -122,6 +122,7 @@ def dedup(docs: DataFrame, max_segments: int = MAX_SEGMENTS, id_col: str = "doc_
 
     alone = looked.where(~F.col("maybe")).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("bigint").alias("group_size"), F.lit(True).alias("kept"), "sha")
     again = looked.where("maybe").select("doc_id", "row", "sha")
-    groups = again.groupBy("sha").agg(F.max(F.struct("doc_id", "row")).alias("stays"), F.count("*").alias("group_size"))
+    # written, so that the join reads two plain shuffles and a large group's rows can be split over tasks
+    groups = scratch_table(again.groupBy("sha").agg(F.max(F.struct("doc_id", "row")).alias("stays"), F.count("*").alias("group_size")), "text-groups")
     exact = again.join(groups, "sha", "left").select("doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size", (F.col("row") == F.col("stays.row")).alias("kept"), "sha")
     return alone.unionByName(exact).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))

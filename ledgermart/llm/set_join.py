@@ -20,7 +20,7 @@ neighbour that the sketches allow; the overlaps are counted exactly and the link
 found. Then every remaining pair in a list whose ends lie in different components is checked.
 A pair inside a component is never needed; every other possible link has been tested.
 
-Lists longer than ``BLOCK`` are cut into blocks, each pair of blocks its own task, so no list needs
+Lists longer than ``block`` are cut into blocks, each pair of blocks its own task, so no list needs
 to fit into one. Copies inside a task are dropped before the shuffle.
 
 Edge cases: null and empty texts have the empty set, link with nothing and are their own
@@ -179,7 +179,7 @@ def postings(docs: DataFrame, width: int, sizes: Sizes, boundary: int) -> DataFr
     return docs.select("text").mapInPandas(run, "key bigint, node bigint, info bigint")
 
 
-def shared_lists(posted: DataFrame) -> DataFrame:
+def shared_lists(posted: DataFrame, block: int = BLOCK) -> DataFrame:
     """Members of lists with two sets or more: key, node, n, kind, block, head (the list's first node and size)."""
 
     def run(frames):
@@ -215,7 +215,7 @@ def shared_lists(posted: DataFrame) -> DataFrame:
                 rows = np.concatenate([[pending], rows])
             pending = (k[-1], v[-1], w[-1], ranks[-1], heads[-1], sizes[-1]) if begins[-1] else None
             key, rank, head = k[-1], int(ranks[-1]), (heads[-1], sizes[-1])
-            yield pd.DataFrame({"key": rows[:, 0], "node": rows[:, 1], "n": rows[:, 2] >> 16, "kind": (rows[:, 2] & 0xFFFF) - 32768, "block": rows[:, 3] // BLOCK, "head": rows[:, 4], "head_n": rows[:, 5]})
+            yield pd.DataFrame({"key": rows[:, 0], "node": rows[:, 1], "n": rows[:, 2] >> 16, "kind": (rows[:, 2] & 0xFFFF) - 32768, "block": rows[:, 3] // block, "head": rows[:, 4], "head_n": rows[:, 5]})
 
     sorted_lists = posted.repartition("key").sortWithinPartitions("key", F.shiftright("info", 16), "node")
     return sorted_lists.mapInPandas(run, "key bigint, node bigint, n bigint, kind bigint, block bigint, head bigint, head_n bigint")
@@ -285,7 +285,7 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
             f = f if held is None else pd.concat([held, f], ignore_index=True)
             if not len(f):
                 continue
-            # the last group may go on in the next batch; a group has at most 2 * BLOCK rows
+            # the last group may go on in the next batch; a group has at most two blocks of rows
             same = (f["key"] == f["key"].iloc[-1]) & (f["low"] == f["low"].iloc[-1]) & (f["high"] == f["high"].iloc[-1])
             held, ready = f[same], f[~same].reset_index(drop=True)
             out = pairs(ready)
@@ -338,7 +338,7 @@ def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(verify, "a bigint, b bigint")
 
 
-def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """Per row: doc_id, name (hash of id and text), n_shingles, root (the component's node), component_id."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -354,7 +354,7 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     boundary = boundary_by_cost(counts, sizes)
 
     small_batches(spark, 200)
-    lists = scratch_table(shared_lists(postings(keyed, width, sizes, boundary)), "lists")
+    lists = scratch_table(shared_lists(postings(keyed, width, sizes, boundary), block), "lists")
     small_batches(spark, 2000)
     light = lists.where((F.col("kind") < 0) & (F.col("head_n") == -F.col("kind")) & (F.col("node") != F.col("head"))).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketches = sets.groupBy("node").agg(F.first("sketch").alias("sketch"))
