@@ -257,3 +257,11 @@ def test_crc_of_a_piece_is_over_its_ids(spark, seed):
     rows = [(i, words(random.Random(seed + i), 9)) for i in range(4)]
     for r in packing.pack(frame(spark, rows), WORD, window=8).withColumn("crc", F.crc32("ids")).collect():
         assert r["crc"] == zlib.crc32(bytes(r["ids"]))
+
+
+def test_every_latin_letter_alone_and_in_a_word():
+    coder, lib = packing.loaded(WORD), library_once(WORD)
+    assert coder.by_model
+    for i in range(0x21, 0x260):
+        for text in (chr(i), f"ab{chr(i)}", f"{chr(i)}cd", f"a{chr(i)}b,", f"{chr(i)}{chr(i)}."):
+            assert np.frombuffer(coder.encode(text), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text
