@@ -19,6 +19,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
 
@@ -27,10 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgermart.llm.byte_bpe import printable_bytes
 from ledgermart.llm.common import GenerationCache, ids_and_texts, small_batches
 
 #: Sequence ids are block * SPAN + number within the block.
 SPAN = 1 << 32
+# The normaliser and splitting pattern for which ``encode_run`` may use the model alone.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LOADED: dict[str, "WordCoder"] = {}
 
 
@@ -46,7 +51,13 @@ class WordCoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memo = GenerationCache(self.encode_run, 400_000)
+        self.memo = GenerationCache(self.encode_run, 800_000)
+        # words of plain Latin letters need the library's model alone: they are in normal form, lower
+        # case is letter by letter, and splitting leaves them whole; the model reads bytes as characters
+        spec = json.loads(self.library.to_str())
+        self.by_model = spec["normalizer"] == NORMALIZER and any(p.get("pattern") == {"Regex": SPLIT} for p in spec["pre_tokenizer"].get("pretokenizers", []))
+        self.model = self.library.model
+        self.as_read = str.maketrans({chr(b): c for c, b in printable_bytes().items()})
         probe = ["ab cd", "1 a", "a ' s", "a b", "! ?\n!", "a ́b"]
         if any(self.encode(p) != b"".join(map(self.encode_run, p.split())) for p in probe) or any(
             self.encode_run(p) != b"".join(map(self.encode_run, p.split(" "))) for p in probe
@@ -57,6 +68,12 @@ class WordCoder:
         if len(run) > 1 and run[-1] in ",." and run[-2].lower().isalpha():
             # a letter and a comma or full stop after it are always split, so share the word's entry
             return self.memo[run[:-1]] + self.memo[run[-1]]
+        if self.by_model and run.isalpha():
+            low = run.lower()
+            if run.isascii():
+                return array("I", [t.id for t in self.model.tokenize(low)]).tobytes()
+            if max(run) < "\u0250" and low.isalpha():
+                return array("I", [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(self.as_read))]).tobytes()
         return array("I", self.library.encode(run, add_special_tokens=False).ids).tobytes()
 
     def encode(self, text: str) -> bytes:
