@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgermart.functions.dates import BANK_URL_PERIOD, period_from_url
 from ledgermart.functions.text import blank_to_null, first_text
 from ledgermart.operators.versioning import version_ordinal
-from ledgermart.sources.series import guard
+from ledgermart.sources.series import guard_table
 
 # The site that relative catalog URLs resolve against and the
 # title / date field variants of the catalog API.
@@ -34,6 +34,9 @@ def read_catalog(spark: SparkSession, path: str, discovered_at_utc: str | None =
     raw = spark.read.option("wholetext", "true").text(path).select(
         F.input_file_name().alias("catalog_file"),
         F.from_json("value", "struct<conteudo: array<string>>").getField("conteudo").alias("items"))
+    # a payload without the list is an error, not a catalog without files
+    raw = raw.withColumn("items", F.when(F.col("items").isNotNull(), F.col("items")).otherwise(
+        F.raise_error(F.concat(F.lit("catalog payload without a list of items: "), F.col("catalog_file"))).cast("array<string>")))
     items = raw.select("catalog_file", F.posexplode("items").alias("item_index", "item"))
     obj = F.col("item").startswith("{")
 
@@ -58,7 +61,7 @@ def read_catalog(spark: SparkSession, path: str, discovered_at_utc: str | None =
          F.col("catalog_file"), F.col("item_index")],
         version_col="period_version", active_col="is_active")
     rest = out.filter(F.col("period").isNull()).withColumns(
-        {"period_version": F.lit(None).cast("int"), "is_active": F.lit(None).cast("boolean")})
+        {"period_version": F.lit(None).cast("bigint"), "is_active": F.lit(None).cast("boolean")})
     return versioned.unionByName(rest)
 
 
@@ -72,7 +75,9 @@ def active_files(catalog: DataFrame, period: str = "period", active: str = "is_a
         F.count_if(F.col(active)).alias("_n")).filter(F.col("_n") != 1)
     bad_count = bad.select(F.count(F.lit(1))).scalar()
     # filter-based guard: a dropped guard column would be pruned away unevaluated
-    return guard(catalog.filter(F.col(active)), bad_count > 0, "catalog period without exactly one active URL")
+    active_count = catalog.select(F.count_if(F.col(active))).scalar()
+    bad_count = bad_count + F.when(active_count > 0, 0).otherwise(1)
+    return guard_table(catalog.filter(F.col(active)), bad_count, "catalog period without exactly one active URL")
 
 
 def classify_probes(log: DataFrame, status: str = "status_code", content_range: str = "content_range",

@@ -46,16 +46,18 @@ def derive_manifest(rows: DataFrame, period: str = "source_period", url: str = "
 def pair_manifest_profile(manifest: DataFrame, profiles: DataFrame) -> DataFrame:
     """Pair download records with file profiles on the checksum.
 
-    Every complete download needs exactly one profile with the same period,
+    An incomplete download is an error.  Every download needs exactly one profile with the same period,
     URL and byte count, no malformed rows, a matching declared period and a
     generation date; a profile without a download, or two profiles for one
     checksum, is an error.  Returns the paired rows or fails the job.
     """
     # a checksum holds one profile (or a few duplicates): a bounded window
     p = profiles.withColumn("_profiles", F.count(F.lit(1)).over(Window.partitionBy("sha256")))
-    j = manifest.filter(F.col("status") == "complete").alias("m").join(p.alias("p"), "sha256", "full_outer")
+    j = manifest.alias("m").join(p.alias("p"), "sha256", "full_outer")
     err = (F.when(F.col("m.period").isNull(), F.lit("profile without a download"))
+           .when(F.coalesce(F.col("m.status"), F.lit("")) != "complete", F.lit("incomplete download"))
            .when(F.col("p.period").isNull(), F.lit("download without a profile"))
+           .when(F.coalesce(F.col("p.row_count"), F.lit(0)) < 1, F.lit("file without rows"))
            .when(F.col("_profiles") > 1, F.lit("duplicate profile checksum"))
            .when((F.col("m.period") != F.col("p.period")) | (F.col("m.source_url") != F.col("p.source_url")),
                  F.lit("identity differs"))

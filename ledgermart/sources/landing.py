@@ -46,17 +46,27 @@ def assert_schema(df: DataFrame, expected: T.StructType, check_nullability: bool
 
 
 def upsert_frames(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
-    """Keyed merge as a relation: batch rows replace target rows with the same key."""
+    """Keyed merge as a relation: batch rows replace target rows with the same key.
+
+    A key that repeats in the batch lands once, with the largest of its rows
+    (compared column by column in the target's order).
+    """
     ks = names(keys)
-    kept = target.join(batch.select(*ks).distinct(), ks, "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
+    rest = [c for c in target.columns if c not in ks]
+    once = batch.select(*target.columns).distinct() if not rest else batch.groupBy(*ks).agg(
+        F.max(F.struct(*rest)).alias("_row")).select(*ks, *[F.col(f"_row.{c}").alias(c) for c in rest])
+    kept = target.join(once.select(*ks), ks, "left_anti")
+    return kept.unionByName(once.select(*target.columns))
 
 
 def _publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) -> str:
     """Write to a fresh sibling folder, then swap it in by rename.
 
-    Atomic on HDFS-like file systems; on object stores, where a rename is a
-    copy, publish through a table format or a pointer file instead.
+    A rename that fails raises; the table that was there is put back first and
+    only deleted once the new one is in place.  Between the two renames of a
+    replaced table no table has the name for a moment.  For file systems with
+    an atomic rename; on object stores, where a rename is a copy, publish
+    through a table format or a pointer file instead.
     """
     spark = df.sparkSession
     tmp = f"{path.rstrip('/')}.__{uuid.uuid4().hex}"
@@ -68,16 +78,24 @@ def _publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) ->
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     fs_path = jvm.org.apache.hadoop.fs.Path(path)
     fs = fs_path.getFileSystem(conf)
-    if fs.exists(fs_path):
-        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}")
-        fs.rename(fs_path, old)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), fs_path)
-        fs.delete(old, True)
-    else:
-        fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), fs_path)
+    new = jvm.org.apache.hadoop.fs.Path(tmp)
+    swap_in(fs, new, fs_path, jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old_{uuid.uuid4().hex}"))
     return path
 
 
+def swap_in(fs, new, target, aside) -> None:
+    """Rename ``new`` to ``target``; what was there goes ``aside`` and comes back if that fails."""
+    replaced = fs.exists(target)
+    if replaced and not fs.rename(target, aside):
+        raise OSError(f"cannot move {target} aside; the new data stays in {new}")
+    if not fs.rename(new, target):
+        if replaced and not fs.rename(aside, target):
+            raise OSError(f"cannot publish {target}; the old data is in {aside}, the new in {new}")
+        raise OSError(f"cannot publish {target}; the old data is unchanged, the new is in {new}")
+    if replaced:
+        fs.delete(aside, True)
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, keys, schema: T.StructType | None = None) -> DataFrame:
     """Idempotent keyed landing of a small table.
 
@@ -86,11 +104,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, keys, schema: T.Str
     """
     if schema is not None:
         assert_schema(batch, schema)
-    if _exists(spark, path):
-        target = spark.read.parquet(path)
-        merged = upsert_frames(target, batch, keys)
-    else:
-        merged = batch
+    target = spark.read.parquet(path) if table_exists(spark, path) else batch.limit(0)
+    merged = upsert_frames(target, batch, keys)
     _publish(merged, path)
     return spark.read.parquet(path)
 
@@ -125,7 +140,7 @@ def mart(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def table_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

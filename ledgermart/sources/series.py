@@ -31,6 +31,18 @@ def guard(df: DataFrame, failure: Column, message: Column | str) -> DataFrame:
     return df.withColumn("_guard", F.when(failure, F.raise_error(msg))).filter(F.col("_guard").isNull()).drop("_guard")
 
 
+def guard_table(df: DataFrame, failures: Column, message: str) -> DataFrame:
+    """Fail the job when the one-row value ``failures`` is above zero, rows or none.
+
+    The check sits on a row of its own that never reaches the output, so it
+    fires for an empty frame too; the rows carry it as well, for filters that
+    would skip that row.
+    """
+    check = F.when(failures > 0, F.raise_error(F.lit(message))).otherwise(F.lit(None)).isNotNull()
+    alone = df.sparkSession.range(1).filter(check).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return guard(df, failures > 0, message).unionByName(alone)
+
+
 def read_series(spark: SparkSession, path: str, series_code: str | None = None,
                 retrieved_at_utc: str | None = None, strict: bool = True) -> DataFrame:
     """Series JSON ``[{"data": "dd/MM/yyyy", "valor": "0,16"}, …]`` → observations.
@@ -71,7 +83,7 @@ def read_series(spark: SparkSession, path: str, series_code: str | None = None,
         listed = spark.read.format("binaryFile").load(path).select(norm(F.col("path")).alias("_file"))
         seen = out.select(norm(F.col("source_url")).alias("_file")).distinct()
         empty = listed.join(seen, "_file", "left_anti").select(F.count(F.lit(1))).scalar()
-        out = guard(out, empty > 0, "series file without observations")
+        out = guard_table(out, empty, "series file without observations")
     return out
 
 
@@ -109,8 +121,7 @@ def read_registry(spark: SparkSession, path: str, codes=SERIES_CODES) -> DataFra
         F.to_date(strip_all("source_start_date")).alias("source_start_date"),
         strip_all("max_expected_lag_months").cast("bigint").alias("max_expected_lag_months"),
     ).select(*REGISTRY_COLUMNS)
-    return typed.withColumn("_guard", F.when(n_bad > 0, F.raise_error(F.lit("series registry violates its rules"))))\
-        .filter(F.col("_guard").isNull()).drop("_guard")
+    return guard_table(typed, n_bad, "series registry violates its rules")
 
 
 def derive_fetches(obs: DataFrame, fixture: bool | None = None) -> DataFrame:
@@ -126,30 +137,61 @@ def derive_fetches(obs: DataFrame, fixture: bool | None = None) -> DataFrame:
     return g
 
 
+def _month_mismatches(obs: DataFrame) -> Column:
+    """Observations whose declared month isn't that of their date (0 without the column)."""
+    if "report_month" not in obs.columns:
+        return F.max(F.lit(0))
+    declared, dated = F.col("report_month").cast("string"), F.col("source_observation_date")
+    # a month is declared as yyyy-MM, yyyyMM or a date of it
+    key = F.substring(F.regexp_replace(declared, "-", ""), 1, 6)
+    return F.count_if(key != F.date_format(dated, "yyyyMM"))
+
+
 def pair_series(registry: DataFrame, obs: DataFrame, profiles: DataFrame, start, end):
     """Validate observations against their profiles and emit landing frames.
 
     Checks before any row is emitted: every registered series has a
-    ``complete`` profile; observation counts equal the profile's row count;
-    every observation lies in [start, end]; one retrieval stamp per series.
+    ``complete`` profile and no other series occurs; observation counts and
+    date bounds equal the profile's; every observation lies in [start, end], in
+    the month it declares, and once per date; one retrieval stamp per series;
+    a profile that carries the expected lag carries the registry's.
     Returns ``(metadata, observations, fetches)``.
     """
     start_d, end_d = F.lit(start).cast("date"), F.lit(end).cast("date")
     per_series = obs.groupBy("series_code").agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if((F.col("source_observation_date") < start_d) | (F.col("source_observation_date") > end_d)).alias("_out"),
-        F.count_distinct("retrieved_at_utc").alias("_stamps"),
+        F.min("retrieved_at_utc").alias("_stamp"),
+        F.max("retrieved_at_utc").alias("_last_stamp"),
+        F.min("source_observation_date").alias("_first"),
+        F.max("source_observation_date").alias("_last"),
+        _month_mismatches(obs).alias("_other_month"),
     )
-    checks = registry.select("series_code").join(profiles.select("series_code", "status", "row_count"), "series_code", "left")\
-        .join(per_series, "series_code", "left")
+    repeats = obs.groupBy("series_code", "source_observation_date").agg(F.count(F.lit(1)).alias("_times")).groupBy(
+        "series_code").agg(F.count_if(F.col("_times") > 1).alias("_repeats"))
+    optional = {c: t for c, t in (("first_observation_date", "date"), ("last_observation_date", "date"),
+                                  ("max_expected_lag_months", "bigint")) if c in profiles.columns}
+    profiled = profiles.select("series_code", "status", "row_count", F.lit(True).alias("_profiled"),
+                               *[F.col(c).cast(t).alias(f"_p_{c}") for c, t in optional.items()])
+    known = registry.select("series_code", F.lit(True).alias("_registered"), *(
+        [F.col("max_expected_lag_months").cast("bigint").alias("_lag")] if "max_expected_lag_months" in registry.columns else []))
+    checks = known.join(profiled, "series_code", "full_outer").join(per_series, "series_code", "full_outer").join(
+        repeats, "series_code", "left")
+    differs = F.lit(False)
+    for ours, theirs in (("_first", "_p_first_observation_date"), ("_last", "_p_last_observation_date"),
+                         ("_lag", "_p_max_expected_lag_months")):
+        if ours in checks.columns and theirs in checks.columns:
+            differs = differs | ~F.col(ours).eqNullSafe(F.col(theirs))
     bad = checks.filter(
-        (F.coalesce(F.col("status"), F.lit("missing")) != "complete")
+        F.col("_registered").isNull()
+        | differs
+        | (F.coalesce(F.col("_repeats"), F.lit(0)) > 0)
+        | (F.coalesce(F.col("_other_month"), F.lit(0)) > 0)
+        | (F.coalesce(F.col("status"), F.lit("missing")) != "complete")
         | (F.coalesce(F.col("_n"), F.lit(0)) != F.col("row_count"))
         | (F.coalesce(F.col("_out"), F.lit(0)) > 0)
-        | (F.coalesce(F.col("_stamps"), F.lit(0)) != 1))
+        | F.col("_stamp").isNull() | (F.col("_stamp") != F.col("_last_stamp")))
     n_bad = bad.select(F.count(F.lit(1))).scalar()
-    ok_obs = obs.join(registry.select("series_code"), "series_code", "left_semi").withColumn(
-        "_guard", F.when(n_bad > 0, F.raise_error(F.lit("series evidence does not pair with its profiles"))))\
-        .filter(F.col("_guard").isNull()).drop("_guard")
+    ok_obs = guard_table(obs, n_bad, "series evidence does not pair with its profiles")
     fetches = derive_fetches(ok_obs).withColumns({"requested_start_date": start_d, "requested_end_date": end_d})
     return registry, ok_obs, fetches

@@ -1,25 +1,9 @@
-"""Parquet table reader.
-
-``spread_by``: when the scan yields fewer partitions than the session's
-parallelism (a handful of large, unsplittable row groups), hash-partition the
-rows on the given key right after the scan, so the joins and partial
-aggregates that follow use every core.  Use the key of the next join, so the
-exchange is the one that join would need anyway once the other side is too
-big to broadcast.  Large inputs split into at least that many partitions and
-are left untouched: at scale this adds no shuffle.  Filters and column pruning
-still reach the Parquet scan (Catalyst pushes both through the repartition).
-"""
+"""Parquet table reader: the scan as Spark splits it, with filters and columns pushed down."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def read_table(spark: SparkSession, path: str, spread_by=None) -> DataFrame:
-    df = spark.read.parquet(path)
-    if not spread_by:
-        return df
-    parallelism = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism, *spread_by)
-    return df
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

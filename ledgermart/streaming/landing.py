@@ -15,23 +15,29 @@ unless one is given.
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgermart.session import checkpoint_dir
-from ledgermart.sources.archives import REQUIRED_COLUMNS, landing_rows, unzip_archives
+from ledgermart.sources.archives import REQUIRED_COLUMNS, land_raw, landing_rows, unzip_archives
 
 
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def landing_batch(batch: DataFrame, records: DataFrame, target: str) -> None:
-    """Land one micro-batch of archive files (``path``, ``content``)."""
+def landing_batch(batch: DataFrame, records: DataFrame | Callable[[], DataFrame], target: str) -> None:
+    """Land one micro-batch of archive files (``path``, ``content``).
+
+    An archive whose record isn't there yet fails the batch: it isn't committed,
+    so a restart with the record lands the archive, and none is lost.
+    """
+    records = records() if callable(records) else records
     files = batch.select(F.col("path").alias("source_path"), F.sha2("content", 256).alias("source_checksum"), "content")
-    raw = unzip_archives(files, REQUIRED_COLUMNS)
-    rows = landing_rows(raw, records)
+    raw = land_raw(unzip_archives(files, REQUIRED_COLUMNS))
+    rows = landing_rows(raw, records, all_records=False)
     (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("source_checksum").parquet(target))
 
@@ -40,14 +46,15 @@ def start_landing_stream(
     spark: SparkSession,
     landing_dir: str,
     target: str,
-    records: DataFrame,
+    records: DataFrame | Callable[[], DataFrame],
     checkpoint_location: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the landing stream.
 
     ``records`` maps a checksum to its period, URL and retrieval time (the
-    download manifest).  ``available_now`` processes what is there and stops
+    download manifest), or is a function that reads the current ones for each
+    batch.  ``available_now`` processes what is there and stops
     (scheduled runs); otherwise it keeps polling.
     """
     ckpt = checkpoint_location or os.path.join(checkpoint_dir(spark), "ledgermart", "landing-stream")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgermart.plans import reports
 from ledgermart.plans.controls import mart_controls
 from ledgermart.plans.models import build_marts
-from ledgermart.sources.archives import landing_rows, profile_files, read_archives
+from ledgermart.sources.archives import land_raw, landing_rows, profile_files, read_archives
 from ledgermart.sources.evidence import pair_manifest_profile
 from ledgermart.sources.landing import land_partitions
 from tests import fixtures as fx
@@ -42,7 +42,7 @@ def test_archives_to_certified_marts(spark, tmp_path):
         downloads.append((sha, "complete", period, f"fixture://cosif/{period}", "2025-04-01 09:00:00", size, path))
     man = spark.createDataFrame(downloads, "sha256 string, status string, period string, source_url string, "
                                            "retrieved_at_utc string, compressed_bytes long, archive_path string")
-    raw = read_archives(spark, folder, man)  # checksums re-verified before any row
+    raw = land_raw(read_archives(spark, folder, man))  # checksums re-verified before any row
     paths = man.select(F.concat(F.lit("file:"), "archive_path").alias("source_path"), "period")
     prof = profile_files(raw, paths).withColumn("sha256", F.col("source_checksum")).join(
         man.select("sha256", "source_url", "compressed_bytes"), "sha256")

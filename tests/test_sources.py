@@ -9,7 +9,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermart.sources.archives import detect_encoding, landing_rows, profile_files, read_archives
+from ledgermart.sources.archives import landing_rows, member_encoding, profile_files, read_archives
 from ledgermart.sources.catalog import active_files, classify_probes, read_catalog
 from ledgermart.sources.evidence import derive_manifest, load_contract, read_typed_csv, summarise_runs
 from ledgermart.sources.landing import assert_schema, land_partitions, SchemaDrift, upsert
@@ -81,8 +81,13 @@ def test_checksum_mismatch_fails(spark, tmp_path):
 
 
 def test_encoding_detection():
-    assert detect_encoding("AÇÚCAR".encode("utf-8")) == "utf-8-sig"
-    assert detect_encoding("AÇÚCAR".encode("cp1252")) == "cp1252"
+    assert member_encoding(["AÇÚCAR".encode("utf-8")]) == "utf-8-sig"
+    assert member_encoding(["AÇÚCAR".encode("cp1252")]) == "cp1252"
+    # a character cut by a chunk's end, and a byte far behind that only one encoding has
+    cut = ("x" * 65535 + "É").encode("utf-8")
+    assert member_encoding([cut[:65536], cut[65536:]]) == "utf-8-sig"
+    assert member_encoding([b"x" * (1 << 20), b"\xc9"]) == "cp1252"
+    assert member_encoding([b"x" * (1 << 20), b"\x81"]) == "iso-8859-1"
 
 
 def test_catalog_versions_and_errors(spark, tmp_path):
@@ -254,3 +259,121 @@ def test_landing_checks_profile_row_count(spark, tmp_path):
     drifted = prof.withColumn("row_count", F.col("row_count") + 1)
     with pytest.raises(Exception, match="row count differs"):
         landing_rows(raw, records, drifted).collect()
+
+
+# --- guards on empty or unlisted input ---------------------------------------
+
+
+def _records(spark, rows):
+    return spark.createDataFrame(rows, "source_checksum string, period string, source_url string, retrieved_at_utc string")
+
+
+def test_unlisted_and_absent_archives_are_refused(spark, tmp_path):
+    d = tmp_path / "guards"
+    d.mkdir()
+    make_zip(str(d / "202501BANCOS.zip"), "202501", ROWS)
+    raw = read_archives(spark, str(d))
+    checksum = raw.first().source_checksum
+    with pytest.raises(Exception, match="archive without a record"):
+        landing_rows(raw, _records(spark, [])).collect()
+    both = [(checksum, "202501", "u", "2025-03-01"), ("absent", "202502", "u", "2025-03-01")]
+    with pytest.raises(Exception, match="record without an archive"):
+        landing_rows(raw, _records(spark, both)).collect()
+    assert landing_rows(raw, _records(spark, both), all_records=False).count() == len(ROWS)
+
+
+def test_header_only_archive_has_a_profile(spark, tmp_path):
+    d = tmp_path / "bare"
+    d.mkdir()
+    make_zip(str(d / "202501BANCOS.zip"), "202501", [])
+    profile = profile_files(read_archives(spark, str(d))).collect()
+    assert [(p.row_count, p.account_count, p.declared_periods) for p in profile] == [(0, 0, "")]
+
+
+def test_guards_fire_without_rows(spark, tmp_path):
+    from ledgermart.sources.series import REGISTRY_COLUMNS, pair_series, read_registry
+
+    lone = tmp_path / "433.json"
+    lone.write_text("[]")
+    with pytest.raises(Exception, match="without observations"):
+        read_series(spark, str(lone)).collect()
+    bare = tmp_path / "registry.csv"
+    bare.write_text(",".join(REGISTRY_COLUMNS) + "\n")
+    with pytest.raises(Exception, match="violates its rules"):
+        read_registry(spark, str(bare)).collect()
+    other = tmp_path / "catalog.json"
+    other.write_text(json.dumps({"items": []}))
+    with pytest.raises(Exception, match="without a list of items"):
+        read_catalog(spark, str(other)).collect()
+    inactive = spark.createDataFrame([("202501", False)], "period string, is_active boolean")
+    with pytest.raises(Exception, match="exactly one active"):
+        active_files(inactive).collect()
+    with pytest.raises(Exception, match="exactly one active"):
+        active_files(inactive.limit(0)).collect()
+    registry = spark.createDataFrame([("433",)], "series_code string")
+    profiles = spark.createDataFrame([("433", "complete", 1)], "series_code string, status string, row_count long")
+    stamp = dt.datetime(2025, 4, 1)
+    rows = [("433", dt.date(2025, 1, 31), stamp)]
+    schema = "series_code string, source_observation_date date, retrieved_at_utc timestamp"
+    for bad in ([], rows + rows, rows + [("999", dt.date(2025, 1, 31), stamp)]):
+        with pytest.raises(Exception, match="does not pair"):
+            pair_series(registry, spark.createDataFrame(bad, schema), profiles, "2025-01-01", "2025-01-31")[1].collect()
+    moved = spark.createDataFrame([(*rows[0], "202502")], schema + ", report_month string")
+    with pytest.raises(Exception, match="does not pair"):
+        pair_series(registry, moved, profiles, "2025-01-01", "2025-01-31")[1].collect()
+
+
+def test_publish_restores_the_old_table(tmp_path):
+    from ledgermart.sources.landing import swap_in
+
+    class Disk:
+        """A file system whose rename onto ``blocked`` fails."""
+
+        def __init__(self, names, blocked=()):
+            self.names, self.blocked = set(names), set(blocked)
+
+        def exists(self, p):
+            return p in self.names
+
+        def rename(self, a, b):
+            if (a, b) in self.blocked:
+                return False
+            self.names = self.names - {a} | {b}
+            return True
+
+        def delete(self, p, _):
+            self.names.discard(p)
+
+    good = Disk({"t", "new"})
+    swap_in(good, "new", "t", "old")
+    assert good.names == {"t"}
+    for blocked in ([("t", "old")], [("new", "t")]):
+        disk = Disk({"t", "new"}, blocked)
+        with pytest.raises(OSError, match="cannot"):
+            swap_in(disk, "new", "t", "old")
+        assert disk.names == {"t", "new"}
+
+
+def test_batch_keys_land_once(spark):
+    from ledgermart.sources.landing import upsert_frames
+
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    batch = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, v string")
+    once = upsert_frames(target, batch, "k")
+    assert sorted(map(tuple, once.collect())) == [(1, "y"), (2, "b"), (3, "z")]
+    assert sorted(map(tuple, upsert_frames(once, batch, "k").collect())) == [(1, "y"), (2, "b"), (3, "z")]
+
+
+def test_derivations_with_zero_and_impossible_values(spark):
+    from ledgermart.operators.calendar import derive_series
+
+    months = [dt.date(2024 + i // 12, i % 12 + 1, 1) for i in range(14)]
+    rates = [0.0] + [1.0] * 11 + [2.0, -150.0]
+    df = spark.createDataFrame([("s", m, v) for m, v in zip(months, rates)], "s string, m date, v double")
+    yoy = {r.m: r.derived_value for r in derive_series(df, "s", "m", "v", "yoy_pct").collect()}
+    assert yoy[months[12]] is None and yoy[months[13]] == pytest.approx(-15100.0)
+    rolling = {r.m: r.derived_value for r in derive_series(df, "s", "m", "v", "rolling_12m").collect()}
+    assert rolling[months[11]] == pytest.approx((1.01**11 - 1) * 100)
+    assert rolling[months[10]] is None and rolling[months[13]] is None
+    step = {r.m: r.derived_value for r in derive_series(df, "s", "m", "v", "pp_change").collect()}
+    assert step[months[0]] is None and step[months[13]] == -152.0
