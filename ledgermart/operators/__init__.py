@@ -21,7 +21,6 @@ from ledgermart.operators.calendar import (
     profile_series,
 )
 from ledgermart.operators.joins import (
-    bounded_broadcast,
     reconcile,
     selected_rows,
     set_compare,

@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from ledgermart.functions._util import names
 from ledgermart.functions.text import join_set
-from ledgermart.operators.joins import bounded_broadcast
-
-MAPPING_BOUND = 10_000
 
 
 def line_balance(
@@ -28,8 +25,6 @@ def line_balance(
     line: str = "reporting_line_key",
     version: str = "mapping_version",
     multiplier: str = "presentation_multiplier",
-    mapping_bound: int = MAPPING_BOUND,
-    mapping_rows: int | None = None,
 ) -> DataFrame:
     """Mapped line balances per ``keys`` (D17: A4, A6, A9, A13).
 
@@ -40,9 +35,7 @@ def line_balance(
 
     The raw rows are first aggregated to the account grain; the mapping (which
     may fan one account out to several lines) is applied to that small table,
-    so the fan-out never multiplies raw rows.  The mapping is broadcast only
-    below ``mapping_bound`` rows (``mapping_rows`` when its size is known,
-    else a ``limit`` count).  Sums are linear, the distinct
+    so the fan-out never multiplies raw rows.  Sums are linear, the distinct
     count and code set are per account, ``bool_and`` is associative: the
     result equals joining raw rows to the mapping and grouping once.
     """
@@ -52,10 +45,7 @@ def line_balance(
         F.sum(amount).alias("_reported"),
         F.bool_and(flag_col).alias("_flag"),
     )
-    m = bounded_broadcast(
-        mapping.select(account, line, version, multiplier), max_rows=mapping_bound, known_rows=mapping_rows
-    )
-    fanned = per_account.join(m, account, "inner")
+    fanned = per_account.join(mapping.select(account, line, version, multiplier), account, "inner")
     return fanned.groupBy(*ks, line, version).agg(
         F.sum("_reported").alias("reported_balance_amount"),
         F.sum(F.col("_reported") * F.col(multiplier)).alias("presentation_balance_amount"),

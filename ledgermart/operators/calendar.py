@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgermart.functions._util import names
 from ledgermart.functions.dates import month_diff, month_key, month_label, period_text, quarter_start, year_start
+from ledgermart.functions.numbers import safe_divide
 from ledgermart.functions.text import message_list
 
 
@@ -193,7 +194,8 @@ def derive_series(obs: DataFrame, key: str, month: str, value: str, derivation:
         back = 12 if derivation == "yoy_pct" else 1
         prior = m.select(F.col(key), F.add_months(month, back).alias(month), F.col("_v").alias("_p"))
         j = m.join(prior, [key, month], "left")
-        expr = ((F.col("_v") / F.col("_p")) - 1) * 100 if derivation == "yoy_pct" else F.col("_v") - F.col("_p")
+        # a prior of zero has no percentage change: null
+        expr = (safe_divide("_v", "_p") - 1) * 100 if derivation == "yoy_pct" else F.col("_v") - F.col("_p")
         return j.select(key, month, expr.alias("derived_value"))
     if derivation == "rolling_12m":
         # rows are one per month, so a 12-row frame spans exactly 12 months
@@ -201,7 +203,8 @@ def derive_series(obs: DataFrame, key: str, month: str, value: str, derivation:
         w = Window.partitionBy(key).orderBy(month).rowsBetween(-11, 0)
         r = m.withColumn("_lnsum", F.sum(F.log1p(F.col("_v") / 100)).over(w)).withColumn(
             "_first", F.min(month).over(w)
-        ).withColumn("_n", F.count(F.lit(1)).over(w))
+        ).withColumn("_n", F.count_if(F.col("_v") > -100).over(w))
+        # twelve rates above -100 %: a missing or impossible rate makes the product null
         ok = (F.col("_n") == 12) & (F.col("_first") == F.add_months(month, -11))
         return r.select(key, month, F.when(ok, (F.exp("_lnsum") - 1) * 100).alias("derived_value"))
     raise ValueError(f"unknown derivation {derivation!r}")

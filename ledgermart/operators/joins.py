@@ -1,10 +1,8 @@
 """Joins and set comparisons.
 
-Broadcast rule: a side is broadcast only when its size is bounded – either by
-construction (``known_rows``: inline constants, fixed reference domains) or by
-a cheap runtime check (``limit(bound + 1).count()``).  Anything else is left
-to the planner / AQE, which broadcasts only below
-``spark.sql.autoBroadcastJoinThreshold`` measured at runtime.
+No side is broadcast by a hint.  The planner and AQE broadcast a side whose
+measured bytes stay below ``spark.sql.autoBroadcastJoinThreshold`` (inline
+mappings and small dimensions do) and sort-merge or shuffle-hash anything else.
 """
 
 from __future__ import annotations
@@ -15,18 +13,6 @@ from pyspark.sql import functions as F
 from ledgermart.functions._util import names
 from ledgermart.functions.numbers import differs
 
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, known_rows: int | None = None) -> DataFrame:
-    """``broadcast(df)`` only behind a size bound; otherwise ``df`` unchanged."""
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= max_rows else df
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def selected_rows(rows: DataFrame, manifest: DataFrame, on, flag: str | Column = "is_selected", carry=()) -> DataFrame:
     """Rows of selected files only (J1): a semi-join, or an inner join carrying columns."""
     cond = F.col(flag) if isinstance(flag, str) else flag

@@ -97,7 +97,10 @@ class MeasureModel:
         date_dim: DataFrame | None = None,
         date_month: str = "month_start",
         lines: dict[str, str] | None = None,
+        member_attributes: Sequence[str] = (),
     ):
+        """``member_attributes``: further columns that name the member (its
+        label, say); the share's denominator clears them with the member."""
         self.fact = fact
         self.month = month
         self.member = member
@@ -106,6 +109,7 @@ class MeasureModel:
         self.date_dim = date_dim
         self.date_month = date_month
         self.lines = dict(lines or LINES)
+        self.member_attributes = tuple(member_attributes)
 
     # -- context -----------------------------------------------------------
     def _months(self, df: DataFrame, months, col: str | None = None) -> DataFrame:
@@ -149,8 +153,10 @@ class MeasureModel:
         others = [c for c in by if c != self.month]
         cur_month = self._current_month(ctx, by, anchor, months)
         if self.month in by:
+            # months of the context only: a prior value doesn't open a month beyond it
+            shown = ctx.select(self.month).distinct()
             prior = prior_rows.groupBy(*others, F.add_months(self.month, n).alias(self.month)).agg(
-                F.sum(self.amount).alias("_prior"))
+                F.sum(self.amount).alias("_prior")).join(shown, self.month, "left_semi")
         elif isinstance(cur_month, DataFrame):
             prior = prior_rows.join(cur_month, others, "inner").filter(
                 F.col(self.month) == F.add_months("_cur_month", -n)
@@ -161,7 +167,8 @@ class MeasureModel:
         cur = self.line_values(ctx, by).select(*by, F.col("total_assets").alias("_cur"))
         if not by:
             return cur.select(growth(F.col("_cur"), prior.select("_prior").scalar()).alias(out_col))
-        j = cur.join(prior, list(by), "left")
+        # a group that has only a prior value is one that ended: -100 %
+        j = cur.join(prior, list(by), "full_outer")
         return j.select(*by, growth("_cur", "_prior").alias(out_col))
 
     def peer_median(self, ctx: DataFrame, by: Sequence[str], out_col: str = "peer_median") -> DataFrame:
@@ -188,7 +195,7 @@ class MeasureModel:
                 num, den = RATIOS[m]
                 selected.append(safe_divide(num, den).alias(m))
             elif m == "population_share":
-                rest = [c for c in by if c != self.member]
+                rest = [c for c in by if c != self.member and c not in self.member_attributes]
                 den = self.line_values(ctx, rest).select(*rest, F.col("total_assets").alias("_selection_total"))
                 frames.append(den)
                 selected.append(safe_divide("total_assets", "_selection_total").alias(m))
@@ -209,7 +216,8 @@ def _combine(frames: list[DataFrame], by: list[str]) -> DataFrame:
         out = frames[0]
         for f in frames[1:]:
             rest = [c for c in by if c in f.columns]
-            out = out.join(f, rest, "left") if rest else out.withColumns({c: f.select(c).scalar() for c in f.columns})
+            # growth frames may hold groups that have only a prior value
+            out = out.join(f, rest, "full_outer" if len(rest) == len(by) else "left") if rest else out.withColumns({c: f.select(c).scalar() for c in f.columns})
         return out
     out = frames[0]
     for f in frames[1:]:

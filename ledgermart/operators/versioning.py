@@ -7,10 +7,9 @@ runs a window over a whole raw group in one task.
   which Catalyst plans as a *partial* ``WindowGroupLimit`` before the shuffle:
   a hot key arrives at the reducer as at most one row per map partition.
   Flags are joined back on the row identity, which is evenly spread.
-* ordinals (``version_ordinal``) check the largest group first; a hot group is
-  numbered in a range-partitioned layout that splits it into slices, each
-  slice adding the count of the earlier slices of the same group (a small
-  per-(group, slice) table).  Without a hot group a plain window is used.
+* ordinals (``version_ordinal``) are numbered in a range-partitioned layout
+  that splits a hot group into slices, each slice adding the count of the
+  earlier slices of the same group (a small per-(group, slice) table).
 """
 
 from __future__ import annotations
@@ -54,9 +53,6 @@ def select_version(
     return out.withColumn(flag_col, selected).drop("_winner")
 
 
-MAX_GROUP_ROWS = 2_000_000
-
-
 def distributed_row_number(
     df: DataFrame,
     partition,
@@ -64,51 +60,44 @@ def distributed_row_number(
     out_col: str = "row_number",
     count_col: str | None = None,
     slices: int | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """``row_number() over (partition by … order by …)`` that splits hot groups.
 
     ``order`` must be a total order within a group (end it with a unique key).
-    Range partitioning on (partition, order) cuts a large group into
+    Range partitioning on (partition, order) cuts every large group into
     contiguous slices on several tasks; the per-(group, slice) row counts
-    (at most groups + slices rows) give each slice its offset.  With
-    ``count_col`` the group size is attached as well.
-
-    The sliced frame is read twice (numbering, counts), and range bounds come
-    from sampling, so it is materialised once with a reliable checkpoint in
-    the shared checkpoint folder: both reads then see the same slices, and a
-    lost executor is recovered from the checkpoint, not by re-sampling.
-
-    Slicing is only needed when a group is hot: one partial aggregate finds
-    the largest group, and when it holds at most ``max_group_rows`` rows (what
-    one task handles comfortably) a plain window is used instead.
-    ``max_group_rows=None`` always slices.
+    (at most groups + slices rows) give each slice its offset.  Null keys are
+    a group like any other.  Numbers are ``bigint``.  With ``count_col`` the
+    group size is attached as well.
+
+    The sliced frame is read twice (numbering, counts) and its range bounds
+    come from sampling, so it is written once to the shared checkpoint folder
+    while the query is built: both reads then see the same slices, and a lost
+    executor is recovered from there, not by re-sampling.
     """
     part = names(partition)
     order_cols = _sort_cols(order)
-    if part and max_group_rows is not None:
-        largest = df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0
-        if largest <= max_group_rows:
-            w = Window.partitionBy(*part)
-            out = df.withColumn(out_col, F.row_number().over(w.orderBy(*order_cols)).cast("int"))
-            return out.withColumn(count_col, F.count(F.lit(1)).over(w)) if count_col else out
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = cut_lineage(df.repartitionByRange(n, *[F.col(p) for p in part], *order_cols).withColumn(
         "_slice", F.spark_partition_id()
     ))
     local = ranged.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*part, "_slice").orderBy(*order_cols))
+        "_local", F.row_number().over(Window.partitionBy(*part, "_slice").orderBy(*order_cols)).cast("bigint")
     )
     counts = ranged.groupBy(*part, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    offsets = counts.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint"))
     keep = ["_offset"]
     if count_col:
         offsets = offsets.withColumn(count_col, F.sum("_n").over(Window.partitionBy(*part)))
         keep.append(count_col)
-    out = local.join(offsets.select(*part, "_slice", *keep), [*part, "_slice"], "inner")
-    return out.withColumn(out_col, (F.col("_local") + F.col("_offset")).cast("int")).drop(
-        "_slice", "_local", "_offset"
+    offsets = offsets.select(*[F.col(p).alias(f"_key{i}") for i, p in enumerate(part)], F.col("_slice").alias("_of"), *keep)
+    same = F.col("_slice") == F.col("_of")
+    for i, p in enumerate(part):
+        same = same & F.col(p).eqNullSafe(F.col(f"_key{i}"))
+    out = local.join(offsets, same, "inner")
+    return out.withColumn(out_col, F.col("_local") + F.col("_offset")).drop(
+        "_slice", "_local", "_offset", "_of", *[f"_key{i}" for i in range(len(part))]
     )
 
 
@@ -119,8 +108,7 @@ def version_ordinal(
     version_col: str = "period_version",
     active_col: str = "is_active",
     slices: int | None = None,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Version number per partition and ``is_active`` = last version."""
-    out = distributed_row_number(df, partition, order, version_col, "_versions", slices, max_group_rows)
+    out = distributed_row_number(df, partition, order, version_col, "_versions", slices)
     return out.withColumn(active_col, F.col(version_col) == F.col("_versions")).drop("_versions")

@@ -17,8 +17,8 @@ DuckDB query over the same tables, with the same column names and types.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +41,6 @@ from ledgermart.operators import MeasureModel, account_amount, calendar, macro_v
 from ledgermart.operators.aggregates import line_balance, null_scan, pivot_sums
 from ledgermart.operators.calendar import continuity_breaks, coverage, missing_months, profile_series, derive_series
 from ledgermart.operators.joins import (
-    bounded_broadcast,
     reconcile,
     selected_rows,
     set_compare,
@@ -53,7 +52,8 @@ from ledgermart.operators.quality import Control, build_controls, check_accepted
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
 from ledgermart.plans.controls import population_controls
 from ledgermart.sources.catalog import classify_probes
-from ledgermart.sources.landing import upsert_frames
+from ledgermart.session import scratch_path
+from ledgermart.sources.landing import table_exists, upsert_frames, write_table
 from ledgermart.sources.tables import read_table
 
 # Reporting-line mapping of part types (line, name, order,
@@ -81,17 +81,13 @@ SERIES_END = "2001-08-01"
 SERIES_MAX_LAG = 3
 PROBE_STATUS = {"view": 200, "click": 206, "signup": 404, "purchase": 503}
 
+MART_INPUTS = ("lineitem", "orders", "customer", "part")
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-# Keys an under-partitioned scan of the large tables is spread on (see
-# ``sources.tables.read_table``): the keys most of their joins / groupings use.
-SPREAD_KEYS = {"lineitem": ["l_orderkey"], "orders": ["o_custkey"], "events": ["user_id"]}
-
-
-def table(spark: SparkSession, d: str, name: str, spread_by=None) -> DataFrame:
-    return read_table(spark, f"{d}/{name}.parquet", spread_by or SPREAD_KEYS.get(name))
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return read_table(spark, f"{d}/{name}.parquet")
 
 
 def mapping_df(spark: SparkSession) -> DataFrame:
@@ -117,16 +113,24 @@ def _in_month(c: str, month: str):
 # ---------------------------------------------------------------------------
 # Shared relations
 # ---------------------------------------------------------------------------
-# Marts reused by many report queries are built once per session and kept
-# (memory, spilling to disk); a lost executor recomputes its blocks from lineage.
-_MARTS: dict[tuple[str, str, str], DataFrame] = {}
+# Marts reused by many report queries are tables below the shared checkpoint
+# folder, written once per application and version of their input files.
+def session_mart(spark: SparkSession, d: str, name: str, build) -> DataFrame:
+    path = scratch_path(spark, f"marts/{spark.sparkContext.applicationId}/{input_version(spark, d)}/{name}")
+    if not table_exists(spark, f"{path}/_SUCCESS"):
+        write_table(build(), path)
+    return spark.read.parquet(path)
 
 
-def session_mart(spark: SparkSession, d: str, name: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _MARTS:
-        _MARTS[key] = build().persist(StorageLevel.MEMORY_AND_DISK)
-    return _MARTS[key]
+def input_version(spark: SparkSession, d: str) -> str:
+    """A name for the tables a mart is built from: changes when one of them is rewritten."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    stamps = []
+    for name in MART_INPUTS:
+        path = jvm.org.apache.hadoop.fs.Path(f"{d}/{name}.parquet")
+        status = path.getFileSystem(conf).getFileStatus(path)
+        stamps.append(f"{path}:{status.getModificationTime()}:{status.getLen()}")
+    return hashlib.md5("|".join(stamps).encode()).hexdigest()
 
 
 def customer_account_month(spark: SparkSession, d: str) -> DataFrame:
@@ -136,7 +140,7 @@ def customer_account_month(spark: SparkSession, d: str) -> DataFrame:
     aggregation) before the customer join, so the later joins and the
     mapping fan-out work on aggregated rows only.
     """
-    li = table(spark, d, "lineitem", ["l_orderkey"]).select(
+    li = table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
     o = table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", _month("o_orderdate").alias("report_month"),
@@ -159,8 +163,9 @@ def member_account_month(spark: SparkSession, d: str) -> DataFrame:
 def build_member_account_month(spark: SparkSession, d: str) -> DataFrame:
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     cam = customer_account_month(spark, d)
-    return cam.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
-        "report_month", "c_nationkey", "p_type", "amount", "line_count", "is_final")
+    # months × members × accounts rows, however many customers there are
+    return cam.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("report_month", "c_nationkey", "p_type").agg(
+        F.sum("amount").alias("amount"), F.sum("line_count").alias("line_count"), F.bool_and("is_final").alias("is_final"))
 
 
 def line_fact(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +175,7 @@ def line_fact(spark: SparkSession, d: str) -> DataFrame:
 
 def build_line_fact(spark: SparkSession, d: str) -> DataFrame:
     lb = line_balance(member_account_month(spark, d), mapping_df(spark), ["report_month", "c_nationkey"],
-                      "p_type", "amount", flag="is_final", mapping_rows=len(MAPPING_ROWS))
+                      "p_type", "amount", flag="is_final")
     return lb.select(
         surrogate_key("report_month", "c_nationkey", "reporting_line_key", "mapping_version").alias("reporting_line_balance_key"),
         "report_month",
@@ -336,7 +341,7 @@ def entity_period(spark, d):
 
 def account_dim(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_name", "p_type")
-    m = bounded_broadcast(mapping_df(spark).select("p_type"), known_rows=len(MAPPING_ROWS))
+    m = mapping_df(spark).select("p_type")
     out = with_membership(p, m, "p_type", "is_reporting_line_component")
     return out.select(
         surrogate_key("p_partkey").alias("account_key"), "p_partkey", "p_name", "p_type",
@@ -366,7 +371,7 @@ def class_pivot(spark, d):
 def top15_freeze(spark, d):
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     f = _freeze(spark, d)
-    return f.join(bounded_broadcast(n, known_rows=25), "c_nationkey").select(
+    return f.join(n, "c_nationkey").select(
         "freeze_rank", "c_nationkey", "n_name", "total_amount", "cutoff_gap")
 
 
@@ -479,6 +484,31 @@ def peer_table(spark, d):
         by=["c_nationkey"])
 
 
+# The context of the named tables (months, a member that ends early).
+NAMED_MONTHS = ("1996-01-01", "2001-05-01")
+ENDED_MEMBER, ENDED_AFTER = 3, "2000-11-01"
+
+
+def _named_measures(spark, d):
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    ended = (F.col("c_nationkey") == ENDED_MEMBER) & (F.col("report_month") > F.lit(ENDED_AFTER).cast("date"))
+    return MeasureModel(line_fact(spark, d).join(n, "c_nationkey").filter(~ended), month="report_month",
+                        member="c_nationkey", line="reporting_line_code", amount="presentation_balance_amount",
+                        date_dim=date_dim(spark, d), date_month="month_start", member_attributes=["n_name"])
+
+
+def peer_table_named(spark, d):
+    """Shares by member and its name over a month range; one member ends early."""
+    return _named_measures(spark, d).query(["total_assets", "population_share", "credit_share"],
+                                           by=["c_nationkey", "n_name"], months=NAMED_MONTHS)
+
+
+def mix_table_named(spark, d):
+    """R3 / M9 by member and its name: growth looks beyond the month range, not beyond the member's end."""
+    return _named_measures(spark, d).query(["total_assets", "mom_growth", "equity_to_assets"],
+                                           by=["c_nationkey", "n_name"], months=NAMED_MONTHS)
+
+
 def growth_card(spark, d):
     """Cards without filters, both anchors (the date dimension ends later)."""
     m = measures(spark, d)
@@ -497,16 +527,17 @@ def trust_table(spark, d):
 
 
 def _expected_lines(spark, d):
-    """Line sums straight from line items (no pre-aggregation): the reference route."""
-    li = table(spark, d, "lineitem", ["l_orderkey"]).select(
+    """Line sums from line items by a route of their own: part and customer first,
+    an aggregate at (month, member, account), then the mapping's fan-out."""
+    li = table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", _month("o_orderdate").alias("report_month"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     p = table(spark, d, "part").select("p_partkey", "p_type")
-    m = bounded_broadcast(mapping_df(spark), known_rows=len(MAPPING_ROWS))
-    rows = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(c, F.col("o_custkey") == F.col("c_custkey"))
-            .join(p, F.col("l_partkey") == F.col("p_partkey"))
+    m = mapping_df(spark)
+    rows = (li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+            .join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy("report_month", "c_nationkey", "p_type").agg(F.sum("amount").alias("amount"))
             .join(m, "p_type"))
     return rows.groupBy("report_month", "c_nationkey", F.col("reporting_line_key").alias("reporting_line_code"),
                         "mapping_version").agg(
@@ -624,8 +655,13 @@ def metrics_row_q(spark, d):
 
 def idempotent_upsert(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", money("o_totalprice").alias("amount"))
-    replay = o.filter(F.col("o_orderstatus") == "O")
-    return upsert_frames(o, replay, "o_orderkey")
+    changed = o.filter(F.col("o_orderstatus") == "O").withColumn("amount", (F.col("amount") + 1).cast("decimal(38,2)"))
+    # the same keys once more with another value, and keys that are new
+    again = changed.filter(F.col("o_orderkey") % 3 == 0).withColumn("amount", (F.col("amount") + 5).cast("decimal(38,2)"))
+    new = o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderkey", -F.col("o_orderkey"))
+    batch = changed.unionByName(again).unionByName(new)
+    once = upsert_frames(o, batch, "o_orderkey")
+    return upsert_frames(once, batch, "o_orderkey")
 
 
 def probe_status(spark, d):
@@ -652,8 +688,7 @@ def segment_yoy(spark, d):
 
 def assets_by_member(spark, d):
     """R2: total assets by member (closing balance), largest first."""
-    n = bounded_broadcast(table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"),
-                          known_rows=25)
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return measures(spark, d).query(["total_assets"], by=["c_nationkey"]).join(n, "c_nationkey").orderBy(
         F.col("total_assets").desc_nulls_last(), "n_name").select("c_nationkey", "n_name", "total_assets")
 
@@ -666,8 +701,7 @@ def credit_share_by_month(spark, d):
 
 def member_slicer(spark, d):
     """The distinct members present in the line fact."""
-    n = bounded_broadcast(table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name"),
-                          known_rows=25)
+    n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
     return line_fact(spark, d).select("c_nationkey").distinct().join(n, "c_nationkey").select("n_name").distinct()
 
 
@@ -758,6 +792,8 @@ RECIPES = {
     "yoy_growth": yoy_growth,
     "mix_table": mix_table,
     "peer_table": peer_table,
+    "peer_table_named": peer_table_named,
+    "mix_table_named": mix_table_named,
     "growth_card": growth_card,
     "trust_table": trust_table,
     "reconcile_full": reconcile_full,

@@ -19,7 +19,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermart.functions import (
@@ -35,7 +35,7 @@ from ledgermart.functions._util import values_frame
 from ledgermart.operators.aggregates import line_balance
 from ledgermart.operators.calendar import calendar
 from ledgermart.operators.joins import selected_rows, with_membership
-from ledgermart.operators.versioning import distributed_row_number, latest_by, select_version
+from ledgermart.operators.versioning import latest_by, select_version
 
 # The analytical document, the asset accounts that make up total
 # assets, and the document dimension rows.
@@ -202,10 +202,9 @@ def build_dim_bank(population: DataFrame, bank_period: DataFrame, ab: DataFrame,
         F.col("is_fixture") & (F.col("report_month") == fixture_month)
         & (F.col("document_code") == RANKING_DOCUMENT) & F.col("account_code").isin(*asset_accounts)
     ).groupBy("institution_cnpj").agg(F.sum("balance_amount").alias("total_assets"))
-    # global rank without a single-task window: range-partitioned slices + offsets
-    ranked = distributed_row_number(
-        totals, [], [F.col("total_assets").desc_nulls_first(), F.col("institution_cnpj").asc()], "freeze_rank"
-    ).select("institution_cnpj", "freeze_rank")
+    # one row per member of the fixture population: a bounded window
+    order = Window.orderBy(F.col("total_assets").desc_nulls_first(), F.col("institution_cnpj").asc())
+    ranked = totals.select("institution_cnpj", F.row_number().over(order).alias("freeze_rank"))
     fixture = bank_period.filter("is_fixture").join(ranked, "institution_cnpj").groupBy(
         "institution_cnpj", "freeze_rank").agg(
         F.max("institution_name").alias("institution_name"),

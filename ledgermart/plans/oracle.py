@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from ledgermart.plans.driver_tables import (
     ACCEPTED_STATUSES,
+    ENDED_AFTER,
+    ENDED_MEMBER,
     EXPECTED_SEGMENTS,
     FREEZE_MONTH,
     MAPPING_ROWS,
     MAPPING_VERSION,
+    NAMED_MONTHS,
     POPULATION_SIZE,
     POPULATION_COMPONENTS,
     PRESENCE_COMPONENT,
@@ -89,6 +92,10 @@ TOTAL_LAST = f"""tot AS (
   SELECT {_lines()}
   FROM lf WHERE lf.report_month = (SELECT MAX(report_month) FROM lf))"""
 
+# the context of the named tables: a month range, and a member that ends early
+ENDED_FILTER = f"NOT (c_nationkey = {ENDED_MEMBER} AND report_month > DATE '{ENDED_AFTER}')"
+NAMED_FILTER = f"report_month BETWEEN DATE '{NAMED_MONTHS[0]}' AND DATE '{NAMED_MONTHS[1]}' AND {ENDED_FILTER}"
+
 VERSIONED = """versioned AS (
   SELECT *, (row_number() OVER (PARTITION BY o_custkey
              ORDER BY (o_orderstatus = 'F') DESC, o_orderdate DESC, o_orderkey DESC) = 1
@@ -223,7 +230,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, is_selected FROM versioned""",
     "version_ordinal": f"""
 WITH o AS (SELECT o_orderkey, o_custkey, o_orderdate, {MONTH.format(c='o_orderdate')} AS report_month FROM orders)
 SELECT o_orderkey, o_custkey, report_month,
-       CAST(row_number() OVER w AS INTEGER) AS period_version,
+       row_number() OVER w AS period_version,
        row_number() OVER w = COUNT(*) OVER (PARTITION BY o_custkey, report_month) AS is_active
 FROM o
 WINDOW w AS (PARTITION BY o_custkey, report_month ORDER BY o_orderdate, o_orderkey)""",
@@ -368,16 +375,16 @@ cur AS (SELECT lf.report_month, lf.c_nationkey, {_lines()} FROM lf GROUP BY lf.r
 pr AS (SELECT CAST(report_month + INTERVAL 1 MONTH AS DATE) AS report_month, c_nationkey,
               SUM(presentation_balance_amount) AS prior
        FROM lf WHERE reporting_line_code = 'total_assets' GROUP BY 1, 2)
-SELECT cur.report_month, cur.c_nationkey, cur.total_assets, {_growth('cur.total_assets', 'pr.prior')} AS mom_growth
-FROM cur LEFT JOIN pr ON cur.report_month = pr.report_month AND cur.c_nationkey = pr.c_nationkey""",
+SELECT report_month, c_nationkey, cur.total_assets, {_growth('cur.total_assets', 'pr.prior')} AS mom_growth
+FROM cur FULL JOIN (SELECT * FROM pr WHERE report_month IN (SELECT report_month FROM lf)) pr USING (report_month, c_nationkey)""",
     "yoy_growth": f"""
 {LINE_BASE},
 cur AS (SELECT lf.report_month, lf.c_nationkey, {_lines()} FROM lf GROUP BY lf.report_month, lf.c_nationkey),
 pr AS (SELECT CAST(report_month + INTERVAL 12 MONTH AS DATE) AS report_month, c_nationkey,
               SUM(presentation_balance_amount) AS prior
        FROM lf WHERE reporting_line_code = 'total_assets' GROUP BY 1, 2)
-SELECT cur.report_month, cur.c_nationkey, cur.total_assets, {_growth('cur.total_assets', 'pr.prior')} AS yoy_growth
-FROM cur LEFT JOIN pr ON cur.report_month = pr.report_month AND cur.c_nationkey = pr.c_nationkey""",
+SELECT report_month, c_nationkey, cur.total_assets, {_growth('cur.total_assets', 'pr.prior')} AS yoy_growth
+FROM cur FULL JOIN (SELECT * FROM pr WHERE report_month IN (SELECT report_month FROM lf)) pr USING (report_month, c_nationkey)""",
     "mix_table": f"""
 {LINE_BASE},
 {MEMBER_LAST},
@@ -399,6 +406,37 @@ SELECT vals.c_nationkey, vals.total_assets, {_div('vals.total_assets', 'tot.tota
        {_div('vals.deposits', 'vals.total_assets')} AS deposit_funding_share,
        {_div('vals.equity', 'vals.total_assets')} AS equity_to_assets
 FROM vals, tot""",
+    "peer_table_named": f"""
+{LINE_BASE},
+sel AS (SELECT * FROM lf WHERE {NAMED_FILTER}),
+last AS (SELECT c_nationkey, MAX(report_month) AS lm FROM sel GROUP BY c_nationkey),
+vals AS (
+  SELECT sel.c_nationkey, {_lines('sel')}
+  FROM sel JOIN last ON sel.c_nationkey = last.c_nationkey AND sel.report_month = last.lm
+  GROUP BY sel.c_nationkey),
+tot AS (SELECT {_lines('sel')} FROM sel WHERE sel.report_month = (SELECT MAX(report_month) FROM sel))
+SELECT vals.c_nationkey, n.n_name, vals.total_assets,
+       {_div('vals.total_assets', 'tot.total_assets')} AS population_share,
+       {_div('vals.credit_portfolio', 'vals.total_assets')} AS credit_share
+FROM vals JOIN nation n ON vals.c_nationkey = n.n_nationkey, tot""",
+    "mix_table_named": f"""
+{LINE_BASE},
+sel AS (SELECT * FROM lf WHERE {NAMED_FILTER}),
+last AS (SELECT c_nationkey, MAX(report_month) AS lm FROM sel GROUP BY c_nationkey),
+vals AS (
+  SELECT sel.c_nationkey, {_lines('sel')}
+  FROM sel JOIN last ON sel.c_nationkey = last.c_nationkey AND sel.report_month = last.lm
+  GROUP BY sel.c_nationkey),
+ended AS (SELECT * FROM lf WHERE {ENDED_FILTER}),
+pr AS (
+  SELECT ended.c_nationkey, SUM(ended.presentation_balance_amount) AS prior
+  FROM ended JOIN last ON ended.c_nationkey = last.c_nationkey
+                      AND ended.report_month = CAST(last.lm - INTERVAL 1 MONTH AS DATE)
+  WHERE ended.reporting_line_code = 'total_assets' GROUP BY ended.c_nationkey)
+SELECT vals.c_nationkey, n.n_name, vals.total_assets, {_growth('vals.total_assets', 'pr.prior')} AS mom_growth,
+       {_div('vals.equity', 'vals.total_assets')} AS equity_to_assets
+FROM vals JOIN nation n ON vals.c_nationkey = n.n_nationkey
+LEFT JOIN pr ON vals.c_nationkey = pr.c_nationkey""",
     "growth_card": f"""
 {LINE_BASE},
 {TOTAL_LAST},
@@ -514,7 +552,11 @@ SELECT (SELECT COUNT(*) FROM lineitem) AS lineitem_rows,
        (SELECT COUNT(DISTINCT c_nationkey) FROM lf) AS members""",
     "idempotent_upsert": """
 WITH o AS (SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(38,2)) AS amount FROM orders),
-b AS (SELECT * FROM o WHERE o_orderstatus = 'O')
+b AS (
+  SELECT o_orderkey, o_orderstatus,
+         CAST(amount + CASE WHEN o_orderkey % 3 = 0 THEN 6 ELSE 1 END AS DECIMAL(38,2)) AS amount
+  FROM o WHERE o_orderstatus = 'O'
+  UNION ALL SELECT -o_orderkey, o_orderstatus, amount FROM o WHERE o_orderstatus = 'P')
 SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)
 UNION ALL
 SELECT * FROM b""",
@@ -588,8 +630,8 @@ WITH cam AS (
          SUM(CAST(l.l_extendedprice AS DECIMAL(38,2))) AS amount
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_partkey = p.p_partkey
   GROUP BY 1, 2, 3),
-rows AS (SELECT cam.report_month, c.c_nationkey, cam.p_type, cam.amount
-         FROM cam JOIN customer c ON cam.o_custkey = c.c_custkey),
+rows AS (SELECT cam.report_month, c.c_nationkey, cam.p_type, SUM(cam.amount) AS amount
+         FROM cam JOIN customer c ON cam.o_custkey = c.c_custkey GROUP BY 1, 2, 3),
 state AS (
   SELECT report_month, c_nationkey,
          {", ".join(f"SUM(amount) FILTER (WHERE p_type = {_q(t)}) AS {a}, COUNT(*) FILTER (WHERE p_type = {_q(t)}) AS {a}_rows" for a, t in POPULATION_COMPONENTS.items())},

@@ -25,7 +25,8 @@ def model_from_marts(marts: dict[str, DataFrame]) -> MeasureModel:
     fact = marts["fact_reporting_line_balance"].join(
         marts["dim_bank"].select("bank_key", F.col("institution_name").alias("bank_name")), "bank_key")
     return MeasureModel(fact, month="report_month", member="bank_key", line="reporting_line_code",
-                        amount="presentation_balance_amount", date_dim=marts["dim_date"], date_month="month_start")
+                        amount="presentation_balance_amount", date_dim=marts["dim_date"], date_month="month_start",
+                        member_attributes=["bank_name"])
 
 
 def cards(model: MeasureModel, page: str, where: Column | None = None, months=None, anchor: str = "fact") -> DataFrame:

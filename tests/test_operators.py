@@ -42,12 +42,20 @@ def test_distributed_row_number_matches_window(skewed):
     pdf["rn"] = pdf.groupby("key").cumcount() + 1
     pdf["n"] = pdf.groupby("key")["id"].transform("count")
     exp = {(r.id, r.rn, r.n) for r in pdf.itertuples()}
-    for bound in (None, 100, 10_000):  # sliced (forced), sliced (hot group above the bound), plain window
-        got = distributed_row_number(skewed, ["key"], [F.col("v").desc(), F.col("id")], "rn", "n", slices=8,
-                                     max_group_rows=bound)
+    for slices in (1, 8):
+        got = distributed_row_number(skewed, ["key"], [F.col("v").desc(), F.col("id")], "rn", "n", slices=slices)
+        assert dict(got.dtypes)["rn"] == "bigint"
         assert {(r.id, r.rn, r.n) for r in got.collect()} == exp
 
 
+def test_distributed_row_number_keeps_null_keys(skewed):
+    nulled = skewed.withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
+    got = distributed_row_number(nulled, ["key"], [F.col("id")], "rn", "n", slices=8).collect()
+    assert len(got) == 3000
+    nulls = sorted((r.id, r.rn, r.n) for r in got if r.key is None)
+    assert nulls == [(3 * i, i + 1, 1000) for i in range(1000)]
+
+
 def test_global_rank_without_partition(skewed):
     got = distributed_row_number(skewed, [], [F.col("v").desc(), F.col("id")], "rn", slices=5)
     pdf = skewed.toPandas().sort_values(["v", "id"], ascending=[False, True]).reset_index(drop=True)
@@ -56,7 +64,7 @@ def test_global_rank_without_partition(skewed):
 
 def test_version_ordinal_and_selection(skewed):
     v = {r.id: (r.period_version, r.is_active)
-         for r in version_ordinal(skewed, "key", [F.col("id")], max_group_rows=None).collect()}
+         for r in version_ordinal(skewed, "key", [F.col("id")]).collect()}
     hot = sorted(i for i in range(0, 3000, 3))
     assert v[hot[0]] == (1, False) and v[hot[-1]] == (1000, True)
     sel = select_version(skewed, "key", [(F.col("status") == "F").desc(), F.col("v").desc(), F.col("id").desc()],
