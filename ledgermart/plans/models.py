@@ -19,6 +19,8 @@ Scale notes:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -337,15 +339,20 @@ def build_fact_monthly_economic_context(obs: DataFrame, dim_series: DataFrame, d
 
 
 def build_marts(spark: SparkSession, balance_rows: DataFrame, file_manifest: DataFrame, series_metadata: DataFrame,
-                observations: DataFrame, mapping_seed: DataFrame, population_seed: DataFrame) -> dict[str, DataFrame]:
-    """Every core model and mart, lazily, keyed by model name."""
+                observations: DataFrame, mapping_seed: DataFrame, population_seed: DataFrame,
+                landed: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
+    """Every core model and mart, lazily, keyed by model name.
+
+    ``landed`` may write ``account_balance`` (D2), the big relation that eight
+    models read, as a table and return that.
+    """
     m = {}
     m["stg_cosif_balance_row"] = stg_balance_rows(balance_rows)
     m["stg_cosif_file_manifest"] = stg_file_manifest(file_manifest)
     m["stg_sgs_series_metadata"] = stg_series_metadata(series_metadata)
     m["stg_sgs_observation"] = stg_observation(observations)
     m["cosif_file_manifest"] = build_cosif_file_manifest(m["stg_cosif_file_manifest"])
-    m["account_balance"] = build_account_balance(m["stg_cosif_balance_row"], m["cosif_file_manifest"])
+    m["account_balance"] = landed(build_account_balance(m["stg_cosif_balance_row"], m["cosif_file_manifest"]))
     m["bank_period"] = build_bank_period(m["account_balance"])
     m["cosif_account"] = build_cosif_account(m["account_balance"])
     m["macro_series"] = build_macro_series(m["stg_sgs_series_metadata"])
