@@ -45,6 +45,11 @@ def type_name(dt: T.DataType) -> str:
     return dt.simpleString()
 
 
+def sized_type_name(dt: T.DataType) -> str:
+    """``type_name`` with the precision and scale of a decimal."""
+    return f"numeric({dt.precision},{dt.scale})" if isinstance(dt, T.DecimalType) else type_name(dt)
+
+
 def contract_type(name: str) -> T.DataType:
     """Parse a contract type name (``numeric(38,2)``, ``varchar(6)``, ...)."""
     key = name.strip().lower()

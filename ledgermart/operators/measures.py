@@ -179,12 +179,52 @@ class MeasureModel:
         cents = (F.col("total_assets") * 100).cast("double")
         return vals.groupBy(*by).agg((F.median(cents) / 100).alias(out_col))
 
+    # -- cards ---------------------------------------------------------------
+    def card(self, measures: Sequence[str], base: DataFrame, months=None, anchor: str = "fact") -> DataFrame:
+        """Measures without group keys from one read of the fact.
+
+        The fact is summed per month and line; the months (a bounded list)
+        come together in one row, and every measure picks its months there.
+        """
+        ta = next(k for k, code in self.lines.items() if code == self.lines["total_assets"])
+        per_month = base.groupBy(F.col(self.month).alias("_m")).agg(*[
+            F.sum(F.when(F.col(self.line) == F.lit(code), F.col(self.amount))).alias(name) for name, code in self.lines.items()])
+        inside = F.lit(True)
+        if months:
+            inside = F.col("_m").between(F.lit(months[0]).cast("date"), F.lit(months[1]).cast("date"))
+        row = per_month.agg(F.max(F.when(inside, F.col("_m"))).alias("_last"),
+                            F.collect_list(F.struct("_m", *self.lines)).alias("_all"))
+        if anchor == "date_dim":
+            if self.date_dim is None:
+                raise ValueError("anchor='date_dim' needs a date dimension")
+            row = row.withColumn("_anchor", self._months(self.date_dim, months, self.date_month).select(F.max(self.date_month)).scalar())
+        else:
+            row = row.withColumn("_anchor", F.col("_last"))
+
+        def at(name: str, month: Column) -> Column:
+            return F.get(F.filter("_all", lambda s: s["_m"] == month), 0)[name]
+
+        def value(m: str) -> Column:
+            if m in self.lines:
+                return at(m, F.col("_last"))
+            if m in RATIOS:
+                return safe_divide(*[at(part, F.col("_last")) for part in RATIOS[m]])
+            if m == "population_share":
+                return safe_divide(at(ta, F.col("_last")), at(ta, F.col("_last")))
+            if m in GROWTH:
+                return growth(at(ta, F.col("_last")), at(ta, F.add_months("_anchor", -GROWTH[m])))
+            raise ValueError(f"unknown measure {m!r}")
+
+        return row.select(*[value(m).alias(m) for m in measures])
+
     # -- query -------------------------------------------------------------
     def query(self, measures: Sequence[str], by=(), where: Column | None = None, months=None,
               anchor: str = "fact") -> DataFrame:
         by = names(by)
-        ctx = self.context(where, months)
         base = self.fact if where is None else self.fact.filter(where)
+        if not by and "peer_median" not in measures:
+            return self.card(measures, base, months, anchor)
+        ctx = self.context(where, months)
         vals = self.line_values(ctx, by)
         frames: list[DataFrame] = [vals]
         selected: list[Column] = []

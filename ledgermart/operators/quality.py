@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ledgermart.functions._util import names
 from ledgermart.functions.numbers import differs
-from ledgermart.functions.types import type_name
+from ledgermart.functions.types import sized_type_name, type_name
+from ledgermart.operators.aggregates import metrics_row
 from ledgermart.operators.calendar import continuity_breaks
 from ledgermart.operators.joins import set_diff
 
@@ -101,10 +102,12 @@ def check_schema(df: DataFrame, expected: T.StructType | list[tuple[str, str]])
     Pure metadata: no job runs.  Returns one dict per position that differs.
     """
     if isinstance(expected, T.StructType):
-        exp = [(f.name, type_name(f.dataType)) for f in expected.fields]
+        exp = [(f.name, sized_type_name(f.dataType)) for f in expected.fields]
     else:
         exp = [(n, t) for n, t in expected]
-    act = [(f.name, type_name(f.dataType)) for f in df.schema.fields]
+    # a contract that says just ``numeric`` leaves precision and scale open
+    act = [(f.name, type_name(f.dataType) if i < len(exp) and exp[i][1] == "numeric" else sized_type_name(f.dataType))
+           for i, f in enumerate(df.schema.fields)]
     issues = []
     for i in range(max(len(exp), len(act))):
         e = exp[i] if i < len(exp) else None
@@ -156,28 +159,20 @@ def failing_rows(name: str, check: DataFrame, detail: str = "") -> Control:
 def build_controls(spark: SparkSession, controls: list[Control], rollup_name: str = "all_controls_pass") -> DataFrame:
     """Control table (Q14–Q20), the last row = AND of all earlier ones.
 
-    Each control is a one-row aggregate over its own frame; the rows are
-    unioned and the roll-up aggregates the union.
+    Each control is one value, evaluated once; all of them stand in one row,
+    which is turned into the table's rows together with the roll-up.
     """
-    rows = []
-    for i, c in enumerate(controls):
-        rows.append(c.frame.agg(
-            F.lit(i + 1).alias("control_order"),
-            F.lit(c.name).alias("control_name"),
-            F.coalesce(_OPS[c.op](c.actual, F.lit(c.expected)), F.lit(False)).alias("passed"),
-            F.lit(f"{c.op} {c.expected}").alias("expected"),
-            c.actual.cast("string").alias("actual"),
-            F.lit(c.detail).alias("detail"),
-        ))
-    table = rows[0]
-    for r in rows[1:]:
-        table = table.unionByName(r)
-    rollup = table.agg(
-        F.lit(len(controls) + 1).alias("control_order"),
-        F.lit(rollup_name).alias("control_name"),
-        F.coalesce(F.bool_and("passed"), F.lit(False)).alias("passed"),
-        F.lit("all prior controls pass").alias("expected"),
-        F.concat(F.count_if("passed").cast("string"), F.lit("/"), F.count(F.lit(1)).cast("string")).alias("actual"),
-        F.lit("fail-closed roll-up").alias("detail"),
-    )
-    return table.unionByName(rollup)
+    values = metrics_row(spark, {f"_a{i}": (c.frame, c.actual) for i, c in enumerate(controls)})
+    passed = [F.coalesce(_OPS[c.op](F.col(f"_a{i}"), F.lit(c.expected)), F.lit(False)) for i, c in enumerate(controls)]
+
+    def row(order, name, ok, expected, actual, detail):
+        return F.struct(F.lit(order).alias("control_order"), F.lit(name).alias("control_name"), ok.alias("passed"),
+                        F.lit(expected).alias("expected"), actual.alias("actual"), F.lit(detail).alias("detail"))
+
+    rows = [row(i + 1, c.name, passed[i], f"{c.op} {c.expected}", F.col(f"_a{i}").cast("string"), c.detail)
+            for i, c in enumerate(controls)]
+    table = values.select(F.array(*rows).alias("_rows"))
+    good = F.size(F.filter("_rows", lambda r: r["passed"]))
+    rollup = row(len(controls) + 1, rollup_name, good == len(controls), "all prior controls pass",
+                 F.concat(good.cast("string"), F.lit(f"/{len(controls)}")), "fail-closed roll-up")
+    return table.select(F.inline(F.concat("_rows", F.array(rollup))))

@@ -31,6 +31,7 @@ from ledgermart.functions import (
     month_start,
     parse_locale_decimal,
     period_text,
+    stage,
     surrogate_key,
     valid_period,
 )
@@ -38,7 +39,7 @@ from ledgermart.functions._util import values_frame
 from ledgermart.functions.text import first_text
 from ledgermart.functions.dates import month_label
 from ledgermart.operators import MeasureModel, account_amount, calendar, macro_value
-from ledgermart.operators.aggregates import line_balance, null_scan, pivot_sums
+from ledgermart.operators.aggregates import distinct_tuples, line_balance, metrics_row, null_scan, peer_median, pivot_sums
 from ledgermart.operators.calendar import continuity_breaks, coverage, missing_months, profile_series, derive_series
 from ledgermart.operators.joins import (
     reconcile,
@@ -46,7 +47,9 @@ from ledgermart.operators.joins import (
     set_compare,
     set_diff,
     with_membership,
+    with_scalar,
 )
+from ledgermart.operators.measures import prior_period, share_of_selection, trust_card
 from ledgermart.operators.population import profile_population, top_members
 from ledgermart.operators.quality import Control, build_controls, check_accepted_values, check_row_count, check_unique, failing_rows
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
@@ -232,19 +235,19 @@ def _freeze(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def staging_orders(spark, d):
     o = table(spark, d, "orders")
-    return o.select(
-        F.col("o_orderkey").alias("order_key"),
-        F.col("o_custkey").alias("customer_key"),
-        blank_to_null("o_orderstatus").alias("status"),
-        blank_to_null("o_orderpriority").alias("priority"),
-        _month("o_orderdate").alias("report_month"),
-        month_key(_month("o_orderdate")).alias("month_key"),
-        period_text("o_orderdate").alias("source_period"),
-        valid_period(period_text("o_orderdate")).alias("is_valid_period"),
-        money("o_totalprice").alias("amount"),
-        F.col("o_orderpriority").startswith("1-").alias("is_urgent"),
-        flag(blank_to_null("o_orderpriority")).alias("has_priority"),
-    )
+    return stage(o, {
+        "order_key": F.col("o_orderkey"),
+        "customer_key": F.col("o_custkey"),
+        "status": blank_to_null("o_orderstatus"),
+        "priority": blank_to_null("o_orderpriority"),
+        "report_month": _month("o_orderdate"),
+        "month_key": month_key(_month("o_orderdate")),
+        "source_period": period_text("o_orderdate"),
+        "is_valid_period": valid_period(period_text("o_orderdate")),
+        "amount": money("o_totalprice"),
+        "is_urgent": F.col("o_orderpriority").startswith("1-"),
+        "has_priority": flag(blank_to_null("o_orderpriority")),
+    })
 
 
 def month_calendar(spark, d):
@@ -513,17 +516,15 @@ def growth_card(spark, d):
     """Cards without filters, both anchors (the date dimension ends later)."""
     m = measures(spark, d)
     fact = m.query(["total_assets", "mom_growth", "yoy_growth"])
-    dd = m.query(["mom_growth", "yoy_growth"], anchor="date_dim").select(
-        F.col("mom_growth").alias("mom_growth_date_dim"), F.col("yoy_growth").alias("yoy_growth_date_dim"))
-    return fact.withColumns({c: dd.select(c).scalar() for c in dd.columns})
+    dd = m.query(["mom_growth", "yoy_growth"], anchor="date_dim").select(F.struct("mom_growth", "yoy_growth")).scalar()
+    both = fact.withColumn("_dd", dd)
+    return both.select(*fact.columns, F.col("_dd.mom_growth").alias("mom_growth_date_dim"),
+                       F.col("_dd.yoy_growth").alias("yoy_growth_date_dim"))
 
 
 def trust_table(spark, d):
     files = _orders_versioned(spark, d).filter("is_selected").select(period_text("o_orderdate").alias("source_period"))
-    cal = date_dim(spark, d)
-    return files.agg(F.max("source_period").alias("latest_source_period"),
-                     F.count(F.lit(1)).alias("selected_source_files")).withColumn(
-        "months_covered", cal.select(F.count_distinct("month_key")).scalar())
+    return trust_card(files, date_dim(spark, d))
 
 
 def _expected_lines(spark, d):
@@ -628,13 +629,12 @@ def control_table(spark, d):
 def distinct_tuple(spark, d):
     """``count(distinct (a, b))`` (A5) next to a one-column distinct count.
 
-    Grouping by the pair first makes the pair count a plain count and leaves
-    one distinct aggregate (no row expansion).
+    Grouping by the pair first leaves one row per pair to the distinct counts.
     """
     o = table(spark, d, "orders")
     pairs = o.groupBy("o_custkey", "o_orderstatus").agg(F.count(F.lit(1)).alias("_n"))
     return pairs.agg(
-        F.count(F.lit(1)).alias("distinct_customer_status"),
+        distinct_tuples(pairs, ["o_custkey", "o_orderstatus"], "distinct_customer_status"),
         F.count_distinct("o_custkey").alias("distinct_customers"),
         F.sum("_n").alias("order_rows"),
     )
@@ -644,12 +644,14 @@ def metrics_row_q(spark, d):
     o = table(spark, d, "orders")
     li = table(spark, d, "lineitem")
     f = line_fact(spark, d)
-    return li.agg(F.count(F.lit(1)).alias("lineitem_rows")).withColumns({
-        "order_rows": o.select(F.count(F.lit(1))).scalar(),
-        "order_months": o.select(F.count_distinct(_month("o_orderdate"))).scalar(),
-        "line_fact_rows": f.select(F.count(F.lit(1))).scalar(),
-        "reporting_lines": f.select(F.count_distinct("reporting_line_code")).scalar(),
-        "members": f.select(F.count_distinct("c_nationkey")).scalar(),
+    rows = F.count(F.lit(1))
+    return metrics_row(spark, {
+        "lineitem_rows": (li, rows),
+        "order_rows": (o, rows),
+        "order_months": (o.select(_month("o_orderdate").alias("m")), F.count_distinct("m")),
+        "line_fact_rows": (f, rows),
+        "reporting_lines": (f, F.count_distinct("reporting_line_code")),
+        "members": (f, F.count_distinct("c_nationkey")),
     })
 
 
@@ -686,6 +688,57 @@ def segment_yoy(spark, d):
     return derive_series(monthly, "c_mktsegment", "report_month", "amount", "yoy_pct")
 
 
+def _segment_rates(spark, d):
+    """A monthly percentage per market segment, with months left out and zeros."""
+    o = table(spark, d, "orders").select("o_custkey", _month("o_orderdate").alias("report_month"))
+    c = table(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    monthly = o.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("c_mktsegment", "report_month").agg(
+        F.count(F.lit(1)).alias("_n"))
+    return monthly.filter((F.col("c_mktsegment") != "BUILDING") | (F.month("report_month") != 5)).select(
+        "c_mktsegment", "report_month", ((F.col("_n") % 5) * 0.5 - 0.5).alias("rate"))
+
+
+def segment_rolling(spark, d):
+    """Twelve monthly rates compounded; null over a gap."""
+    return derive_series(_segment_rates(spark, d), "c_mktsegment", "report_month", "rate", "rolling_12m")
+
+
+def segment_pp(spark, d):
+    """Change against the previous month in percentage points."""
+    return derive_series(_segment_rates(spark, d), "c_mktsegment", "report_month", "rate", "pp_change")
+
+
+def segment_rate_yoy(spark, d):
+    """Change against a year earlier in per cent; null where that was zero."""
+    return derive_series(_segment_rates(spark, d), "c_mktsegment", "report_month", "rate", "yoy_pct")
+
+
+def member_month_shares(spark, d):
+    """A member's month with the month before, its share of the month and the best month of all."""
+    nm = _nation_month_totals(spark, d)
+    prior = prior_period(nm, "report_month", 1, ["c_nationkey"], "total_amount", "prior_amount")
+    shared = share_of_selection(prior, "total_amount", ["report_month"], "month_share")
+    return with_scalar(shared, nm.agg(F.max("total_amount").alias("best_amount")))
+
+
+def month_medians(spark, d):
+    """Median of the members' totals per month, over integer cents."""
+    nm = _nation_month_totals(spark, d).select("report_month", (F.col("total_amount") * 100).cast("bigint").alias("cents"))
+    return peer_median(nm, "cents", ["report_month"], "median_cents")
+
+
+def repeated_order_days(spark, d):
+    """Q2 / Q4: customers with more than one order on a day."""
+    o = table(spark, d, "orders").select("o_custkey", F.to_date("o_orderdate").alias("order_date"))
+    return check_unique(o, ["o_custkey", "order_date"])
+
+
+def incomplete_orders(spark, d):
+    """Q5: orders whose highest line number isn't their number of lines."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber")
+    return check_row_count(li, "l_orderkey", "l_linenumber")
+
+
 def assets_by_member(spark, d):
     """R2: total assets by member (closing balance), largest first."""
     n = table(spark, d, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
@@ -809,6 +862,13 @@ RECIPES = {
     "idempotent_upsert": idempotent_upsert,
     "probe_status": probe_status,
     "segment_yoy": segment_yoy,
+    "segment_rolling": segment_rolling,
+    "segment_pp": segment_pp,
+    "segment_rate_yoy": segment_rate_yoy,
+    "member_month_shares": member_month_shares,
+    "month_medians": month_medians,
+    "repeated_order_days": repeated_order_days,
+    "incomplete_orders": incomplete_orders,
     "assets_by_member": assets_by_member,
     "credit_share_by_month": credit_share_by_month,
     "member_slicer": member_slicer,

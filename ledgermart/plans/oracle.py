@@ -125,6 +125,12 @@ NATION_MONTH = f"""nm AS (
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   GROUP BY 1, 2)"""
 
+SEGMENT_RATES = f"""rates AS (
+  SELECT c.c_mktsegment, {MONTH.format(c='o.o_orderdate')} AS report_month, (COUNT(*) % 5) * 0.5 - 0.5 AS rate
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  WHERE c.c_mktsegment <> 'BUILDING' OR month(o.o_orderdate) <> 5
+  GROUP BY 1, 2)"""
+
 SERIES_CTES = f"""o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, {MONTH.format(c='o_orderdate')} AS m FROM orders),
 dm AS (SELECT DISTINCT o_custkey, m FROM o),
 sq AS (SELECT o_custkey, m, lag(m) OVER (PARTITION BY o_custkey ORDER BY m) AS prev FROM dm),
@@ -578,6 +584,39 @@ SELECT a.c_mktsegment, a.report_month,
        (CAST(a.amount AS DOUBLE) / CAST(p.amount AS DOUBLE) - 1) * 100 AS derived_value
 FROM m a LEFT JOIN m p ON a.c_mktsegment = p.c_mktsegment
                       AND p.report_month = CAST(a.report_month - INTERVAL 12 MONTH AS DATE)""",
+    "segment_rolling": f"""
+WITH {SEGMENT_RATES}
+SELECT a.c_mktsegment, a.report_month,
+       CASE WHEN COUNT(*) = 12 AND MIN(b.rate) > -100 THEN (exp(SUM(ln(1 + b.rate / 100))) - 1) * 100 END AS derived_value
+FROM rates a JOIN rates b ON b.c_mktsegment = a.c_mktsegment AND b.report_month <= a.report_month
+                         AND b.report_month > a.report_month - INTERVAL 12 MONTH
+GROUP BY 1, 2""",
+    "segment_pp": f"""
+WITH {SEGMENT_RATES}
+SELECT a.c_mktsegment, a.report_month, a.rate - p.rate AS derived_value
+FROM rates a LEFT JOIN rates p ON a.c_mktsegment = p.c_mktsegment
+                              AND p.report_month = CAST(a.report_month - INTERVAL 1 MONTH AS DATE)""",
+    "segment_rate_yoy": f"""
+WITH {SEGMENT_RATES}
+SELECT a.c_mktsegment, a.report_month, (a.rate / NULLIF(p.rate, 0) - 1) * 100 AS derived_value
+FROM rates a LEFT JOIN rates p ON a.c_mktsegment = p.c_mktsegment
+                              AND p.report_month = CAST(a.report_month - INTERVAL 12 MONTH AS DATE)""",
+    "member_month_shares": f"""
+WITH {NATION_MONTH},
+t AS (SELECT report_month, SUM(total_amount) AS total FROM nm GROUP BY 1)
+SELECT nm.report_month, nm.c_nationkey, nm.total_amount, p.total_amount AS prior_amount,
+       {_div('nm.total_amount', 't.total')} AS month_share, (SELECT MAX(total_amount) FROM nm) AS best_amount
+FROM nm JOIN t USING (report_month)
+LEFT JOIN nm p ON p.c_nationkey = nm.c_nationkey AND p.report_month = CAST(nm.report_month - INTERVAL 1 MONTH AS DATE)""",
+    "month_medians": f"""
+WITH {NATION_MONTH}
+SELECT report_month, median(CAST(total_amount * 100 AS BIGINT)) AS median_cents FROM nm GROUP BY 1""",
+    "repeated_order_days": """
+SELECT o_custkey, CAST(o_orderdate AS DATE) AS order_date, COUNT(*) AS row_count
+FROM orders GROUP BY 1, 2 HAVING COUNT(*) > 1""",
+    "incomplete_orders": """
+SELECT l_orderkey, MAX(l_linenumber) AS declared_row_count, COUNT(*) AS actual_row_count
+FROM lineitem GROUP BY 1 HAVING MAX(l_linenumber) <> COUNT(*)""",
     "assets_by_member": f"""
 {LINE_BASE},
 {MEMBER_LAST}

@@ -175,3 +175,28 @@ def test_sorted_set(spark):
     df = spark.createDataFrame([("a", "z"), ("a", "b"), ("a", "z"), ("b", None)], "k string, v string")
     got = {r.k: r.s for r in df.groupBy("k").agg(sorted_set("v").alias("s")).collect()}
     assert got == {"a": ["b", "z"], "b": []}
+
+
+def test_schema_contract_sees_precision_and_scale(spark):
+    from pyspark.sql import types as T
+
+    df = spark.createDataFrame([], "a decimal(5,0), b string")
+    wanted = T.StructType([T.StructField("a", T.DecimalType(38, 10)), T.StructField("b", T.StringType())])
+    assert check_schema(df, wanted) == [{"position": 1, "expected": ("a", "numeric(38,10)"), "actual": ("a", "numeric(5,0)")}]
+    assert check_schema(df, [("a", "numeric"), ("b", "text")]) == []
+    assert check_schema(df, [("a", "numeric(5,0)"), ("b", "text")]) == []
+
+
+def test_member_attributes_and_ended_groups(spark):
+    """Shares clear all attributes of a member; a member without a value this month has lost all of it."""
+    from ledgermart.operators.measures import MeasureModel
+
+    rows = [("2025-01-01", "a", "A", 25.0), ("2025-01-01", "b", "B", 75.0), ("2025-02-01", "b", "B", 80.0)]
+    fact = spark.createDataFrame([(m, k, n, "total_assets", v) for m, k, n, v in rows],
+                                 "m string, k string, n string, line string, v double").withColumn("m", F.to_date("m")).withColumn(
+        "v", F.col("v").cast("decimal(38,2)"))
+    model = MeasureModel(fact, month="m", member="k", line="line", amount="v", member_attributes=["n"])
+    share = {r.k: r.population_share for r in model.query(["population_share"], by=["k", "n"], months=("2025-01-01", "2025-01-31")).collect()}
+    assert share == {"a": 0.25, "b": 0.75}
+    growth = {(str(r.m), r.k): r.mom_growth for r in model.query(["total_assets", "mom_growth"], by=["m", "k"]).collect()}
+    assert growth[("2025-02-01", "a")] == -1.0 and growth[("2025-01-01", "a")] is None and len(growth) == 4
