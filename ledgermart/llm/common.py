@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from ledgermart.session import checkpoint_dir
 
-#: Rows of a batch that goes to a Python worker. Whole texts travel in these batches, so the
-#: default of 10,000 rows would hold gigabytes where documents are long.
-BATCH_ROWS = 500
+#: Bytes of a batch that goes to a Python worker. Whole texts travel in these batches, so a bound on
+#: rows alone would hold gigabytes where documents are long, or send a handful of numbers at a time.
+BATCH_BYTES = "2m"
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of each Arrow batch of this session (texts are large rows)."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of each Arrow batch of this session (texts are large rows)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -353,9 +353,7 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     counts = {r["n_shingles"]: r["count"] for r in sets.where(F.col("n_shingles") <= 2 * MOST_LIGHT).groupBy("n_shingles").count().collect()}
     boundary = boundary_by_cost(counts, sizes)
 
-    small_batches(spark, 200)
     lists = scratch_table(shared_lists(postings(keyed, width, sizes, boundary), block), "lists")
-    small_batches(spark, 2000)
     light = lists.where((F.col("kind") < 0) & (F.col("head_n") == -F.col("kind")) & (F.col("node") != F.col("head"))).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketches = sets.groupBy("node").agg(F.first("sketch").alias("sketch"))
     heavy = scratch_table(lists.where("kind >= 0").drop("head", "head_n").join(sketches, "node"), "heavy")
@@ -372,7 +370,6 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     links = sure.union(linked(rest, keyed, sets, width, percent))
     roots = components(links)
 
-    small_batches(spark)
     label = sets.select("node", F.col("doc_id").cast(kind).alias("id")).groupBy("node").agg(F.min("id").alias("least"))
     label = label.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     label = scratch_table(label, "labels")
