@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -45,11 +46,14 @@ def fresh(name: str, columns: list[str]) -> str:
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the session's shared checkpoint folder and read it back.
 
-    Cuts the lineage with files that survive lost executors, compressed as Parquet.
+    Cuts the lineage with files that survive lost executors, compressed as Parquet. The step's
+    shuffle files are of no use then; Spark deletes them once the driver's objects are collected.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

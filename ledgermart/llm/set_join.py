@@ -9,8 +9,8 @@ partner. Sets with an equal subset are linked without any further check.
 *Heavy* sets go into inverted lists. With at most d differing shingles and the shingles dealt
 into d + 1 parts by hash, two linked sets agree on a whole part; a list holds the sets that agree
 on one part. Size classes (each reaching as far as a partner can) make d the same for both. Lists are
-scanned: a 256-bit parity sketch of each set bounds the symmetric difference from below, exactly,
-so it drops pairs without losing a link.
+scanned: a parity sketch of each set bounds the symmetric difference from below, exactly, so it
+drops pairs without losing a link.
 
 The boundary is the size with the least cost: rows of subsets against rows of lists and their checks,
 over the counts of small texts by size.
@@ -45,7 +45,10 @@ from ledgermart.llm.common import ids_and_texts, scratch_table, small_batches, t
 from ledgermart.llm.components import components
 from ledgermart.llm.shingles import MIX, mixed, shingle_sets
 
-SKETCH_BITS = 256
+#: Sketches have a power of two of bits: at least LEAST_BITS, and BITS_PER_DIFFERENCE for each shingle
+#: that may differ, as far as MOST_BITS (each list that a set is in carries its sketch). Of two widths
+#: the wider folds onto the narrower. Where a sketch is too narrow to drop a pair, the texts decide.
+LEAST_BITS, BITS_PER_DIFFERENCE, MOST_BITS = 256, 24, 1024
 #: Members of an inverted list that one task compares with as many others.
 BLOCK = 2048
 #: Light sets are at most this large whatever the cost says (subsets grow fast).
@@ -139,19 +142,48 @@ def node_of(shingles: np.ndarray) -> np.ndarray:
     return mixed(np.array([mixed(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))], np.uint64)).view(np.int64)
 
 
-def sketch_of(shingles: np.ndarray) -> bytes:
-    """Parities of the shingles' counts in ``SKETCH_BITS`` cells: a differing shingle flips one bit."""
-    cells = mixed(shingles + np.uint64(7)) % np.uint64(SKETCH_BITS)
-    return np.packbits(np.bincount(cells.astype(np.int64), minlength=SKETCH_BITS) & 1).tobytes()
+def sketch_of(shingles: np.ndarray, percent: int) -> bytes:
+    """Parities of the shingles' counts in a power of two of cells: a differing shingle flips one bit."""
+    differing = 2 * len(shingles) * (100 - percent) // (100 + percent)
+    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_DIFFERENCE * differing).bit_length()))
+    cells = mixed(shingles + np.uint64(7)) % np.uint64(bits)
+    return np.packbits(np.bincount(cells.astype(np.int64), minlength=bits) & 1).tobytes()
 
 
-def described(docs: DataFrame, width: int) -> DataFrame:
+def folded(sketch: bytes, size: int) -> np.ndarray:
+    """The sketch of ``size`` bytes: cells that are equal modulo its bits meet."""
+    parts = np.frombuffer(sketch, np.uint64).reshape(-1, size // 8)
+    return np.bitwise_xor.reduce(parts, axis=0)
+
+
+class Distances:
+    """Lower bounds of symmetric differences between rows of a frame, from their sketches."""
+
+    def __init__(self, sketches: list[bytes]):
+        self.size = np.array([len(s) for s in sketches])
+        self.tables, self.row = {}, {}
+        for size in np.unique(self.size):
+            at = np.flatnonzero(self.size >= size)
+            self.tables[size] = np.stack([folded(sketches[k], size) for k in at])
+            self.row[size] = np.full(len(sketches), -1)
+            self.row[size][at] = np.arange(len(at))
+
+    def between(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        out, size = np.zeros(len(i), np.int64), np.minimum(self.size[i], self.size[j])
+        for s in np.unique(size):
+            of = size == s
+            table, row = self.tables[s], self.row[s]
+            out[of] = np.bitwise_count(table[row[i[of]]] ^ table[row[j[of]]]).sum(axis=1)
+        return out
+
+
+def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row: doc_id (as a string), name (hash of the id), n_shingles, node and sketch."""
 
     def run(frames):
         for f in frames:
             found = shingle_sets(f["text"].tolist(), width)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": [sketch_of(s) for s in found]})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": [sketch_of(s, percent) for s in found]})
 
     return docs.mapInPandas(run, "doc_id string, name bigint, n_shingles bigint, node bigint, sketch binary")
 
@@ -237,7 +269,7 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
         """Index pairs within each (key, low, high) group of a sorted frame."""
         key, low, high = f["key"].to_numpy(), f["low"].to_numpy(), f["high"].to_numpy()
         n, block, kind, root = f["n"].to_numpy(), f["block"].to_numpy(), f["kind"].to_numpy(), f["root"].to_numpy()
-        sketch = np.frombuffer(b"".join(f["sketch"]), np.uint64).reshape(len(f), -1)
+        distances = Distances(f["sketch"].tolist())
         group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
         ends = np.concatenate([np.flatnonzero(np.diff(group)) + 1, [len(f)]])
         end = ends[group]
@@ -262,7 +294,7 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
                 ok &= root[i] != root[j]
             i, j, most = i[ok], j[ok], most[ok]
             if len(i):
-                near = np.bitwise_count(sketch[i] ^ sketch[j]).sum(axis=1) <= most
+                near = distances.between(i, j) <= most
                 if near.any():
                     yield i[near], j[near]
             step += 1
@@ -302,7 +334,8 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
 def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` whose overlap, counted on the whole sets, reaches the threshold."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    # one document of each set, found again by a Bloom filter over its name: no text is shuffled
+    # one document of each set, found again by a Bloom filter over its name: only texts that are
+    # needed (and a few false alarms) move, and as texts, which compress better than hashes
     named = sets.join(needed, "node", "left_semi").groupBy("node").agg(F.min("name").alias("name"))
     names = scratch_table(named.select(F.xxhash64("name").alias("hash")), "names")
     segments = bloom.segments_for(names.count())
@@ -312,29 +345,31 @@ def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, perce
     def run(frames):
         seen: set[int] = set()
         for f in frames:
-            out = []
-            for s in shingle_sets(f["text"].tolist(), width):
+            out, texts = [], f["text"].tolist()
+            for s, text in zip(shingle_sets(texts, width), texts):
                 node = int(node_of(s)[0])
                 if node not in seen:
                     if len(seen) >= REMEMBER:
                         seen.clear()
                     seen.add(node)
-                    out.append((node, s.tobytes()))
-            yield pd.DataFrame(out, columns=["node", "shingles"])
+                    out.append((node, text))
+            yield pd.DataFrame(out, columns=["node", "text"])
 
-    held = scratch_table(wanted.mapInPandas(run, "node bigint, shingles binary").join(needed, "node", "left_semi").dropDuplicates(["node"]), "sets")
+    held = scratch_table(wanted.mapInPandas(run, "node bigint, text string"), "texts")
+    # a row repeated with id and text comes once from each task that has it
+    repeated = held.groupBy("node").agg(F.count("*").alias("times")).where("times > 1").select("node")
+    held = held.join(repeated, "node", "left_anti").unionByName(held.join(repeated, "node", "left_semi").dropDuplicates(["node"]))
 
     def verify(frames):
         for f in frames:
             keep = []
-            for x, y in zip(f["x"], f["y"]):
-                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for one, two in zip(shingle_sets(f["x"].tolist(), width), shingle_sets(f["y"].tolist(), width)):
                 both = len(np.intersect1d(one, two, assume_unique=True))
                 keep.append(100 * both >= percent * (len(one) + len(two) - both))
             yield f.loc[keep, ["a", "b"]]
 
-    one = held.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    two = held.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    one = held.select(F.col("node").alias("a"), F.col("text").alias("x"))
+    two = held.select(F.col("node").alias("b"), F.col("text").alias("y"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInPandas(verify, "a bigint, b bigint")
 
 
@@ -346,7 +381,7 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     sizes = Sizes(percent)
     source = ids_and_texts(docs, id_col, text_col)
     keyed = source.select(F.col("doc_id").cast("string"), F.xxhash64("doc_id", F.xxhash64("text")).alias("name"), "text")
-    all_sets = scratch_table(described(keyed, width), "described")
+    all_sets = scratch_table(described(keyed, width, percent), "described")
     sets = all_sets.where("n_shingles > 0")
 
     # counts of small sets by size: at most 2 * MOST_LIGHT rows

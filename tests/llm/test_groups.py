@@ -217,8 +217,10 @@ def test_sketch_never_exceeds_the_difference():
     for _ in range(100):
         a, b = (rng.integers(0, 400, 300).astype(np.uint64) for _ in range(2))
         a, b = np.unique(a), np.unique(b)
-        one, two = (np.frombuffer(set_join.sketch_of(s), np.uint64) for s in (a, b))
-        assert np.bitwise_count(one ^ two).sum() <= len(np.setxor1d(a, b))
+        for percents in ((90, 90), (60, 90), (90, 60)):
+            one, two = (set_join.sketch_of(s, p) for s, p in zip((a, b), percents))
+            found = set_join.Distances([one, two]).between(np.array([0, 1]), np.array([1, 1]))
+            assert 0 < found[0] <= len(np.setxor1d(a, b)) and found[1] == 0
 
 
 def test_boundary_follows_the_cost():
