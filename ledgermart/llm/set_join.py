@@ -7,9 +7,9 @@ c(a, b) shingles, or a symmetric difference of at most a + b - 2 c(a, b).
 partner. Sets with an equal subset are linked without any further check.
 
 *Heavy* sets go into inverted lists. With at most d differing shingles and the shingles dealt
-into d + 1 parts by hash, two linked sets agree on a whole part; a list holds the sets that agree
-on one part. Size classes (each reaching as far as a partner can) make d the same for both. Lists are
-scanned: a parity sketch of each set bounds the symmetric difference from below, exactly, so it
+into p parts by hash, two linked sets agree on p - d whole parts at least; a list holds the sets that
+agree on one part. p is somewhat above d, so that chance agreements are too few. Size classes (each
+reaching as far as a partner can) make p the same for both. Lists are scanned: a parity sketch of each set bounds the symmetric difference from below, exactly, so it
 drops pairs without losing a link.
 
 The boundary is the size with the least cost: rows of subsets against rows of lists and their checks,
@@ -47,8 +47,10 @@ from ledgermart.llm.shingles import MIX, mixed, shingle_sets
 
 #: Sketches have a power of two of bits: at least LEAST_BITS, and BITS_PER_DIFFERENCE for each shingle
 #: that may differ, as far as MOST_BITS (each list that a set is in carries its sketch). Of two widths
-#: the wider folds onto the narrower. Where a sketch is too narrow to drop a pair, the texts decide.
+#: the wider folds onto the narrower.
 LEAST_BITS, BITS_PER_DIFFERENCE, MOST_BITS = 256, 24, 1024
+#: Parts beyond the one that linked sets share at least: one for so many shingles that may differ.
+DIFFERENCES_PER_SPARE_PART = 8
 #: Members of an inverted list that one task compares with as many others.
 BLOCK = 2048
 #: Light sets are at most this large whatever the cost says (subsets grow fast).
@@ -88,9 +90,10 @@ class Sizes:
         return int(np.searchsorted(self.floors, a, side="right")) - 1
 
     def parts(self, g: int) -> int:
-        """One more than the largest symmetric difference of two linked sets up to class ``g``."""
+        """Parts of a set in the lists of class ``g``: more than two linked sets up to that class can differ in."""
         most = self.floor(g + 1) - 1
-        return 2 * most * (100 - self.percent) // (100 + self.percent) + 1
+        differing = 2 * most * (100 - self.percent) // (100 + self.percent)
+        return differing + 1 + differing // DIFFERENCES_PER_SPARE_PART
 
     def subsets(self, a: int, boundary: int) -> int:
         return sum(comb(a, self.overlap(a, b)) for b in self.partners(a) if b <= boundary and self.overlap(a, b) <= min(a, b))
@@ -178,7 +181,7 @@ class Distances:
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id (as a string), name (hash of the id), n_shingles, node and sketch."""
+    """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and sketch."""
 
     def run(frames):
         for f in frames:
@@ -257,7 +260,8 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
     """Candidate pairs (a, b) of heavy lists that the parity sketches allow.
 
     ``members``: key, node, n, kind, block, sketch and root. With ``tried`` false, each node with its
-    smallest candidate of the list; true, all candidates whose roots differ.
+    smallest candidate; true, all candidates whose roots differ and that meet in as many lists as
+    linked sets must.
     """
     # a list of several blocks is dealt out to the pairs of its blocks
     longest = members.where("block > 0").groupBy("key").agg((F.max("block") + 1).alias("blocks"))
@@ -276,6 +280,8 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
         floors = Sizes(sizes_percent)
         floors.class_of(int(n.max()) + 1)
         own_class = np.searchsorted(np.array(floors.floors), n, side="right") - 1
+        parts = {k: floors.parts(k) for k in np.unique(kind).tolist()}
+        parts_of = np.array([parts[k] for k in kind.tolist()])
         at = np.arange(len(f))
         step = 1
         while True:
@@ -296,7 +302,7 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
             if len(i):
                 near = distances.between(i, j) <= most
                 if near.any():
-                    yield i[near], j[near]
+                    yield i[near], j[near], (parts_of[i] - most)[near]
             step += 1
 
     def run(frames):
@@ -306,12 +312,13 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
             if not len(f):
                 return None
             node = f["node"].to_numpy()
-            found = [np.column_stack([node[i], node[j]]) for i, j in candidates(f)]
+            found = [np.column_stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), need]) for i, j, need in candidates(f)]
             if not found:
                 return None
-            both = np.concatenate(found)
-            out = pd.DataFrame({"a": both.min(axis=1), "b": both.max(axis=1)})
-            return out.drop_duplicates() if tried else out.groupby("b", as_index=False)["a"].min()
+            out = pd.DataFrame(np.concatenate(found), columns=["a", "b", "need"])
+            if tried:
+                return out.groupby(["a", "b"], as_index=False).agg(lists=("need", "size"), need=("need", "max"))
+            return out.groupby("b", as_index=False)["a"].min().assign(lists=1, need=1)
 
         for f in frames:
             f = f if held is None else pd.concat([held, f], ignore_index=True)
@@ -328,7 +335,10 @@ def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
             if out is not None:
                 yield out
 
-    return dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInPandas(run, "a bigint, b bigint")
+    found = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInPandas(run, "a bigint, b bigint, lists bigint, need bigint")
+    if not tried:
+        return found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    return found.groupBy("a", "b").agg(F.sum("lists").alias("lists"), F.max("need").alias("need")).where("lists >= need").select("a", "b")
 
 
 def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
@@ -394,13 +404,13 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     heavy = scratch_table(lists.where("kind >= 0").drop("head", "head_n").join(sketches, "node"), "heavy")
 
     nearest = scanned(heavy.withColumn("root", F.col("node")), percent, tried=False)
-    first = scratch_table(nearest.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "first-pairs")
+    first = scratch_table(nearest, "first-pairs")
     sure = scratch_table(linked(first, keyed, sets, width, percent).union(light).distinct(), "sure")
     roots = components(sure)
     rooted = heavy.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # lists within one component have nothing left to find
     mixed_lists = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    rest = scanned(rooted.join(mixed_lists, "key", "left_semi"), percent, tried=True).distinct()
+    rest = scanned(rooted.join(mixed_lists, "key", "left_semi"), percent, tried=True)
     rest = scratch_table(rest.join(first, ["a", "b"], "left_anti"), "rest-pairs")
     links = sure.union(linked(rest, keyed, sets, width, percent))
     roots = components(links)
