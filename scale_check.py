@@ -40,7 +40,7 @@ def line_fact_k(spark, d, k):
         F.sum("amount").alias("amount"), F.bool_and("is_final").alias("is_final"))
     mam = cam.join(c, F.col("o_custkey") == F.col("c_custkey"))
     return line_balance(mam, D.mapping_df(spark), ["report_month", "c_nationkey"], "p_type", "amount",
-                        flag="is_final", mapping_rows=len(D.MAPPING_ROWS))
+                        flag="is_final")
 
 
 def timed(df, runs=2):
