@@ -2,7 +2,7 @@
 
 The library never creates its own machine-local scratch space on a cluster:
 checkpoints go to ``spark.checkpoint.dir`` as configured for the session
-(a shared folder on a cluster).  Only a ``local[...]`` session without that
+(a shared folder on a cluster).  Only a ``local`` or ``local[...]`` session (one machine, one process) without that
 setting (tests) gets a fresh folder under the system temp dir.
 """
 
@@ -83,7 +83,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir must name a shared folder on a cluster"
             )
