@@ -25,12 +25,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermart.llm.common import GenerationCache, ids_and_texts, map_texts
+from ledgermart.llm.common import GenerationCache, held, ids_and_texts, map_texts
 
 # Fixed value: the splitting pattern of byte-level vocabularies of this family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = 1 << 60
-_LOADED: dict[str, "PrefixEncoder"] = {}
 
 
 def printable_bytes() -> dict[str, int]:
@@ -145,9 +144,7 @@ class PrefixEncoder:
 
 
 def loaded(path: str) -> PrefixEncoder:
-    if path not in _LOADED:
-        _LOADED[path] = PrefixEncoder(path)
-    return _LOADED[path]
+    return held(("prefixes", path), lambda: PrefixEncoder(path))
 
 
 def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -57,6 +57,22 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_HELD: dict = {}
+
+
+def held(name, make: Callable):
+    """What ``make`` builds, kept by the worker for its next tasks: one operator's at a time."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
+def let_go() -> None:
+    """Free what an operator before kept in this worker."""
+    _HELD.clear()
+
+
 class GenerationCache(dict):
     """A bounded memo: ``cache[key]`` computes a missing value with ``make(key)``.
 

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermart.llm.common import GenerationCache, small_batches, text_of
+from ledgermart.llm.common import GenerationCache, held, small_batches, text_of
 
 WORDS = 4096
 #: At most so many labelled rows are fitted.
@@ -161,16 +161,16 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
     labelled = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("label_id", "text", "label")
 
     def run(frames):
-        features = featurizer()
+        features = held("features", featurizer)
         for f in frames:
             rows = [features(t) for t in f["text"]]
             yield pd.DataFrame({"label_id": f["label_id"].astype(str), "label": f["label"].astype(float), "slots": [r[0] for r in rows], "counts": [r[1] for r in rows], "stats": [r[2] for r in rows]})
 
     # an id that repeats in the documents brings one row
-    held = labelled.dropDuplicates(["label_id"]).mapInPandas(run, "label_id string, label double, slots array<int>, counts array<int>, stats array<double>").toPandas()
-    held = held.sort_values("label_id")
-    rows = [(np.asarray(s), np.asarray(c), np.asarray(t)) for s, c, t in zip(held["slots"], held["counts"], held["stats"])]
-    return fit(rows, held["label"].to_numpy())
+    sample_rows = labelled.dropDuplicates(["label_id"]).mapInPandas(run, "label_id string, label double, slots array<int>, counts array<int>, stats array<double>").toPandas()
+    sample_rows = sample_rows.sort_values("label_id")
+    rows = [(np.asarray(s), np.asarray(c), np.asarray(t)) for s, c, t in zip(sample_rows["slots"], sample_rows["counts"], sample_rows["stats"])]
+    return fit(rows, sample_rows["label"].to_numpy())
 
 
 def score(docs: DataFrame, machine: Machine, threshold: float = 0.3, text_col: str = "text", score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
@@ -179,16 +179,8 @@ def score(docs: DataFrame, machine: Machine, threshold: float = 0.3, text_col: s
     sent = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.scores([_features()(t) for t in batches])) if len(batches) else pd.Series([], dtype=float)
+        features = held("features", featurizer)
+        return pd.Series(sent.value.scores([features(t) for t in batches])) if len(batches) else pd.Series([], dtype=float)
 
     scored = F.pandas_udf(run, "double")
     return docs.withColumn(score_col, scored(text_of(text_col))).withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))
-
-
-_FEATURES: list = []
-
-
-def _features():
-    if not _FEATURES:
-        _FEATURES.append(featurizer())
-    return _FEATURES[0]

@@ -29,14 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermart.llm.byte_bpe import printable_bytes
-from ledgermart.llm.common import GenerationCache, ids_and_texts, small_batches
+from ledgermart.llm.common import GenerationCache, held, ids_and_texts, small_batches
 
 #: Sequence ids are block * SPAN + number within the block.
 SPAN = 1 << 32
 # The normaliser and splitting pattern for which ``encode_run`` may use the model alone.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_LOADED: dict[str, "WordCoder"] = {}
 
 
 class WordCoder:
@@ -51,7 +50,7 @@ class WordCoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.memo = GenerationCache(self.encode_run, 800_000)
+        self.memo = GenerationCache(self.encode_run, 700_000)
         # words of plain Latin letters need the library's model alone: they are in normal form, lower
         # case is letter by letter, and splitting leaves them whole; the model reads bytes as characters
         spec = json.loads(self.library.to_str())
@@ -84,9 +83,7 @@ class WordCoder:
 
 
 def loaded(path: str) -> WordCoder:
-    if path not in _LOADED:
-        _LOADED[path] = WordCoder(path)
-    return _LOADED[path]
+    return held(("words", path), lambda: WordCoder(path))
 
 
 class Packer:

@@ -22,10 +22,9 @@ import heapq
 import regex
 from pyspark.sql import DataFrame
 
-from ledgermart.llm.common import GenerationCache, ids_and_texts, map_texts
+from ledgermart.llm.common import GenerationCache, held, ids_and_texts, map_texts
 
 SPACE = "▁"
-_LOADED: dict[str, "PieceCounter"] = {}
 
 
 class PieceCounter:
@@ -99,9 +98,7 @@ class PieceCounter:
 
 
 def loaded(path: str) -> PieceCounter:
-    if path not in _LOADED:
-        _LOADED[path] = PieceCounter(path)
-    return _LOADED[path]
+    return held(("pieces", path), lambda: PieceCounter(path))
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

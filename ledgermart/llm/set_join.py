@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from ledgermart.llm import bloom
 from ledgermart.llm.bitmaps import bitmap_of, bits_for, marked
-from ledgermart.llm.common import ids_and_texts, scratch_table, small_batches, text_of
+from ledgermart.llm.common import ids_and_texts, let_go, scratch_table, small_batches, text_of
 from ledgermart.llm.components import components
 from ledgermart.llm.shingles import MIX, mixed, shingle_sets
 
@@ -184,6 +184,7 @@ def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and sketch."""
 
     def run(frames):
+        let_go()
         for f in frames:
             found = shingle_sets(f["text"].tolist(), width)
             yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": [sketch_of(s, percent) for s in found]})

@@ -21,7 +21,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
 _BYTE = mixed(np.arange(1, 257, dtype=np.uint64) * MIX)
 
 
+#: Characters of texts that are hashed together, so that the arrays stay small.
+TOGETHER = 200_000
+
+
 def shingle_sets(texts: list[str], width: int = 3) -> list[np.ndarray]:
+    """``sets_together`` of runs of texts with about ``TOGETHER`` characters."""
+    out, run, size = [], [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size >= TOGETHER:
+            out += sets_together(run, width)
+            run, size = [], 0
+    return out + sets_together(run, width) if run else out
+
+
+def sets_together(texts: list[str], width: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of each text's shingles of ``width`` words.
 
     Words are runs without ASCII white space, A-Z lower-cased. With fewer than ``width`` words the
