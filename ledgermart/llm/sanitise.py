@@ -6,8 +6,10 @@ says how much each term reveals: with document counts n(t), n(e) and n(t, e) (t
 ``context`` characters of e) among N documents, a term discloses PMI(t; e) = ln(n(t, e) N / (n(t) n(e)))
 of the IC(e) = ln(N / n(e)) that the entity holds. A term whose share PMI / IC reaches ``generalise``
 is replaced by a placeholder where it stands beside the entity, and from ``remove`` on it is deleted.
-Chance is kept out by a least support: the pair has to occur in ``support`` different texts, so that
-copies of one text count once.
+Most entities stand in one text only, so pairs count at every support with ``SINGLE``: a term's
+share is shrunk as if it had been met ``prior`` times more without regard to the entity, so a name met
+once beside an address is generalised and one met often beside it is removed. ``support`` above one
+asks for that many different texts instead (copies of one text count once).
 
 Patterns are written so that matching is linear: a run that failed once is not tried again from
 its middle (possessive repetition, and a match starts only where a run starts or the last match ended).
@@ -48,12 +50,17 @@ SPAN = "struct<start:int,end:int,kind:int,value:string>"
 
 @dataclass(frozen=True)
 class Limits:
-    """Thresholds of disclosure: shares of an entity's information, support in texts, context in characters."""
+    """Thresholds of disclosure: shares of an entity's information, support in texts, context in characters, shrinkage in documents."""
 
     generalise: float = 0.9
     remove: float = 0.97
     support: int = 3
     context: int = 100
+    prior: float = 0.0
+
+
+#: Every pair is scored, also those of one text; shrunk by half a document (0.9 is in reach from 58 documents on).
+SINGLE = Limits(support=1, prior=0.5)
 
 
 def matches(text: Column, pattern: str, kind: int) -> Column:
@@ -155,7 +162,8 @@ def disclosing(rows: DataFrame, held: DataFrame, texts: DataFrame, limits: Limit
     known = pairs.join(n_term, "term").join(n_entity, "entity")
     info = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
     # n(t) is at least n(t, e): a word beside an entity is a word of the text
-    share = F.when(info > 0, 1 - F.log(F.greatest("n_term", "n_both") / F.col("n_both")) / info).otherwise(0.0)
+    met = F.col("n_both") + limits.prior * F.col("n_entity") / max(total, 1)
+    share = F.when(info > 0, 1 - F.log((F.greatest("n_term", "n_both") + limits.prior) / met) / info).otherwise(0.0)
     return known.withColumn("share", share).where(F.col("share") >= limits.generalise).select("entity", "term", "share")
 
 

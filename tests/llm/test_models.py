@@ -190,6 +190,31 @@ def test_share_of_disclosure_by_brute_force(spark):
     assert {(r["entity"], r["term"]): round(r["share"], 9) for r in found} == expected and expected
 
 
+def single_rows():
+    """Names that stand once, beside the one address or number of their document."""
+    rng = random.Random(5)
+    noise = ["lorem", "ipsum", "dolor", "amet", "zeta"]
+    rows = [(i, " ".join(rng.choices(noise, k=30))) for i in range(300)]
+    return rows + [(300, "lorem Thistlewood at t77@mail.org ipsum"), (301, "amet Brackenbury, +49 30 901820 44, dolor"), (302, "zeta at 10.20.30.40 ipsum")]
+
+
+def test_names_of_a_single_text_are_generalised(spark):
+    found = {r["doc_id"]: r["clean"] for r in sanitise.spans(frame(spark, single_rows()), sanitise.SINGLE).select("row.doc_id", sanitise.cleaned().alias("clean")).collect()}
+    assert found[300] == "lorem [TERM] at [EMAIL] ipsum" and found[301] == "amet [TERM], [PHONE], dolor" and found[302] == "zeta at [IP] ipsum"
+    assert all(found[i] == t for i, t in single_rows()[:300])
+
+
+def test_query_and_pipeline_score_single_texts(spark, tmp_path):
+    import corpus_pipeline
+    from ledgermart.llm.queries import op6_sanitise
+
+    frame(spark, single_rows()).write.parquet(f"{tmp_path}/documents.parquet")
+    listed = {r["doc_id"]: r["spans"] for r in op6_sanitise(spark, str(tmp_path)).collect()}
+    assert listed[300].startswith("term:6:17,") and listed[301].startswith("term:5:16,")
+    clean = {r["doc_id"]: r["text"] for r in corpus_pipeline.personal_data(spark, frame(spark, single_rows()), str(tmp_path)).collect()}
+    assert "Thistlewood" not in clean[300] and "Brackenbury" not in clean[301]
+
+
 def test_sanitising_awkward_rows(spark):
     docs = awkward(spark)
     found = sanitise.sanitise(docs)
