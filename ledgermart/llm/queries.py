@@ -40,7 +40,7 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sanitise.spans(documents(spark, sf_dir).select("doc_id", "text"), sanitise.SINGLE)
+    found = sanitise.spans(documents(spark, sf_dir).select("doc_id", "text"), sanitise.WHOLE)
     counts = [sanitise.count_of(kind).alias(f"n_{kind}") for kind in sanitise.KINDS[:4]]
     return found.select(F.col("row.doc_id").alias("doc_id"), *counts, F.sha2(sanitise.listed(F.col("base")), 256).alias("base_sha256"), sanitise.listed(sanitise.all_spans()).alias("spans"))
 

@@ -11,10 +11,17 @@ share is shrunk as if it had been met ``prior`` times more without regard to the
 once beside an address is generalised and one met often beside it is removed. ``support`` above one
 asks for that many different texts instead (copies of one text count once).
 
+With ``whole`` a term counts wherever it stands in a document that holds the entity, not only within
+``context`` characters, words are runs of letters, marks, digits and underscores of any length, and a
+disclosing term is treated at each of its places in every document, also where the entity isn't written.
+Entities held by exactly the same documents disclose alike, so one stands for all of them; terms too
+frequent to disclose any entity never pair. Without ``whole`` words have three letters or more and are
+treated beside the entity alone.
+
 Patterns are written so that matching is linear: a run that failed once is not tried again from
 its middle (possessive repetition, and a match starts only where a run starts or the last match ended).
-Terms are counted in one aggregate over all texts, after a filter for the words that occur beside an
-entity often enough. Texts never shuffle for that, only those that get term spans do, for the join
+Terms are counted in one aggregate over all texts, after a filter for the words that may disclose an
+entity. Texts never shuffle for that, only those that get term spans do, for the join
 with their spans.
 
 Edge cases: null text counts as empty and stays null; repeated rows get equal spans and count as one
@@ -45,6 +52,7 @@ PATTERNS = {
 #: A text without these can't match.
 TRIGGERS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 WORD = r"\p{L}{3,}+"
+TERM = r"[\p{L}\p{M}\p{N}_]++"
 SPAN = "struct<start:int,end:int,kind:int,value:string>"
 
 
@@ -57,10 +65,13 @@ class Limits:
     support: int = 3
     context: int = 100
     prior: float = 0.0
+    whole: bool = False
 
 
 #: Every pair is scored, also those of one text; shrunk by half a document (0.9 is in reach from 58 documents on).
 SINGLE = Limits(support=1, prior=0.5)
+#: As ``SINGLE``, over whole documents and at every place.
+WHOLE = Limits(support=1, prior=0.5, whole=True)
 
 
 def matches(text: Column, pattern: str, kind: int) -> Column:
@@ -160,11 +171,106 @@ def disclosing(rows: DataFrame, held: DataFrame, texts: DataFrame, limits: Limit
     n_entity = held.distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
     total = texts.count()
     known = pairs.join(n_term, "term").join(n_entity, "entity")
+    return known.withColumn("share", share_of(limits, total)).where(F.col("share") >= limits.generalise).select("entity", "term", "share")
+
+
+def share_of(limits: Limits, total: int) -> Column:
+    """The share of its information that an entity loses to a term, from n_both, n_term and n_entity among ``total``."""
     info = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
-    # n(t) is at least n(t, e): a word beside an entity is a word of the text
     met = F.col("n_both") + limits.prior * F.col("n_entity") / max(total, 1)
-    share = F.when(info > 0, 1 - F.log((F.greatest("n_term", "n_both") + limits.prior) / met) / info).otherwise(0.0)
-    return known.withColumn("share", share).where(F.col("share") >= limits.generalise).select("entity", "term", "share")
+    # n(t) is at least n(t, e): a word beside an entity is a word of the text
+    return F.when(info > 0, 1 - F.log((F.greatest("n_term", "n_both") + limits.prior) / met) / info).otherwise(0.0)
+
+
+def masked() -> Column:
+    """``text`` with its base spans as blanks; all other characters keep their places."""
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
+
+    def step(done: Column, s: Column) -> Column:
+        at = F.greatest(done["at"], s["start"])
+        here = F.array(F.substring(F.col("text"), done["at"] + 1, at - done["at"]), F.repeat(F.lit(" "), F.greatest(s["end"] - at, F.lit(0))))
+        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.concat(done["parts"], here).alias("parts"))
+
+    tail = lambda done: F.concat(F.concat_ws("", done["parts"]), F.substring(F.col("text"), done["at"] + 1, F.length("text")))
+    return F.when(F.size("base") == 0, F.col("text")).otherwise(F.aggregate("base", begin, step, tail))
+
+
+def terms_in(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def disclosing_anywhere(found: DataFrame, texts: DataFrame, limits: Limits) -> DataFrame:
+    """(term, share) of the terms that disclose ``limits.generalise`` of an entity of a document they stand in.
+
+    ``found``: name, text, text_hash and base of the documents with base spans; ``texts``: name and text of all documents.
+    """
+    total = texts.count()
+    held = found.select("name", "text_hash", F.explode(F.array_distinct(F.transform("base", entity_of))).alias("entity"))
+    holders = F.struct(F.count("*").alias("n_entity"), F.bit_xor("name").alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "name")).alias("y"))
+    per_entity = held.groupBy("entity").agg(holders.alias("holders"))
+    alike = scratch_table(per_entity.groupBy("holders").agg(F.min("entity").alias("entity")).select("entity", "holders.n_entity"), "entities")
+    by_name = held.join(alike, "entity").groupBy("name").agg(F.collect_list(F.struct("entity", "n_entity")).alias("entities"))
+    docs = scratch_table(found.select("name", "text_hash", terms_in(masked()).alias("terms")).join(by_name, "name"), "entity-terms")
+
+    # n(t) of the words of these documents, and of those the ones that are rare enough for some entity
+    words = scratch_table(docs.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("held_by")), "words")
+    bits = bits_for(words.count())
+    candidates = marked(texts.select(F.explode(terms_in(F.col("text"))).alias("term")), F.xxhash64("term"), bitmap_of(words.select(F.xxhash64("term").alias("hash")), bits), bits, "maybe")
+    n_term = candidates.where("maybe").groupBy("term").agg(F.count("*").alias("n"))
+    n_term = words.join(n_term, "term", "left").select("term", F.greatest("held_by", F.coalesce("n", F.lit(0))).alias("n_term"))
+    most = alike.agg(F.max("n_entity")).first()[0] or 0
+    rare = scratch_table(n_term.where(F.col("n_term") + limits.prior <= reach(most, total, limits)), "rare-terms")
+    bits = bits_for(rare.count())
+    some = marked(docs.select("text_hash", "entities", F.explode("terms").alias("term")), F.xxhash64("term"), bitmap_of(rare.select(F.xxhash64("term").alias("hash")), bits), bits, "maybe").where("maybe")
+    pairs = some.select("term", "text_hash", F.explode("entities").alias("e")).select("term", "e.entity", "e.n_entity", "text_hash")
+    if limits.support > 1:
+        pairs = pairs.groupBy("term", "entity", "n_entity", "text_hash").agg(F.count("*").alias("docs"))
+        pairs = pairs.groupBy("term", "entity", "n_entity").agg(F.sum("docs").alias("n_both"), F.count("*").alias("texts")).where(F.col("texts") >= limits.support)
+    else:
+        pairs = pairs.groupBy("term", "entity", "n_entity").agg(F.count("*").alias("n_both"))
+    shares = pairs.join(rare, "term").withColumn("share", share_of(limits, total))
+    return shares.groupBy("term").agg(F.max("share").alias("share")).where(F.col("share") >= limits.generalise)
+
+
+def reach(n_entity: int, total: int, limits: Limits) -> float:
+    """The most that n(t) plus the prior can be for an entity of ``n_entity`` documents; a little more, for rounding."""
+    held = max(n_entity, 1)
+    return 1.000001 * (held + limits.prior * held / max(total, 1)) * (max(total, 1) / held) ** (1 - limits.generalise)
+
+
+def places_of_terms(rows: DataFrame, telling: DataFrame, limits: Limits) -> DataFrame:
+    """(name, terms) of the documents in which a term of ``telling`` stands outside of base spans, with all its places."""
+    bits = bits_for(telling.count())
+    bitmap = bitmap_of(telling.select(F.xxhash64("term").alias("hash")), bits)
+    words = marked(rows.select("name", F.explode(terms_in(F.col("text"))).alias("term")), F.xxhash64("term"), bitmap, bits, "maybe")
+    has = words.where("maybe").select("name", "term").distinct().join(telling, "term")
+    share_of_name = F.collect_list(F.when(F.col("share") >= limits.remove, F.col("term")))
+    by_name = scratch_table(has.groupBy("name").agg(F.collect_list("term").alias("telling"), share_of_name.alias("gone")), "telling-names")
+    bits = bits_for(by_name.count())
+    docs = marked(rows, F.col("name"), bitmap_of(by_name.select(F.col("name").alias("hash")), bits), bits, "maybe").where("maybe").select("name", "text")
+    docs = with_base_spans(docs.join(by_name, "name").dropDuplicates(["name"])).withColumn("text", masked())
+
+    found = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
+    pairs = F.zip_with(F.slice(F.split("text", TERM, -1), 1, F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.lower(hit).alias("term"), F.length(hit).alias("size")))
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,removed:boolean>>").alias("spans"))
+
+    def step(done: Column, word: Column) -> Column:
+        start = done["at"] + word["gap"]
+        end = start + word["size"]
+        span = F.struct(start.alias("start"), end.alias("end"), F.array_contains(F.col("gone"), word["term"]).alias("removed"))
+        return F.struct(end.alias("at"), F.when(F.array_contains(F.col("telling"), word["term"]), F.array_append(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
+
+    return docs.select("name", F.aggregate(pairs, begin, step, lambda done: done["spans"]).alias("terms"))
+
+
+def places_beside(found: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
+    """(name, terms) of the documents with terms to treat beside their entities."""
+    context = scratch_table(beside(found, limits.context), "beside")
+    held = found.select("name", F.explode("base").alias("span")).select("name", entity_of(F.col("span")).alias("entity"))
+    telling = scratch_table(disclosing(context, held, rows.select("name", "text"), limits), "disclosing")
+    term_spans = context.join(telling, ["entity", "term"]).groupBy("name", "start", "end").agg(F.max("share").alias("share"))
+    removed = (F.col("share") >= limits.remove).alias("removed")
+    return term_spans.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("start", "end", removed))).alias("terms"))
 
 
 def spans(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -177,12 +283,11 @@ def spans(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", te
     )
     found = with_base_spans(rows.select("name", "text", F.xxhash64("text").alias("text_hash"))).where(F.size("base") > 0).dropDuplicates(["name"])
     found = scratch_table(found, "protected")
-    context = scratch_table(beside(found, limits.context), "beside")
-    held = found.select("name", F.explode("base").alias("span")).select("name", entity_of(F.col("span")).alias("entity"))
-    telling = scratch_table(disclosing(context, held, rows.select("name", "text"), limits), "disclosing")
-    term_spans = context.join(telling, ["entity", "term"]).groupBy("name", "start", "end").agg(F.max("share").alias("share"))
-    removed = (F.col("share") >= limits.remove).alias("removed")
-    by_name = scratch_table(term_spans.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("start", "end", removed))).alias("terms")), "term-spans")
+    if limits.whole:
+        telling = scratch_table(disclosing_anywhere(found, rows.select("name", "text"), limits), "disclosing")
+        by_name = scratch_table(places_of_terms(rows.select("name", "text"), telling, limits), "term-spans")
+    else:
+        by_name = scratch_table(places_beside(found, rows, limits), "term-spans")
     bits = bits_for(by_name.count())
     all_rows = marked(rows, F.col("name"), bitmap_of(by_name.select(F.col("name").alias("hash")), bits), bits, "maybe")
     none = F.array().cast("array<struct<start:int,end:int,removed:boolean>>")
@@ -231,5 +336,5 @@ def cleaned() -> Column:
 def sanitise(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of ``docs`` with the text sanitised; a null text stays null."""
     found = spans(docs, limits, id_col, text_col)
-    text = F.when(F.col(f"row.`{text_col}`").isNull() | (F.size("base") == 0), F.col(f"row.`{text_col}`")).otherwise(cleaned())
+    text = F.when(F.col(f"row.`{text_col}`").isNull() | ((F.size("base") == 0) & (F.size("terms") == 0)), F.col(f"row.`{text_col}`")).otherwise(cleaned())
     return found.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -215,6 +215,32 @@ def test_query_and_pipeline_score_single_texts(spark, tmp_path):
     assert "Thistlewood" not in clean[300] and "Brackenbury" not in clean[301]
 
 
+def test_telling_terms_go_at_every_place(spark):
+    rng = random.Random(7)
+    noise = ["lorem", "ipsum", "dolor", "amet", "zeta"]
+    far = " ".join(rng.choices(noise, k=60))
+    rows = [(i, " ".join(rng.choices(noise, k=30))) for i in range(3000)]
+    rows += [(4000 + i, f"Quillfeather case_77 Wu {far} {i % 2 * 'lorem '}q@mail.org wrote {far} İdil") for i in range(3)]
+    rows += [(5000, "Quillfeather alone, case_77 by WU; İdil"), (5001, "lorem Brackenbury")]
+    found = {r["doc_id"]: r for r in sanitise.spans(frame(spark, rows).repartition(3), sanitise.WHOLE).select("row.doc_id", "text", "terms", sanitise.cleaned().alias("clean")).collect()}
+    assert len(found) == len(rows)
+    for i in range(4000, 4003):
+        assert [found[i]["text"][t["start"] : t["end"]] for t in found[i]["terms"]] == ["Quillfeather", "case_77", "Wu", "wrote", "İdil"]
+        assert not {"Quillfeather", "case_77", "Wu", "İdil", "q@mail.org"} & set(found[i]["clean"].split())
+    assert [found[5000]["text"][t["start"] : t["end"]] for t in found[5000]["terms"]] == ["Quillfeather", "case_77", "WU", "İdil"]
+    assert found[5001]["clean"] == "lorem Brackenbury" and all(found[i]["clean"] == t for i, t in rows[:3000])
+    clean = {r["doc_id"]: r["text"] for r in sanitise.sanitise(frame(spark, rows), sanitise.WHOLE).where("doc_id >= 4000").collect()}
+    assert clean == {i: found[i]["clean"] for i in clean} and "Quillfeather" not in clean[5000]
+
+
+def test_whole_documents_on_awkward_rows(spark):
+    docs = awkward(spark)
+    found = sanitise.sanitise(docs, sanitise.WHOLE)
+    assert found.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in found.collect()) == sorted((str(i), str(t)) for i, t in awkward_rows())
+    assert sanitise.sanitise(empty(spark), sanitise.WHOLE).count() == 0
+
+
 def test_sanitising_awkward_rows(spark):
     docs = awkward(spark)
     found = sanitise.sanitise(docs)
