@@ -9,7 +9,8 @@ the rows. Position p goes to shard p mod ``shards``, slot p div ``shards``: coun
 most one, slots have no gaps, and the place of any row number can be computed without data.
 
 Rows that agree in id and text are counted before any shuffle and given consecutive numbers, so a
-row repeated without limit reaches the window as one row per task.
+row repeated without limit reaches the window as one row per task. Its numbers are written out in runs
+of at most ``CHUNK``.
 
 Edge cases: null text counts as no bytes (size 8); null ids are a value like others, spread by
 their texts; an empty table gives an empty table; one row gets shard and slot from position 0;
@@ -26,6 +27,8 @@ from ledgermart.llm.common import text_of
 #: Buckets of the numbering: fixed, so a bucket's share of n rows is n / BUCKETS.
 BUCKETS = 8192
 ROUNDS = 4
+#: Copies of one row that are numbered in one array.
+CHUNK = 1 << 16
 #: Applications of the network at most. A walk visits distinct numbers outside the range, of which
 #: there are at most root(n) + 1 among n, so up to 3,800 rows this many always suffice; above, a
 #: longer walk has a chance below n ** -30 and would fail loudly.
@@ -77,9 +80,17 @@ def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return placed.join(F.broadcast(starts), "bucket").select("doc_id", "size", "text_crc32", "times", (F.col("start") + F.col("inside")).alias("first"), "total")
 
 
+def each_number(placed: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """A row for each of a distinct row's numbers; no array holds more than ``chunk`` of them."""
+    runs = F.sequence(F.lit(0).cast("bigint"), whole(F.col("times") - 1, F.lit(chunk)))
+    started = placed.select("doc_id", "size", "text_crc32", "total", "first", (F.col("first") + F.col("times")).alias("upto"), F.explode(runs).alias("run"))
+    begin = F.col("first") + F.col("run") * chunk
+    return started.select("doc_id", "size", "text_crc32", "total", F.explode(F.sequence(begin, F.least(F.col("upto"), begin + chunk) - 1)).alias("number"))
+
+
 def shard(docs: DataFrame, shards: int = 24, seed: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard and position (the shuffled number)."""
-    one_each = numbered(docs, id_col, text_col).select("doc_id", "size", "text_crc32", "total", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("times") - 1)).alias("number"))
+    one_each = each_number(numbered(docs, id_col, text_col))
     at = one_each.withColumn("position", permuted(F.col("number"), F.col("total"), seed))
     checked = F.when(F.col("position") < F.col("total"), F.col("position")).otherwise(F.raise_error(F.lit("a cycle walk did not end")).cast("bigint"))
     return at.withColumn("position", checked).select(

@@ -289,3 +289,11 @@ def test_shards_of_awkward_rows(spark):
     found = feistel.shard(awkward(spark), shards=4).collect()
     assert len(found) == len(awkward_rows()) and len({(r["shard"], r["slot"]) for r in found}) == len(found)
     assert feistel.shard(empty(spark)).count() == 0
+
+
+def test_numbers_of_a_repeated_row_come_in_chunks(spark):
+    placed = spark.createDataFrame([(None, 8, 0, 1000, 5, 1013), (1, 9, 1, 1, 0, 1013), (2, 9, 2, 7, 1005, 1013), (3, 9, 3, 4, 1, 1013), (4, 9, 4, 1, 1012, 1013)], "doc_id bigint, size bigint, text_crc32 bigint, times bigint, first bigint, total bigint")
+    found = feistel.each_number(placed, chunk=7)
+    rows = found.collect()
+    assert sorted(r["number"] for r in rows) == list(range(1013))
+    assert all(5 <= r["number"] < 1005 for r in rows if r["doc_id"] is None) and sum(r["doc_id"] is None for r in rows) == 1000
