@@ -8,8 +8,9 @@ finding complements, and few windows stay open. When a block ends, what its open
 poured together and cut at the window size, and the last piece of window at powers of two, which
 need no padding.
 
-A block holds about ``block_docs`` documents whatever the corpus size, so a task's memory is
-bounded: it keeps open windows only, and texts stream through in small batches. Sequences are
+A block holds about ``block_docs`` documents whatever the corpus size: many times the fill levels, so
+that the rule finds complements and little is left to pour. A task keeps open windows only, whose
+number follows the levels and not the documents, and texts stream through in small batches. Sequences are
 numbered block by block.
 
 Edge cases: null and empty texts give the end id alone; texts of any length are cut freely; rows
@@ -163,7 +164,7 @@ def _power_below(left: int, window: int) -> int:
     return window if left >= window else 1 << (left.bit_length() - 1) if left else 0
 
 
-def pack(docs: DataFrame, model: str, window: int = 2048, end_id: int = 1, block_docs: int = 2_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(docs: DataFrame, model: str, window: int = 2048, end_id: int = 1, block_docs: int = 20_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per piece: doc_id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
 
     One shuffle, of the texts, into the blocks. The number of blocks follows the row count.

@@ -150,6 +150,15 @@ def test_packing_keeps_every_token_once(spark):
         assert assert_whole(packed(frame(spark, rows), window=128, block_docs=block_docs), rows, 128) == 0
 
 
+def test_blocks_are_large_enough_to_find_complements(spark):
+    rng = random.Random(13)
+    df = frame(spark, [(i, words(rng, rng.randint(2, 30))) for i in range(6000)])
+    large, small = packed(df, window=256), packed(df, window=256, block_docs=2_000)
+    assert len({p["sequence_id"] // packing.SPAN for p in large}) == 1
+    # only poured documents are cut; none of these is longer than a window
+    assert 2 * (len(large) - 6000) < len(small) - 6000
+
+
 def test_packing_awkward_rows(spark):
     assert assert_whole(packed(awkward(spark), window=64), awkward_rows(), 64) == 0
     assert packed(empty(spark)) == []
