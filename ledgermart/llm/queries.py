@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermart.llm import bloom, byte_bpe, factor_machine, feistel, line_dedup, order_minhash, packing, piece_count, sanitise, set_join
+from ledgermart.llm import ball_tree, bloom, byte_bpe, cover_tree, factor_machine, feistel, line_dedup, order_minhash, packing, piece_count, sanitise, set_join, whitening
 from ledgermart.llm.common import documents
 
 
@@ -62,7 +62,19 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feistel.shard(documents(spark, sf_dir)).drop("position")
 
 
-QUERIES = {q.__name__: q for q in (op1_order_minhash, op2_line_dedup, op3_exact_dedup, op4_quality, op5_ngram_join, op6_sanitise, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ball_tree.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=10)
+
+
+def op12_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.9)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), components=4, scale=256)
+
+
+QUERIES = {q.__name__: q for q in (op1_order_minhash, op2_line_dedup, op3_exact_dedup, op4_quality, op5_ngram_join, op6_sanitise, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding, op11_lexical_search, op12_embedding_near_dedup, op13_whitening)}
 
 SQL = {
     "op2_line_dedup": """
@@ -120,4 +132,37 @@ SQL = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
         FROM d JOIN g USING (text_sha256)
     """,
+    "op11_lexical_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+        ),
+        lengths AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS length FROM lengths),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+        df AS (SELECT term, CAST(floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, total GROUP BY term),
+        scored AS (
+            SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // length)))) AS BIGINT) AS score
+            FROM asked JOIN tf USING (term) JOIN df USING (term) JOIN lengths USING (doc_id), total GROUP BY item_id, doc_id
+        ),
+        ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+    """,
+    "op12_embedding_near_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+              AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+        ),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+        least AS (SELECT a AS vec_id, min(b) AS least FROM reach GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(least, e.vec_id)) AS component_id, e.vec_id <= coalesce(least, e.vec_id) AS kept
+        FROM embeddings e LEFT JOIN least USING (vec_id) LEFT JOIN counts USING (vec_id)
+    """,
 }
