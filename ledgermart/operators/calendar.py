@@ -201,12 +201,14 @@ def derive_series(obs: DataFrame, key: str, month: str, value: str, derivation:
         # rows are one per month, so a 12-row frame spans exactly 12 months
         # only when its first month is 11 months back
         w = Window.partitionBy(key).orderBy(month).rowsBetween(-11, 0)
-        r = m.withColumn("_lnsum", F.sum(F.log1p(F.col("_v") / 100)).over(w)).withColumn(
+        r = m.withColumn("_factors", F.collect_list(F.col("_v") / 100 + 1).over(w)).withColumn(
             "_first", F.min(month).over(w)
         ).withColumn("_n", F.count_if(F.col("_v") > -100).over(w))
-        # twelve rates above -100 %: a missing or impossible rate makes the product null
+        # twelve rates above -100 %: a missing or impossible rate makes the product null; the
+        # factors are multiplied in month order, so the result doesn't depend on how rows arrive
         ok = (F.col("_n") == 12) & (F.col("_first") == F.add_months(month, -11))
-        return r.select(key, month, F.when(ok, (F.exp("_lnsum") - 1) * 100).alias("derived_value"))
+        product = F.aggregate("_factors", F.lit(1.0), lambda done, factor: done * factor)
+        return r.select(key, month, F.when(ok, (product - 1) * 100).alias("derived_value"))
     raise ValueError(f"unknown derivation {derivation!r}")
 
 

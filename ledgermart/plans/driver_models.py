@@ -168,12 +168,15 @@ def _values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(map(text, r)) + ")" for r in rows) + ")"
 
 
-_BASE = f"""WITH files AS (
+#: The files (orders by month and status) and the accounts of part types, for oracle SQL.
+ORACLE_FILES = f"""files AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, strftime(o_orderdate, '%Y%m') AS source_period,
          strftime(o_orderdate, '%Y%m') || '-' || o_orderstatus AS source_checksum,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month
   FROM orders),
-accounts(p_type, account_code) AS {_values(ACCOUNT_CODES.items())},
+accounts(p_type, account_code) AS {_values(ACCOUNT_CODES.items())}"""
+
+_BASE = f"""WITH {ORACLE_FILES},
 manifest AS (
   SELECT source_period, source_checksum, CASE WHEN o_orderstatus = 'P' THEN 'failed' ELSE 'complete' END AS status,
          o_orderstatus = 'F' AS source_is_active, COUNT(*) AS declared_row_count

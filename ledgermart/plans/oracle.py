@@ -587,7 +587,7 @@ FROM m a LEFT JOIN m p ON a.c_mktsegment = p.c_mktsegment
     "segment_rolling": f"""
 WITH {SEGMENT_RATES}
 SELECT a.c_mktsegment, a.report_month,
-       CASE WHEN COUNT(*) = 12 AND MIN(b.rate) > -100 THEN (exp(SUM(ln(1 + b.rate / 100))) - 1) * 100 END AS derived_value
+       CASE WHEN COUNT(*) = 12 AND MIN(b.rate) > -100 THEN (list_reduce(list(b.rate / 100 + 1 ORDER BY b.report_month), lambda x, y: x * y) - 1) * 100 END AS derived_value
 FROM rates a JOIN rates b ON b.c_mktsegment = a.c_mktsegment AND b.report_month <= a.report_month
                          AND b.report_month > a.report_month - INTERVAL 12 MONTH
 GROUP BY 1, 2""",

@@ -37,7 +37,11 @@ def read_catalog(spark: SparkSession, path: str, discovered_at_utc: str | None =
     # a payload without the list is an error, not a catalog without files
     raw = raw.withColumn("items", F.when(F.col("items").isNotNull(), F.col("items")).otherwise(
         F.raise_error(F.concat(F.lit("catalog payload without a list of items: "), F.col("catalog_file"))).cast("array<string>")))
-    items = raw.select("catalog_file", F.posexplode("items").alias("item_index", "item"))
+    return catalog_rows(raw.select("catalog_file", F.posexplode("items").alias("item_index", "item")), discovered_at_utc, pattern)
+
+
+def catalog_rows(items: DataFrame, discovered_at_utc: str | None = None, pattern: str = BANK_URL_PERIOD) -> DataFrame:
+    """Items as JSON text (catalog_file, item_index, item) → catalog rows with versions per period."""
     obj = F.col("item").startswith("{")
 
     def field(name):

@@ -8,7 +8,8 @@ Two landing shapes:
   same files; untouched partitions are never read or rewritten.
 * small keyed tables: ``upsert`` = (target minus batch keys) ∪ batch, written
   as a new snapshot folder and then published, so a failed job never leaves a
-  half-written table.
+  half-written table.  For large ones see ``versions.merge``, which rewrites
+  only the buckets that a batch changes.
 """
 
 from __future__ import annotations
@@ -45,18 +46,20 @@ def assert_schema(df: DataFrame, expected: T.StructType, check_nullability: bool
     return df
 
 
-def upsert_frames(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
-    """Keyed merge as a relation: batch rows replace target rows with the same key.
-
-    A key that repeats in the batch lands once, with the largest of its rows
-    (compared column by column in the target's order).
-    """
+def one_per_key(batch: DataFrame, keys) -> DataFrame:
+    """A key that repeats lands once, with the largest of its rows (compared column by column in the frame's order)."""
     ks = names(keys)
-    rest = [c for c in target.columns if c not in ks]
-    once = batch.select(*target.columns).distinct() if not rest else batch.groupBy(*ks).agg(
+    rest = [c for c in batch.columns if c not in ks]
+    once = batch.distinct() if not rest else batch.groupBy(*ks).agg(
         F.max(F.struct(*rest)).alias("_row")).select(*ks, *[F.col(f"_row.{c}").alias(c) for c in rest])
-    kept = target.join(once.select(*ks), ks, "left_anti")
-    return kept.unionByName(once.select(*target.columns))
+    return once.select(*batch.columns)
+
+
+def upsert_frames(target: DataFrame, batch: DataFrame, keys) -> DataFrame:
+    """Keyed merge as a relation: batch rows replace target rows with the same key."""
+    ks = names(keys)
+    once = one_per_key(batch.select(*target.columns), ks)
+    return target.join(once.select(*ks), ks, "left_anti").unionByName(once)
 
 
 def _publish(df: DataFrame, path: str, fmt: str = "parquet", partition_by=()) -> str:

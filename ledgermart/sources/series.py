@@ -43,18 +43,8 @@ def guard_table(df: DataFrame, failures: Column, message: str) -> DataFrame:
     return guard(df, failures > 0, message).unionByName(alone)
 
 
-def read_series(spark: SparkSession, path: str, series_code: str | None = None,
-                retrieved_at_utc: str | None = None, strict: bool = True) -> DataFrame:
-    """Series JSON ``[{"data": "dd/MM/yyyy", "valor": "0,16"}, …]`` → observations.
-
-    The code comes from ``series_code`` or the file name (``<code>.json``).
-    Comma or dot decimals; non-finite values, empty files, missing keys and
-    bad dates are errors (``strict`` raises, else rows keep an ``error``).
-    """
-    raw = spark.read.option("multiLine", "true").schema(
-        "data string, valor string, _corrupt_record string").option(
-        "columnNameOfCorruptRecord", "_corrupt_record").json(path)
-    code = F.lit(series_code) if series_code else F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
+def series_rows(raw: DataFrame, retrieved_at_utc: str | None = None, strict: bool = True) -> DataFrame:
+    """Raw items (series_code, source_url, data, valor, _corrupt_record) → observations."""
     text = strip_all(F.col("valor"))
     norm = F.replace(text, F.lit(","), F.lit("."))
     finite = norm.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$")
@@ -64,18 +54,35 @@ def read_series(spark: SparkSession, path: str, series_code: str | None = None,
            .when(obs_date.isNull(), F.lit("invalid date"))
            .when(~finite, F.lit("non-finite or invalid value")))
     out = raw.select(
-        code.alias("series_code"),
+        "series_code",
         obs_date.alias("source_observation_date"),
         period_text(obs_date).alias("report_month"),
         F.when(finite, norm.try_cast(MACRO)).alias("value"),
         text.alias("value_raw"),
         F.lit(retrieved_at_utc).cast("timestamp").alias("retrieved_at_utc"),
-        F.input_file_name().alias("source_url"),
+        "source_url",
         err.alias("error"),
     )
     if strict:
         out = guard(out, F.col("error").isNotNull(),
                     F.concat(F.lit("series "), F.col("series_code"), F.lit(": "), F.col("error")))
+    return out
+
+
+def read_series(spark: SparkSession, path: str, series_code: str | None = None,
+                retrieved_at_utc: str | None = None, strict: bool = True) -> DataFrame:
+    """Series JSON ``[{"data": "dd/MM/yyyy", "valor": "0,16"}, …]`` → observations.
+
+    The code comes from ``series_code`` or the file name (``<code>.json``).
+    Comma or dot decimals; non-finite values, empty files, missing keys and
+    bad dates are errors (``strict`` raises, else rows keep an ``error``).
+    """
+    raw = spark.read.option("multiLine", "true").schema(
+        "data string, valor string, _corrupt_record string").option(
+        "columnNameOfCorruptRecord", "_corrupt_record").json(path)
+    code = F.lit(series_code) if series_code else F.regexp_extract(F.input_file_name(), r"([^/]+)\.json$", 1)
+    out = series_rows(raw.withColumns({"series_code": code, "source_url": F.input_file_name()}), retrieved_at_utc, strict)
+    if strict:
         # a file without any observation (``[]``) is an error too: list the
         # files (paths only, contents unread) and anti-join the ones seen
         def norm(c):

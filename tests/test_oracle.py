@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as E
 from ledgermart.plans.driver_models import RECIPES as MODEL_RECIPES
+from ledgermart.plans.driver_sources import RECIPES as SOURCE_RECIPES
 from ledgermart.plans.driver_tables import RECIPES as TABLE_RECIPES
 from ledgermart.plans.driver_tables import TABLES
 
@@ -41,7 +42,7 @@ def duck():
     return con
 
 
-CORE = sorted({**TABLE_RECIPES, **MODEL_RECIPES})
+CORE = sorted({**TABLE_RECIPES, **MODEL_RECIPES, **SOURCE_RECIPES})
 
 
 def test_every_core_query_has_oracle_sql():
