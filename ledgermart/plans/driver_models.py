@@ -24,13 +24,12 @@ from ledgermart.functions._util import values_frame
 from ledgermart.plans import models
 from ledgermart.plans.driver_tables import FREEZE_MONTH, MAPPING_ROWS, MAPPING_VERSION, POPULATION_SIZE, session_mart, table
 from ledgermart.operators.population import top_members
+from ledgermart.operators.relationships import MART_RELATIONSHIPS, Measure, Relationships
 
-# Account codes of the part types, the first synthetic nation
-# and the series that the registry knows.
+# Account codes of the part types and the first synthetic nation.
 ACCOUNT_CODES = {"STANDARD": "1000000009", "SMALL": "2000000008", "MEDIUM": "3000000007", "LARGE": "4000000006",
                  "PROMO": "5000000005", "ECONOMY": "6000000004"}
 FIRST_FIXTURE = 20
-SERIES = ("click", "error", "purchase", "view")
 
 
 def _files(spark: SparkSession, d: str) -> DataFrame:
@@ -79,13 +78,17 @@ def balance_rows(spark: SparkSession, d: str) -> DataFrame:
         "retrieved_at_utc", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("file_row_number"))
 
 
-def series_metadata(spark: SparkSession) -> DataFrame:
-    rows = [(s, "events", s.title(), f"Events of type {s}", "value", "monthly", None, "sum", "calendar month", "Latest level",
-             1, "none", f"https://series.invalid/{s}", f"https://series.invalid/{s}/about") for s in SERIES]
-    return values_frame(spark, rows, "series_code string, theme string, display_name string, official_title string, "
-                        "unit string, frequency string, source_start_date date, observation_semantics string, "
-                        "monthly_alignment string, derived_metric string, max_expected_lag_months bigint, "
-                        "revision_policy string, source_url string, metadata_url string")
+def series_metadata(spark: SparkSession, d: str) -> DataFrame:
+    """The registry: a monthly series for each type of event that occurs."""
+    code = F.col("series_code")
+    about = F.concat(F.lit("https://series.invalid/"), code)
+    text = {"theme": F.lit("events"), "display_name": F.initcap(code), "official_title": F.concat(F.lit("Events of type "), code),
+            "unit": F.lit("value"), "frequency": F.lit("monthly"), "source_start_date": F.lit(None).cast("date"),
+            "observation_semantics": F.lit("sum"), "monthly_alignment": F.lit("calendar month"), "derived_metric": F.lit("Latest level"),
+            "max_expected_lag_months": F.lit(1).cast("bigint"), "revision_policy": F.lit("none"), "source_url": about,
+            "metadata_url": F.concat(about, F.lit("/about"))}
+    codes = table(spark, d, "events").select(F.col("event_type").alias("series_code")).distinct()
+    return codes.select("series_code", *[c.alias(n) for n, c in text.items()])
 
 
 def observations(spark: SparkSession, d: str) -> DataFrame:
@@ -97,12 +100,14 @@ def observations(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("driver://events/"), F.col("event_type")).alias("source_url"), F.lit(False).alias("fixture"))
 
 
-def mapping_seed(spark: SparkSession) -> DataFrame:
-    rows = [(k, name, order, ACCOUNT_CODES[account], part, sign, MAPPING_VERSION, "certified", "driver://mapping")
+def mapping_seed(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of the part types that occur."""
+    rows = [(k, name, order, account, ACCOUNT_CODES[account], part, sign, MAPPING_VERSION, "certified", "driver://mapping")
             for k, name, order, account, part, sign in MAPPING_ROWS]
-    return values_frame(spark, rows, "reporting_line_key string, reporting_line_name string, display_order int, "
-                        "account_code string, component_name string, presentation_multiplier int, "
-                        "mapping_version string, status string, source_url string")
+    known = values_frame(spark, rows, "reporting_line_key string, reporting_line_name string, display_order int, p_type string, "
+                         "account_code string, component_name string, presentation_multiplier int, "
+                         "mapping_version string, status string, source_url string")
+    return known.join(table(spark, d, "part").select("p_type").distinct(), "p_type", "left_semi").drop("p_type")
 
 
 def population_seed(spark: SparkSession, d: str) -> DataFrame:
@@ -119,10 +124,11 @@ def population_seed(spark: SparkSession, d: str) -> DataFrame:
                       F.col("n_name").alias("institution_name"), F.lit("b1").alias("taxonomy"))
 
 
-def driver_marts(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def driver_marts(spark: SparkSession, d: str) -> models.Marts:
+    later = lambda make: lambda: make(spark, d)
     return models.build_marts(
-        spark, balance_rows(spark, d), file_manifest(spark, d), series_metadata(spark), observations(spark, d),
-        mapping_seed(spark), population_seed(spark, d),
+        spark, later(balance_rows), later(file_manifest), later(series_metadata), later(observations),
+        later(mapping_seed), later(population_seed),
         landed=lambda df: session_mart(spark, d, "account_balance", lambda: df))
 
 
@@ -152,7 +158,11 @@ COLUMNS = {
 
 def _recipe(name: str):
     def run(spark: SparkSession, d: str) -> DataFrame:
-        return driver_marts(spark, d)[name].select(*COLUMNS[name].split())
+        marts = driver_marts(spark, d)
+        found = marts[name]
+        if name == "dim_document":  # those that the balances have
+            found = found.join(marts["account_balance"].select("document_code").distinct(), "document_code", "left_semi")
+        return found.select(*COLUMNS[name].split())
 
     run.__name__ = f"model_{name}"
     run.__doc__ = f"The model ``{name}`` built from the driver's tables."
@@ -162,6 +172,49 @@ def _recipe(name: str):
 RECIPES = {f"model_{name}": _recipe(name) for name in COLUMNS}
 
 
+# -- relationships (J13) -------------------------------------------------------
+def _graph(spark: SparkSession, d: str) -> Relationships:
+    return Relationships(driver_marts(spark, d), MART_RELATIONSHIPS)
+
+
+def relationship_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Line balances by columns of three dimensions, filtered on a fourth."""
+    balance = "fact_reporting_line_balance"
+    return _graph(spark, d).query(
+        {"presentation": Measure(balance, "sum", "presentation_balance_amount"), "balances": Measure(balance, "count", "presentation_balance_amount"),
+         "smallest": Measure(balance, "min", "reported_balance_amount"), "files": Measure(balance, "count_distinct", "source_file_key")},
+        by=["dim_bank.institution_name", "dim_date.calendar_year", "dim_reporting_line.reporting_line_name"],
+        where={"dim_source_file": F.col("declared_row_count") > 1})
+
+
+def relationship_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Two facts by shared dimensions; the filter on accounts reaches the one that leads there."""
+    return _graph(spark, d).query(
+        {"account_balance": Measure("fact_account_balance", "sum", "balance_amount"), "accounts": Measure("fact_account_balance", "count_distinct", "account_code"),
+         "line_balance": Measure("fact_reporting_line_balance", "sum", "presentation_balance_amount")},
+        by=["dim_date.calendar_year", "dim_bank.institution_name"],
+        where={"dim_cosif_account": F.col("account_class").isin("1", "2"), "dim_document": F.col("analytical_allowed")})
+
+
+def relationship_context(spark: SparkSession, d: str) -> DataFrame:
+    """Series by year, and the bridge by line and account class."""
+    graph = _graph(spark, d)
+    series = graph.query({"value": Measure("fact_monthly_economic_context", "sum", "value"), "largest": Measure("fact_monthly_economic_context", "max", "value")},
+                         by=["dim_macro_series.display_name", "dim_date.calendar_year"])
+    bridge = graph.query({"links": Measure("bridge_account_reporting_line", "count", "account_key"), "sign": Measure("bridge_account_reporting_line", "sum", "presentation_multiplier")},
+                         by=["dim_reporting_line.reporting_line_name", "dim_cosif_account.account_class"])
+    return series.select(F.lit("context").alias("part"), F.col("display_name").alias("label"), F.col("calendar_year").cast("string").alias("detail"), F.col("value").cast("decimal(38,10)").alias("total"), F.col("largest").cast("decimal(38,10)").alias("other")).unionByName(
+        bridge.select(F.lit("bridge").alias("part"), F.col("reporting_line_name").alias("label"), F.col("account_class").alias("detail"), F.col("links").cast("decimal(38,10)").alias("total"), F.col("sign").cast("decimal(38,10)").alias("other")))
+
+
+def relationship_controls(spark: SparkSession, d: str) -> DataFrame:
+    """Orphans and repeated keys of all thirteen relationships."""
+    return _graph(spark, d).controls()
+
+
+RECIPES |= {q.__name__: q for q in (relationship_lines, relationship_facts, relationship_context, relationship_controls)}
+
+
 # -- oracle ------------------------------------------------------------------
 def _values(rows) -> str:
     text = lambda v: str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
@@ -198,9 +251,10 @@ bp AS (
   SELECT report_month, institution_cnpj, MAX(institution_name) AS institution_name, MAX(taxonomy) AS taxonomy,
          COUNT(*) AS account_row_count, bool_and(is_fixture) AS is_fixture
   FROM ab GROUP BY 1, 2),
-mapping(reporting_line_key, reporting_line_name, display_order, account_code, component_name, presentation_multiplier) AS
-  {_values([(k, name, order, ACCOUNT_CODES[account], part, sign) for k, name, order, account, part, sign in MAPPING_ROWS])},
-series(series_code) AS {_values([(s,) for s in SERIES])},
+lines(reporting_line_key, reporting_line_name, display_order, p_type, component_name, presentation_multiplier) AS
+  {_values([(k, name, order, account, part, sign) for k, name, order, account, part, sign in MAPPING_ROWS])},
+mapping AS (SELECT lines.*, account_code FROM lines JOIN accounts USING (p_type) WHERE p_type IN (SELECT p_type FROM part)),
+series AS (SELECT DISTINCT event_type AS series_code FROM events),
 mo AS (
   SELECT event_type AS series_code, CAST(date_trunc('month', ts) AS DATE) AS report_month,
          CAST(SUM(CAST(value AS DECIMAL(38,2))) AS DECIMAL(38,10)) AS value
@@ -257,7 +311,7 @@ SQL = {
     "dim_reporting_line": "SELECT DISTINCT md5(reporting_line_key) AS reporting_line_key, reporting_line_key AS reporting_line_code, "
                           f"reporting_line_name, display_order, '{MAPPING_VERSION}' AS mapping_version FROM mapping",
     "dim_document": "SELECT * FROM (VALUES ('4010', TRUE, 'monthly'), ('4016', FALSE, 'semiannual')) "
-                    "t(document_code, analytical_allowed, source_frequency)",
+                    "t(document_code, analytical_allowed, source_frequency) WHERE document_code IN (SELECT document_code FROM ab)",
     "dim_macro_series": "SELECT md5(series_code) AS macro_series_key, series_code, upper(series_code[1]) || series_code[2:] AS display_name FROM series",
     "dim_date": f"SELECT {_KEY.format('month_start')}, month_start, CAST(year(month_start) AS INTEGER) AS calendar_year, "
                 "CAST(month(month_start) AS INTEGER) AS calendar_month FROM dim_date",
@@ -280,3 +334,44 @@ SQL = {
         f"md5(series_code) AS macro_series_key, {_KEY.format('report_month')}, upper(series_code[1]) || series_code[2:] AS display_name, value FROM mo",
 }
 ORACLE = {f"model_{name}": f"{_BASE}\nSELECT {', '.join(COLUMNS[name].split())} FROM ({sql})" for name, sql in SQL.items()}
+
+
+def _model(name: str) -> str:
+    """The model as a relation; the month key and the document of the account fact are there as well."""
+    if name == "fact_account_balance":
+        return f"(SELECT *, '4010' AS document_code FROM ({SQL[name]}))"
+    return f"({SQL[name]})"
+
+
+ORACLE |= {
+    "relationship_lines": f"""{_BASE}
+SELECT b.institution_name, dd.calendar_year, r.reporting_line_name, SUM(f.presentation_balance_amount) AS presentation, COUNT(*) AS balances,
+       MIN(f.reported_balance_amount) AS smallest, COUNT(DISTINCT f.source_file_key) AS files
+FROM {_model("fact_reporting_line_balance")} f JOIN {_model("dim_source_file")} s ON s.source_file_key = f.source_file_key AND s.declared_row_count > 1
+LEFT JOIN {_model("dim_bank")} b ON b.bank_key = f.bank_key LEFT JOIN {_model("dim_date")} dd ON dd.month_key = f.month_key
+LEFT JOIN {_model("dim_reporting_line")} r ON r.reporting_line_key = f.reporting_line_key GROUP BY 1, 2, 3""",
+    "relationship_facts": f"""{_BASE},
+x AS (
+  SELECT dd.calendar_year, b.institution_name, SUM(f.balance_amount) AS account_balance, COUNT(DISTINCT f.account_code) AS accounts
+  FROM {_model("fact_account_balance")} f JOIN {_model("dim_cosif_account")} a ON a.account_key = f.account_key AND a.account_class IN ('1', '2')
+  JOIN {_model("dim_document")} o ON o.document_code = f.document_code AND o.analytical_allowed
+  LEFT JOIN {_model("dim_date")} dd ON dd.month_key = f.month_key LEFT JOIN {_model("dim_bank")} b ON b.bank_key = f.bank_key GROUP BY 1, 2),
+y AS (
+  SELECT dd.calendar_year, b.institution_name, SUM(f.presentation_balance_amount) AS line_balance
+  FROM {_model("fact_reporting_line_balance")} f LEFT JOIN {_model("dim_date")} dd ON dd.month_key = f.month_key
+  LEFT JOIN {_model("dim_bank")} b ON b.bank_key = f.bank_key GROUP BY 1, 2)
+SELECT calendar_year, institution_name, account_balance, accounts, line_balance FROM x FULL JOIN y USING (calendar_year, institution_name)""",
+    "relationship_context": f"""{_BASE}
+SELECT 'context' AS part, display_name AS label, CAST(month_key // 100 AS VARCHAR) AS detail, CAST(SUM(value) AS DECIMAL(38,10)) AS total, CAST(MAX(value) AS DECIMAL(38,10)) AS other
+FROM {_model("fact_monthly_economic_context")} GROUP BY 1, 2, 3
+UNION ALL
+SELECT 'bridge', r.reporting_line_name, a.account_class, CAST(COUNT(*) AS DECIMAL(38,10)), CAST(SUM(g.presentation_multiplier) AS DECIMAL(38,10))
+FROM {_model("bridge_account_reporting_line")} g JOIN {_model("dim_cosif_account")} a ON a.account_key = g.account_key
+JOIN {_model("dim_reporting_line")} r ON r.reporting_line_key = g.reporting_line_key GROUP BY 1, 2, 3""",
+    "relationship_controls": _BASE + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{r.name}' AS relationship, TRUE AS active, (SELECT COUNT(*) FROM {_model(r.many)}) AS many_rows, "
+        f"(SELECT COUNT(*) FROM {_model(r.many)} WHERE {r.many_col} NOT IN (SELECT {r.one_col} FROM {_model(r.one)})) AS orphan_rows, "
+        f"(SELECT COUNT(*) FROM (SELECT {r.one_col} FROM {_model(r.one)} GROUP BY 1 HAVING COUNT(*) > 1)) AS repeated_keys, "
+        f"(SELECT COUNT(*) FROM {_model(r.many)} WHERE {r.many_col} NOT IN (SELECT {r.one_col} FROM {_model(r.one)})) = 0 "
+        f"AND (SELECT COUNT(*) FROM (SELECT {r.one_col} FROM {_model(r.one)} GROUP BY 1 HAVING COUNT(*) > 1)) = 0 AS passed" for r in MART_RELATIONSHIPS),
+}

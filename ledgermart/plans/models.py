@@ -19,7 +19,7 @@ Scale notes:
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -338,41 +338,68 @@ def build_fact_monthly_economic_context(obs: DataFrame, dim_series: DataFrame, d
         "value", "source_observation_date", "is_fixture")
 
 
+class Marts(Mapping):
+    """Models by name, built on first use and kept."""
+
+    def __init__(self):
+        self._builders: dict[str, Callable[[], DataFrame]] = {}
+        self._built: dict[str, DataFrame] = {}
+
+    def add(self, name: str, build: Callable[[], DataFrame]) -> None:
+        self._builders[name] = build
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def _made(frame: DataFrame | Callable[[], DataFrame]) -> DataFrame:
+    return frame() if callable(frame) else frame
+
+
 def build_marts(spark: SparkSession, balance_rows: DataFrame, file_manifest: DataFrame, series_metadata: DataFrame,
                 observations: DataFrame, mapping_seed: DataFrame, population_seed: DataFrame,
-                landed: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict[str, DataFrame]:
-    """Every core model and mart, lazily, keyed by model name.
+                landed: Callable[[DataFrame], DataFrame] = lambda df: df) -> Marts:
+    """Every core model and mart, keyed by model name; a model is built when it is asked for.
 
-    ``landed`` may write ``account_balance`` (D2), the big relation that eight
-    models read, as a table and return that.
+    Inputs are frames, or functions that make them.  ``landed`` may write
+    ``account_balance`` (D2), the big relation that eight models read, as a
+    table and return that.
     """
-    m = {}
-    m["stg_cosif_balance_row"] = stg_balance_rows(balance_rows)
-    m["stg_cosif_file_manifest"] = stg_file_manifest(file_manifest)
-    m["stg_sgs_series_metadata"] = stg_series_metadata(series_metadata)
-    m["stg_sgs_observation"] = stg_observation(observations)
-    m["cosif_file_manifest"] = build_cosif_file_manifest(m["stg_cosif_file_manifest"])
-    m["account_balance"] = landed(build_account_balance(m["stg_cosif_balance_row"], m["cosif_file_manifest"]))
-    m["bank_period"] = build_bank_period(m["account_balance"])
-    m["cosif_account"] = build_cosif_account(m["account_balance"])
-    m["macro_series"] = build_macro_series(m["stg_sgs_series_metadata"])
-    m["macro_observation"] = build_macro_observation(m["stg_sgs_observation"], m["macro_series"])
-    m["reporting_line_mapping"] = build_reporting_line_mapping(mapping_seed)
-    m["dim_bank"] = build_dim_bank(population_seed, m["bank_period"], m["account_balance"])
-    m["dim_cosif_account"] = build_dim_cosif_account(m["cosif_account"], m["reporting_line_mapping"])
-    m["dim_reporting_line"] = build_dim_reporting_line(m["reporting_line_mapping"])
-    m["dim_document"] = build_dim_document(spark)
-    m["dim_macro_series"] = build_dim_macro_series(m["macro_series"])
-    m["dim_date"] = build_dim_date(m["bank_period"], m["dim_bank"], m["macro_observation"])
-    m["dim_source_file"] = build_dim_source_file(m["cosif_file_manifest"])
-    m["bridge_account_reporting_line"] = build_bridge(m["reporting_line_mapping"], m["dim_cosif_account"],
-                                                      m["dim_reporting_line"])
-    m["fact_account_balance"] = build_fact_account_balance(
-        m["account_balance"], m["dim_bank"], m["dim_date"], m["dim_cosif_account"], m["dim_source_file"])
-    m["fact_reporting_line_balance"] = build_fact_reporting_line_balance(
+    m = Marts()
+    m.add("stg_cosif_balance_row", lambda: stg_balance_rows(_made(balance_rows)))
+    m.add("stg_cosif_file_manifest", lambda: stg_file_manifest(_made(file_manifest)))
+    m.add("stg_sgs_series_metadata", lambda: stg_series_metadata(_made(series_metadata)))
+    m.add("stg_sgs_observation", lambda: stg_observation(_made(observations)))
+    m.add("cosif_file_manifest", lambda: build_cosif_file_manifest(m["stg_cosif_file_manifest"]))
+    m.add("account_balance", lambda: landed(build_account_balance(m["stg_cosif_balance_row"], m["cosif_file_manifest"])))
+    m.add("bank_period", lambda: build_bank_period(m["account_balance"]))
+    m.add("cosif_account", lambda: build_cosif_account(m["account_balance"]))
+    m.add("macro_series", lambda: build_macro_series(m["stg_sgs_series_metadata"]))
+    m.add("macro_observation", lambda: build_macro_observation(m["stg_sgs_observation"], m["macro_series"]))
+    m.add("reporting_line_mapping", lambda: build_reporting_line_mapping(_made(mapping_seed)))
+    m.add("dim_bank", lambda: build_dim_bank(_made(population_seed), m["bank_period"], m["account_balance"]))
+    m.add("dim_cosif_account", lambda: build_dim_cosif_account(m["cosif_account"], m["reporting_line_mapping"]))
+    m.add("dim_reporting_line", lambda: build_dim_reporting_line(m["reporting_line_mapping"]))
+    m.add("dim_document", lambda: build_dim_document(spark))
+    m.add("dim_macro_series", lambda: build_dim_macro_series(m["macro_series"]))
+    m.add("dim_date", lambda: build_dim_date(m["bank_period"], m["dim_bank"], m["macro_observation"]))
+    m.add("dim_source_file", lambda: build_dim_source_file(m["cosif_file_manifest"]))
+    m.add("bridge_account_reporting_line", lambda: build_bridge(m["reporting_line_mapping"], m["dim_cosif_account"],
+                                                      m["dim_reporting_line"]))
+    m.add("fact_account_balance", lambda: build_fact_account_balance(
+        m["account_balance"], m["dim_bank"], m["dim_date"], m["dim_cosif_account"], m["dim_source_file"]))
+    m.add("fact_reporting_line_balance", lambda: build_fact_reporting_line_balance(
         m["account_balance"], m["reporting_line_mapping"], m["dim_bank"], m["dim_date"], m["dim_reporting_line"],
-        m["dim_source_file"])
-    m["fact_macro_observation"] = build_fact_macro_observation(m["macro_observation"], m["dim_macro_series"], m["dim_date"])
-    m["fact_monthly_economic_context"] = build_fact_monthly_economic_context(
-        m["macro_observation"], m["dim_macro_series"], m["dim_date"])
+        m["dim_source_file"]))
+    m.add("fact_macro_observation", lambda: build_fact_macro_observation(m["macro_observation"], m["dim_macro_series"], m["dim_date"]))
+    m.add("fact_monthly_economic_context", lambda: build_fact_monthly_economic_context(
+        m["macro_observation"], m["dim_macro_series"], m["dim_date"]))
     return m
