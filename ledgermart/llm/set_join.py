@@ -9,19 +9,26 @@ partner. Sets with an equal subset are linked without any further check.
 *Heavy* sets go into inverted lists. With at most d differing shingles and the shingles dealt
 into p parts by hash, two linked sets agree on p - d whole parts at least; a list holds the sets that
 agree on one part. p is somewhat above d, so that chance agreements are too few. Size classes (each
-reaching as far as a partner can) make p the same for both. Lists are scanned: a parity sketch of each set bounds the symmetric difference from below, exactly, so it
-drops pairs without losing a link.
+reaching as far as a partner can) make p the same for both. Parts without a shingle say little and
+aren't listed, unless a set has so many that the others might not meet.
+
+The parts are dealt into slices, few enough differences each: of d differing shingles some slice has
+d over the number of slices at most, and in that slice linked sets agree on nearly all parts. A parity
+sketch of the set's shingles in the slice bounds their difference there from below, exactly, so it
+drops pairs without losing a link, however large the sets are; and a pair must meet in as many lists
+of the slice as linked sets do.
 
 The boundary is the size with the least cost: rows of subsets against rows of lists and their checks,
 over the counts of small texts by size.
 
-Links only matter for who is reachable, so not all pairs are checked. First every node tries its smallest
-neighbour that the sketches allow; the overlaps are counted exactly and the links' components
-found. Then every remaining pair in a list whose ends lie in different components is checked.
-A pair inside a component is never needed; every other possible link has been tested.
+Links only matter for who is reachable, so not all pairs are checked. First every member of a list is
+held against the list's first one, which is linear in the lists; overlaps are counted exactly and
+the links' components found. Then the pairs of a list whose ends lie in different components are
+checked; pairs inside a component aren't even enumerated. Every other possible link has been tested.
 
-Lists longer than ``block`` are cut into blocks, each pair of blocks its own task, so no list needs
-to fit into one. Copies inside a task are dropped before the shuffle.
+Lists longer than ``block`` are cut into blocks. Members of a list's largest component stay in
+their block and meet the others there, which go to all blocks in runs; so no list needs to fit into one
+task, and a cluster of copies isn't dealt out. Copies inside a task are dropped before the shuffle.
 
 Edge cases: null and empty texts have the empty set, link with nothing and are their own
 component, as are all texts without words; equal ids are one node only if their sets link;
@@ -45,10 +52,9 @@ from ledgermart.llm.common import ids_and_texts, let_go, scratch_table, small_ba
 from ledgermart.llm.components import components
 from ledgermart.llm.shingles import MIX, mixed, shingle_sets
 
-#: Sketches have a power of two of bits: at least LEAST_BITS, and BITS_PER_DIFFERENCE for each shingle
-#: that may differ, as far as MOST_BITS (each list that a set is in carries its sketch). Of two widths
-#: the wider folds onto the narrower.
-LEAST_BITS, BITS_PER_DIFFERENCE, MOST_BITS = 256, 24, 1024
+#: Shingles that may differ in a slice, at most. Sketches have a power of two of bits, at least
+#: LEAST_BITS, and BITS_PER_DIFFERENCE for each of these shingles, which makes 1,024 at most.
+SLICE_DIFFERENCES, LEAST_BITS, BITS_PER_DIFFERENCE = 40, 256, 24
 #: Parts beyond the one that linked sets share at least: one for so many shingles that may differ.
 DIFFERENCES_PER_SPARE_PART = 8
 #: Members of an inverted list that one task compares with as many others.
@@ -89,11 +95,20 @@ class Sizes:
             self.floor(len(self.floors))
         return int(np.searchsorted(self.floors, a, side="right")) - 1
 
-    def parts(self, g: int) -> int:
-        """Parts of a set in the lists of class ``g``: more than two linked sets up to that class can differ in."""
+    def differing(self, g: int) -> int:
+        """Shingles that linked sets up to class ``g`` can differ in."""
         most = self.floor(g + 1) - 1
-        differing = 2 * most * (100 - self.percent) // (100 + self.percent)
-        return differing + 1 + differing // DIFFERENCES_PER_SPARE_PART
+        return 2 * most * (100 - self.percent) // (100 + self.percent)
+
+    def parts(self, g: int) -> int:
+        """Parts of a set in the lists of class ``g``: more than two linked sets can differ in."""
+        return self.differing(g) + 1 + self.differing(g) // DIFFERENCES_PER_SPARE_PART
+
+    def slices(self, g: int) -> int:
+        return max(1, -(-self.differing(g) // SLICE_DIFFERENCES))
+
+    def bits(self, g: int) -> int:
+        return max(LEAST_BITS, 1 << (BITS_PER_DIFFERENCE * (self.differing(g) // self.slices(g))).bit_length())
 
     def subsets(self, a: int, boundary: int) -> int:
         return sum(comb(a, self.overlap(a, b)) for b in self.partners(a) if b <= boundary and self.overlap(a, b) <= min(a, b))
@@ -115,9 +130,19 @@ def boundary_by_cost(counts: dict[int, int], sizes: Sizes) -> int:
     return min(range(1, MOST_LIGHT + 1), key=lambda x: (cost(x), x))
 
 
-def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.ndarray, np.ndarray]:
-    """(list keys, kinds) of a set. Kind: class of a heavy list, or minus the smaller size of a light one."""
-    n, keys, kinds = len(shingles), [], []
+def parts_in_slice(parts, slices, at):
+    """Parts whose number is ``at`` modulo ``slices``."""
+    return parts // slices + (at < parts % slices)
+
+
+def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(list keys, kinds, places) of a set.
+
+    Kind: class of a heavy list, or minus the smaller size of a light one. Place, of a heavy list: the
+    part's slice, the set's empty parts in it, whether the class is the one above the set's own, and the
+    binary logarithm of the sketch's bytes.
+    """
+    n, keys, kinds, places = len(shingles), [], [], []
     values = mixed(shingles + MIX)
     if n <= boundary:
         total = values.sum(dtype=np.uint64)
@@ -129,15 +154,28 @@ def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.n
             gone = np.array([values[list(out)].sum(dtype=np.uint64) for out in combinations(range(n), n - c)], np.uint64)
             keys.append(mixed(total - gone + np.uint64(lo << 20 | hi)))
             kinds.append(np.full(len(gone), -lo))
+            places.append(np.zeros(len(gone), np.int64))
     if sizes.partners(n).stop - 1 > boundary:
         where = mixed(shingles ^ MIX) >> np.uint64(33)
-        for g in (sizes.class_of(n), sizes.class_of(n) + 1):
-            p = sizes.parts(g)
+        own = sizes.class_of(n)
+        for g in (own, own + 1):
+            p, k = sizes.parts(g), sizes.slices(g)
+            part = (where % np.uint64(p)).astype(np.int64)
             held = np.zeros(p, np.uint64)
-            np.add.at(held, (where % np.uint64(p)).astype(np.int64), values)
-            keys.append(mixed(held + mixed(np.arange(p, dtype=np.uint64) + np.uint64((g + 1) << 32))))
-            kinds.append(np.full(p, g))
-    return np.concatenate(keys) if keys else np.zeros(0, np.uint64), np.concatenate(kinds) if kinds else np.zeros(0, np.int64)
+            np.add.at(held, part, values)
+            bare = np.bincount(part, minlength=p) == 0
+            at = np.arange(p) % k
+            empty = np.bincount(at, bare, k).astype(np.int64)
+            # of the parts that linked sets agree on in a slice, one has a shingle if either set has
+            # fewer empty ones than that
+            few = empty < parts_in_slice(p, k, np.arange(k)) - sizes.differing(g) // k
+            listed = ~(bare & few[at])
+            key = mixed(held + mixed(np.arange(p, dtype=np.uint64) + np.uint64((g + 1) << 32)))
+            keys.append(key[listed])
+            kinds.append(np.full(int(listed.sum()), g))
+            places.append((at << 16 | np.minimum(empty, 255)[at] << 8 | (g > own) << 4 | (sizes.bits(g) // 8).bit_length() - 1)[listed])
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(keys) if keys else np.zeros(0, np.uint64)), (np.concatenate(kinds) if kinds else none), (np.concatenate(places) if places else none)
 
 
 def node_of(shingles: np.ndarray) -> np.ndarray:
@@ -145,91 +183,93 @@ def node_of(shingles: np.ndarray) -> np.ndarray:
     return mixed(np.array([mixed(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))], np.uint64)).view(np.int64)
 
 
-def sketch_of(shingles: np.ndarray, percent: int) -> bytes:
-    """Parities of the shingles' counts in a power of two of cells: a differing shingle flips one bit."""
-    differing = 2 * len(shingles) * (100 - percent) // (100 + percent)
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_DIFFERENCE * differing).bit_length()))
-    cells = mixed(shingles + np.uint64(7)) % np.uint64(bits)
-    return np.packbits(np.bincount(cells.astype(np.int64), minlength=bits) & 1).tobytes()
-
+def sketches_of(shingles: np.ndarray, sizes: Sizes, g: int) -> bytes:
+    """For each slice of class ``g``, parities of the shingles' counts in a power of two of cells.
 
-def folded(sketch: bytes, size: int) -> np.ndarray:
-    """The sketch of ``size`` bytes: cells that are equal modulo its bits meet."""
-    parts = np.frombuffer(sketch, np.uint64).reshape(-1, size // 8)
-    return np.bitwise_xor.reduce(parts, axis=0)
+    A differing shingle flips one bit of its slice's sketch.
+    """
+    p, k, bits = sizes.parts(g), sizes.slices(g), sizes.bits(g)
+    at = (mixed(shingles ^ MIX) >> np.uint64(33)) % np.uint64(p) % np.uint64(k)
+    cells = at * np.uint64(bits) + mixed(shingles + np.uint64(7)) % np.uint64(bits)
+    return np.packbits(np.bincount(cells.astype(np.int64), minlength=k * bits) & 1).tobytes()
 
 
 class Distances:
-    """Lower bounds of symmetric differences between rows of a frame, from their sketches."""
+    """Lower bounds of differences between rows of a frame, from their sketches; rows of a pair have equal sizes."""
 
     def __init__(self, sketches: list[bytes]):
         self.size = np.array([len(s) for s in sketches])
-        self.tables, self.row = {}, {}
+        self.tables, self.row = {}, np.zeros(len(sketches), np.int64)
         for size in np.unique(self.size):
-            at = np.flatnonzero(self.size >= size)
-            self.tables[size] = np.stack([folded(sketches[k], size) for k in at])
-            self.row[size] = np.full(len(sketches), -1)
-            self.row[size][at] = np.arange(len(at))
+            at = np.flatnonzero(self.size == size)
+            self.tables[size] = np.frombuffer(b"".join(sketches[k] for k in at), np.uint64).reshape(len(at), -1)
+            self.row[at] = np.arange(len(at))
 
     def between(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        out, size = np.zeros(len(i), np.int64), np.minimum(self.size[i], self.size[j])
+        out, size = np.zeros(len(i), np.int64), self.size[i]
         for s in np.unique(size):
             of = size == s
-            table, row = self.tables[s], self.row[s]
-            out[of] = np.bitwise_count(table[row[i[of]]] ^ table[row[j[of]]]).sum(axis=1)
+            table = self.tables[s]
+            out[of] = np.bitwise_count(table[self.row[i[of]]] ^ table[self.row[j[of]]]).sum(axis=1)
         return out
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and sketch."""
+    """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and the sketches of both its classes."""
+    sizes = Sizes(percent)
 
     def run(frames):
         let_go()
         for f in frames:
             found = shingle_sets(f["text"].tolist(), width)
-            yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": [sketch_of(s, percent) for s in found]})
+            two = [[sketches_of(s, sizes, sizes.class_of(len(s)) + up) if len(s) else b"" for s in found] for up in (0, 1)]
+            yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": two[0], "above": two[1]})
 
-    return docs.mapInPandas(run, "doc_id string, name bigint, n_shingles bigint, node bigint, sketch binary")
+    return docs.mapInPandas(run, "doc_id string, name bigint, n_shingles bigint, node bigint, sketch binary, above binary")
 
 
 def postings(docs: DataFrame, width: int, sizes: Sizes, boundary: int) -> DataFrame:
-    """key, node and info (size and kind), once per set and task as far as the task remembers."""
+    """key, node, info (size and kind) and place, once per set and task as far as the task remembers."""
 
     def run(frames):
         seen: set[int] = set()
         for f in frames:
-            keys, nodes, infos = [], [], []
+            keys, nodes, infos, places = [], [], [], []
             for s in shingle_sets(f["text"].tolist(), width):
                 node = int(node_of(s)[0])
                 if len(s) and node not in seen:
                     if len(seen) >= REMEMBER:
                         seen.clear()
                     seen.add(node)
-                    k, kind = postings_of(s, sizes, boundary)
+                    k, kind, place = postings_of(s, sizes, boundary)
                     keys.append(k.view(np.int64))
                     nodes.append(np.full(len(k), node))
                     infos.append(np.int64(len(s) << 16) + kind + 32768)
+                    places.append(place.astype(np.int32))
             if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "node": np.concatenate(nodes), "info": np.concatenate(infos)})
+                yield pd.DataFrame({"key": np.concatenate(keys), "node": np.concatenate(nodes), "info": np.concatenate(infos), "place": np.concatenate(places)})
+
+    return docs.select("text").mapInPandas(run, "key bigint, node bigint, info bigint, place int")
 
-    return docs.select("text").mapInPandas(run, "key bigint, node bigint, info bigint")
+
+LISTED = "key bigint, node bigint, n bigint, kind bigint, place int, block bigint, head bigint, head_n bigint"
 
 
 def shared_lists(posted: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Members of lists with two sets or more: key, node, n, kind, block, head (the list's first node and size)."""
+    """Members of lists with two sets or more: key, node, n, kind, place, block, head (the list's first node and size)."""
 
     def run(frames):
         last = None  # the last row of the batch before, not yet sent if its list had one set so far
         key, node, info, rank, head, pending = 0, 0, 0, -1, None, None
         for f in frames:
-            k, v, w = f["key"].to_numpy(), f["node"].to_numpy(), f["info"].to_numpy()
+            k, v, w, x = f["key"].to_numpy(), f["node"].to_numpy(), f["info"].to_numpy(), f["place"].to_numpy()
             fresh = np.ones(len(k), bool)
             fresh[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
             if last is not None and len(k):
                 fresh[0] = (k[0], v[0]) != last
             if len(k):
                 last = (k[-1], v[-1])
-            k, v, w = k[fresh], v[fresh], w[fresh]
+            k, v, w, x = k[fresh], v[fresh], w[fresh], x[fresh]
             if not len(k):
                 continue
             begins = np.ones(len(k), bool)
@@ -246,100 +286,140 @@ def shared_lists(posted: DataFrame, block: int = BLOCK) -> DataFrame:
             alone = begins & np.concatenate([begins[1:], [False]])
             send = ~alone
             send[-1] = send[-1] and not begins[-1]
-            rows = np.column_stack([k, v, w, ranks, heads, sizes])[send]
+            rows = np.column_stack([k, v, w, x, ranks, heads, sizes])[send]
             if goes_on and pending is not None:
                 rows = np.concatenate([[pending], rows])
-            pending = (k[-1], v[-1], w[-1], ranks[-1], heads[-1], sizes[-1]) if begins[-1] else None
+            pending = (k[-1], v[-1], w[-1], x[-1], ranks[-1], heads[-1], sizes[-1]) if begins[-1] else None
             key, rank, head = k[-1], int(ranks[-1]), (heads[-1], sizes[-1])
-            yield pd.DataFrame({"key": rows[:, 0], "node": rows[:, 1], "n": rows[:, 2] >> 16, "kind": (rows[:, 2] & 0xFFFF) - 32768, "block": rows[:, 3] // block, "head": rows[:, 4], "head_n": rows[:, 5]})
+            yield pd.DataFrame({"key": rows[:, 0], "node": rows[:, 1], "n": rows[:, 2] >> 16, "kind": (rows[:, 2] & 0xFFFF) - 32768, "place": rows[:, 3].astype(np.int32), "block": rows[:, 4] // block, "head": rows[:, 5], "head_n": rows[:, 6]})
 
     sorted_lists = posted.repartition("key").sortWithinPartitions("key", F.shiftright("info", 16), "node")
-    return sorted_lists.mapInPandas(run, "key bigint, node bigint, n bigint, kind bigint, block bigint, head bigint, head_n bigint")
+    return sorted_lists.mapInPandas(run, LISTED)
+
+
+class Rows:
+    """Members of lists as arrays, and which pairs of them may be linked."""
+
+    def __init__(self, f: pd.DataFrame, percent: int):
+        self.node, self.n, self.kind = f["node"].to_numpy(), f["n"].to_numpy(), f["kind"].to_numpy()
+        place = f["place"].to_numpy().astype(np.int64)
+        self.slice, self.empty = place >> 16, place >> 8 & 255
+        self.distances, self.percent = Distances(f["sketch"].tolist()), percent
+        sizes = Sizes(percent)
+        sizes.class_of(int(self.n.max()) + 1)
+        self.own = np.searchsorted(np.array(sizes.floors), self.n, side="right") - 1
+        known = {g: (sizes.slices(g), sizes.parts(g)) for g in np.unique(self.kind).tolist()}
+        self.slices, parts = (np.array([known[g][x] for g in self.kind.tolist()]) for x in (0, 1))
+        self.parts = parts_in_slice(parts, self.slices, self.slice)
+
+    def allowed(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which pairs of rows of one list the sizes and sketches allow, and the lists of its slice that each must meet in."""
+        total = self.n[i] + self.n[j]
+        most = total - 2 * -(-self.percent * total // (100 + self.percent))
+        # in the list of class g one set is of that class; pairs below meet in their own class's list
+        ok = (np.maximum(self.own[i], self.own[j]) == self.kind[i]) & (most >= 0) & (np.abs(self.n[i] - self.n[j]) <= most)
+        here = np.maximum(most, 0) // self.slices[i]
+        at = np.flatnonzero(ok)
+        ok[at] = self.distances.between(i[at], j[at]) <= here[at]
+        return ok, np.maximum(1, self.parts[i] - here - np.minimum(self.empty[i], self.empty[j]))
+
+
+def whole_groups(frames, names: list[str]):
+    """Frames cut where a group (equal values of ``names``) ends; a frame holds one group at least."""
+    held = None
+    for f in frames:
+        f = f if held is None else pd.concat([held, f], ignore_index=True)
+        if not len(f):
+            continue
+        last = (f[names] == f[names].iloc[-1]).all(axis=1)
+        held, ready = f[last], f[~last].reset_index(drop=True)
+        if len(ready):
+            yield ready
+    if held is not None and len(held):
+        yield held.reset_index(drop=True)
+
+
+def cut(members: DataFrame) -> DataFrame:
+    """The number of blocks of each list that has several: key, blocks."""
+    return members.where("block > 0").groupBy("key").agg((F.max("block") + 1).alias("blocks"))
+
+
+def against_heads(members: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of each list's first member with every other; linear in the lists."""
+    first = F.col("node") == F.col("head")
+    kept = members.select("key", "block", (~first).alias("later"), "node", "n", "kind", "place", "sketch")
+    # the first one of a long list goes to all its blocks
+    copies = members.where(first).join(cut(members), "key").withColumn("block", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
+    dealt = kept.unionByName(copies.select("key", "block", F.lit(False).alias("later"), "node", "n", "kind", "place", "sketch"))
+
+    def run(frames):
+        for f in whole_groups(frames, ["key", "block"]):
+            rows = Rows(f, percent)
+            j = np.flatnonzero(f["later"].to_numpy())
+            start = np.maximum.accumulate(np.where(f["later"].to_numpy(), -1, np.arange(len(f))))
+            i = start[j]
+            ok, _ = rows.allowed(i, j)
+            a, b = rows.node[i[ok]], rows.node[j[ok]]
+            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
+    return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "later", "n", "node").mapInPandas(run, "a bigint, b bigint").distinct()
 
-def scanned(members: DataFrame, sizes_percent: int, tried: bool) -> DataFrame:
-    """Candidate pairs (a, b) of heavy lists that the parity sketches allow.
 
-    ``members``: key, node, n, kind, block, sketch and root. With ``tried`` false, each node with its
-    smallest candidate; true, all candidates whose roots differ and that meet in as many lists as
-    linked sets must.
+def dealt_across(members: DataFrame, block: int) -> DataFrame:
+    """Members of lists with the groups (x, y) in which they meet members with other roots.
+
+    A short list is one group. In a list of several blocks the members of the largest root (``side``
+    1) stay in their block x; the others (``side`` 2) are dealt by hash into runs y of about ``block``.
+    Each run meets each block, and at x < 0 each other run.
+    """
+    long = cut(members)
+    counts = members.join(long, "key").groupBy("key", "root").agg(F.count("*").alias("times"), F.max("blocks").alias("blocks"))
+    largest = counts.groupBy("key").agg(F.max_by("root", F.struct("times", "root")).alias("largest"), (F.sum("times") - F.max("times")).alias("others"), F.max("blocks").alias("blocks"))
+    largest = largest.withColumn("runs", F.ceil(F.col("others") / block).cast("int")).drop("others")
+    known = members.join(largest, "key", "left")
+    known = known.withColumn("side", F.when(F.col("blocks").isNull(), 0).when(F.col("root") == F.col("largest"), 1).otherwise(2))
+    known = known.withColumn("run", F.when(F.col("side") == 2, F.pmod(F.xxhash64("node"), F.col("runs"))).otherwise(0).cast("int"))
+    group = lambda x, y: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
+    zero = F.lit(0)
+    stays = F.transform(F.sequence(zero, F.col("runs") - 1), lambda y: group(F.col("block"), y))
+    meets = F.transform(F.sequence(zero, (F.col("blocks") - 1).cast("int")), lambda x: group(x, F.col("run")))
+    others = F.transform(F.sequence(zero, F.col("runs") - 1), lambda y: group(-F.least(y, F.col("run")) - 1, F.greatest(y, F.col("run"))))
+    groups = F.when(F.col("side") == 0, F.array(group(zero, zero))).when(F.col("side") == 1, stays).otherwise(F.concat(meets, others))
+    return known.withColumn("group", F.explode(groups)).select("key", "group.x", "group.y", "side", "run", "root", "node", "n", "kind", "place", "sketch")
+
+
+def across(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Candidate pairs (a, b) of list members with different roots that meet in enough lists of a slice.
+
+    ``members`` has only lists with several roots.
     """
-    # a list of several blocks is dealt out to the pairs of its blocks
-    longest = members.where("block > 0").groupBy("key").agg((F.max("block") + 1).alias("blocks"))
-    dealt = members.join(longest, "key", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("blocks", "other")
-
-    def candidates(f):
-        """Index pairs within each (key, low, high) group of a sorted frame."""
-        key, low, high = f["key"].to_numpy(), f["low"].to_numpy(), f["high"].to_numpy()
-        n, block, kind, root = f["n"].to_numpy(), f["block"].to_numpy(), f["kind"].to_numpy(), f["root"].to_numpy()
-        distances = Distances(f["sketch"].tolist())
-        group = np.cumsum(np.concatenate([[0], (key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])]))
-        ends = np.concatenate([np.flatnonzero(np.diff(group)) + 1, [len(f)]])
-        end = ends[group]
-        floors = Sizes(sizes_percent)
-        floors.class_of(int(n.max()) + 1)
-        own_class = np.searchsorted(np.array(floors.floors), n, side="right") - 1
-        parts = {k: floors.parts(k) for k in np.unique(kind).tolist()}
-        parts_of = np.array([parts[k] for k in kind.tolist()])
-        at = np.arange(len(f))
-        step = 1
-        while True:
-            i = at[at + step < end]
-            if not len(i):
-                return
-            j = i + step
-            # a pair of different blocks belongs to that pair of blocks, a pair within one block to its own
-            ok = (block[i] != block[j]) | (low[i] == high[i])
-            # in the list of class g one set is of that class; pairs below meet in their own class's list
-            ok &= np.maximum(own_class[i], own_class[j]) == kind[i]
-            total = n[i] + n[j]
-            most = total - 2 * -(-sizes_percent * total // (100 + sizes_percent))
-            ok &= (most >= 0) & (np.abs(n[i] - n[j]) <= most)
-            if tried:
-                ok &= root[i] != root[j]
-            i, j, most = i[ok], j[ok], most[ok]
-            if len(i):
-                near = distances.between(i, j) <= most
-                if near.any():
-                    yield i[near], j[near], (parts_of[i] - most)[near]
-            step += 1
 
     def run(frames):
-        held = None
-
-        def pairs(f):
-            if not len(f):
-                return None
-            node = f["node"].to_numpy()
-            found = [np.column_stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), need]) for i, j, need in candidates(f)]
-            if not found:
-                return None
-            out = pd.DataFrame(np.concatenate(found), columns=["a", "b", "need"])
-            if tried:
-                return out.groupby(["a", "b"], as_index=False).agg(lists=("need", "size"), need=("need", "max"))
-            return out.groupby("b", as_index=False)["a"].min().assign(lists=1, need=1)
-
-        for f in frames:
-            f = f if held is None else pd.concat([held, f], ignore_index=True)
-            if not len(f):
-                continue
-            # the last group may go on in the next batch; a group has at most two blocks of rows
-            same = (f["key"] == f["key"].iloc[-1]) & (f["low"] == f["low"].iloc[-1]) & (f["high"] == f["high"].iloc[-1])
-            held, ready = f[same], f[~same].reset_index(drop=True)
-            out = pairs(ready)
-            if out is not None:
-                yield out
-        if held is not None:
-            out = pairs(held.reset_index(drop=True))
-            if out is not None:
-                yield out
-
-    found = dealt.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "n", "node").mapInPandas(run, "a bigint, b bigint, lists bigint, need bigint")
-    if not tried:
-        return found.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    return found.groupBy("a", "b").agg(F.sum("lists").alias("lists"), F.max("need").alias("need")).where("lists >= need").select("a", "b")
+        for f in whole_groups(frames, ["key", "x", "y"]):
+            rows = Rows(f, percent)
+            key, x, y, side, run, root = (f[c].to_numpy() for c in ("key", "x", "y", "side", "run", "root"))
+            group = np.concatenate([[0], np.cumsum((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))])
+            run_of = np.concatenate([[0], np.cumsum((group[1:] != group[:-1]) | (root[1:] != root[:-1]))])
+            # rows follow their group and root: partners begin where a row's root ends
+            end = np.searchsorted(group, group, side="right")
+            beyond = np.searchsorted(run_of, run_of, side="right")
+            out, step, at = [], 0, np.arange(len(f))
+            while len(at := at[beyond[at] + step < end[at]]):
+                i, j = at, beyond[at] + step
+                step += 1
+                # a block and a run: pairs of both; two runs: pairs of both, or all if they are one
+                meant = (side[i] == 0) | np.where(x[i] >= 0, side[i] != side[j], (-1 - x[i] == y[i]) | (run[i] != run[j]))
+                i, j = i[meant], j[meant]
+                ok, need = rows.allowed(i, j)
+                if ok.any():
+                    a, b = rows.node[i[ok]], rows.node[j[ok]]
+                    out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "slice": rows.slice[i[ok]], "need": need[ok]}))
+            if out:
+                yield pd.concat(out).groupby(["a", "b", "slice"], as_index=False).agg(lists=("need", "size"), need=("need", "max"))
+
+    dealt = dealt_across(members, block).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "root", "n", "node")
+    found = dealt.mapInPandas(run, "a bigint, b bigint, slice bigint, lists bigint, need bigint")
+    return found.groupBy("a", "b", "slice").agg(F.sum("lists").alias("lists"), F.max("need").alias("need")).where("lists >= need").select("a", "b").distinct()
 
 
 def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
@@ -401,17 +481,19 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
 
     lists = scratch_table(shared_lists(postings(keyed, width, sizes, boundary), block), "lists")
     light = lists.where((F.col("kind") < 0) & (F.col("head_n") == -F.col("kind")) & (F.col("node") != F.col("head"))).select(F.col("node").alias("a"), F.col("head").alias("b"))
-    sketches = sets.groupBy("node").agg(F.first("sketch").alias("sketch"))
-    heavy = scratch_table(lists.where("kind >= 0").drop("head", "head_n").join(sketches, "node"), "heavy")
+    sketches = sets.groupBy("node").agg(F.first("sketch").alias("own"), F.first("above").alias("above"))
+    # the slice's sketch, of the list's class
+    piece = F.expr("substring(if(place & 16 <> 0, above, own), (place >> 16) * (1 << (place & 15)) + 1, 1 << (place & 15))")
+    heavy = lists.where("kind >= 0").join(sketches, "node").withColumn("sketch", piece)
+    heavy = scratch_table(heavy.drop("own", "above"), "heavy")
 
-    nearest = scanned(heavy.withColumn("root", F.col("node")), percent, tried=False)
-    first = scratch_table(nearest, "first-pairs")
+    first = scratch_table(against_heads(heavy, percent), "first-pairs")
     sure = scratch_table(linked(first, keyed, sets, width, percent).union(light).distinct(), "sure")
     roots = components(sure)
     rooted = heavy.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # lists within one component have nothing left to find
     mixed_lists = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    rest = scanned(rooted.join(mixed_lists, "key", "left_semi"), percent, tried=True)
+    rest = across(rooted.join(mixed_lists, "key", "left_semi"), percent, block)
     rest = scratch_table(rest.join(first, ["a", "b"], "left_anti"), "rest-pairs")
     links = sure.union(linked(rest, keyed, sets, width, percent))
     roots = components(links)

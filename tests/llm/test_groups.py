@@ -8,6 +8,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from ledgermart.llm import bloom, feistel, line_dedup, set_join
@@ -181,6 +182,23 @@ def test_components_of_links(spark, percent, width, block):
     assert found == components_by_brute_force(rows, percent, width)
 
 
+def test_a_cluster_in_several_blocks(spark):
+    """Lists of several blocks with one large component, a second one and single documents."""
+    rng = random.Random(5)
+    base = words(rng, 80).split()
+    other = base[:30] + words(rng, 50).split()
+    rows = []
+    for i in range(70):
+        copy = list(base if i % 3 else other)
+        for _ in range(rng.choice([0, 1, 2])):
+            copy[rng.randrange(len(copy))] = words(rng, 1)
+        rows.append((i, " ".join(copy)))
+    rows += [(100 + i, " ".join(base[: 40 + i] + words(rng, 40 - i).split())) for i in range(0, 40, 4)]
+    for block in (3, 9):
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in set_join.classes(frame(spark, rows).repartition(3), 80, 2, block=block).collect()}
+        assert found == components_by_brute_force(rows, 80, 2)
+
+
 def test_light_and_heavy_sets_meet():
     """Every linked pair has a list in common, whichever side of the boundary its sets lie on."""
     rng = np.random.default_rng(3)
@@ -212,15 +230,71 @@ def test_sizes_of_partners():
                     assert a + b - 2 * o < sizes.parts(max(sizes.class_of(a), sizes.class_of(b)))
 
 
+def rows_in_lists(a, b, sizes, boundary=1):
+    """The lists that two sets share, as a frame of their members."""
+    frames = []
+    for node, s in ((1, a), (2, b)):
+        key, kind, place = set_join.postings_of(s, sizes, boundary)
+        own = sizes.class_of(len(s))
+        sketches = {g: set_join.sketches_of(s, sizes, g) for g in (own, own + 1)}
+        heavy = kind >= 0
+        f = pd.DataFrame({"key": key[heavy], "node": node, "n": len(s), "kind": kind[heavy], "place": place[heavy]})
+        width = (f["place"] & 15).map(lambda x: 1 << x)
+        f["sketch"] = [sketches[g][(x >> 16) * w : ((x >> 16) + 1) * w] for g, x, w in zip(f["kind"], f["place"], width)]
+        assert f["sketch"].map(len).equals(width)
+        frames.append(f)
+    both = frames[0].merge(frames[1], on="key")
+    one = both[[c for c in both if c.endswith("_x")]].rename(columns=lambda c: c[:-2])
+    two = both[[c for c in both if c.endswith("_y")]].rename(columns=lambda c: c[:-2])
+    return pd.concat([one, two], ignore_index=True), len(both)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+@pytest.mark.parametrize("n", [12, 45, 200, 1500, 6000])
+def test_linked_sets_meet_in_a_slice(percent, n):
+    """Some slice allows every linked pair and holds as many common lists as are asked for."""
+    rng, sizes = np.random.default_rng(n + percent), set_join.Sizes(percent)
+    for _ in range(60 if n < 1000 else 12):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        most = 2 * len(a) * (100 - percent) // (100 + percent)
+        gone, new = (rng.integers(0, most + 1) for _ in range(2))
+        b = np.unique(np.concatenate([a[gone:], rng.integers(0, 2**63, new).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        f, m = rows_in_lists(a, b, sizes)
+        if 100 * both < percent * (len(a) + len(b) - both):
+            continue
+        rows = set_join.Rows(f, percent)
+        ok, need = rows.allowed(np.arange(m), np.arange(m) + m)
+        lists = Counter(rows.slice[:m][ok].tolist())
+        asked = dict(zip(rows.slice[:m][ok].tolist(), need[ok].tolist()))
+        assert any(lists[s] >= asked[s] for s in lists), (len(a), len(b), both)
+
+
+def test_sketches_drop_long_sets_that_share_half():
+    rng, sizes = np.random.default_rng(6), set_join.Sizes(80)
+    a, b = (rng.integers(0, 2**63, 9000).astype(np.uint64) for _ in range(2))
+    a, b = np.unique(a), np.unique(np.concatenate([a[:4500], b[:4500]]))
+    f, m = rows_in_lists(a, b, sizes)
+    assert m > 50  # they agree on parts by chance
+    assert not set_join.Rows(f, 80).allowed(np.arange(m), np.arange(m) + m)[0].any()
+
+
 def test_sketch_never_exceeds_the_difference():
     rng = np.random.default_rng(1)
-    for _ in range(100):
-        a, b = (rng.integers(0, 400, 300).astype(np.uint64) for _ in range(2))
-        a, b = np.unique(a), np.unique(b)
-        for percents in ((90, 90), (60, 90), (90, 60)):
-            one, two = (set_join.sketch_of(s, p) for s, p in zip((a, b), percents))
-            found = set_join.Distances([one, two]).between(np.array([0, 1]), np.array([1, 1]))
-            assert 0 < found[0] <= len(np.setxor1d(a, b)) and found[1] == 0
+    for percent in (60, 90):
+        sizes = set_join.Sizes(percent)
+        for n in (300, 3000):
+            for _ in range(30):
+                a, b = (np.unique(rng.integers(0, n + n // 3, n).astype(np.uint64)) for _ in range(2))
+                g = max(sizes.class_of(len(a)), sizes.class_of(len(b)))
+                k, size = sizes.slices(g), sizes.bits(g) // 8
+                one, two = (set_join.sketches_of(s, sizes, g) for s in (a, b))
+                assert len(one) == k * size
+                pieces = [x[i * size : (i + 1) * size] for i in range(k) for x in (one, two)]
+                found = set_join.Distances(pieces).between(np.arange(0, 2 * k, 2), np.arange(1, 2 * k, 2))
+                part = lambda s: (set_join.mixed(s ^ set_join.MIX) >> np.uint64(33)) % np.uint64(sizes.parts(g)) % np.uint64(k)
+                differing = np.setxor1d(a, b)
+                assert (found <= np.bincount(part(differing).astype(int), minlength=k)).all() and 0 < found.sum()
 
 
 def test_boundary_follows_the_cost():
