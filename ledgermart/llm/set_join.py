@@ -15,8 +15,9 @@ aren't listed, unless a set has so many that the others might not meet.
 The parts are dealt into slices, few enough differences each: of d differing shingles some slice has
 d over the number of slices at most, and in that slice linked sets agree on nearly all parts. A parity
 sketch of the set's shingles in the slice bounds their difference there from below, exactly, so it
-drops pairs without losing a link, however large the sets are; and a pair must meet in as many lists
-of the slice as linked sets do.
+drops pairs without losing a link, however large the sets are. Members carry the short names of all
+parts of their slice too: a pair must agree on as many as linked sets do, and is sent on from its first
+two common lists only, not from each.
 
 The boundary is the size with the least cost: rows of subsets against rows of lists and their checks,
 over the counts of small texts by size.
@@ -110,6 +111,10 @@ class Sizes:
     def bits(self, g: int) -> int:
         return max(LEAST_BITS, 1 << (BITS_PER_DIFFERENCE * (self.differing(g) // self.slices(g))).bit_length())
 
+    def stride(self, g: int) -> int:
+        """Bytes of a slice: its sketch and four for each of its parts."""
+        return self.bits(g) // 8 + 4 * -(-self.parts(g) // self.slices(g))
+
     def subsets(self, a: int, boundary: int) -> int:
         return sum(comb(a, self.overlap(a, b)) for b in self.partners(a) if b <= boundary and self.overlap(a, b) <= min(a, b))
 
@@ -135,12 +140,26 @@ def parts_in_slice(parts, slices, at):
     return parts // slices + (at < parts % slices)
 
 
+def part_keys(shingles: np.ndarray, parts: int, g: int) -> tuple[np.ndarray, np.ndarray]:
+    """The list key of each part of a set in class ``g``, and which parts have no shingle."""
+    part = (mixed(shingles ^ MIX) >> np.uint64(33)) % np.uint64(parts)
+    held = np.zeros(parts, np.uint64)
+    np.add.at(held, part.astype(np.int64), mixed(shingles + MIX))
+    key = mixed(held + mixed(np.arange(parts, dtype=np.uint64) + np.uint64((g + 1) << 32)))
+    return key, np.bincount(part.astype(np.int64), minlength=parts) == 0
+
+
+def few_empty(empty, parts, slices, at, differing):
+    """Of the parts that linked sets agree on in a slice, one has a shingle if either set has so few empty ones."""
+    return empty < parts_in_slice(parts, slices, at) - differing // slices
+
+
 def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(list keys, kinds, places) of a set.
 
     Kind: class of a heavy list, or minus the smaller size of a light one. Place, of a heavy list: the
     part's slice, the set's empty parts in it, whether the class is the one above the set's own, and the
-    binary logarithm of the sketch's bytes.
+    bytes of a slice.
     """
     n, keys, kinds, places = len(shingles), [], [], []
     values = mixed(shingles + MIX)
@@ -160,20 +179,13 @@ def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.n
         own = sizes.class_of(n)
         for g in (own, own + 1):
             p, k = sizes.parts(g), sizes.slices(g)
-            part = (where % np.uint64(p)).astype(np.int64)
-            held = np.zeros(p, np.uint64)
-            np.add.at(held, part, values)
-            bare = np.bincount(part, minlength=p) == 0
+            key, bare = part_keys(shingles, p, g)
             at = np.arange(p) % k
             empty = np.bincount(at, bare, k).astype(np.int64)
-            # of the parts that linked sets agree on in a slice, one has a shingle if either set has
-            # fewer empty ones than that
-            few = empty < parts_in_slice(p, k, np.arange(k)) - sizes.differing(g) // k
-            listed = ~(bare & few[at])
-            key = mixed(held + mixed(np.arange(p, dtype=np.uint64) + np.uint64((g + 1) << 32)))
+            listed = ~(bare & few_empty(empty, p, k, np.arange(k), sizes.differing(g))[at])
             keys.append(key[listed])
             kinds.append(np.full(int(listed.sum()), g))
-            places.append((at << 16 | np.minimum(empty, 255)[at] << 8 | (g > own) << 4 | (sizes.bits(g) // 8).bit_length() - 1)[listed])
+            places.append((at << 16 | empty[at] << 10 | (g > own) << 9 | sizes.stride(g))[listed])
     none = np.zeros(0, np.int64)
     return (np.concatenate(keys) if keys else np.zeros(0, np.uint64)), (np.concatenate(kinds) if kinds else none), (np.concatenate(places) if places else none)
 
@@ -183,46 +195,31 @@ def node_of(shingles: np.ndarray) -> np.ndarray:
     return mixed(np.array([mixed(shingles).sum(dtype=np.uint64) + np.uint64(len(shingles))], np.uint64)).view(np.int64)
 
 
-def sketches_of(shingles: np.ndarray, sizes: Sizes, g: int) -> bytes:
-    """For each slice of class ``g``, parities of the shingles' counts in a power of two of cells.
+def slices_of(shingles: np.ndarray, sizes: Sizes, g: int) -> bytes:
+    """For each slice of class ``g``: a sketch, and the lower halves of its parts' keys.
 
-    A differing shingle flips one bit of its slice's sketch.
+    The sketch has the parities of the shingles' counts in a power of two of cells, so a differing
+    shingle flips one bit of its slice's.
     """
     p, k, bits = sizes.parts(g), sizes.slices(g), sizes.bits(g)
     at = (mixed(shingles ^ MIX) >> np.uint64(33)) % np.uint64(p) % np.uint64(k)
     cells = at * np.uint64(bits) + mixed(shingles + np.uint64(7)) % np.uint64(bits)
-    return np.packbits(np.bincount(cells.astype(np.int64), minlength=k * bits) & 1).tobytes()
-
-
-class Distances:
-    """Lower bounds of differences between rows of a frame, from their sketches; rows of a pair have equal sizes."""
-
-    def __init__(self, sketches: list[bytes]):
-        self.size = np.array([len(s) for s in sketches])
-        self.tables, self.row = {}, np.zeros(len(sketches), np.int64)
-        for size in np.unique(self.size):
-            at = np.flatnonzero(self.size == size)
-            self.tables[size] = np.frombuffer(b"".join(sketches[k] for k in at), np.uint64).reshape(len(at), -1)
-            self.row[at] = np.arange(len(at))
-
-    def between(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        out, size = np.zeros(len(i), np.int64), self.size[i]
-        for s in np.unique(size):
-            of = size == s
-            table = self.tables[s]
-            out[of] = np.bitwise_count(table[self.row[i[of]]] ^ table[self.row[j[of]]]).sum(axis=1)
-        return out
+    sketch = np.packbits(np.bincount(cells.astype(np.int64), minlength=k * bits) & 1).reshape(k, -1)
+    names = np.zeros(k * -(-p // k), np.uint32)
+    names[:p] = part_keys(shingles, p, g)[0].astype(np.uint32)
+    names = np.ascontiguousarray(names.reshape(-1, k).T)
+    return np.concatenate([sketch, names.view(np.uint8).reshape(k, -1)], axis=1).tobytes()
 
 
 def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and the sketches of both its classes."""
+    """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and the slices of both its classes."""
     sizes = Sizes(percent)
 
     def run(frames):
         let_go()
         for f in frames:
             found = shingle_sets(f["text"].tolist(), width)
-            two = [[sketches_of(s, sizes, sizes.class_of(len(s)) + up) if len(s) else b"" for s in found] for up in (0, 1)]
+            two = [[slices_of(s, sizes, sizes.class_of(len(s)) + up) if len(s) else b"" for s in found] for up in (0, 1)]
             yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": two[0], "above": two[1]})
 
     return docs.mapInPandas(run, "doc_id string, name bigint, n_shingles bigint, node bigint, sketch binary, above binary")
@@ -303,25 +300,52 @@ class Rows:
     def __init__(self, f: pd.DataFrame, percent: int):
         self.node, self.n, self.kind = f["node"].to_numpy(), f["n"].to_numpy(), f["kind"].to_numpy()
         place = f["place"].to_numpy().astype(np.int64)
-        self.slice, self.empty = place >> 16, place >> 8 & 255
-        self.distances, self.percent = Distances(f["sketch"].tolist()), percent
+        self.slice, self.empty, self.percent = place >> 16, place >> 10 & 63, percent
         sizes = Sizes(percent)
         sizes.class_of(int(self.n.max()) + 1)
         self.own = np.searchsorted(np.array(sizes.floors), self.n, side="right") - 1
-        known = {g: (sizes.slices(g), sizes.parts(g)) for g in np.unique(self.kind).tolist()}
-        self.slices, parts = (np.array([known[g][x] for g in self.kind.tolist()]) for x in (0, 1))
-        self.parts = parts_in_slice(parts, self.slices, self.slice)
-
-    def allowed(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which pairs of rows of one list the sizes and sketches allow, and the lists of its slice that each must meet in."""
+        self.slices, all_parts, differing, self.parts = (np.zeros(len(f), np.int64) for _ in range(4))
+        pieces = f["sketch"].to_numpy()
+        self.sketch = np.zeros((len(f), 16), np.uint64)
+        self.names = np.zeros((len(f), 64), np.uint32)
+        bare = np.zeros((len(f), 64), bool)
+        for g in np.unique(self.kind).tolist():
+            at = np.flatnonzero(self.kind == g)
+            k, p, size = sizes.slices(g), sizes.parts(g), sizes.bits(g) // 8
+            raw = np.frombuffer(b"".join(pieces[at]), np.uint8).reshape(len(at), -1)
+            self.sketch[at, : size // 8] = np.ascontiguousarray(raw[:, :size]).view(np.uint64)
+            held = -(-p // k)
+            self.names[at, :held] = np.ascontiguousarray(raw[:, size:]).view(np.uint32)
+            self.slices[at], all_parts[at], differing[at] = k, p, sizes.differing(g)
+            none = np.zeros(k * held, np.uint32)
+            none[:p] = part_keys(np.zeros(0, np.uint64), p, g)[0].astype(np.uint32)
+            bare[at, :held] = self.names[at, :held] == none.reshape(-1, k).T[self.slice[at]]
+        self.parts = parts_in_slice(all_parts, self.slices, self.slice)
+        real = np.arange(64) < self.parts[:, None]
+        # parts of a list that a partner can be met in
+        self.listed = real & ~(bare & few_empty(self.empty, all_parts, self.slices, self.slice, differing)[:, None])
+        self.real = real
+        own = f["key"].to_numpy().astype(np.uint64).astype(np.uint32)
+        self.at = (self.listed & (self.names == own[:, None])).argmax(axis=1)
+
+    def allowed(self, i: np.ndarray, j: np.ndarray, once: bool = False) -> np.ndarray:
+        """Which pairs of rows of one list the sizes, sketches and common parts allow; with ``once`` in their first two lists only."""
         total = self.n[i] + self.n[j]
         most = total - 2 * -(-self.percent * total // (100 + self.percent))
         # in the list of class g one set is of that class; pairs below meet in their own class's list
         ok = (np.maximum(self.own[i], self.own[j]) == self.kind[i]) & (most >= 0) & (np.abs(self.n[i] - self.n[j]) <= most)
-        here = np.maximum(most, 0) // self.slices[i]
         at = np.flatnonzero(ok)
-        ok[at] = self.distances.between(i[at], j[at]) <= here[at]
-        return ok, np.maximum(1, self.parts[i] - here - np.minimum(self.empty[i], self.empty[j]))
+        here = most[at] // self.slices[i[at]]
+        near = np.bitwise_count(self.sketch[i[at]] ^ self.sketch[j[at]]).sum(axis=1) <= here
+        ok[at[~near]] = False
+        at, here = at[near], here[near]
+        same = self.names[i[at]] == self.names[j[at]]
+        enough = (same & self.real[i[at]]).sum(axis=1) >= self.parts[i[at]] - here
+        if once:  # a chance agreement of two names may hide one list, hardly ever two
+            before = np.arange(64) < self.at[i[at]][:, None]
+            enough &= (same & self.listed[i[at]] & self.listed[j[at]] & before).sum(axis=1) < 2
+        ok[at[~enough]] = False
+        return ok
 
 
 def whole_groups(frames, names: list[str]):
@@ -358,7 +382,7 @@ def against_heads(members: DataFrame, percent: int) -> DataFrame:
             j = np.flatnonzero(f["later"].to_numpy())
             start = np.maximum.accumulate(np.where(f["later"].to_numpy(), -1, np.arange(len(f))))
             i = start[j]
-            ok, _ = rows.allowed(i, j)
+            ok = rows.allowed(i, j)
             a, b = rows.node[i[ok]], rows.node[j[ok]]
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
 
@@ -389,7 +413,7 @@ def dealt_across(members: DataFrame, block: int) -> DataFrame:
 
 
 def across(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (a, b) of list members with different roots that meet in enough lists of a slice.
+    """Candidate pairs (a, b) of list members with different roots.
 
     ``members`` has only lists with several roots.
     """
@@ -410,16 +434,15 @@ def across(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
                 # a block and a run: pairs of both; two runs: pairs of both, or all if they are one
                 meant = (side[i] == 0) | np.where(x[i] >= 0, side[i] != side[j], (-1 - x[i] == y[i]) | (run[i] != run[j]))
                 i, j = i[meant], j[meant]
-                ok, need = rows.allowed(i, j)
+                ok = rows.allowed(i, j, once=True)
                 if ok.any():
                     a, b = rows.node[i[ok]], rows.node[j[ok]]
-                    out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "slice": rows.slice[i[ok]], "need": need[ok]}))
+                    out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}))
             if out:
-                yield pd.concat(out).groupby(["a", "b", "slice"], as_index=False).agg(lists=("need", "size"), need=("need", "max"))
+                yield pd.concat(out).drop_duplicates()
 
     dealt = dealt_across(members, block).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "root", "n", "node")
-    found = dealt.mapInPandas(run, "a bigint, b bigint, slice bigint, lists bigint, need bigint")
-    return found.groupBy("a", "b", "slice").agg(F.sum("lists").alias("lists"), F.max("need").alias("need")).where("lists >= need").select("a", "b").distinct()
+    return dealt.mapInPandas(run, "a bigint, b bigint").distinct()
 
 
 def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
@@ -482,8 +505,8 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     lists = scratch_table(shared_lists(postings(keyed, width, sizes, boundary), block), "lists")
     light = lists.where((F.col("kind") < 0) & (F.col("head_n") == -F.col("kind")) & (F.col("node") != F.col("head"))).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketches = sets.groupBy("node").agg(F.first("sketch").alias("own"), F.first("above").alias("above"))
-    # the slice's sketch, of the list's class
-    piece = F.expr("substring(if(place & 16 <> 0, above, own), (place >> 16) * (1 << (place & 15)) + 1, 1 << (place & 15))")
+    # the slice, of the list's class
+    piece = F.expr("substring(if(place & 512 <> 0, above, own), (place >> 16) * (place & 511) + 1, place & 511)")
     heavy = lists.where("kind >= 0").join(sketches, "node").withColumn("sketch", piece)
     heavy = scratch_table(heavy.drop("own", "above"), "heavy")
 
