@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import unicodedata
 from array import array
 
 import regex
@@ -42,6 +44,18 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+def settled() -> str:
+    """The characters of Unicode 3.2, as ranges of a character class."""
+    early = unicodedata.ucd_3_2_0.category
+    points = [c for c in range(0x110000) if early(chr(c)) not in ("Cn", "Cs")]
+    out, first = [], points[0]
+    for c, after in zip(points, [*points[1:], None]):
+        if after != c + 1:
+            out.append(f"\\U{first:08x}-\\U{c:08x}")
+            first = after
+    return "".join(out)
+
+
 class PrefixEncoder:
     """Encodes and decodes as the byte-level BPE tokenizer in the JSON file ``path``."""
 
@@ -78,6 +92,12 @@ class PrefixEncoder:
                 self.automaton.add_word(s.decode("latin-1"), (i, len(s)))
         self.automaton.make_automaton()
         self.split = regex.compile(PATTERN)
+        # classes of characters depend on the Unicode version: texts with a character that an early one
+        # doesn't have are split by the library itself
+        from tokenizers import Tokenizer
+
+        self.splitter = Tokenizer.from_file(path).pre_tokenizer
+        self.later = re.compile(f"[^{settled()}]")
         self.apart = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.fits = GenerationCache(lambda pair: self.seam(*pair) is None, 300_000)
         self.memo = GenerationCache(self.encode_piece)
@@ -135,10 +155,15 @@ class PrefixEncoder:
             if k % 2:
                 ids.append(special[part])
                 continue
-            for piece in self.split.findall(part):
+            for piece in self.pieces(part):
                 ids.extend(memo[piece] if len(piece) < 64 else self.encode_piece(piece))
         return ids
 
+    def pieces(self, part: str) -> list[str]:
+        if part.isascii() or not self.later.search(part):
+            return self.split.findall(part)
+        return [part[a:b] for _, (a, b) in self.splitter.pre_tokenize_str(part)]
+
     def decode(self, ids) -> str:
         return b"".join(map(self.text_of.__getitem__, ids)).decode("utf-8", "replace")
 

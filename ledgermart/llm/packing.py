@@ -52,6 +52,7 @@ class WordCoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.memo = GenerationCache(self.encode_run, 700_000)
+        self.parted = GenerationCache(self.split_apart, 10_000)
         # words of plain Latin letters need the library's model alone: they are in normal form, lower
         # case is letter by letter, and splitting leaves them whole; the model reads bytes as characters
         spec = json.loads(self.library.to_str())
@@ -64,9 +65,14 @@ class WordCoder:
         ):
             raise ValueError("a tokenizer that drops white space is needed")
 
+    def split_apart(self, two: str) -> bool:
+        """The library splits a letter from the sign after it: a normal form may end in a mark that joins the sign."""
+        count = lambda s: len(self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(s)))
+        return count(two) == count(two[0]) + 1 and count(two[0]) == 1
+
     def encode_run(self, run: str) -> bytes:
-        if len(run) > 1 and run[-1] in ",." and run[-2].lower().isalpha():
-            # a letter and a comma or full stop after it are always split, so share the word's entry
+        if len(run) > 1 and run[-1] in ",." and run[-2].isalpha() and self.parted[run[-2:]]:
+            # the word shares its entry with the word alone
             return self.memo[run[:-1]] + self.memo[run[-1]]
         if self.by_model and run.isalpha():
             low = run.lower()

@@ -52,6 +52,28 @@ def test_piece_counts_equal_the_library(text):
     assert piece_count.loaded(PIECE).count(text) == len(lib.encode(text))
 
 
+def test_every_code_point_is_encoded_as_the_library_does():
+    """Alone, after a letter, before a full stop, a comma and a contraction."""
+    coder, word = byte_bpe.loaded(BYTE), packing.loaded(WORD)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    late = [c for c in points if coder.later.search(c)]
+    early = sorted(set(points) - set(late))
+    assert len(late) > 17_480 and len(early) > 90_000
+    # planes of which nothing is assigned are alike: every 64th of them
+    late = [c for c in late if ord(c) < 0x20000 or ord(c) >= 0xE0000 and ord(c) < 0xE1000 or ord(c) % 64 == 0]
+    for group in (early, late):
+        for lo in range(0, len(group), 500):
+            forms = [f for c in group[lo : lo + 500] for f in (c, f"a{c}", f"{c}.", f"{c},", f"{c}'re", f"x{c}y.")]
+            text = " ".join(forms)
+            lib = library_once(BYTE).encode(text, add_special_tokens=False).ids
+            if coder.encode(text) != lib:
+                bad = [f for f in forms if coder.encode(f) != library_once(BYTE).encode(f, add_special_tokens=False).ids]
+                raise AssertionError(f"byte: {[hex(ord(max(f))) for f in bad][:9]}")
+            if np.frombuffer(word.encode(text), "<u4").tolist() != library_once(WORD).encode(text, add_special_tokens=False).ids:
+                bad = [f for f in forms if np.frombuffer(word.encode(f), "<u4").tolist() != library_once(WORD).encode(f, add_special_tokens=False).ids]
+                raise AssertionError(f"word: {[hex(ord(max(f))) for f in bad][:9]}")
+
+
 _ONCE: dict = {}
 
 
