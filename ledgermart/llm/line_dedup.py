@@ -12,8 +12,8 @@ Inside a bucket of equal variants of a substitution all lines are within one edi
 against the bucket's earliest alone; for an insertion the whole line is held against the earliest of
 the longer ones. No pairs within a bucket are listed. The edit distance is verified on the texts.
 
-Lines shorter than ``min_chars`` always stay; from ``near_chars`` on, one edit counts as equal.
-Texts shuffle only where a filter says that they may be concerned.
+Blank lines (spaces and ASCII control white space) always stay, and lines of fewer than ``min_chars``
+characters beside spaces, if it is given; from ``near_chars`` on, one edit counts as equal. Texts shuffle only where a filter says that they may be concerned.
 
 Edge cases: a null text stays null and an empty one empty, with no lines dropped; blank lines stay;
 rows that agree in id and text are one document and get the same text; null ids come first; ids
@@ -30,9 +30,12 @@ from pyspark.sql import functions as F
 from ledgermart.llm.bitmaps import bitmap_of, bits_for, marked
 from ledgermart.llm.common import scratch_table, text_of
 
-MIN_CHARS = 10
+#: Equal lines of any length count as repeated; only the near join has a floor.
+MIN_CHARS = 1
 NEAR_CHARS = 20
 SEGMENTS = 8
+#: A line that isn't blank.
+SAYS = r"[^\x20\x09-\x0D]"
 CUT, LONGER, WHOLE = 0, 1, 2
 
 
@@ -92,7 +95,7 @@ def near_pairs(distinct: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, near_chars: int = NEAR_CHARS) -> DataFrame:
     """(name, gone, near) for documents that lose lines: places of the lines that go, and how many of them are not equal to an earlier line."""
-    lines = lines_of(docs).withColumn("chars", F.length("line")).where(F.length(F.trim("line")) >= min_chars)
+    lines = lines_of(docs).withColumn("chars", F.length("line")).where(F.col("line").rlike(SAYS) & (F.length(F.trim("line")) >= min_chars))
     lines = lines.withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line"))
     place = F.struct("doc_id", "name", "pos")
     near = F.col("chars") >= near_chars

@@ -77,13 +77,13 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {q.__name__: q for q in (op1_order_minhash, op2_line_dedup, op3_exact_dedup, op4_quality, op5_ngram_join, op6_sanitise, op7_byte_bpe, op8_packing, op9_token_counts, op10_sharding, op11_lexical_search, op12_embedding_near_dedup, op13_whitening)}
 
 SQL = {
-    "op2_line_dedup": """
+    "op2_line_dedup": r"""
         WITH l AS (
             SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos
             FROM documents WHERE text <> ''
         ),
         d AS (
-            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM l WHERE length(trim(line, ' ')) >= 10 GROUP BY line
+            SELECT line, length(line) AS n, min((doc_id, pos)) AS first FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY line
         ),
         v AS (
             SELECT line, n, first, i, hash(left(line, i::INT) || substr(line, i::INT + 2)) AS h

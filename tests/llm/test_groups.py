@@ -83,7 +83,7 @@ def lines_by_brute_force(rows):
     first = {}
     for doc_id, text in sorted(rows):
         for pos, line in enumerate((text or "").split("\n")):
-            if len(line.strip(" ")) >= 10:
+            if line.strip(" \t\n\r\f\v"):
                 first.setdefault(line, (doc_id, pos))
     near = {a for a in first for b in first if len(a) >= 20 <= len(b) and first[b] < first[a] and within_one(a, b)}
     out = {}

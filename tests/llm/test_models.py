@@ -325,7 +325,7 @@ def lines_by_brute_force_fast(rows):
     first = {}
     for doc_id, text in sorted(rows):
         for pos, line in enumerate((text or "").split("\n")):
-            if len(line.strip(" ")) >= 10:
+            if line.strip(" \t\n\r\f\v"):
                 first.setdefault(line, (doc_id, pos))
     halves = defaultdict(list)
     for x in first:
