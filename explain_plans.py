@@ -14,6 +14,7 @@ import re
 import sys
 
 from ledgermart.plans import driver_models as M
+from ledgermart.plans import driver_sources as S
 from ledgermart.plans import driver_tables as D
 from ledgermart.session import get_session
 
@@ -42,7 +43,7 @@ def main(argv):
              "training-data queries write intermediate tables while they run; the check tool's report",
              "has their stages.", "",
              "| query | " + " | ".join(PATTERNS) + " | mart_reads |", "|---|" + "---|" * (len(PATTERNS) + 1)]
-    for name, fn in {**D.RECIPES, **M.RECIPES}.items():
+    for name, fn in {**D.RECIPES, **M.RECIPES, **S.RECIPES}.items():
         plan = fn(spark, d)._jdf.queryExecution().executedPlan().toString()
         counts = [str(len(re.findall(p, plan))) for p in PATTERNS.values()]
         counts.append(str(len(re.findall(r"FileScan parquet .*/marts/", plan))))
