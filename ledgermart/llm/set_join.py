@@ -23,7 +23,8 @@ The boundary is the size with the least cost: rows of subsets against rows of li
 over the counts of small texts by size.
 
 Links only matter for who is reachable, so not all pairs are checked. First every member of a list is
-held against the list's first one, which is linear in the lists; overlaps are counted exactly and
+held against the list's first one, and each set against the smallest of those that it may be linked with,
+which is linear in the lists; overlaps are counted exactly and
 the links' components found. Then the pairs of a list whose ends lie in different components are
 checked; pairs inside a component aren't even enumerated. Every other possible link has been tested.
 
@@ -158,8 +159,8 @@ def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.n
     """(list keys, kinds, places) of a set.
 
     Kind: class of a heavy list, or minus the smaller size of a light one. Place, of a heavy list: the
-    part's slice, the set's empty parts in it, whether the class is the one above the set's own, and the
-    bytes of a slice.
+    part's slice, the set's empty parts in it, whether the class is the one above the set's own, the
+    binary logarithm of the sketch's size over the least one, and the bytes of a slice.
     """
     n, keys, kinds, places = len(shingles), [], [], []
     values = mixed(shingles + MIX)
@@ -185,7 +186,7 @@ def postings_of(shingles: np.ndarray, sizes: Sizes, boundary: int) -> tuple[np.n
             listed = ~(bare & few_empty(empty, p, k, np.arange(k), sizes.differing(g))[at])
             keys.append(key[listed])
             kinds.append(np.full(int(listed.sum()), g))
-            places.append((at << 16 | empty[at] << 10 | (g > own) << 9 | sizes.stride(g))[listed])
+            places.append((at << 20 | empty[at] << 12 | (g > own) << 11 | (sizes.bits(g) // LEAST_BITS).bit_length() - 1 << 9 | sizes.stride(g))[listed])
     none = np.zeros(0, np.int64)
     return (np.concatenate(keys) if keys else np.zeros(0, np.uint64)), (np.concatenate(kinds) if kinds else none), (np.concatenate(places) if places else none)
 
@@ -242,14 +243,14 @@ def postings(docs: DataFrame, width: int, sizes: Sizes, boundary: int) -> DataFr
                     keys.append(k.view(np.int64))
                     nodes.append(np.full(len(k), node))
                     infos.append(np.int64(len(s) << 16) + kind + 32768)
-                    places.append(place.astype(np.int32))
+                    places.append(place)
             if keys:
                 yield pd.DataFrame({"key": np.concatenate(keys), "node": np.concatenate(nodes), "info": np.concatenate(infos), "place": np.concatenate(places)})
 
-    return docs.select("text").mapInPandas(run, "key bigint, node bigint, info bigint, place int")
+    return docs.select("text").mapInPandas(run, "key bigint, node bigint, info bigint, place bigint")
 
 
-LISTED = "key bigint, node bigint, n bigint, kind bigint, place int, block bigint, head bigint, head_n bigint"
+LISTED = "key bigint, node bigint, n bigint, kind bigint, place bigint, block bigint, head bigint, head_n bigint"
 
 
 def shared_lists(posted: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -288,7 +289,7 @@ def shared_lists(posted: DataFrame, block: int = BLOCK) -> DataFrame:
                 rows = np.concatenate([[pending], rows])
             pending = (k[-1], v[-1], w[-1], x[-1], ranks[-1], heads[-1], sizes[-1]) if begins[-1] else None
             key, rank, head = k[-1], int(ranks[-1]), (heads[-1], sizes[-1])
-            yield pd.DataFrame({"key": rows[:, 0], "node": rows[:, 1], "n": rows[:, 2] >> 16, "kind": (rows[:, 2] & 0xFFFF) - 32768, "place": rows[:, 3].astype(np.int32), "block": rows[:, 4] // block, "head": rows[:, 5], "head_n": rows[:, 6]})
+            yield pd.DataFrame({"key": rows[:, 0], "node": rows[:, 1], "n": rows[:, 2] >> 16, "kind": (rows[:, 2] & 0xFFFF) - 32768, "place": rows[:, 3], "block": rows[:, 4] // block, "head": rows[:, 5], "head_n": rows[:, 6]})
 
     sorted_lists = posted.repartition("key").sortWithinPartitions("key", F.shiftright("info", 16), "node")
     return sorted_lists.mapInPandas(run, LISTED)
@@ -299,8 +300,8 @@ class Rows:
 
     def __init__(self, f: pd.DataFrame, percent: int):
         self.node, self.n, self.kind = f["node"].to_numpy(), f["n"].to_numpy(), f["kind"].to_numpy()
-        place = f["place"].to_numpy().astype(np.int64)
-        self.slice, self.empty, self.percent = place >> 16, place >> 10 & 63, percent
+        place = f["place"].to_numpy()
+        self.slice, self.empty, self.percent = place >> 20, place >> 12 & 63, percent
         sizes = Sizes(percent)
         sizes.class_of(int(self.n.max()) + 1)
         self.own = np.searchsorted(np.array(sizes.floors), self.n, side="right") - 1
@@ -314,6 +315,9 @@ class Rows:
             k, p, size = sizes.slices(g), sizes.parts(g), sizes.bits(g) // 8
             raw = np.frombuffer(b"".join(pieces[at]), np.uint8).reshape(len(at), -1)
             self.sketch[at, : size // 8] = np.ascontiguousarray(raw[:, :size]).view(np.uint64)
+            if raw.shape[1] == size:  # a sketch alone
+                self.slices[at], all_parts[at] = k, p
+                continue
             held = -(-p // k)
             self.names[at, :held] = np.ascontiguousarray(raw[:, size:]).view(np.uint32)
             self.slices[at], all_parts[at], differing[at] = k, p, sizes.differing(g)
@@ -329,7 +333,7 @@ class Rows:
         self.at = (self.listed & (self.names == own[:, None])).argmax(axis=1)
 
     def allowed(self, i: np.ndarray, j: np.ndarray, once: bool = False) -> np.ndarray:
-        """Which pairs of rows of one list the sizes, sketches and common parts allow; with ``once`` in their first two lists only."""
+        """Which pairs of rows of one list the sizes and sketches allow; with ``once`` the common parts too, in their first two lists only."""
         total = self.n[i] + self.n[j]
         most = total - 2 * -(-self.percent * total // (100 + self.percent))
         # in the list of class g one set is of that class; pairs below meet in their own class's list
@@ -338,12 +342,14 @@ class Rows:
         here = most[at] // self.slices[i[at]]
         near = np.bitwise_count(self.sketch[i[at]] ^ self.sketch[j[at]]).sum(axis=1) <= here
         ok[at[~near]] = False
+        if not once:
+            return ok
         at, here = at[near], here[near]
         same = self.names[i[at]] == self.names[j[at]]
         enough = (same & self.real[i[at]]).sum(axis=1) >= self.parts[i[at]] - here
-        if once:  # a chance agreement of two names may hide one list, hardly ever two
-            before = np.arange(64) < self.at[i[at]][:, None]
-            enough &= (same & self.listed[i[at]] & self.listed[j[at]] & before).sum(axis=1) < 2
+        # a chance agreement of two names may hide one list, hardly ever two
+        before = np.arange(64) < self.at[i[at]][:, None]
+        enough &= (same & self.listed[i[at]] & self.listed[j[at]] & before).sum(axis=1) < 2
         ok[at[~enough]] = False
         return ok
 
@@ -369,24 +375,26 @@ def cut(members: DataFrame) -> DataFrame:
 
 
 def against_heads(members: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of each list's first member with every other; linear in the lists."""
+    """Candidate pairs (a, b): of the first members of its lists that it may be linked with, each member and the smallest."""
+    sketch = F.expr(f"substring(sketch, 1, {LEAST_BITS // 8} << cast(place >> 9 & 3 as int))")
     first = F.col("node") == F.col("head")
-    kept = members.select("key", "block", (~first).alias("later"), "node", "n", "kind", "place", "sketch")
+    kept = members.select("key", "block", (~first).alias("later"), "node", "n", "kind", "place", sketch.alias("sketch"))
     # the first one of a long list goes to all its blocks
     copies = members.where(first).join(cut(members), "key").withColumn("block", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
-    dealt = kept.unionByName(copies.select("key", "block", F.lit(False).alias("later"), "node", "n", "kind", "place", "sketch"))
+    dealt = kept.unionByName(copies.select("key", "block", F.lit(False).alias("later"), "node", "n", "kind", "place", sketch.alias("sketch")))
 
     def run(frames):
         for f in whole_groups(frames, ["key", "block"]):
-            rows = Rows(f, percent)
-            j = np.flatnonzero(f["later"].to_numpy())
-            start = np.maximum.accumulate(np.where(f["later"].to_numpy(), -1, np.arange(len(f))))
-            i = start[j]
+            rows, later = Rows(f, percent), f["later"].to_numpy()
+            j = np.flatnonzero(later)
+            i = np.maximum.accumulate(np.where(later, -1, np.arange(len(f))))[j]
             ok = rows.allowed(i, j)
-            a, b = rows.node[i[ok]], rows.node[j[ok]]
-            yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
+            found = pd.DataFrame({"member": rows.node[j[ok]], "head": rows.node[i[ok]]})
+            yield found.groupby("member", as_index=False)["head"].min()
 
-    return dealt.repartition("key", "block").sortWithinPartitions("key", "block", "later", "n", "node").mapInPandas(run, "a bigint, b bigint").distinct()
+    found = dealt.repartition("key", "block").sortWithinPartitions("key", "block", "later", "n", "node").mapInPandas(run, "member bigint, head bigint")
+    pairs = found.groupBy("member").agg(F.min("head").alias("head"))
+    return pairs.select(F.least("member", "head").alias("a"), F.greatest("member", "head").alias("b")).distinct()
 
 
 def dealt_across(members: DataFrame, block: int) -> DataFrame:
@@ -506,7 +514,7 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     light = lists.where((F.col("kind") < 0) & (F.col("head_n") == -F.col("kind")) & (F.col("node") != F.col("head"))).select(F.col("node").alias("a"), F.col("head").alias("b"))
     sketches = sets.groupBy("node").agg(F.first("sketch").alias("own"), F.first("above").alias("above"))
     # the slice, of the list's class
-    piece = F.expr("substring(if(place & 512 <> 0, above, own), (place >> 16) * (place & 511) + 1, place & 511)")
+    piece = F.expr("substring(if(place & 2048 <> 0, above, own), cast((place >> 20) * (place & 511) + 1 as int), cast(place & 511 as int))")
     heavy = lists.where("kind >= 0").join(sketches, "node").withColumn("sketch", piece)
     heavy = scratch_table(heavy.drop("own", "above"), "heavy")
 

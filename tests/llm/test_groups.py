@@ -240,7 +240,7 @@ def rows_in_lists(a, b, sizes, boundary=1):
         heavy = kind >= 0
         f = pd.DataFrame({"key": key[heavy].view(np.int64), "node": node, "n": len(s), "kind": kind[heavy], "place": place[heavy]})
         width = f["place"] & 511
-        f["sketch"] = [slices[g][(x >> 16) * w : ((x >> 16) + 1) * w] for g, x, w in zip(f["kind"], f["place"], width)]
+        f["sketch"] = [slices[g][(x >> 20) * w : ((x >> 20) + 1) * w] for g, x, w in zip(f["kind"], f["place"], width)]
         assert f["sketch"].map(len).equals(width)
         frames.append(f)
     both = frames[0].merge(frames[1], on="key")
