@@ -129,6 +129,62 @@ def duplicate_detail(df: DataFrame, key: str) -> DataFrame:
         F.concat(F.col(key).cast("string"), F.lit("×"), F.col("row_count").cast("string")).alias("detail"))
 
 
+def duplicate_text(df: DataFrame, key: str, most: int = 10) -> DataFrame:
+    """Q21: one row ``(duplicates, detail)``: how many key values repeat, and the ``most`` worst as text.
+
+    ``detail`` lists ``value×count``, the most frequent first and equal counts by
+    value; what it leaves out stands as ``+n more``.  The shown values are a
+    distributed top-k (each task sends on at most ``most`` rows), so a badly broken
+    table stays one small row.  Null keys count as one value, ``<null>``; without
+    duplicates the detail is empty.
+    """
+    dups = check_unique(df, key).select(F.coalesce(F.col(key).cast("string"), F.lit("<null>")).alias("value"), "row_count")
+    top = dups.orderBy(F.desc("row_count"), "value").limit(most)
+    shown = F.array_sort(F.collect_list(F.struct((-F.col("row_count")).alias("order"), "value")))
+    listed = top.agg(F.concat_ws(", ", F.transform(shown, lambda d: F.concat(d["value"], F.lit("×"), (-d["order"]).cast("string")))).alias("listed"))
+    counted = metrics_row(df.sparkSession, {"duplicates": (dups, F.count(F.lit(1))), "listed": (listed, F.max("listed"))})
+    more = F.when(F.col("duplicates") > most, F.concat(F.lit(", +"), (F.col("duplicates") - most).cast("string"), F.lit(" more"))).otherwise("")
+    return counted.select("duplicates", F.concat(F.col("listed"), more).alias("detail"))
+
+
+def _row_hash(columns: list[str], seed: int) -> Column:
+    """A 64-bit hash of a row's values, of where it is null, and of the columns' names."""
+    parts = [x for c in columns for x in (F.lit(c), F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.xxhash64(F.lit(seed), *parts).cast("decimal(38,0)")
+
+
+def replay_compare(before: dict[str, DataFrame], after: dict[str, DataFrame]) -> DataFrame:
+    """Q18: per relation ``(relation, rows_before, rows_after, identical)``; are both sides the same multiset of rows?
+
+    Every row counts +1 before and -1 after, together with two independent 64-bit
+    hashes of its values, so equal multisets cancel to zero in any order and any
+    number of partitions.  Swapped or changed values, another type or name of a
+    column, and lost or repeated rows leave a rest (but for hash collisions, about
+    one in 2^128).  One partial aggregate over each relation, a few rows shuffle.
+    A relation on one side only isn't identical, nor are two empty ones whose
+    schemas differ; columns of map type can't be hashed.
+    """
+    parts = []
+    for relation in sorted(set(before) | set(after)):
+        sides = [(side[relation], sign) for side, sign in ((before, 1), (after, -1)) if relation in side]
+        alike = len(sides) == 2 and sorted(sides[0][0].dtypes) == sorted(sides[1][0].dtypes)
+        rows = None
+        for df, sign in sides:
+            columns = sorted(df.columns)
+            one = df.select(F.lit(sign).alias("sign"), *[(_row_hash(columns, seed) * sign).alias(f"h{seed}") for seed in (1, 2)])
+            rows = one if rows is None else rows.unionByName(one)
+        same = (F.coalesce(F.sum("h1"), F.lit(0)) == 0) & (F.coalesce(F.sum("h2"), F.lit(0)) == 0)
+        parts.append(rows.agg(
+            F.lit(relation).alias("relation"), F.count_if(F.col("sign") > 0).alias("rows_before"), F.count_if(F.col("sign") < 0).alias("rows_after"),
+            (F.lit(alike) & same & (F.coalesce(F.sum("sign"), F.lit(0)) == 0)).alias("identical")))
+    if not parts:
+        raise ValueError("no relations to compare")
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 @dataclass
 class Control:
     """One control: ``actual`` is an aggregate Column over ``frame``."""

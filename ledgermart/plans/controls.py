@@ -9,6 +9,8 @@ status, database names) are plain parameters.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,14 @@ from ledgermart.operators.quality import (
     check_stable_membership,
     check_unique,
     failing_rows,
+    replay_compare,
 )
 
 
+#: The form of a run id.
+UUID = "[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}"
+
+
 def _flag(spark: SparkSession, name: str, value: bool, detail: str = "") -> Control:
     """A control on a parameter (runtime facts that are not data)."""
     return Control(name, spark.range(1).select(F.lit(value).alias("v")), F.min("v"), True, "==", detail)
@@ -137,8 +144,19 @@ def fixture_landing_controls(spark: SparkSession, balance: DataFrame, manifest:
 # -- Q18 warehouse certification ----------------------------------------------
 def warehouse_controls(spark: SparkSession, marts: dict[str, DataFrame], expected_counts: dict[str, int],
                        periods: int, series: int, replay_counts: tuple[dict, dict] | None = None,
-                       top_members: DataFrame | None = None, isolated: bool = True) -> DataFrame:
-    """Official core certification: counts, coverage, fixture-free, replay, reconciliations."""
+                       top_members: DataFrame | None = None, isolated: bool = True,
+                       replay: tuple[dict[str, DataFrame], dict[str, DataFrame]] | None = None,
+                       loads: DataFrame | None = None, raw: dict[str, DataFrame] | None = None,
+                       model_controls: DataFrame | None = None, run: tuple[str, str] | None = None) -> DataFrame:
+    """Official core certification: counts, coverage, fixture-free, replay, reconciliations.
+
+    ``replay``: relations before and after a second load, compared row by row as
+    multisets · ``loads``: (source, status) of every load, of which each source needs
+    two that succeeded and none that failed · ``raw``: relation → the landed rows that
+    it must preserve in number · ``model_controls``: the retained control table of the
+    model build, empty fails · ``run``: (run id, status), a UUID and ``success``.
+    A control whose input isn't given is left out.
+    """
     ab, man = marts["account_balance"], marts["cosif_file_manifest"]
     controls = [_flag(spark, "isolated_official_database", isolated)]
     for rel, n in expected_counts.items():
@@ -152,6 +170,21 @@ def warehouse_controls(spark: SparkSession, marts: dict[str, DataFrame], expecte
     if replay_counts is not None:
         before, after = replay_counts
         controls.append(_flag(spark, "landing_replay_idempotent", before == after, f"{before} -> {after}"))
+    if replay is not None:
+        controls.append(failing_rows("replayed_rows_identical", replay_compare(*replay).filter(~F.col("identical"))))
+    if loads is not None:
+        bad_loads = loads.groupBy("source").agg(F.count_if(F.col("status") == "success").alias("_good"), F.count(F.lit(1)).alias("_all"))
+        controls += [
+            Control("sources_loaded", loads, F.count_distinct("source"), 0, ">"),
+            failing_rows("loads_succeeded_twice", bad_loads.filter((F.col("_good") < 2) | (F.col("_good") < F.col("_all")))),
+        ]
+    for rel, landed in (raw or {}).items():
+        kept = marts[rel].select(F.lit(1).alias("sign")).unionByName(landed.select(F.lit(-1).alias("sign")))
+        controls.append(Control(f"raw_core_identities_{rel}", kept, F.coalesce(F.sum("sign"), F.lit(0)), 0))
+    if model_controls is not None:
+        controls.append(Control("model_build_passed", model_controls, F.coalesce(F.bool_and(F.coalesce("passed", F.lit(False))), F.lit(False)), True))
+    if run is not None:
+        controls.append(_flag(spark, "run_recorded", bool(re.fullmatch(UUID, run[0] or "")) and run[1] == "success", "|".join(str(r) for r in run)))
     if top_members is not None:
         ta = ab.filter((F.col("document_code") == "4010") & F.col("account_code").isin("1000000009", "2000000008"))
         got = ta.groupBy("institution_cnpj", "report_month").agg(F.sum("balance_amount").alias("amount"))
@@ -218,9 +251,21 @@ def source_decision_controls(
     start: str,
     end: str,
     n: int,
+    period_profiles: DataFrame | None = None,
+    reporting_lines: DataFrame | None = None,
+    expected_lines: DataFrame | None = None,
+    boundary: dict[str, tuple[object, object]] | None = None,
 ) -> DataFrame:
     """Final fail-closed decision over the retained evidence (Q17).
 
+    An empty input, a member without monthly rows, rows of anyone else, and an archive
+    without checksum or path or with an error all fail.  ``period_profiles``: period and
+    the institutions of the monthly and of the half-yearly document · ``reporting_lines``
+    and ``expected_lines``: rows of the same columns, exactly equal, plus a ``rationale``
+    on the former · ``boundary``: name → (decided, actual).  Their controls are left out
+    where they aren't given.  A column of the evidence that says more than its table has
+    (checksum, path, error, freeze period, document) is checked where it is there.
+
     Key-set equality against the expected (series × month) and
     (member × month) grids is checked without building the grid: per key,
     the distinct months inside the window must equal the window length and
@@ -233,7 +278,7 @@ def source_decision_controls(
     in_window = F.col("period").between(lo, hi)
     active = catalog.filter(F.col("is_active") & in_window)
     dup_active = active.groupBy("period").count().filter("count > 1").select("period")
-    codes = values_frame(spark, [(c,) for c in series_codes], "series_code string")
+    codes = series_codes if isinstance(series_codes, DataFrame) else values_frame(spark, [(c,) for c in series_codes], "series_code string")
     obs = observations.select("series_code", F.col("report_month").alias("period"))
     series_gaps = obs.groupBy("series_code").agg(
         F.count_distinct(F.when(in_window, F.col("period"))).alias("_in"), F.count_if(~in_window).alias("_out"),
@@ -242,29 +287,96 @@ def source_decision_controls(
     bad_profiles = series_profiles.filter(
         (F.col("status") != "complete") | (F.col("requested_start_month") != lo) | (F.col("requested_end_month") != hi)
         | (F.col("internal_missing_month_count") != 0) | (F.col("duplicate_report_month_count") != 0))
-    member_gaps = monthly.groupBy("institution_cnpj").agg(
-        F.count_distinct(F.when(in_window, F.col("period"))).alias("_in")).filter(F.col("_in") != n_periods)
+    listed = members.select("institution_cnpj").distinct().withColumn("_months", F.lit(n_periods)).withColumn("_rows", F.lit(n_periods))
+    seen = monthly.groupBy("institution_cnpj").agg(
+        F.count_distinct(F.when(in_window, F.col("period"))).alias("_months"), F.count(F.lit(1)).alias("_rows"))
+    member_gaps = set_diff(listed, seen.select(*listed.columns))
+    archives = manifest.filter((F.col("status") == "complete") & _stated(manifest, "sha256", "archive_path") & _without(manifest, "error"))
+    profiled = file_profiles.filter((F.col("malformed_row_count") == 0) & F.col("period_matches") & _stated(file_profiles, "sha256") & _counted(file_profiles))
+    frozen = members.filter(_is(members, "freeze_period", hi) & _is(members, "document_code", ANALYTICAL_DOCUMENT))
     controls = [
         failing_rows("catalog_active_period_coverage",
                      set_diff(periods, active.select("period").distinct()).select("period").unionByName(dup_active)),
-        failing_rows("cosif_runtime_and_profile_ready",
-                     set_diff(periods, manifest.filter(F.col("status") == "complete").select("period").distinct())
-                     .select("period").unionByName(file_profiles.filter(
-                         (F.col("malformed_row_count") > 0) | ~F.col("period_matches")).select("period"))),
+        failing_rows("cosif_runtime_and_profile_ready", _uncovered(periods, manifest, archives).unionByName(_uncovered(periods, file_profiles, profiled))),
         failing_rows("macro_runtime_and_profile_ready",
                      set_diff(codes, obs.select("series_code").distinct()).select("series_code")
                      .unionByName(series_gaps.select("series_code")).unionByName(bad_profiles.select("series_code"))),
         Control("acquisition_readiness_retained", readiness_table, F.bool_and("passed"), True),
         Control("population_controls_retained", population_table, F.bool_and("passed"), True),
-        Control("population_contract_frozen", members,
+        Control("population_contract_frozen", frozen,
                 (F.count(F.lit(1)) == n) & (F.count_distinct("institution_cnpj") == n)
                 & (F.min("freeze_rank") == 1) & (F.max("freeze_rank") == n)
                 & (F.count_distinct("freeze_rank") == n), True),
         failing_rows("population_monthly_coverage", member_gaps),
     ]
+    if "document_code" in monthly.columns:
+        controls.append(failing_rows("population_monthly_document", monthly.filter(~_is(monthly, "document_code", ANALYTICAL_DOCUMENT))))
+    if period_profiles is not None:
+        half_yearly = F.col("period").substr(5, 2).isin("06", "12")
+        disclosed = period_profiles.filter(
+            (F.coalesce("document_4010_institutions", F.lit(0)) > 0)
+            & ((F.coalesce("document_4016_institutions", F.lit(0)) > 0) == half_yearly))
+        controls.append(failing_rows("document_scope_disclosed", _uncovered(periods, period_profiles, disclosed)))
+    if reporting_lines is not None:
+        stated = reporting_lines.filter(F.trim("rationale") != "").select(*expected_lines.columns)
+        repeated = check_unique(reporting_lines, [expected_lines.columns[0]]).select(F.col(expected_lines.columns[0]).cast("string").alias("line"))
+        differ = set_diff(expected_lines, stated).select(F.col(expected_lines.columns[0]).cast("string").alias("line"))
+        controls.append(failing_rows("reporting_line_draft_bounded", differ.unionByName(repeated)))
+    if boundary is not None:
+        differing = [k for k, (decided, actual) in boundary.items() if decided != actual]
+        controls.append(_flag(spark, "source_boundary_complete", bool(boundary) and not differing, "|".join(f"{k}={a}" for k, (_, a) in boundary.items())))
     return build_controls(spark, controls, "source_profile_decision")
 
 
+# Fixed value: the document of the monthly ranking and trend.
+ANALYTICAL_DOCUMENT = "4010"
+
+
+def _stated(df: DataFrame, *columns: str):
+    """Every one of ``columns`` that ``df`` has holds something."""
+    out = F.lit(True)
+    for c in set(columns) & set(df.columns):
+        out = out & F.coalesce(F.trim(F.col(c).cast("string")) != "", F.lit(False))
+    return out
+
+
+def _without(df: DataFrame, column: str):
+    return F.coalesce(F.trim(column) == "", F.lit(True)) if column in df.columns else F.lit(True)
+
+
+def _counted(df: DataFrame):
+    return F.coalesce(F.col("row_count") > 0, F.lit(False)) if "row_count" in df.columns else F.lit(True)
+
+
+def _is(df: DataFrame, column: str, value: str):
+    return F.coalesce(F.col(column) == value, F.lit(False)) if column in df.columns else F.lit(True)
+
+
+def _uncovered(periods: DataFrame, rows: DataFrame, good: DataFrame) -> DataFrame:
+    """(period) of the periods without a good row, the rows of other periods, and the periods with more rows than one or a bad one."""
+    bad = rows.groupBy("period").agg(F.count(F.lit(1)).alias("_n")).join(good.groupBy("period").agg(F.count(F.lit(1)).alias("_good")), "period", "left")
+    bad = bad.filter((F.col("_n") != 1) | F.col("_good").isNull()).select("period")
+    return set_diff(periods, rows.select("period").distinct()).select("period").unionByName(bad)
+
+
+def source_contract(spark: SparkSession, decision: DataFrame, decided: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """The contract that the decision freezes (Q17): ``(contract_item, value, status, note)``.
+
+    ``decided``: item → (value, status, note), in order.  The last three rows follow from
+    ``decision`` (the table of ``source_decision_controls``): the outcome, which is
+    ``blocked`` unless its roll-up passed, and what stays open whatever it says.
+    """
+    passed = decision.agg(F.coalesce(F.bool_and(F.coalesce("passed", F.lit(False))), F.lit(False))).scalar()
+    rows = [(i, item, *facts) for i, (item, facts) in enumerate(decided.items())]
+    end = len(rows)
+    rows += [(end, "implementation_decision", "", "decision", "Outcome of the source decision."),
+             (end + 1, "warehouse_status", "not_certified", "pending", "The decision certifies no warehouse."),
+             (end + 2, "mart_status", "not_built", "pending", "Marts follow once the warehouse is certified.")]
+    frame = values_frame(spark, rows, "contract_order int, contract_item string, value string, status string, note string")
+    outcome = F.when(passed, "ready_for_official_warehouse_certification").otherwise("blocked")
+    return frame.withColumn("value", F.when(F.col("contract_item") == "implementation_decision", outcome).otherwise(F.col("value")))
+
+
 def identity_control(rows: DataFrame, codes: dict[str, str], tolerance: float = 0.01) -> Control:
     """Accounting identity class1 + class2 = total − class3 as a control (Q7)."""
     bad = check_identity(rows, ["report_month", "institution_cnpj"], "account_code", "balance_amount",
@@ -274,5 +386,5 @@ def identity_control(rows: DataFrame, codes: dict[str, str], tolerance: float =
 
 __all__ = [
     "population_controls", "readiness_controls", "source_decision_controls", "fixture_landing_controls", "warehouse_controls",
-    "mart_controls", "identity_control",
+    "mart_controls", "identity_control", "source_contract",
 ]

@@ -8,7 +8,9 @@ and returns its whole result:
 * catalogs: one JSON file a year that lists these archives, and an item that is none;
 * series: one JSON file an event type, with its monthly totals;
 * merges: all orders, then changed and new ones, then that batch once more;
-* rebuild: all archives but the final ones of ``LATE_YEAR``, then those.
+* rebuild: all archives but the final ones of ``LATE_YEAR``, then those;
+* certification: the merged orders before and after a replay, and tables with values swapped or rows lost;
+* decision: the source decision over the evidence of ``LATE_YEAR``.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermart.functions import money, month_start
+from ledgermart.operators.quality import build_controls, duplicate_text, failing_rows, replay_compare
 from ledgermart.plans import driver_models
+from ledgermart.plans.controls import source_decision_controls
 from ledgermart.plans.driver_tables import input_version, table
 from ledgermart.session import scratch_path
 from ledgermart.sources import formats
@@ -137,7 +141,51 @@ def late_file_rebuild(spark: SparkSession, d: str) -> DataFrame:
     return held.groupBy("source_period", "source_checksum", "version").agg(F.count(F.lit(1)).alias("row_count"), F.sum("balance_amount").alias("amount"))
 
 
-RECIPES = {q.__name__: q for q in (archive_scan, archive_profile, catalog_scan, series_scan, incremental_merge, merge_history, late_file_rebuild)}
+def replay_certification(spark: SparkSession, d: str) -> DataFrame:
+    """Q18: are relations the same rows after a replay?  Two that are, and two that a row count takes for the same or a sum does."""
+    orders, lines = table(spark, d, "orders"), table(spark, d, "lineitem")
+    held = _merged(spark, d)
+    swapped = lines.withColumns({"l_discount": F.col("l_tax"), "l_tax": F.col("l_discount")})
+    before = {"orders": orders, "merged_orders": held.read(version=2), "swapped_lines": lines, "status_counts": orders.select("o_orderstatus", "o_orderpriority")}
+    after = {"orders": orders.repartition(7, "o_custkey"), "merged_orders": held.read(), "swapped_lines": swapped,
+             "status_counts": orders.filter(F.col("o_orderkey") % 2 == 0).select("o_orderstatus", "o_orderpriority")}
+    return replay_compare(before, after)
+
+
+def duplicate_customers(spark: SparkSession, d: str) -> DataFrame:
+    """Q21: how many customers have several orders, and the ten with the most as one text."""
+    return duplicate_text(table(spark, d, "orders"), "o_custkey")
+
+
+def source_decision(spark: SparkSession, d: str) -> DataFrame:
+    """Q17: the source decision over ``LATE_YEAR``: archives of the orders, monthly series of the events, nations by final orders."""
+    files = driver_models.file_manifest(spark, d).filter(F.col("source_period").startswith(LATE_YEAR)).withColumn("period", F.col("source_period"))
+    complete = files.filter(F.col("status") == "complete").withColumn("sha256", F.col("source_checksum"))
+    profiles = files.groupBy("period").agg(F.sum("row_count").alias("row_count"), F.count_if(F.col("status") == "failed").alias("malformed_row_count")).withColumn("period_matches", F.lit(True))
+    events = table(spark, d, "events").select(F.col("event_type").alias("series_code"), F.concat(F.lit(LATE_YEAR), F.date_format("ts", "MM")).alias("report_month"))
+    observations = events.distinct()
+    series = events.groupBy("series_code").agg((F.lit(12) - F.count_distinct("report_month")).alias("internal_missing_month_count")).select(
+        "series_code", F.lit("complete").alias("status"), F.lit(f"{LATE_YEAR}01").alias("requested_start_month"), F.lit(f"{LATE_YEAR}12").alias("requested_end_month"),
+        "internal_missing_month_count", F.lit(0).alias("duplicate_report_month_count"))
+    c = table(spark, d, "customer").select("c_custkey", F.lpad(F.col("c_nationkey").cast("string"), 8, "0").alias("institution_cnpj"))
+    o = table(spark, d, "orders").select("o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("period")).filter(F.col("period").startswith(LATE_YEAR))
+    monthly = o.groupBy("o_custkey", "period", "o_orderstatus").agg(F.count(F.lit(1)).alias("n")).join(c, F.col("o_custkey") == F.col("c_custkey"))
+    monthly = monthly.groupBy("institution_cnpj", "period").agg(F.sum("n").alias("n"))
+    nations = table(spark, d, "nation").select(F.lpad(F.col("n_nationkey").cast("string"), 8, "0").alias("institution_cnpj"), (F.col("n_nationkey") + 1).alias("freeze_rank"))
+    passed = check_table(spark, d)
+    return source_decision_controls(
+        spark, files, complete, profiles, observations, series, passed, passed, nations, monthly, observations.select("series_code").distinct(),
+        f"{LATE_YEAR}-01-01", f"{LATE_YEAR}-12-01", 25, boundary={"start": (f"{LATE_YEAR}01", f"{LATE_YEAR}01"), "population": (25, 25)})
+
+
+def check_table(spark: SparkSession, d: str) -> DataFrame:
+    """A retained control table: line items have an order key and a known flag."""
+    li = table(spark, d, "lineitem")
+    return build_controls(spark, [failing_rows("keys", li.filter(F.col("l_orderkey").isNull())), failing_rows("flags", li.filter(~F.col("l_returnflag").isin("A", "N", "R")))])
+
+
+RECIPES = {q.__name__: q for q in (archive_scan, archive_profile, catalog_scan, series_scan, incremental_merge, merge_history, late_file_rebuild,
+                                   replay_certification, duplicate_customers, source_decision)}
 
 _ROWS = f"""WITH {driver_models.ORACLE_FILES},
 balances AS (
@@ -186,4 +234,50 @@ chosen AS (
 SELECT source_period, source_checksum, CAST(CASE WHEN o_orderstatus = 'F' AND source_period LIKE '{LATE_YEAR}%' THEN 2 ELSE 1 END AS BIGINT) AS version,
        COUNT(*) AS row_count, SUM(saldo) AS amount
 FROM balances JOIN chosen USING (source_period, source_checksum, o_orderstatus) WHERE k = 1 GROUP BY 1, 2, 3""",
+    "replay_certification": """
+WITH o AS (SELECT o_orderstatus, o_orderpriority, o_orderkey % 2 = 0 AS kept FROM orders),
+merged AS (SELECT (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 2 = 0) AS n),
+swapped AS (
+  SELECT COUNT(*) AS n FROM (
+    SELECT l_orderkey, l_linenumber, l_partkey, l_discount, l_tax FROM lineitem EXCEPT ALL SELECT l_orderkey, l_linenumber, l_partkey, l_tax, l_discount FROM lineitem))
+SELECT 'orders' AS relation, COUNT(*) AS rows_before, COUNT(*) AS rows_after, TRUE AS identical FROM orders
+UNION ALL SELECT 'merged_orders', n, n, TRUE FROM merged
+UNION ALL SELECT 'swapped_lines', COUNT(*), COUNT(*), (SELECT n FROM swapped) = 0 FROM lineitem
+UNION ALL SELECT 'status_counts', COUNT(*), COUNT(*) FILTER (kept), COUNT(*) FILTER (NOT kept) = 0 FROM o""",
+    "duplicate_customers": """
+WITH d AS (SELECT CAST(o_custkey AS VARCHAR) AS v, COUNT(*) AS n FROM orders GROUP BY 1 HAVING COUNT(*) > 1),
+t AS (SELECT * FROM d ORDER BY n DESC, v LIMIT 10)
+SELECT (SELECT COUNT(*) FROM d) AS duplicates,
+       (SELECT string_agg(v || '×' || CAST(n AS VARCHAR), ', ' ORDER BY n DESC, v) FROM t)
+       || CASE WHEN (SELECT COUNT(*) FROM d) > 10 THEN ', +' || CAST((SELECT COUNT(*) FROM d) - 10 AS VARCHAR) || ' more' ELSE '' END AS detail""",
+    "source_decision": f"""
+WITH {driver_models.ORACLE_FILES},
+p AS (SELECT '{LATE_YEAR}' || lpad(CAST(m AS VARCHAR), 2, '0') AS period FROM range(1, 13) t(m)),
+a AS (SELECT DISTINCT source_period AS period, source_checksum, o_orderstatus AS s FROM files WHERE source_period LIKE '{LATE_YEAR}%'),
+per AS (
+  SELECT p.period, COUNT(*) FILTER (s = 'F') AS active, COUNT(*) FILTER (s <> 'P') AS complete, COUNT(s) AS files, COUNT(*) FILTER (s = 'P') AS bad
+  FROM p LEFT JOIN a USING (period) GROUP BY p.period),
+e AS (SELECT event_type, COUNT(DISTINCT month(ts)) AS months FROM events GROUP BY 1),
+mon AS (
+  SELECT c_nationkey, COUNT(DISTINCT month(o_orderdate)) AS months
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) = {LATE_YEAR} GROUP BY 1),
+li AS (SELECT (COUNT(*) FILTER (l_orderkey IS NULL) + COUNT(*) FILTER (l_returnflag NOT IN ('A', 'N', 'R'))) = 0 AS good FROM lineitem),
+gaps AS (
+  SELECT (SELECT COUNT(*) FROM nation LEFT JOIN mon ON n_nationkey = c_nationkey WHERE months IS DISTINCT FROM 12)
+       + (SELECT COUNT(*) FROM mon WHERE months <> 12 OR c_nationkey NOT IN (SELECT n_nationkey FROM nation)) AS n),
+c AS (
+  SELECT 1 AS k, 'catalog_active_period_coverage' AS name, COUNT(*) FILTER (active <> 1) AS n FROM per
+  UNION ALL SELECT 2, 'cosif_runtime_and_profile_ready', COUNT(*) FILTER (complete <> 1) + COUNT(*) FILTER (files = 0 OR bad > 0) FROM per
+  UNION ALL SELECT 3, 'macro_runtime_and_profile_ready', 2 * COUNT(*) FILTER (months <> 12) FROM e
+  UNION ALL SELECT 7, 'population_monthly_coverage', n FROM gaps),
+t AS (
+  SELECT k, name, n = 0 AS passed, '== 0' AS expected, CAST(n AS VARCHAR) AS actual FROM c
+  UNION ALL SELECT 4, 'acquisition_readiness_retained', good, '== True', CAST(good AS VARCHAR) FROM li
+  UNION ALL SELECT 5, 'population_controls_retained', good, '== True', CAST(good AS VARCHAR) FROM li
+  UNION ALL SELECT 6, 'population_contract_frozen', COUNT(*) = 25, '== True', CAST(COUNT(*) = 25 AS VARCHAR) FROM nation
+  UNION ALL SELECT 8, 'source_boundary_complete', TRUE, '== True', 'true')
+SELECT CAST(k AS INTEGER) AS control_order, name AS control_name, passed, expected, actual,
+       CASE WHEN k = 8 THEN 'start={LATE_YEAR}01|population=25' ELSE '' END AS detail FROM t
+UNION ALL
+SELECT 9, 'source_profile_decision', COUNT(*) FILTER (passed) = 8, 'all prior controls pass', CAST(COUNT(*) FILTER (passed) AS VARCHAR) || '/8', 'fail-closed roll-up' FROM t""",
 }

@@ -131,3 +131,98 @@ def test_warehouse_top_member_reconciliation(spark, marts):
     assert "top_total_assets_reconciliation" not in _failed(t)
     off = top.withColumn("amount", top.amount + 2)
     assert "top_total_assets_reconciliation" in _failed(warehouse_controls(spark, marts, {}, 2, 5, top_members=off))
+
+
+def test_source_decision_fails_closed(spark):
+    from ledgermart.plans.controls import source_contract, source_decision_controls
+    periods = ["202506", "202507"]
+    catalog = spark.createDataFrame([(p, True) for p in periods], "period string, is_active boolean")
+    archives = [(p, "complete", f"sha-{p}", f"/in/{p}.zip", None) for p in periods]
+    schema = "period string, status string, sha256 string, archive_path string, error string"
+    manifest = spark.createDataFrame(archives, schema)
+    files = spark.createDataFrame([(p, 0, True, 5) for p in periods], "period string, malformed_row_count int, period_matches boolean, row_count int")
+    obs = spark.createDataFrame([("433", p) for p in periods], "series_code string, report_month string")
+    sp = spark.createDataFrame([("433", "complete", "202506", "202507", 0, 0)], "series_code string, status string, requested_start_month string, "
+                               "requested_end_month string, internal_missing_month_count long, duplicate_report_month_count long")
+    passed = spark.createDataFrame([(True,)], "passed boolean")
+    members = spark.createDataFrame([("a", 1, "202507", "4010"), ("b", 2, "202507", "4010")], "institution_cnpj string, freeze_rank int, freeze_period string, document_code string")
+    monthly = spark.createDataFrame([(m, p, "4010") for m in ("a", "b") for p in periods], "institution_cnpj string, period string, document_code string")
+    scope = spark.createDataFrame([("202506", 3, 3), ("202507", 3, 0)], "period string, document_4010_institutions int, document_4016_institutions int")
+    lines = spark.createDataFrame([("total_assets", "certified", "sum of two classes"), ("equity", "draft", "open")], "reporting_line string, status string, rationale string")
+    args = dict(catalog=catalog, manifest=manifest, file_profiles=files, observations=obs, series_profiles=sp, readiness_table=passed, population_table=passed,
+                members=members, monthly=monthly, series_codes=["433"], start="2025-06-01", end="2025-07-01", n=2, period_profiles=scope,
+                reporting_lines=lines, expected_lines=lines.drop("rationale"), boundary={"start": ("202506", "202506")})
+    clean = source_decision_controls(spark, **args)
+    assert _failed(clean) == [] and clean.count() == 12
+    contract = [tuple(r) for r in source_contract(spark, clean, {"size": ("2", "frozen", "")}).orderBy("contract_order").collect()]
+    assert [r[1:3] for r in contract] == [("size", "2"), ("implementation_decision", "ready_for_official_warehouse_certification"),
+                                          ("warehouse_status", "not_certified"), ("mart_status", "not_built")]
+
+    def broken(control, **changed):
+        table = source_decision_controls(spark, **{**args, **changed})
+        assert _failed(table) == sorted([control, "source_profile_decision"]), changed
+        return table
+
+    broken("population_monthly_coverage", monthly=monthly.limit(0))
+    broken("population_monthly_coverage", monthly=monthly.filter("institution_cnpj = 'a'"))
+    broken("population_monthly_coverage", monthly=monthly.unionByName(spark.createDataFrame([("z", "202506", "4010")], monthly.schema)))
+    broken("population_monthly_coverage", monthly=monthly.unionByName(monthly.limit(1)))
+    broken("population_contract_frozen", members=members.withColumn("freeze_period", members.institution_cnpj))
+    for place, value in ((1, "failed"), (2, " "), (3, None), (4, "cut off")):
+        bad = [archives[0], tuple(value if i == place else v for i, v in enumerate(archives[1]))]
+        broken("cosif_runtime_and_profile_ready", manifest=spark.createDataFrame(bad, schema))
+    broken("cosif_runtime_and_profile_ready", manifest=manifest.unionByName(manifest.limit(1)))
+    broken("cosif_runtime_and_profile_ready", file_profiles=files.withColumn("row_count", files.row_count * 0))
+    broken("document_scope_disclosed", period_profiles=scope.withColumn("document_4016_institutions", scope.document_4010_institutions))
+    broken("reporting_line_draft_bounded", reporting_lines=lines.withColumn("status", lines.reporting_line))
+    broken("reporting_line_draft_bounded", reporting_lines=lines.filter("status = 'draft'"))
+    broken("source_boundary_complete", boundary={"start": ("202506", "202501")})
+    blocked = broken("acquisition_readiness_retained", readiness_table=passed.limit(0))
+    assert source_contract(spark, blocked, {}).filter("value = 'blocked'").count() == 1
+
+
+def test_replay_compare_finds_what_counts_miss(spark):
+    from ledgermart.operators.quality import replay_compare
+    rows = [(1, "x", Decimal("1.00")), (2, "y", None), (2, "y", None), (3, None, Decimal("2.00"))]
+    schema = "k int, name string, amount decimal(10,2)"
+    df = spark.createDataFrame(rows, schema)
+
+    def same(other, one=df):
+        return [r.identical for r in replay_compare({"t": one}, {"t": other}).collect()] == [True]
+
+    assert same(df.repartition(5)) and same(df.select("amount", "k", "name")) and same(df.limit(0), df.limit(0))
+    assert not same(spark.createDataFrame([(1, "y", Decimal("1.00")), (2, "x", None), *rows[2:]], schema))  # values swapped between rows
+    assert not same(spark.createDataFrame([rows[0], rows[0], rows[2], rows[3]], schema))  # another row repeated
+    assert not same(spark.createDataFrame([*rows[:3], (3, "2.00", None)], schema)) and not same(df.limit(3))
+    assert not same(df.withColumn("k", df.k.cast("bigint"))) and not same(df.withColumnRenamed("name", "title"))
+    only = {r.relation: r.identical for r in replay_compare({"a": df}, {"a": df, "b": df.limit(0)}).collect()}
+    assert only == {"a": True, "b": False}
+
+
+def test_warehouse_replay_loads_and_run(spark, marts):
+    ab = marts["account_balance"]
+    loads = spark.createDataFrame([(s, "success") for s in ("cosif", "cosif", "macro", "macro")], "source string, status string")
+    built = spark.createDataFrame([("a", True)], "control_name string, passed boolean")
+    run = ("123e4567-e89b-12d3-a456-426614174000", "success")
+    good = dict(replay=({"ab": ab}, {"ab": ab.repartition(3)}), loads=loads, raw={"account_balance": ab}, model_controls=built, run=run)
+    known = ["official_rows_are_fixture_free", "official_warehouse_certified"]  # the fixtures are no official rows
+    assert _failed(warehouse_controls(spark, marts, {}, 2, 5, **good)) == known
+
+    def broken(control, **changed):
+        assert _failed(warehouse_controls(spark, marts, {}, 2, 5, **{**good, **changed})) == sorted([control, *known]), control
+
+    broken("replayed_rows_identical", replay=({"ab": ab}, {"ab": ab.withColumn("balance_amount", -ab.balance_amount)}))
+    broken("loads_succeeded_twice", loads=loads.filter("source = 'cosif'").unionByName(spark.createDataFrame([("macro", "success")], loads.schema)))
+    broken("loads_succeeded_twice", loads=loads.unionByName(spark.createDataFrame([("macro", "failed")], loads.schema)))
+    broken("sources_loaded", loads=loads.limit(0))
+    broken("raw_core_identities_account_balance", raw={"account_balance": ab.unionByName(ab.limit(1))})
+    broken("model_build_passed", model_controls=built.limit(0))
+    broken("run_recorded", run=(run[0], "failed"))
+
+
+def test_duplicate_text(spark):
+    from ledgermart.operators.quality import duplicate_text
+    rows = [(None,)] * 3 + [(f"v{i:02d}",) for i in range(12) for _ in range(1 + i % 3)]
+    one = duplicate_text(spark.createDataFrame(rows, "k string"), "k", most=4).collect()
+    assert [tuple(r) for r in one] == [(9, "<null>×3, v02×3, v05×3, v08×3, +5 more")]
+    assert [tuple(r) for r in duplicate_text(spark.createDataFrame([("a",)], "k string"), "k").collect()] == [(0, "")]
