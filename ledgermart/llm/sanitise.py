@@ -8,7 +8,7 @@ of the IC(e) = ln(N / n(e)) that the entity holds. A term whose share PMI / IC r
 is replaced by a placeholder where it stands beside the entity, and from ``remove`` on it is deleted.
 Most entities stand in one text only, so pairs count at every support with ``SINGLE``: a term's
 share is shrunk as if it had been met ``prior`` times more without regard to the entity, so a name met
-once beside an address is generalised and one met often beside it is removed. ``support`` above one
+once beside an address is generalised, in a corpus of any size (``firm``), and one met often beside it is removed. ``support`` above one
 asks for that many different texts instead (copies of one text count once).
 
 With ``whole`` a term counts wherever it stands in a document that holds the entity, not only within
@@ -20,6 +20,7 @@ treated beside the entity alone.
 
 Patterns are written so that matching is linear: a run that failed once is not tried again from
 its middle (possessive repetition, and a match starts only where a run starts or the last match ended).
+Places of matches and the sanitised text are built in linear time too, by scans over short runs.
 Terms are counted in one aggregate over all texts, after a filter for the words that may disclose an
 entity. Texts never shuffle for that, only those that get term spans do, for the join
 with their spans.
@@ -54,11 +55,16 @@ TRIGGERS = {"email": r"@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]",
 WORD = r"\p{L}{3,}+"
 TERM = r"[\p{L}\p{M}\p{N}_]++"
 SPAN = "struct<start:int,end:int,kind:int,value:string>"
+#: Items folded at a time, and code points of a piece of a text.
+RUN, PIECE = 256, 1024
 
 
 @dataclass(frozen=True)
 class Limits:
-    """Thresholds of disclosure: shares of an entity's information, support in texts, context in characters, shrinkage in documents."""
+    """Thresholds of disclosure: shares of an entity's information, support in texts, context in characters, shrinkage in documents.
+
+    ``firm``: in how many documents a term must be met with an entity before it is deleted rather than generalised.
+    """
 
     generalise: float = 0.9
     remove: float = 0.97
@@ -66,6 +72,7 @@ class Limits:
     context: int = 100
     prior: float = 0.0
     whole: bool = False
+    firm: int = 2
 
 
 #: Every pair is scored, also those of one text; shrunk by half a document (0.9 is in reach from 58 documents on).
@@ -74,20 +81,54 @@ SINGLE = Limits(support=1, prior=0.5)
 WHOLE = Limits(support=1, prior=0.5, whole=True)
 
 
-def matches(text: Column, pattern: str, kind: int) -> Column:
-    """Leftmost non-overlapping matches as an array of spans; what lies between them gives their places."""
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, step) -> Column:
+    """Per item of an integer array, ``step`` over it and all before it, from 0 (a sum, a maximum).
+
+    Spark copies what a fold carries at each step, so a fold that gathers n values copies n * n / 2.
+    Here runs of ``RUN`` are folded, then their last values, so that even millions of items are few copies each.
+    """
+
+    def scan(items: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        take = lambda done, x: F.struct(step(done["at"], x).alias("at"), F.array_append(done["out"], step(done["at"], x)).alias("out"))
+        return F.aggregate(items, begin, take, lambda done: done["out"])
+
+    def joined(runs: Column) -> Column:
+        before = lambda last, i: F.coalesce(F.get(last, i - 1), F.lit(0))
+        rest = lambda last: F.flatten(F.transform(runs, lambda run, i: F.transform(run, lambda x: step(before(last, i), x))))
+        return let(scan(F.transform(runs, lambda run: F.element_at(run, -1))), rest)
+
+    def whole(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda k: scan(F.slice(v, k * RUN + 1, RUN)))
+        return F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(let(runs, joined))
+
+    return let(values, whole)
+
+
+def placed(text: Column, pattern: str) -> Column:
+    """Leftmost non-overlapping matches as an array of (start, end, value); what lies between them gives their places."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    gaps = F.split(text, pattern, -1)
+    sizes = lambda f: F.zip_with(F.slice(gaps, 1, F.size(f)), f, lambda gap, hit: F.length(gap) + F.length(hit))
+    span = lambda hit, end: F.struct((end - F.length(hit)).alias("start"), end.alias("end"), hit.alias("value"))
+    return let(found, lambda f: F.zip_with(f, running(sizes(f), lambda at, x: at + x), span))
+
+
+def matches(text: Column, pattern: str, kind: int, passes=lambda value: F.lit(True)) -> Column:
+    """Leftmost non-overlapping matches that pass, as an array of spans."""
+    kept = F.filter(placed(text, pattern), lambda s: passes(s["value"]))
+    return F.transform(kept, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["value"].alias("value")))
 
-    def step(done: Column, pair: Column) -> Column:
-        begin = done["at"] + F.length(pair["gap"])
-        end = begin + F.length(pair["hit"])
-        span = F.struct(begin.alias("start"), end.alias("end"), F.lit(kind).alias("kind"), pair["hit"].alias("value"))
-        return F.struct(end.alias("at"), F.array_append(done["spans"], span).alias("spans"))
 
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    return F.aggregate(pairs, start, step, lambda done: done["spans"])
+def apart(spans: Column, cut) -> Column:
+    """``cut(span, reached)`` of each span of an array in order, where ``reached`` is the greatest end of those before it."""
+    reach = lambda all_: running(F.transform(all_, lambda s: s["end"]), lambda at, x: F.greatest(at, x))
+    return let(spans, lambda all_: let(reach(all_), lambda ends: F.transform(all_, lambda s, i: cut(s, F.coalesce(F.get(ends, i - 1), F.lit(0))))))
 
 
 def digits(value: Column) -> Column:
@@ -114,17 +155,13 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def passes(kind: str):
-    return lambda span: valid(kind, span["value"])
-
-
 def with_base_spans(df: DataFrame, text: str = "text", into: str = "base") -> DataFrame:
     """``df`` with its base spans, ordered by start, then kind."""
     for i, kind in enumerate(KINDS[:4]):
         # most texts have nothing of a kind, and an empty text costs nothing to match
         df = df.withColumn(f"t{i}", F.when(F.col(text).rlike(TRIGGERS[kind]), F.col(text)).otherwise(""))
     for i, kind in enumerate(KINDS[:4]):
-        df = df.withColumn(f"s{i}", F.filter(matches(F.col(f"t{i}"), PATTERNS[kind], i), passes(kind)))
+        df = df.withColumn(f"s{i}", matches(F.col(f"t{i}"), PATTERNS[kind], i, lambda value, kind=kind: valid(kind, value)))
     drop = [f"{c}{i}" for c in "ts" for i in range(4)]
     ordered = F.array_sort(F.concat(*[F.transform(f"s{i}", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))) for i in range(4)]))
     return df.withColumn(into, ordered).drop(*drop)
@@ -179,20 +216,41 @@ def share_of(limits: Limits, total: int) -> Column:
     info = F.log(F.lit(float(max(total, 1))) / F.col("n_entity"))
     met = F.col("n_both") + limits.prior * F.col("n_entity") / max(total, 1)
     # n(t) is at least n(t, e): a word beside an entity is a word of the text
-    return F.when(info > 0, 1 - F.log((F.greatest("n_term", "n_both") + limits.prior) / met) / info).otherwise(0.0)
+    share = F.when(info > 0, 1 - F.log((F.greatest("n_term", "n_both") + limits.prior) / met) / info).otherwise(0.0)
+    # the share of a pair met once grows with the corpus alone, which is no ground for deleting its term
+    return F.when(F.col("n_both") < limits.firm, F.least(share, F.lit((limits.generalise + limits.remove) / 2))).otherwise(share)
+
+
+def pieces_of(text: Column) -> Column:
+    """The text in pieces of ``PIECE`` code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def between(pieces: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in pieces, without walking through what stands before."""
+    first, last = F.floor(start / PIECE).cast("int"), F.floor((end - 1) / PIECE).cast("int")
+    part = lambda p, i: F.substring(p, F.greatest(start - (first + i) * PIECE, F.lit(0)) + 1, F.least(end - (first + i) * PIECE, F.lit(PIECE)) - F.greatest(start - (first + i) * PIECE, F.lit(0)))
+    return F.when(end <= start, "").otherwise(F.concat_ws("", F.transform(F.slice(pieces, first + 1, last - first + 1), part)))
+
+
+def replaced(text: Column, spans: Column, by) -> Column:
+    """``text`` with each of the spans (start, end, ...; in order, apart from each other) replaced by ``by(span)``."""
+
+    def over(pieces: Column, spans: Column) -> Column:
+        before = lambda s, i: F.concat(between(pieces, F.when(i == 0, 0).otherwise(F.get(spans, i - 1)["end"]), s["start"]), by(s))
+        tail = between(pieces, F.element_at(spans, -1)["end"], F.length(text))
+        return F.concat(F.concat_ws("", F.transform(spans, before)), tail)
+
+    # one value each, and no pieces where there is nothing to replace
+    return let(spans, lambda held: F.when(F.size(held) == 0, text).otherwise(let(pieces_of(text), lambda pieces: over(pieces, held))))
 
 
 def masked() -> Column:
     """``text`` with its base spans as blanks; all other characters keep their places."""
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(done: Column, s: Column) -> Column:
-        at = F.greatest(done["at"], s["start"])
-        here = F.array(F.substring(F.col("text"), done["at"] + 1, at - done["at"]), F.repeat(F.lit(" "), F.greatest(s["end"] - at, F.lit(0))))
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), F.concat(done["parts"], here).alias("parts"))
-
-    tail = lambda done: F.concat(F.concat_ws("", done["parts"]), F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    return F.when(F.size("base") == 0, F.col("text")).otherwise(F.aggregate("base", begin, step, tail))
+    cut = lambda s, reached: F.struct(F.greatest(reached, s["start"]).alias("start"), s["end"].alias("end"))
+    blanks = F.filter(apart(F.col("base"), cut), lambda s: s["end"] > s["start"])
+    return replaced(F.col("text"), blanks, lambda s: F.repeat(F.lit(" "), s["end"] - s["start"]))
 
 
 def terms_in(text: Column) -> Column:
@@ -250,17 +308,9 @@ def places_of_terms(rows: DataFrame, telling: DataFrame, limits: Limits) -> Data
     docs = marked(rows, F.col("name"), bitmap_of(by_name.select(F.col("name").alias("hash")), bits), bits, "maybe").where("maybe").select("name", "text")
     docs = with_base_spans(docs.join(by_name, "name").dropDuplicates(["name"])).withColumn("text", masked())
 
-    found = F.regexp_extract_all("text", F.lit(TERM), F.lit(0))
-    pairs = F.zip_with(F.slice(F.split("text", TERM, -1), 1, F.size(found)), found, lambda gap, hit: F.struct(F.length(gap).alias("gap"), F.lower(hit).alias("term"), F.length(hit).alias("size")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,removed:boolean>>").alias("spans"))
-
-    def step(done: Column, word: Column) -> Column:
-        start = done["at"] + word["gap"]
-        end = start + word["size"]
-        span = F.struct(start.alias("start"), end.alias("end"), F.array_contains(F.col("gone"), word["term"]).alias("removed"))
-        return F.struct(end.alias("at"), F.when(F.array_contains(F.col("telling"), word["term"]), F.array_append(done["spans"], span)).otherwise(done["spans"]).alias("spans"))
-
-    return docs.select("name", F.aggregate(pairs, begin, step, lambda done: done["spans"]).alias("terms"))
+    found = F.filter(placed(F.col("text"), TERM), lambda s: F.array_contains(F.col("telling"), F.lower(s["value"])))
+    span = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.array_contains(F.col("gone"), F.lower(s["value"])).alias("removed"))
+    return docs.select("name", F.transform(found, span).alias("terms"))
 
 
 def places_beside(found: DataFrame, rows: DataFrame, limits: Limits) -> DataFrame:
@@ -322,15 +372,14 @@ def cleaned() -> Column:
     labels = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     base = F.transform("base", lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.get(labels, s["kind"]).alias("label")))
     terms = F.transform("terms", lambda s: F.struct(s["start"].alias("start"), F.lit(4).alias("kind"), s["end"].alias("end"), F.when(s["removed"], "").otherwise("[TERM]").alias("label")))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
 
-    def step(done: Column, s: Column) -> Column:
-        here = F.array(F.substring(F.col("text"), done["at"] + 1, s["start"] - done["at"]), s["label"])
-        parts = F.when(s["start"] >= done["at"], F.concat(done["parts"], here)).otherwise(done["parts"])
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), parts.alias("parts"))
+    def cut(s: Column, reached: Column) -> Column:
+        # a span that begins inside the last one lengthens it and brings no label of its own
+        label = F.when(s["start"] < reached, "").otherwise(s["label"])
+        return F.struct(F.greatest(reached, s["start"]).alias("start"), F.greatest(reached, s["end"]).alias("end"), (s["start"] < reached).alias("inside"), label.alias("label"))
 
-    tail = lambda done: F.concat(F.concat_ws("", done["parts"]), F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    return F.aggregate(F.array_sort(F.concat(base, terms)), begin, step, tail)
+    merged = F.filter(apart(F.array_sort(F.concat(base, terms)), cut), lambda s: ~s["inside"] | (s["end"] > s["start"]))
+    return replaced(F.col("text"), merged, lambda s: s["label"])
 
 
 def sanitise(docs: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

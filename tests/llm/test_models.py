@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -251,6 +252,60 @@ def test_sanitising_awkward_rows(spark):
     assert sanitise.sanitise(overlapping).first()["text"] == "call [PHONE] or [EMAIL] now"
 
 
+def test_a_term_met_once_is_never_deleted(spark):
+    once = sanitise.Limits(generalise=0.9, remove=0.91, support=1, prior=0.5, whole=True)
+    rows = single_rows()
+    assert 1 - math.log(1.5 / (1 + 0.5 / len(rows))) / math.log(len(rows)) > once.remove
+    clean = {r["doc_id"]: r["text"] for r in sanitise.sanitise(frame(spark, rows), once).collect()}
+    assert clean[300] == "lorem [TERM] [TERM] [EMAIL] ipsum" or clean[300] == "lorem [TERM] at [EMAIL] ipsum"
+    loose = sanitise.Limits(generalise=0.9, remove=0.91, support=1, prior=0.5, whole=True, firm=1)
+    assert "[TERM]" not in {r["doc_id"]: r["text"] for r in sanitise.sanitise(frame(spark, rows), loose).collect()}[300]
+
+
+def test_terms_of_whole_documents_by_brute_force(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(60)] + ["lorem", "ipsum"] * 40
+    rows = [(i, " ".join(rng.choices(words, k=12))) for i in range(400)]
+    for i in range(400, 430):
+        who = rng.choice(["a@x.org", "b@y.org", "+49 30 901820 44"])
+        rows.append((i, " ".join([*rng.choices(words, k=4), {"a@x.org": "Thistle", "b@y.org": "Bracken"}.get(who, f"solo{i}"), who, *rng.choices(words, k=3)])))
+    limits = sanitise.Limits(generalise=0.6, remove=0.8, support=1, prior=0.5, whole=True)
+    n, terms, held = len(rows), defaultdict(set), defaultdict(set)
+    plain = {}
+    for i, text in rows:
+        plain[i] = text
+        for kind in ("email", "phone"):
+            for m in re.finditer(PLAIN[kind], text):
+                held[m[0].lower()].add(i)
+                plain[i] = plain[i].replace(m[0], " " * len(m[0]))
+        for w in re.findall(r"\w+", text.lower()):
+            terms[w].add(i)
+    share = defaultdict(float)
+    for docs in held.values():
+        for w in {w for i in docs for w in re.findall(r"\w+", plain[i].lower())}:
+            both = sum(w in re.findall(r"\w+", plain[i].lower()) for i in docs)
+            found = 1 - math.log((len(terms[w]) + 0.5) / (both + 0.5 * len(docs) / n)) / math.log(n / len(docs))
+            share[w] = max(share[w], min(found, 0.7) if both < 2 else found)
+    told = {w: s >= limits.remove for w, s in share.items() if s >= limits.generalise}
+    expected = {i: [(m.start(), m.end(), told[m[0].lower()]) for m in re.finditer(r"\w+", plain[i]) if m[0].lower() in told] for i, _ in rows}
+    found = sanitise.spans(frame(spark, rows).repartition(4), limits).select("row.doc_id", "terms").collect()
+    assert {r["doc_id"]: [tuple(t) for t in r["terms"]] for r in found} == expected
+    assert {True, False} <= set(told.values()) and "thistle" in told
+
+
+def test_many_matches_in_one_text(spark):
+    """Linear in the matches of a text: valid ones, failing ones, and ones that overlap."""
+    mails = "".join(f"m{i}@b.co \U0001f600 " for i in range(30000))
+    texts = [mails, "12,34;" * 60000, "+1234567890 a@b.co +30569309025904 " * 8000, "é" * 5000 + " 1.2.3.4"]
+    start = time.monotonic()
+    found = {r["doc_id"]: r for r in sanitise.spans(frame(spark, list(enumerate(texts))), sanitise.WHOLE).select("row.doc_id", "base", sanitise.cleaned().alias("clean"), F.length(sanitise.masked()).alias("masked")).collect()}
+    assert time.monotonic() - start < 120
+    assert [(s["start"], s["end"]) for s in found[0]["base"]] == [m.span() for m in re.finditer(PLAIN["email"], mails)]
+    assert found[0]["clean"] == "[EMAIL] \U0001f600 " * 30000 and found[1]["clean"] == texts[1] and not found[1]["base"]
+    assert found[2]["clean"] == "[PHONE] [EMAIL] [PHONE] " * 8000 and found[3]["clean"] == "é" * 5000 + " [IP]"
+    assert [found[i]["masked"] for i in range(4)] == [len(t) for t in texts]
+
+
 # --- pipeline -------------------------------------------------------------------
 
 
