@@ -25,8 +25,10 @@ over the counts of small texts by size.
 Links only matter for who is reachable, so not all pairs are checked. First every member of a list is
 held against the list's first one, and each set against the smallest of those that it may be linked with,
 which is linear in the lists; overlaps are counted exactly and
-the links' components found. Then the pairs of a list whose ends lie in different components are
-checked; pairs inside a component aren't even enumerated. Every other possible link has been tested.
+the links' components found. Then each list names only the pairs that would join its different components
+into trees, fewer than it has components; they are counted and the components found anew. What is left,
+pairs of a list whose ends still lie in different components, is checked whole; pairs inside a component
+aren't even enumerated. Every other possible link has been tested.
 
 Lists longer than ``block`` are cut into blocks. Members of a list's largest component stay in
 their block and meet the others there, which go to all blocks in runs; so no list needs to fit into one
@@ -420,8 +422,34 @@ def dealt_across(members: DataFrame, block: int) -> DataFrame:
     return known.withColumn("group", F.explode(groups)).select("key", "group.x", "group.y", "side", "run", "root", "node", "n", "kind", "place", "sketch")
 
 
-def across(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Candidate pairs (a, b) of list members with different roots.
+class Trees:
+    """Components of runs (members of a list with one root) that candidate pairs would join."""
+
+    def __init__(self, runs: int):
+        self.parent = np.arange(runs)
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        return self.parent[i] != self.parent[j]
+
+    def joining(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Places of the pairs of runs that join two trees, in their order; the trees are joined."""
+        chosen = []
+        for at in np.flatnonzero(self.apart(i, j)).tolist():
+            a, b = i[at], j[at]
+            while self.parent[a] != a:
+                a = self.parent[a]
+            while self.parent[b] != b:
+                b = self.parent[b]
+            if a != b:
+                self.parent[max(a, b)] = min(a, b)
+                chosen.append(at)
+        while (self.parent[self.parent] != self.parent).any():
+            self.parent = self.parent[self.parent]
+        return np.array(chosen, np.int64)
+
+
+def across(members: DataFrame, percent: int, block: int = BLOCK, trees: bool = False) -> DataFrame:
+    """Candidate pairs (a, b) of list members with different roots; with ``trees`` only those that join a list's roots into trees.
 
     ``members`` has only lists with several roots.
     """
@@ -435,15 +463,20 @@ def across(members: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
             # rows follow their group and root: partners begin where a row's root ends
             end = np.searchsorted(group, group, side="right")
             beyond = np.searchsorted(run_of, run_of, side="right")
+            joined = Trees(len(f))
             out, step, at = [], 0, np.arange(len(f))
             while len(at := at[beyond[at] + step < end[at]]):
                 i, j = at, beyond[at] + step
                 step += 1
                 # a block and a run: pairs of both; two runs: pairs of both, or all if they are one
                 meant = (side[i] == 0) | np.where(x[i] >= 0, side[i] != side[j], (-1 - x[i] == y[i]) | (run[i] != run[j]))
+                if trees:
+                    meant &= joined.apart(run_of[i], run_of[j])
                 i, j = i[meant], j[meant]
-                ok = rows.allowed(i, j, once=True)
-                if ok.any():
+                ok = np.flatnonzero(rows.allowed(i, j, once=True))
+                if trees:
+                    ok = ok[joined.joining(run_of[i[ok]], run_of[j[ok]])]
+                if len(ok):
                     a, b = rows.node[i[ok]], rows.node[j[ok]]
                     out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}))
             if out:
@@ -520,14 +553,17 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
 
     first = scratch_table(against_heads(heavy, percent), "first-pairs")
     sure = scratch_table(linked(first, keyed, sets, width, percent).union(light).distinct(), "sure")
+    tested = first
+    for trees in (True, False):
+        roots = components(sure)
+        rooted = heavy.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        # lists within one component have nothing left to find
+        mixed_lists = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
+        pairs = across(rooted.join(mixed_lists, "key", "left_semi"), percent, block, trees)
+        pairs = scratch_table(pairs.join(tested, ["a", "b"], "left_anti"), "tree-pairs" if trees else "rest-pairs")
+        sure = scratch_table(sure.union(linked(pairs, keyed, sets, width, percent)), "sure")
+        tested = tested.union(pairs)
     roots = components(sure)
-    rooted = heavy.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    # lists within one component have nothing left to find
-    mixed_lists = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-    rest = across(rooted.join(mixed_lists, "key", "left_semi"), percent, block)
-    rest = scratch_table(rest.join(first, ["a", "b"], "left_anti"), "rest-pairs")
-    links = sure.union(linked(rest, keyed, sets, width, percent))
-    roots = components(links)
 
     label = sets.select("node", F.col("doc_id").cast(kind).alias("id")).groupBy("node").agg(F.min("id").alias("least"))
     label = label.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
