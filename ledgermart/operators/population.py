@@ -76,6 +76,51 @@ def distinct_members_by(rows: DataFrame, keys, member: str, pivot: str, values:
     return rows.groupBy(*names(keys)).pivot(pivot, values).agg(F.count_distinct(member))
 
 
+def document_scope(rows: DataFrame, period: str, member: str, document: str, documents: dict) -> DataFrame:
+    """Distinct members per period and document, and by how many documents they are in.
+
+    ``documents = {alias: document code}`` (62 at most).  One aggregate gives each
+    (period, member) the set of its documents as bits, so the raw rows are counted
+    without a distinct count per document (no ``Expand``).  Per period:
+    ``{alias}_members``, ``any_members`` and ``all_members`` (in any or all listed
+    documents), ``unlisted_members`` (in none of them) and ``blank_member_rows``
+    (rows whose member is null or empty; they count as no member).
+    """
+    if not 0 < len(documents) <= 62:
+        raise ValueError("document_scope takes 1 to 62 documents")
+    bit = F.lit(0).cast("bigint")
+    for i, code in enumerate(documents.values()):
+        bit = F.when(F.col(document) == F.lit(code), F.lit(1 << i).cast("bigint")).otherwise(bit)
+    scopes = rows.groupBy(period, member).agg(F.bit_or(bit).alias("_scope"), F.count(F.lit(1)).alias("_rows"))
+    blank = F.coalesce(F.trim(F.col(member).cast("string")) == "", F.lit(True))
+    inside = lambda mask: (F.col("_scope").bitwiseAND(F.lit(mask).cast("bigint")) == mask) & ~blank
+    every = (1 << len(documents)) - 1
+    return scopes.groupBy(period).agg(
+        *[F.count_if(inside(1 << i)).alias(f"{alias}_members") for i, alias in enumerate(documents)],
+        F.count_if((F.col("_scope") != 0) & ~blank).alias("any_members"),
+        F.count_if(inside(every)).alias("all_members"),
+        F.count_if((F.col("_scope") == 0) & ~blank).alias("unlisted_members"),
+        F.coalesce(F.sum(F.when(blank, F.col("_rows"))), F.lit(0)).alias("blank_member_rows"),
+    )
+
+
+def member_history(monthly: DataFrame, member: str, components: list[str], difference: str | None = None,
+                   tolerance: float = 1.00) -> DataFrame:
+    """How complete each frozen member is over the periods.
+
+    ``monthly`` is one row per (period, member) of the population, so a group holds
+    one row per period.  ``difference`` names the reference difference, if there is one.
+    """
+    complete = F.lit(True)
+    for c in components:
+        complete = complete & F.col(c).isNotNull()
+    aggs = [F.count(F.lit(1)).alias("periods_present"), F.count_if(complete).alias("component_complete_periods")]
+    if difference:
+        aggs += [F.count(difference).alias("reference_complete_periods"),
+                 F.count_if(F.abs(F.col(difference)) <= F.lit(tolerance)).alias("reference_reconciled_periods")]
+    return monthly.groupBy(member, "freeze_rank").agg(*aggs)
+
+
 @dataclass
 class Population:
     """Outputs of :func:`profile_population`."""
@@ -84,6 +129,7 @@ class Population:
     members: DataFrame
     monthly: DataFrame
     state: DataFrame
+    history: DataFrame
 
 
 def profile_population(
@@ -101,6 +147,9 @@ def profile_population(
     tolerance: float = 1.00,
     name: str | None = None,
     taxonomy: str | None = None,
+    document: str | None = None,
+    documents: dict | None = None,
+    ranking: str | None = None,
 ) -> Population:
     """Profile periods and freeze a top-``n`` population.
 
@@ -109,9 +158,20 @@ def profile_population(
     * ``presence_account``: alias that must be present for a member to rank;
     * optional ``reference_total`` / ``reference_offset`` aliases: the
       reference total is ``total − offset`` and must agree within ``tolerance``.
+    * optional ``document`` column, ``documents`` (alias → code) and the alias
+      ``ranking`` of the one that members are ranked by: only its rows enter the
+      state, and the period profile gains the columns of :func:`document_scope`,
+      for periods without a row of the ranking document too.
     ``freeze_period`` defaults to the latest period.
     """
     accounts = dict(asset_accounts)
+    scope = None
+    if document:
+        if not documents or ranking not in documents:
+            raise ValueError("the ranking document must be one of documents")
+        scope = document_scope(rows, period, member, document, documents)
+        present = F.trim(F.col(member).cast("string")) != ""
+        rows = rows.filter((F.col(document) == F.lit(documents[ranking])) & present)
     for extra in (reference_total, reference_offset):
         if extra and extra not in accounts:
             raise ValueError(f"{extra} must be listed in asset_accounts")
@@ -144,4 +204,8 @@ def profile_population(
             F.max(diff).alias("max_abs_reference_difference"),
         ]
     period_profile = state.groupBy(period).agg(*prof_aggs)
-    return Population(period_profile=period_profile, members=members, monthly=monthly, state=state)
+    if scope is not None:
+        counts = [c for c in period_profile.columns if c not in (period, "max_abs_reference_difference")]
+        period_profile = scope.join(period_profile, period, "left").fillna(0, counts)
+    history = member_history(monthly, member, components, "reference_difference" if reference_total else None, tolerance)
+    return Population(period_profile=period_profile, members=members, monthly=monthly, state=state, history=history)

@@ -55,8 +55,8 @@ def check_one_selected(df: DataFrame, period: str, flag: str = "is_selected") ->
 
 
 def check_identity(df: DataFrame, keys, code: str, amount: str, left: list[str], right: tuple[str, str],
-                   codes: dict[str, str], tolerance: float = 0.01) -> DataFrame:
-    """Q7: ``sum(left) = right[0] − right[1]`` per key; a missing component fails.
+                   codes: dict[str, str], tolerance: float = 0.01, lenient: bool = False) -> DataFrame:
+    """Q7: ``sum(left) = right[0] − right[1]`` per key; a missing component fails, unless ``lenient``.
 
     ``codes`` maps alias → account code; ``left`` and ``right`` name aliases.
     """
@@ -68,7 +68,8 @@ def check_identity(df: DataFrame, keys, code: str, amount: str, left: list[str],
         any_null = F.col(k).isNull() if any_null is None else any_null | F.col(k).isNull()
     lhs = sum((F.col(c) for c in left[1:]), F.col(left[0]))
     rhs = F.col(right[0]) - F.col(right[1])
-    return pivot.filter(any_null | differs(lhs, rhs, tolerance))
+    unequal = differs(lhs, rhs, tolerance)
+    return pivot.filter(~any_null & unequal if lenient else any_null | unequal)
 
 
 def check_continuity(df: DataFrame, key, month: str) -> DataFrame:
@@ -117,6 +118,44 @@ def check_schema(df: DataFrame, expected: T.StructType | list[tuple[str, str]])
     return issues
 
 
+def live_contract(spark: SparkSession, relations: dict[str, DataFrame], contract: dict[str, list[tuple]]) -> DataFrame:
+    """Evidence of a live contract (Q13, Q19): one row per contracted or actual column.
+
+    ``contract`` lists (column, type, required) in order for each relation.  Names,
+    order and types come from the schema of the relation as it is (no job); nulls
+    of all required columns of a relation from one aggregate over it.  Columns:
+    relation, position, column_name, expected, actual, null_rows (null where it
+    isn't required or isn't there), passed.  A relation or column on one side only
+    fails; ``actual`` or ``expected`` says ``missing`` there.
+    """
+    tables = []
+    for name in sorted(set(relations) | set(contract)):
+        exp, df = contract.get(name, []), relations.get(name)
+        act = [] if df is None else df.schema.fields
+        structs = []
+        for i in range(max(len(exp), len(act))):
+            want = exp[i] if i < len(exp) else None
+            have = act[i] if i < len(act) else None
+            open_size = want is not None and want[1] == "numeric"
+            found = None if have is None else f"{have.name} {type_name(have.dataType) if open_size else sized_type_name(have.dataType)}"
+            asked = None if want is None else f"{want[0]} {want[1]}"
+            required = want is not None and want[2] and df is not None and want[0] in df.columns
+            nulls = F.count_if(F.col(f"`{want[0]}`").isNull()) if required else F.lit(None).cast("bigint")
+            structs.append(F.struct(
+                F.lit(name).alias("relation"), F.lit(i + 1).alias("position"), F.lit(want[0] if want else have.name).alias("column_name"),
+                F.lit(asked or "missing").alias("expected"), F.lit(found or "missing").alias("actual"), nulls.alias("null_rows"),
+                (F.lit(asked == found) & (F.coalesce(nulls, F.lit(0)) == 0)).alias("passed")))
+        if structs:
+            frame = spark.range(1) if df is None else df
+            tables.append(frame.agg(F.array(*structs).alias("_rows")).select(F.inline("_rows")))
+    if not tables:
+        raise ValueError("a live contract needs a relation")
+    out = tables[0]
+    for t in tables[1:]:
+        out = out.unionByName(t)
+    return out
+
+
 def duplicate_detail(df: DataFrame, key: str) -> DataFrame:
     """Q21: one row per duplicated key value with ``value×count`` detail text.
 

@@ -28,6 +28,7 @@ from ledgermart.operators.quality import (
     check_stable_membership,
     check_unique,
     failing_rows,
+    live_contract,
     replay_compare,
 )
 
@@ -120,8 +121,13 @@ def readiness_controls(spark: SparkSession, manifest: DataFrame, profiles: DataF
 
 # -- Q14 fixture landing --------------------------------------------------------
 def fixture_landing_controls(spark: SparkSession, balance: DataFrame, manifest: DataFrame, observations: DataFrame,
-                             fetches: DataFrame, expected_manifests: int, expected_series: int) -> DataFrame:
-    """Synthetic landing: counts, identities, the (lenient) accounting identity."""
+                             fetches: DataFrame, expected_manifests: int, expected_series: int,
+                             identity: dict[str, str] | None = None) -> DataFrame:
+    """Synthetic landing: counts, identities, the (lenient) accounting identity.
+
+    ``identity``: account codes of ``class_1``, ``class_2``, ``class_3`` and
+    ``total_general``; a member's month that lacks one of them doesn't fail.
+    """
     per_file = check_row_count(balance.join(manifest.select("source_checksum", F.col("row_count").alias("_declared")),
                                             "source_checksum"), "source_checksum", "_declared")
     obs_per_series = observations.groupBy("series_code").agg(F.count(F.lit(1)).alias("_n"))
@@ -138,6 +144,10 @@ def fixture_landing_controls(spark: SparkSession, balance: DataFrame, manifest:
         failing_rows("fetches_match_observations", fetch_mismatch),
         failing_rows("observations_are_synthetic", observations.filter(~F.col("fixture"))),
     ]
+    if identity:
+        bad = check_identity(balance, ["source_period", "cnpj"], "conta", "saldo", ["class_1", "class_2"],
+                             ("total_general", "class_3"), identity, lenient=True)
+        controls.append(failing_rows("accounting_identity", bad))
     return build_controls(spark, controls, "fixture_landing_verified")
 
 
@@ -200,15 +210,31 @@ def warehouse_controls(spark: SparkSession, marts: dict[str, DataFrame], expecte
 def mart_controls(spark: SparkSession, marts: dict[str, DataFrame], expected_mapping: DataFrame,
                   members: int, months: int, lines: int, series: int,
                   contract: dict | None = None, expected_counts: dict[str, int] | None = None,
-                  official: bool = True) -> DataFrame:
-    """Reporting-mart certification (fixture-free, coverage, reconciliations, contract)."""
+                  official: bool = True, isolated: bool | None = None, mapping_version: str | None = None,
+                  population: DataFrame | None = None, live: dict[str, list[tuple]] | None = None,
+                  stated: tuple[str, str, str] | None = None, agreed: tuple[str, str, str] | None = None,
+                  model_controls: DataFrame | None = None, run: tuple[str, str] | None = None) -> DataFrame:
+    """Reporting-mart certification (fixture-free, coverage, reconciliations, contract).
+
+    ``mapping_version``: the one version of the mapping, all of it certified ·
+    ``population``: (institution_cnpj, report_month, amount) that the total-assets
+    line must reproduce, each row of it · ``live``: the contract of the marts as
+    they are, see ``live_contract`` · ``stated`` and ``agreed``: name, version and
+    mapping version in the contract and as agreed · ``model_controls`` and ``run``
+    as in ``warehouse_controls``.  With ``population`` or ``live`` the marts must
+    have a row for each member, month, line and series too.  A control whose input
+    isn't given is left out.
+    """
     f_line, f_acct = marts["fact_reporting_line_balance"], marts["fact_account_balance"]
     ctx = marts["fact_monthly_economic_context"]
-    controls = []
+    controls = [] if isolated is None else [_flag(spark, "isolated_official_database", isolated)]
     for rel, n in (expected_counts or {}).items():
         controls.append(Control(f"rows_{rel}", marts[rel], F.count(F.lit(1)), n))
     actual_mapping = marts["reporting_line_mapping"].select("reporting_line_key", "account_code")
     controls.append(failing_rows("reporting_line_mapping_frozen", set_diff(expected_mapping, actual_mapping)))
+    if mapping_version:
+        settled = (F.col("mapping_version") == mapping_version) & (F.col("status") == "certified")
+        controls.append(failing_rows("reporting_line_mapping_certified", marts["reporting_line_mapping"].filter(~F.coalesce(settled, F.lit(False)))))
     if official:
         fixtures = f_line.select("is_fixture").unionByName(f_acct.select("is_fixture")).filter("is_fixture")
         controls.append(failing_rows("marts_are_fixture_free", fixtures))
@@ -229,6 +255,29 @@ def mart_controls(spark: SparkSession, marts: dict[str, DataFrame], expected_map
     controls.append(Control("monthly_macro_context_coverage", ctx,
                             F.count(F.lit(1)) - F.count_distinct("series_code", "report_month"), 0))
     controls.append(Control("macro_series_in_context", ctx, F.count_distinct("series_code"), series))
+    if population is not None or live:
+        controls += [
+            Control("total_asset_rows", ta, F.count(F.lit(1)), members * months),
+            Control("reporting_rows", f_line, F.count(F.lit(1)), members * months * lines),
+            Control("macro_context_rows", ctx, F.count(F.lit(1)), series * months),
+        ]
+    if population is not None:
+        keys = ["institution_cnpj", "report_month"]
+        got = ta.select(*keys, F.col("presentation_balance_amount").alias("amount"))
+        off = reconcile(population.select(*keys, "amount"), got.join(population.select(*keys), keys, "left_semi"), keys, "amount", 0.01)
+        controls += [
+            Control("population_evidence_rows", population, F.count(F.lit(1)), members * months),
+            failing_rows("top_total_assets_reconciliation", off.filter(F.col("status") != "match")),
+        ]
+    if live:
+        evidence = live_contract(spark, {name: marts[name] for name in live if name in marts}, live)
+        controls.append(failing_rows("live_contract_matches", evidence.filter(~F.col("passed"))))
+    if stated is not None:
+        controls.append(_flag(spark, "contract_is_the_agreed_one", stated == agreed, "|".join(str(x) for x in stated)))
+    if model_controls is not None:
+        controls.append(Control("model_build_passed", model_controls, F.coalesce(F.bool_and(F.coalesce("passed", F.lit(False))), F.lit(False)), True))
+    if run is not None:
+        controls.append(_flag(spark, "run_recorded", bool(re.fullmatch(UUID, run[0] or "")) and run[1] == "success", "|".join(str(r) for r in run)))
     if contract:
         issues = sum(len(check_schema(marts[name], spec["schema"])) for name, spec in contract.items() if name in marts)
         controls.append(Control("mart_contract_matches", spark.range(1).select(F.lit(issues).alias("v")), F.max("v"), 0))

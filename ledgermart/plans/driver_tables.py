@@ -50,8 +50,8 @@ from ledgermart.operators.joins import (
     with_scalar,
 )
 from ledgermart.operators.measures import prior_period, share_of_selection, trust_card
-from ledgermart.operators.population import profile_population, top_members
-from ledgermart.operators.quality import Control, build_controls, check_accepted_values, check_row_count, check_unique, failing_rows
+from ledgermart.operators.population import document_scope, profile_population, top_members
+from ledgermart.operators.quality import Control, build_controls, check_accepted_values, check_row_count, check_unique, failing_rows, live_contract
 from ledgermart.operators.versioning import latest_by, select_version, version_ordinal
 from ledgermart.plans.controls import population_controls
 from ledgermart.sources.catalog import classify_probes
@@ -805,6 +805,35 @@ def population_members(spark, d):
     return _population(spark, d).members.select("freeze_rank", "c_nationkey", "total_amount", "cutoff_gap")
 
 
+def population_history(spark, d):
+    """Months that each frozen member has, and has all components in."""
+    return _population(spark, d).history
+
+
+# Order states taken as documents (alias → state).
+ORDER_DOCUMENTS = {"final": "F", "open": "O", "partial": "P"}
+
+
+def order_scope(spark, d):
+    """Customers per month by the order states that they have."""
+    o = table(spark, d, "orders").select(month_start("o_orderdate").alias("report_month"), "o_custkey", "o_orderstatus")
+    return document_scope(o, "report_month", "o_custkey", "o_orderstatus", ORDER_DOCUMENTS)
+
+
+# A contract of two tables, as (column, type, required); the last column isn't there.
+TABLE_CONTRACT = {
+    "orders": [("o_orderkey", "bigint", True), ("o_custkey", "bigint", True), ("o_orderstatus", "text", True),
+               ("o_totalprice", "double precision", True), ("o_orderdate", "timestamp with time zone", False)],
+    "documents": [("doc_id", "bigint", True), ("text", "text", True), ("lang", "text", True), ("source", "text", False),
+                  ("n_chars", "integer", True), ("checked", "boolean", True)],
+}
+
+
+def table_contract(spark, d):
+    """Q13 / Q19: evidence of a live contract, with a column too many, one of another type and one that is missing."""
+    return live_contract(spark, {name: table(spark, d, name) for name in TABLE_CONTRACT}, TABLE_CONTRACT)
+
+
 def population_control_set(spark, d):
     """Q15 / Q20: the population control set on the frozen nation population."""
     rows = member_account_month(spark, d)
@@ -878,4 +907,7 @@ RECIPES = {
     "population_profile": population_profile,
     "population_members": population_members,
     "population_control_set": population_control_set,
+    "population_history": population_history,
+    "order_scope": order_scope,
+    "table_contract": table_contract,
 }

@@ -16,6 +16,7 @@ from ledgermart.plans.driver_tables import (
     MAPPING_ROWS,
     MAPPING_VERSION,
     NAMED_MONTHS,
+    ORDER_DOCUMENTS,
     POPULATION_SIZE,
     POPULATION_COMPONENTS,
     PRESENCE_COMPONENT,
@@ -663,6 +664,50 @@ SELECT freeze_rank, c_nationkey, total_amount,
        (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE})
        - (SELECT MAX(total_amount) FROM fr WHERE freeze_rank = {POPULATION_SIZE + 1}) AS cutoff_gap
 FROM fr WHERE freeze_rank <= {POPULATION_SIZE}""",
+    "population_history": f"""
+WITH {ROWS_CTE},
+{POPULATION_STATE},
+cand AS (SELECT c_nationkey, total_amount FROM state
+         WHERE report_month = DATE '{FREEZE_MONTH}' AND {PRESENCE_COMPONENT} IS NOT NULL),
+fr AS (SELECT *, CAST(row_number() OVER (ORDER BY total_amount DESC, c_nationkey) AS INTEGER) AS freeze_rank FROM cand)
+SELECT c_nationkey, freeze_rank, COUNT(*) AS periods_present,
+       COUNT(*) FILTER (WHERE {" AND ".join(f"{a} IS NOT NULL" for a in POPULATION_COMPONENTS)}) AS component_complete_periods
+FROM state JOIN fr USING (c_nationkey) WHERE freeze_rank <= {POPULATION_SIZE} GROUP BY 1, 2""",
+    "order_scope": f"""
+WITH o AS (SELECT {MONTH.format(c='o_orderdate')} AS report_month, o_custkey, o_orderstatus FROM orders),
+listed AS (SELECT * FROM o WHERE o_orderstatus IN ({", ".join(_q(s) for s in ORDER_DOCUMENTS.values())})),
+whole AS (SELECT report_month, COUNT(*) AS n FROM (
+  SELECT report_month, o_custkey FROM listed GROUP BY 1, 2 HAVING COUNT(DISTINCT o_orderstatus) = {len(ORDER_DOCUMENTS)}) GROUP BY 1),
+others AS (SELECT report_month, COUNT(*) AS n FROM (
+  SELECT DISTINCT report_month, o_custkey FROM o EXCEPT SELECT report_month, o_custkey FROM listed)
+  WHERE o_custkey IS NOT NULL GROUP BY 1)
+SELECT o.report_month,
+       {", ".join(f"COUNT(DISTINCT o_custkey) FILTER (WHERE o_orderstatus = {_q(s)}) AS {a}_members" for a, s in ORDER_DOCUMENTS.items())},
+       COUNT(DISTINCT o_custkey) FILTER (WHERE o_orderstatus IN ({", ".join(_q(s) for s in ORDER_DOCUMENTS.values())})) AS any_members,
+       COALESCE(ANY_VALUE(whole.n), 0) AS all_members, COALESCE(ANY_VALUE(others.n), 0) AS unlisted_members,
+       COUNT(*) FILTER (WHERE o_custkey IS NULL) AS blank_member_rows
+FROM o LEFT JOIN whole USING (report_month) LEFT JOIN others USING (report_month) GROUP BY 1""",
+    "table_contract": """
+WITH kinds(duck, kind) AS (VALUES ('BIGINT', 'bigint'), ('VARCHAR', 'text'), ('DOUBLE', 'double precision'), ('TIMESTAMP', 'timestamp with time zone')),
+held AS (
+"""
+    + "\nUNION ALL ".join(
+        f"SELECT {_q(t)} AS relation, {_q(c)} AS column_name, split_part(ANY_VALUE(typeof({c})), '_', 1) AS duck, COUNT(*) - COUNT({c}) AS nulls FROM {t}"
+        for t, cs in {"orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority", "documents": "doc_id text lang source n_chars"}.items()
+        for c in cs.split())
+    + """),
+places(relation, position, column_name, expected, required, present) AS (VALUES
+  ('orders', 1, 'o_orderkey', 'o_orderkey bigint', true, true), ('orders', 2, 'o_custkey', 'o_custkey bigint', true, true),
+  ('orders', 3, 'o_orderstatus', 'o_orderstatus text', true, true), ('orders', 4, 'o_totalprice', 'o_totalprice double precision', true, true),
+  ('orders', 5, 'o_orderdate', 'o_orderdate timestamp with time zone', false, true), ('orders', 6, 'o_orderpriority', 'missing', false, true),
+  ('documents', 1, 'doc_id', 'doc_id bigint', true, true), ('documents', 2, 'text', 'text text', true, true),
+  ('documents', 3, 'lang', 'lang text', true, true), ('documents', 4, 'source', 'source text', false, true),
+  ('documents', 5, 'n_chars', 'n_chars integer', true, true), ('documents', 6, 'checked', 'checked boolean', true, false)),
+found AS (
+  SELECT relation, position, column_name, expected, CASE WHEN present THEN column_name || ' ' || kind ELSE 'missing' END AS actual,
+         CASE WHEN required AND present THEN nulls END AS null_rows
+  FROM places LEFT JOIN held USING (relation, column_name) LEFT JOIN kinds USING (duck))
+SELECT *, expected = actual AND COALESCE(null_rows, 0) = 0 AS passed FROM found""",
     "population_control_set": f"""
 WITH cam AS (
   SELECT {MONTH.format(c='o.o_orderdate')} AS report_month, o.o_custkey, p.p_type,

@@ -4,8 +4,11 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
-from ledgermart.operators.population import profile_population
+from ledgermart.functions.types import sized_type_name
+from ledgermart.operators.population import document_scope, profile_population
+from ledgermart.operators.quality import live_contract
 from ledgermart.operators.calendar import profile_series
 from ledgermart.plans.controls import (
     fixture_landing_controls,
@@ -226,3 +229,96 @@ def test_duplicate_text(spark):
     one = duplicate_text(spark.createDataFrame(rows, "k string"), "k", most=4).collect()
     assert [tuple(r) for r in one] == [(9, "<null>×3, v02×3, v05×3, v08×3, +5 more")]
     assert [tuple(r) for r in duplicate_text(spark.createDataFrame([("a",)], "k string"), "k").collect()] == [(0, "")]
+
+
+def test_document_scope_matches_brute_force(spark):
+    rows = [(p, m, d) for p in ("202501", "202502", "202503") for m, ds in
+            (("a", "XY"), ("b", "X"), ("c", "Z"), ("", "X"), (None, "Y"), ("d", "XYZ")) for d in ds
+            if not (p == "202503" and d == "X")]
+    rows += rows[:5]  # repeated rows count once, as members
+    got = {r["period"]: r for r in document_scope(
+        spark.createDataFrame(rows, "period string, cnpj string, doc string"), "period", "cnpj", "doc", {"x": "X", "y": "Y"}).collect()}
+    assert sorted(got) == ["202501", "202502", "202503"]
+    for period, r in got.items():
+        by = {}
+        for p, m, d in rows:
+            if p == period and m:
+                by.setdefault(m, set()).add(d)
+        want = [sum("X" in s for s in by.values()), sum("Y" in s for s in by.values()), sum(bool(s & {"X", "Y"}) for s in by.values()),
+                sum(s >= {"X", "Y"} for s in by.values()), sum(not s & {"X", "Y"} for s in by.values()),
+                sum(p == period and not m for p, m, _ in rows)]
+        assert [r[c] for c in ("x_members", "y_members", "any_members", "all_members", "unlisted_members", "blank_member_rows")] == want
+    with pytest.raises(ValueError):
+        document_scope(spark.createDataFrame(rows, "period string, cnpj string, doc string"), "period", "cnpj", "doc", {})
+
+
+def test_population_ranks_within_its_document(spark):
+    rows = _pop_rows(spark)
+    # another document with far larger amounts, and a period that only it has
+    other = rows.withColumns({"doc": F.lit("4016"), "amt": F.col("amt") * 1000, "cnpj": F.concat(F.lit("9"), "cnpj")})
+    late = other.filter("period = '202502'").withColumn("period", F.lit("202503"))
+    blank = rows.limit(1).withColumn("cnpj", F.lit(""))
+    pop = profile_population(rows.unionByName(other).unionByName(late).unionByName(blank), "period", "cnpj", "acct", "amt",
+                             {"c1": "1", "c2": "2", "tg": "T"}, "c1", freeze_period="202502", n=3, reference_total="tg", name="bank",
+                             document="doc", documents={"monthly": "4010", "closing": "4016"}, ranking="monthly")
+    assert [r.cnpj for r in pop.members.orderBy("freeze_rank").collect()] == ["00000004", "00000003", "00000002"]
+    got = {r.period: (r.monthly_members, r.closing_members, r.any_members, r.members, r.reference_reconciled, r.blank_member_rows)
+           for r in pop.period_profile.collect()}
+    assert got == {"202501": (5, 5, 10, 5, 5, 1), "202502": (5, 5, 10, 5, 5, 0), "202503": (0, 5, 5, 0, 0, 0)}
+    assert {(r.cnpj, r.periods_present, r.component_complete_periods, r.reference_reconciled_periods) for r in pop.history.collect()} == {
+        (m, 2, 2, 2) for m in ("00000002", "00000003", "00000004")}
+
+
+def test_live_contract_finds_each_kind_of_drift(spark):
+    df = spark.createDataFrame([(1, "a", None), (2, None, None)], "id bigint, name string, note string")
+    good = [("id", "bigint", True), ("name", "text", False), ("note", "text", False)]
+    assert all(r.passed for r in live_contract(spark, {"t": df}, {"t": good}).collect())
+    bad = {
+        "nulls": [("id", "bigint", True), ("name", "text", True), ("note", "text", False)],
+        "type": [("id", "integer", True), ("name", "text", False), ("note", "text", False)],
+        "order": [("name", "text", False), ("id", "bigint", True), ("note", "text", False)],
+        "missing": good + [("more", "text", True)],
+        "unexpected": good[:2],
+    }
+    for kind, contract in bad.items():
+        failed = [r.column_name for r in live_contract(spark, {"t": df}, {"t": contract}).collect() if not r.passed]
+        assert failed == {"nulls": ["name"], "type": ["id"], "order": ["name", "id"], "missing": ["more"], "unexpected": ["note"]}[kind]
+    assert [r.relation for r in live_contract(spark, {"t": df}, {"u": good}).collect() if not r.passed] == ["t"] * 3 + ["u"] * 3
+    assert all(r.passed for r in live_contract(spark, {"t": df.limit(0)}, {"t": bad["nulls"]}).collect())
+
+
+def test_mart_controls_whole_set(spark, marts):
+    f_line = marts["fact_reporting_line_balance"]
+    one = f_line.select("reporting_line_code").distinct().count()
+    evidence = f_line.filter("reporting_line_code = 'total_assets'").select("institution_cnpj", "report_month", F.col("presentation_balance_amount").alias("amount"))
+    version = marts["reporting_line_mapping"].first().mapping_version
+    contract = {"dim_bank": [(f.name, sized_type_name(f.dataType), False) for f in marts["dim_bank"].schema.fields]}
+    args = dict(members=3, months=2, lines=one, series=5, official=False, isolated=True, mapping_version=version, population=evidence,
+                live=contract, stated=("marts", "1", version), agreed=("marts", "1", version),
+                model_controls=spark.createDataFrame([("a", True)], "control_name string, passed boolean"),
+                run=("123e4567-e89b-12d3-a456-426614174000", "success"))
+    base = _failed(mart_controls(spark, marts, _mapping(spark), **args))
+    assert set(base) <= {"macro_context_rows", "reporting_marts_certified"}
+    for change, name in (
+        (dict(isolated=False), "isolated_official_database"),
+        (dict(mapping_version="other"), "reporting_line_mapping_certified"),
+        (dict(population=evidence.withColumn("amount", F.col("amount") + 1)), "top_total_assets_reconciliation"),
+        (dict(population=evidence.limit(1)), "population_evidence_rows"),
+        (dict(live={"dim_bank": contract["dim_bank"][:-1]}), "live_contract_matches"),
+        (dict(stated=("marts", "2", version)), "contract_is_the_agreed_one"),
+        (dict(model_controls=spark.createDataFrame([], "control_name string, passed boolean")), "model_build_passed"),
+        (dict(run=("no", "success")), "run_recorded"),
+    ):
+        assert set(_failed(mart_controls(spark, marts, _mapping(spark), **{**args, **change}))) - set(base) - {"reporting_marts_certified"} == {name}
+
+
+def test_fixture_landing_identity(spark):
+    f = fx.frames(spark)
+    rows, obs, man = f["balance_rows"], f["observations"], f["file_manifest"]
+    codes = {"class_1": fx.C1, "class_2": fx.C2, "class_3": fx.C3, "total_general": fx.TG}
+    run = lambda balance: _failed(fixture_landing_controls(spark, balance, man, obs, derive_fetches(obs), 2, 5, identity=codes))
+    assert run(rows) == []
+    off = rows.withColumn("saldo", F.when((F.col("conta") == fx.C1) & (F.col("cnpj") == "00000001"), F.col("saldo") + 1).otherwise(F.col("saldo")))
+    assert run(off) == ["accounting_identity", "fixture_landing_verified"]
+    # a component that isn't there is no failure of the identity
+    assert "accounting_identity" not in run(rows.filter(~((F.col("conta") == fx.C2) & (F.col("cnpj") == "00000001"))))
