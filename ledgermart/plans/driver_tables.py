@@ -16,6 +16,7 @@ DuckDB query over the same tables, with the same column names and types.
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import hashlib
 
@@ -85,6 +86,8 @@ SERIES_MAX_LAG = 3
 PROBE_STATUS = {"view": 200, "click": 206, "signup": 404, "purchase": 503}
 
 MART_INPUTS = ("lineitem", "orders", "customer", "part")
+#: Bytes of these files for each shuffle partition of a mart's build, and its partitions at most.
+PARTITION_BYTES, MOST_PARTITIONS = 16 << 20, 20_000
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -121,10 +124,31 @@ def _in_month(c: str, month: str):
 def session_mart(spark: SparkSession, d: str, name: str, build) -> DataFrame:
     path = scratch_path(spark, f"marts/{spark.sparkContext.applicationId}/{input_version(spark, d)}/{name}")
     if not table_exists(spark, f"{path}/_SUCCESS"):
-        write_table(build(), path)
+        with shuffles_for(spark, d):
+            write_table(build(), path)
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def shuffles_for(spark: SparkSession, d: str):
+    """As many shuffle partitions as the inputs ask for, at least the session's: what a task sorts
+    or groups doesn't grow with the tables. AQE coalesces them where little is left."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(int(before), min(MOST_PARTITIONS, -(-input_bytes(spark, d) // PARTITION_BYTES)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def input_bytes(spark: SparkSession, d: str) -> int:
+    """Bytes of the files of the tables a mart is built from."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(f"{d}/{name}.parquet") for name in MART_INPUTS]
+    return sum(path.getFileSystem(conf).getContentSummary(path).getLength() for path in paths)
+
+
 def input_version(spark: SparkSession, d: str) -> str:
     """A name for the tables a mart is built from: changes when one of them is rewritten."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -136,24 +160,6 @@ def input_version(spark: SparkSession, d: str) -> str:
     return hashlib.md5("|".join(stamps).encode()).hexdigest()
 
 
-def customer_account_month(spark: SparkSession, d: str) -> DataFrame:
-    """Balance at (month, customer, account) grain.
-
-    lineitem ⋈ orders ⋈ part are aggregated to this grain (map-side partial
-    aggregation) before the customer join, so the later joins and the
-    mapping fan-out work on aggregated rows only.
-    """
-    li = table(spark, d, "lineitem").select(
-        "l_orderkey", "l_partkey", money("l_extendedprice").alias("amount"))
-    o = table(spark, d, "orders").select(
-        "o_orderkey", "o_custkey", _month("o_orderdate").alias("report_month"),
-        (F.col("o_orderstatus") == "F").alias("is_final"))
-    p = table(spark, d, "part").select("p_partkey", "p_type")
-    rows = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
-    return rows.groupBy("report_month", "o_custkey", "p_type").agg(
-        F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("line_count"), F.bool_and("is_final").alias("is_final"))
-
-
 def member_account_month(spark: SparkSession, d: str) -> DataFrame:
     """Balance at (month, member, account) grain – the account-level mart.
 
@@ -164,11 +170,19 @@ def member_account_month(spark: SparkSession, d: str) -> DataFrame:
 
 
 def build_member_account_month(spark: SparkSession, d: str) -> DataFrame:
+    """Each order gets its member before the line items join, so that the map-side partial
+    aggregation holds months × members × accounts groups, however many customers there are.
+    Prices are typed after the joins: a raw one is a third of the size."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    o = table(spark, d, "orders").select(
+        "o_orderkey", "o_custkey", _month("o_orderdate").alias("report_month"),
+        (F.col("o_orderstatus") == "F").alias("is_final"))
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
-    cam = customer_account_month(spark, d)
-    # months × members × accounts rows, however many customers there are
-    return cam.join(c, F.col("o_custkey") == F.col("c_custkey")).groupBy("report_month", "c_nationkey", "p_type").agg(
-        F.sum("amount").alias("amount"), F.sum("line_count").alias("line_count"), F.bool_and("is_final").alias("is_final"))
+    p = table(spark, d, "part").select("p_partkey", "p_type")
+    owned = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "report_month", "c_nationkey", "is_final")
+    rows = li.join(owned, F.col("l_orderkey") == F.col("o_orderkey")).join(p, F.col("l_partkey") == F.col("p_partkey"))
+    return rows.groupBy("report_month", "c_nationkey", "p_type").agg(
+        F.sum(money("l_extendedprice")).alias("amount"), F.count(F.lit(1)).alias("line_count"), F.bool_and("is_final").alias("is_final"))
 
 
 def line_fact(spark: SparkSession, d: str) -> DataFrame:
