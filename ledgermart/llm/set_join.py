@@ -214,18 +214,49 @@ def slices_of(shingles: np.ndarray, sizes: Sizes, g: int) -> bytes:
     return np.concatenate([sketch, names.view(np.uint8).reshape(k, -1)], axis=1).tobytes()
 
 
-def described(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Per row: doc_id (as a string), name (hash of id and text), n_shingles, node and the slices of both its classes."""
-    sizes = Sizes(percent)
+def described(docs: DataFrame, width: int) -> DataFrame:
+    """Per row: doc_id (as a string), name (hash of id and text), n_shingles and node."""
 
     def run(frames):
         let_go()
         for f in frames:
             found = shingle_sets(f["text"].tolist(), width)
-            two = [[slices_of(s, sizes, sizes.class_of(len(s)) + up) if len(s) else b"" for s in found] for up in (0, 1)]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found], "sketch": two[0], "above": two[1]})
+            yield pd.DataFrame({"doc_id": f["doc_id"], "name": f["name"], "n_shingles": [len(s) for s in found], "node": [node_of(s)[0] for s in found]})
+
+    return docs.mapInPandas(run, "doc_id string, name bigint, n_shingles bigint, node bigint")
 
-    return docs.mapInPandas(run, "doc_id string, name bigint, n_shingles bigint, node bigint, sketch binary, above binary")
+
+def texts_of_sets(nodes: DataFrame, docs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The text of one document of each set of ``nodes``, and of a few others.
+
+    It is found again by a Bloom filter over its name: only texts that are needed (and a few false
+    alarms) move, and as texts, which compress better than hashes.
+    """
+    named = sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("name").alias("name"))
+    names = scratch_table(named.select(F.xxhash64("name").alias("hash")), "names")
+    segments = bloom.segments_for(names.count())
+    found = scratch_table(bloom.filter_of(names, segments), "names-bloom")
+    return bloom.looked_up(docs.select("text", "name").withColumn("hash", F.xxhash64("name")), found, segments, "once").where("maybe").select("text")
+
+
+def sketched(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Per set: node and the slices of both its classes, ``own`` and ``above``."""
+    sizes = Sizes(percent)
+
+    def run(frames):
+        for f in frames:
+            found = [s for s in shingle_sets(f["text"].tolist(), width) if len(s)]
+            own, above = ([slices_of(s, sizes, sizes.class_of(len(s)) + up) for s in found] for up in (0, 1))
+            yield pd.DataFrame({"node": [node_of(s)[0] for s in found], "own": own, "above": above}).drop_duplicates("node")
+
+    rows = texts.mapInPandas(run, "node bigint, own binary, above binary")
+    return rows.groupBy("node").agg(F.first("own").alias("own"), F.first("above").alias("above"))
+
+
+def with_pieces(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """``members`` of lists with ``sketch``, the slice of their list's class. Slices are wide, so they come last."""
+    piece = F.expr("substring(if(place & 2048 <> 0, above, own), cast((place >> 20) * (place & 511) + 1 as int), cast(place & 511 as int))")
+    return members.join(sketches, "node").withColumn("sketch", piece).drop("own", "above")
 
 
 def postings(docs: DataFrame, width: int, sizes: Sizes, boundary: int) -> DataFrame:
@@ -376,14 +407,15 @@ def cut(members: DataFrame) -> DataFrame:
     return members.where("block > 0").groupBy("key").agg((F.max("block") + 1).alias("blocks"))
 
 
-def against_heads(members: DataFrame, percent: int) -> DataFrame:
+def against_heads(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Candidate pairs (a, b): of the first members of its lists that it may be linked with, each member and the smallest."""
-    sketch = F.expr(f"substring(sketch, 1, {LEAST_BITS // 8} << cast(place >> 9 & 3 as int))")
     first = F.col("node") == F.col("head")
-    kept = members.select("key", "block", (~first).alias("later"), "node", "n", "kind", "place", sketch.alias("sketch"))
+    kept = members.select("key", "block", (~first).alias("later"), "node", "n", "kind", "place")
     # the first one of a long list goes to all its blocks
     copies = members.where(first).join(cut(members), "key").withColumn("block", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)))
-    dealt = kept.unionByName(copies.select("key", "block", F.lit(False).alias("later"), "node", "n", "kind", "place", sketch.alias("sketch")))
+    dealt = kept.unionByName(copies.select("key", "block", F.lit(False).alias("later"), "node", "n", "kind", "place"))
+    sketch = F.expr(f"substring(sketch, 1, {LEAST_BITS // 8} << cast(place >> 9 & 3 as int))")
+    dealt = with_pieces(dealt, sketches).withColumn("sketch", sketch)
 
     def run(frames):
         for f in whole_groups(frames, ["key", "block"]):
@@ -419,7 +451,7 @@ def dealt_across(members: DataFrame, block: int) -> DataFrame:
     meets = F.transform(F.sequence(zero, (F.col("blocks") - 1).cast("int")), lambda x: group(x, F.col("run")))
     others = F.transform(F.sequence(zero, F.col("runs") - 1), lambda y: group(-F.least(y, F.col("run")) - 1, F.greatest(y, F.col("run"))))
     groups = F.when(F.col("side") == 0, F.array(group(zero, zero))).when(F.col("side") == 1, stays).otherwise(F.concat(meets, others))
-    return known.withColumn("group", F.explode(groups)).select("key", "group.x", "group.y", "side", "run", "root", "node", "n", "kind", "place", "sketch")
+    return known.withColumn("group", F.explode(groups)).select("key", "group.x", "group.y", "side", "run", "root", "node", "n", "kind", "place")
 
 
 class Trees:
@@ -448,7 +480,7 @@ class Trees:
         return np.array(chosen, np.int64)
 
 
-def across(members: DataFrame, percent: int, block: int = BLOCK, trees: bool = False) -> DataFrame:
+def across(members: DataFrame, sketches: DataFrame, percent: int, block: int = BLOCK, trees: bool = False) -> DataFrame:
     """Candidate pairs (a, b) of list members with different roots; with ``trees`` only those that join a list's roots into trees.
 
     ``members`` has only lists with several roots.
@@ -482,20 +514,14 @@ def across(members: DataFrame, percent: int, block: int = BLOCK, trees: bool = F
             if out:
                 yield pd.concat(out).drop_duplicates()
 
-    dealt = dealt_across(members, block).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "root", "n", "node")
+    dealt = with_pieces(dealt_across(members, block), sketches).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "root", "n", "node")
     return dealt.mapInPandas(run, "a bigint, b bigint").distinct()
 
 
 def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` whose overlap, counted on the whole sets, reaches the threshold."""
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    # one document of each set, found again by a Bloom filter over its name: only texts that are
-    # needed (and a few false alarms) move, and as texts, which compress better than hashes
-    named = sets.join(needed, "node", "left_semi").groupBy("node").agg(F.min("name").alias("name"))
-    names = scratch_table(named.select(F.xxhash64("name").alias("hash")), "names")
-    segments = bloom.segments_for(names.count())
-    found = scratch_table(bloom.filter_of(names, segments), "names-bloom")
-    wanted = bloom.looked_up(docs.select("text", "name").withColumn("hash", F.xxhash64("name")), found, segments, "once").where("maybe").select("text")
+    wanted = texts_of_sets(needed, docs, sets)
 
     def run(frames):
         seen: set[int] = set()
@@ -536,7 +562,7 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
     sizes = Sizes(percent)
     source = ids_and_texts(docs, id_col, text_col)
     keyed = source.select(F.col("doc_id").cast("string"), F.xxhash64("doc_id", F.xxhash64("text")).alias("name"), "text")
-    all_sets = scratch_table(described(keyed, width, percent), "described")
+    all_sets = scratch_table(described(keyed, width), "described")
     sets = all_sets.where("n_shingles > 0")
 
     # counts of small sets by size: at most 2 * MOST_LIGHT rows
@@ -545,25 +571,23 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
 
     lists = scratch_table(shared_lists(postings(keyed, width, sizes, boundary), block), "lists")
     light = lists.where((F.col("kind") < 0) & (F.col("head_n") == -F.col("kind")) & (F.col("node") != F.col("head"))).select(F.col("node").alias("a"), F.col("head").alias("b"))
-    sketches = sets.groupBy("node").agg(F.first("sketch").alias("own"), F.first("above").alias("above"))
-    # the slice, of the list's class
-    piece = F.expr("substring(if(place & 2048 <> 0, above, own), cast((place >> 20) * (place & 511) + 1 as int), cast(place & 511 as int))")
-    heavy = lists.where("kind >= 0").join(sketches, "node").withColumn("sketch", piece)
-    heavy = scratch_table(heavy.drop("own", "above"), "heavy")
+    heavy = lists.where("kind >= 0")
+    # only sets that share a list are sketched
+    sketches = scratch_table(sketched(texts_of_sets(heavy.select("node").distinct(), keyed, sets), width, percent), "sketches")
 
-    first = scratch_table(against_heads(heavy, percent), "first-pairs")
+    first = scratch_table(against_heads(heavy, sketches, percent), "first-pairs")
     sure = scratch_table(linked(first, keyed, sets, width, percent).union(light).distinct(), "sure")
-    tested = first
+    tested, roots = first, components(sure)
     for trees in (True, False):
-        roots = components(sure)
         rooted = heavy.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # lists within one component have nothing left to find
         mixed_lists = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-        pairs = across(rooted.join(mixed_lists, "key", "left_semi"), percent, block, trees)
+        pairs = across(rooted.join(mixed_lists, "key", "left_semi"), sketches, percent, block, trees)
         pairs = scratch_table(pairs.join(tested, ["a", "b"], "left_anti"), "tree-pairs" if trees else "rest-pairs")
+        if pairs.isEmpty():  # the components stay
+            continue
         sure = scratch_table(sure.union(linked(pairs, keyed, sets, width, percent)), "sure")
-        tested = tested.union(pairs)
-    roots = components(sure)
+        tested, roots = tested.union(pairs), components(sure)
 
     label = sets.select("node", F.col("doc_id").cast(kind).alias("id")).groupBy("node").agg(F.min("id").alias("least"))
     label = label.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
