@@ -33,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 import io
+import itertools
 import json
 import posixpath
 import re
@@ -44,7 +45,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualNullSafe, EqualTo, GreaterThan,
+from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual,
                                     StringStartsWith, WriterCommitMessage)
 
@@ -273,7 +274,7 @@ class Written(WriterCommitMessage):
     files: list
 
 
-class FileWriter(DataSourceWriter):
+class FileWriter(DataSourceArrowWriter):
     """One file for each run of rows with the same ``file_name`` (the first column)."""
 
     def __init__(self, options, schema, overwrite: bool):
@@ -289,17 +290,19 @@ class FileWriter(DataSourceWriter):
         # a repeated attempt writes files of its own; only the committed one's are moved
         folder, files, out, name = posixpath.join(self.staging(), uuid.uuid4().hex), [], None, None
         system.create_dir(folder, recursive=True)
-        for row in iterator:
-            if row[0] != name:
-                if out is not None:
-                    self.finish(out)
-                name = row[0]
-                if name in (n for _, n in files):
-                    raise ValueError(f"the rows of {name} are not together")
-                staged = posixpath.join(folder, name)
-                files.append((staged, name))
-                out = self.begin(system.open_output_stream(staged), name)
-            self.add(out, row[1:])
+        for batch in iterator:
+            names, values = (batch.column(i).to_pylist() for i in (0, 1))
+            for found, run in itertools.groupby(zip(names, values), lambda row: row[0]):
+                if found != name:
+                    if out is not None:
+                        self.finish(out)
+                    name = found
+                    if name in (n for _, n in files):
+                        raise ValueError(f"the rows of {name} are not together")
+                    staged = posixpath.join(folder, name)
+                    files.append((staged, name))
+                    out = self.begin(system.open_output_stream(staged), name)
+                self.add(out, [value for _, value in run])
         if out is not None:
             self.finish(out)
         return Written(files)
@@ -346,7 +349,7 @@ class ArchiveWriter(FileWriter):
         return stream, archive, inner, csv.writer(inner, delimiter=self.options["delimiter"] or archives.DELIMITER)
 
     def add(self, out, values):
-        out[3].writerow(["" if v is None else v for v in values[0]])
+        out[3].writerows([["" if v is None else v for v in fields] for fields in values])
 
     def finish(self, out):
         out[2].close()
@@ -362,7 +365,8 @@ class JsonWriter(FileWriter):
         return {"stream": stream, "first": True}
 
     def add(self, out, values):
-        out["stream"].write((b"" if out["first"] else b",\n") + (values[0] if values[0] is not None else "null").encode())
+        text = ",\n".join("null" if v is None else v for v in values)
+        out["stream"].write((b"" if out["first"] else b",\n") + text.encode())
         out["first"] = False
 
     def finish(self, out):
@@ -398,10 +402,16 @@ def register(spark: SparkSession) -> None:
         spark.dataSource.register(s)
 
 
+#: The column that is never null, as every row comes from a file.
+PATH_COLUMNS = {"ledger_archive": "source_path", "ledger_catalog": "catalog_file", "ledger_series": "source_url"}
+
+
 def scan(spark: SparkSession, format_name: str, path: str, **options) -> DataFrame:
     register(spark)
     options = {"tasks": spark.sparkContext.defaultParallelism, **options}
-    return spark.read.format(format_name).options(**{k: str(v) for k, v in options.items() if v is not None}).load(path)
+    found = spark.read.format(format_name).options(**{k: str(v) for k, v in options.items() if v is not None}).load(path)
+    # Spark keeps the plan of the last read that pushed a filter, also for reads without one: so each pushes one (no row's is null)
+    return found.where(F.col(PATH_COLUMNS[format_name]).isNotNull())
 
 
 def scan_archives(spark: SparkSession, path: str, manifest: str | None = None, split_bytes: int | None = None) -> DataFrame:

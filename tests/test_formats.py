@@ -143,3 +143,26 @@ def test_json_formats(spark, tmp_path):
     (series / "433.json").write_text("{")
     with pytest.raises(Exception, match="not JSON"):
         formats.scan(spark, "ledger_series", str(series)).count()
+
+
+def test_reads_of_one_frame_plan_for_themselves(spark, tmp_path):
+    folder = str(tmp_path / "z")
+    for period in ("202501", "202502"):
+        archive(folder, f"{period}BANCOS.zip", body(period, 2))
+    got = formats.scan_archives(spark, folder)
+    records = got.filter("file_row_number is not null")
+    assert [records.filter("period = '202501'").count(), records.count(), records.filter("period = '202502'").count(), got.count()] == [2, 4, 2, 6]
+
+
+def test_writers_take_files_across_batches(spark, tmp_path):
+    folder, before = str(tmp_path / "out"), spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = spark.range(50).selectExpr("concat(id % 3, '.zip') f", "id", "string(id) s", "if(id % 5 = 0, null, concat('a;', id)) t")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        formats.write_archives(rows, folder, F.col("f"), ["s", "t"], ["id"], COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for i in range(3):
+        with zipfile.ZipFile(f"{folder}/{i}.zip") as z:
+            lines = z.read(f"{i}.CSV").decode().splitlines()
+        assert lines[1:] == [f"{k};" + ("" if k % 5 == 0 else f'"a;{k}"') for k in range(i, 50, 3)]

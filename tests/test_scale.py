@@ -52,3 +52,21 @@ def test_mart_partitions_follow_the_input(spark, tables, monkeypatch):
     with pytest.raises(ValueError), D.shuffles_for(spark, tables):
         raise ValueError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_landing_takes_each_cell_once(spark):
+    from ledgermart.sources import archives
+
+    header = ["DATA_BASE", "DOCUMENTO", "CNPJ", "NOME_INSTITUICAO", "CONTA", "NOME_CONTA", "SALDO"]
+    known = ("p", "sha", "m.csv", 1, 9, "utf-8-sig", 1, "#Gerado em 10/02/2025", 1, header)
+    rows = [(*known, None, None, None), (*known, 1, ["202501", " 4010\t", "1", "A", "9", "n", " 1.234,5 "], None)]
+    records = spark.createDataFrame([("sha", "202501", "u", "2025-03-01 00:00:00")], "source_checksum string, period string, source_url string, retrieved_at_utc string")
+    landed = archives.landing_rows(spark.createDataFrame(rows, archives.RAW_SCHEMA), records)
+    plan = landed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position(") == 1
+    (row,) = landed.collect()
+    assert (row.documento, row.saldo_raw, str(row.saldo), row.agencia) == ("4010", "1.234,5", "1234.50", None)
+    for short, message in ((["202501"], "row changed shape"), (["202502", *"123456"], "row of another period"), (["202501", *"12345", "x"], "invalid balance")):
+        bad = spark.createDataFrame([rows[0], (*known, 1, short, None)], archives.RAW_SCHEMA)
+        with pytest.raises(Exception, match=message):
+            archives.landing_rows(bad, records).collect()
