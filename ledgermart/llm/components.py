@@ -13,13 +13,14 @@ def components(links: DataFrame) -> DataFrame:
 
     Each step hangs nodes under their smallest neighbour, so a hub is one row per task after the
     partial minimum. Steps are written to the shared folder; the number of steps grows with the
-    logarithm of the longest path.
+    logarithm of the longest path. Both ends of a link come from one read of it, and the result is
+    written too, so that the plans of its readers stay small on the driver.
     """
     edges = scratch_table(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     seen = None
     while True:
         # large star: larger neighbours move under the smallest neighbour
-        both = edges.union(edges.select("v", "u"))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         edges = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: smaller neighbours and the node move under the smallest of them
@@ -30,4 +31,5 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    rooted = edges.select(F.inline(F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("root")), F.struct(F.col("v").alias("node"), F.col("v").alias("root"))))).distinct()
+    return scratch_table(rooted, "components")

@@ -32,6 +32,8 @@ from ledgermart.llm.common import GenerationCache, held, small_batches, text_of
 WORDS = 4096
 #: At most so many labelled rows are fitted.
 SAMPLE = 8000
+#: How a labelled row's numbers travel to the driver.
+PACKED = {"slots": "<u2", "counts": "<i4", "stats": "<f8"}
 BINS = 12
 RANK = 8
 STATS = (
@@ -120,17 +122,21 @@ def fit(rows: list, labels: np.ndarray, epochs: int = 12, rate: float = 0.02, de
     edges = np.quantile(stats, np.arange(1, BINS) / BINS, axis=0).T
     spread = np.maximum(stats.std(axis=0), 1e-6)
     m = Machine(0.0, np.zeros(width), rng.normal(0, 0.02, (width, RANK)), stats.mean(axis=0), spread, edges)
-    parts = [m.sparse(r) for r in rows]
+    # one array for all rows: small ones by the thousand stay with the driver's process for good
+    at = np.cumsum([0] + [len(r[0]) + 2 * len(STATS) for r in rows])
+    columns, values = np.empty(at[-1], np.uint16), np.empty(at[-1])
+    for r, lo, hi in zip(rows, at, at[1:]):
+        columns[lo:hi], values[lo:hi] = m.sparse(r)
     theta = np.concatenate([m.weights[:, None], m.vectors], axis=1)
     first, second, step = np.zeros_like(theta), np.zeros_like(theta), 0
     bias = 0.0
     for _ in range(epochs):
-        order = rng.permutation(len(parts))
+        order = rng.permutation(len(rows))
         for lo in range(0, len(order), 256):
             take = order[lo : lo + 256]
             x = np.zeros((len(take), width))
             for i, j in enumerate(take):
-                x[i, parts[j][0]] = parts[j][1]
+                x[i, columns[at[j] : at[j + 1]]] = values[at[j] : at[j + 1]]
             w, v, squared = theta[:, 0], theta[:, 1:], x * x
             s = x @ v
             z = bias + x @ w + 0.5 * ((s * s).sum(axis=1) - squared @ (v * v).sum(axis=1))
@@ -164,12 +170,13 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", sample: i
         features = held("features", featurizer)
         for f in frames:
             rows = [features(t) for t in f["text"]]
-            yield pd.DataFrame({"label_id": f["label_id"].astype(str), "label": f["label"].astype(float), "slots": [r[0] for r in rows], "counts": [r[1] for r in rows], "stats": [r[2] for r in rows]})
+            packed = {name: [r[k].astype(kind).tobytes() for r in rows] for k, (name, kind) in enumerate(PACKED.items())}
+            yield pd.DataFrame({"label_id": f["label_id"].astype(str), "label": f["label"].astype(float), **packed})
 
-    # an id that repeats in the documents brings one row
-    sample_rows = labelled.dropDuplicates(["label_id"]).mapInPandas(run, "label_id string, label double, slots array<int>, counts array<int>, stats array<double>").toPandas()
-    sample_rows = sample_rows.sort_values("label_id")
-    rows = [(np.asarray(s), np.asarray(c), np.asarray(t)) for s, c, t in zip(sample_rows["slots"], sample_rows["counts"], sample_rows["stats"])]
+    # an id that repeats in the documents brings one row; its numbers travel packed
+    packed_rows = labelled.dropDuplicates(["label_id"]).mapInPandas(run, "label_id string, label double, slots binary, counts binary, stats binary")
+    sample_rows = packed_rows.toPandas().sort_values("label_id")
+    rows = [tuple(np.frombuffer(b, kind) for b, kind in zip(r, PACKED.values())) for r in zip(*(sample_rows[c] for c in PACKED))]
     return fit(rows, sample_rows["label"].to_numpy())
 
 

@@ -520,7 +520,7 @@ def across(members: DataFrame, sketches: DataFrame, percent: int, block: int = B
 
 def linked(pairs: DataFrame, docs: DataFrame, sets: DataFrame, width: int, percent: int) -> DataFrame:
     """Those of ``pairs`` whose overlap, counted on the whole sets, reaches the threshold."""
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = texts_of_sets(needed, docs, sets)
 
     def run(frames):
@@ -582,7 +582,9 @@ def classes(docs: DataFrame, percent: int = 90, width: int = 3, id_col: str = "d
         rooted = heavy.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # lists within one component have nothing left to find
         mixed_lists = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("key")
-        pairs = across(rooted.join(mixed_lists, "key", "left_semi"), sketches, percent, block, trees)
+        # written, since ``across`` reads them four times: the driver would hold as many copies of these joins in one plan
+        members = scratch_table(rooted.join(mixed_lists, "key", "left_semi").drop("head", "head_n"), "mixed-lists")
+        pairs = across(members, sketches, percent, block, trees)
         pairs = scratch_table(pairs.join(tested, ["a", "b"], "left_anti"), "tree-pairs" if trees else "rest-pairs")
         if pairs.isEmpty():  # the components stay
             continue

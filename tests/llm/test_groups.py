@@ -308,6 +308,26 @@ def test_components_of_a_chain_and_a_star(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_plans_of_the_join_have_few_scans(spark, monkeypatch):
+    """Every scan of a plan costs the driver a few MB at once, whatever it reads."""
+    import importlib
+
+    scans, write = {}, set_join.scratch_table
+
+    def counted(df, name):
+        scans[name] = max(scans.get(name, 0), df._jdf.queryExecution().optimizedPlan().collectLeaves().size())
+        return write(df, name)
+
+    for module in ("set_join", "components"):
+        monkeypatch.setattr(importlib.import_module(f"ledgermart.llm.{module}"), "scratch_table", counted)
+    rng = random.Random(4)
+    text = words(rng, 60)
+    found = set_join.join(frame(spark, [(1, text), (2, text + " x"), (3, words(rng, 60))]), 80, 5).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 1, 3: 3}
+    assert {"tree-pairs", "rest-pairs", "links"} <= set(scans)
+    assert max(scans.values()) <= 10, scans
+
+
 def test_join_of_awkward_rows(spark):
     found = set_join.join(awkward(spark)).collect()
     assert len(found) == len(awkward_rows())

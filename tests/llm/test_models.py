@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -58,6 +59,17 @@ def test_machine_learns_and_is_the_same_each_time():
     assert factor_machine.fit([], np.zeros(0)).scores(rows[:3]).tolist() == [0.5] * 3
 
 
+def test_fit_holds_its_rows_in_few_arrays():
+    rng = np.random.default_rng(3)
+    rows = [(np.sort(rng.choice(factor_machine.WORDS, 300, replace=False)), np.ones(300, np.int32), rng.random(len(factor_machine.STATS))) for _ in range(4000)]
+    tracemalloc.start()
+    factor_machine.fit(rows, np.zeros(4000), epochs=0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # a column of two bytes and a value of eight
+    assert peak < 15 * 4000 * (300 + 2 * len(factor_machine.STATS))
+
+
 def test_statistics_of_a_text():
     present, counts, stats = factor_machine.featurizer()("Aa bb bb 12,\nbb")
     named = dict(zip(factor_machine.STATS, stats))
